@@ -19,8 +19,16 @@ PLATFORMS = list(SPEND_CHANNELS)
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
+_TABLES = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+    "props string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,18 +146,13 @@ def reschedules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == "view", invitee(1)).alias("new_invitee"),
         F.when(kind == "click", invitee(-1)).alias("old_invitee"),
         F.when(F.col("k") == 13, F.lit("noon")).otherwise(late).alias("created_at"),
+        F.lit(None).cast("string").alias("updated_at"),
     )
-    body = F.struct(
+    return numbered_events(spark, sf_dir).select(
         F.date_format("ts", _ISO).alias("created_at"),
         F.when(kind == "view", "invitee.canceled").otherwise("invitee.created").alias("event"),
         payload.alias("payload"),
     )
-    text = F.to_json(body)
-    return (
-        numbered_events(spark, sf_dir)
-        .select(F.from_json(text, schemas.WEBHOOK).alias("w"))
-        .select("w.*")
-    )
 
 
 def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -756,7 +756,7 @@ def contract_webhook_reasons(spark, sf_dir):
 SELECT reason, count(*) AS rows FROM r WHERE reason IS NOT NULL GROUP BY reason""")
 def contract_reason_counts(spark, sf_dir):
     judged = contracts.webhook_reasons(inputs.contract_bodies(spark, sf_dir))
-    return contracts.reason_counts(contracts.rejected(judged))
+    return contracts.reason_counts(judged)
 
 
 @query("""
@@ -905,8 +905,8 @@ def upsert_spend(spark, sf_dir):
     rows = silver.silver_spend(inputs.spend(spark, sf_dir))
     stale = rows.where("day(date(date)) % 2 = 0").withColumn("spend", F.col("spend") + 1)
     for load in (stale, rows, rows):
-        by_month = load.withColumn("dt", F.substring("date", 1, 7))
-        writers.upsert_days(by_month, path, schemas.SILVER_SPEND, ["date", "channel"])
+        by_year = load.withColumn("dt", F.substring("date", 1, 4))
+        writers.upsert_days(by_year, path, schemas.SILVER_SPEND, ["date", "channel"])
     stored = readers.read_table(spark, path, schemas.SILVER_SPEND)
     return stored.withColumn("dt", F.col("date"))
 
@@ -960,7 +960,8 @@ def stream_ingest_to_silver(spark, sf_dir):
 
 
 @query(f"""WITH {EVENTS}, r AS (
-  SELECT DISTINCT event_type = 'error' AS bad, k % 10 AS breach, ts, user_id FROM s)
+  SELECT DISTINCT event_type = 'error' AS bad, k % 10 AS breach,
+    CASE WHEN k % 10 <> 1 THEN ts END AS sent, CASE WHEN k % 10 <> 0 THEN user_id END AS who FROM s)
 SELECT CASE WHEN bad OR breach < 5 THEN 'dead_letter' ELSE 'bronze' END AS route,
   count(*) AS rows FROM r GROUP BY ALL""")
 def stream_ingest_routes(spark, sf_dir):

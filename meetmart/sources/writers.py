@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from meetmart.operators.dedupe import keep_latest
 from meetmart.sources.readers import day_in, read_days_or_empty, read_table, require_columns
+from meetmart.sources.scratch import materialized
 
 
 def write_days(
@@ -40,10 +41,13 @@ def upsert_days(
 ) -> int:
     """Add rows to the `dt` partitions they touch; a row replaces an older one with the same keys.
 
-    Running the same load again changes nothing. Only the touched days are read: their list is
-    bounded by the calendar, so it may pass through the driver.
+    Running the same load again changes nothing. The load is written aside first, so that its
+    days and its rows come from one and the same reading of the source. Only the touched days
+    of the table are read: their list is bounded by the calendar, so it may pass through the
+    driver.
     """
     spark = incoming.sparkSession
+    incoming = materialized(incoming, "upsert")
     days = [row["dt"] for row in incoming.select("dt").distinct().collect()]
     stored = read_days_or_empty(spark, path, schema, fmt=fmt).where(day_in(days))
     columns = [F.col(f.name).cast(f.dataType) for f in schema.fields]
