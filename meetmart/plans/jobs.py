@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from meetmart import schemas
 from meetmart.config import RunConfig
@@ -34,22 +33,30 @@ def run_silver(spark: SparkSession, cfg: RunConfig, landed: bool = False) -> dic
 
     Events come from the raw files, or with `landed` from the table the ingest wrote.
     """
+    seen = Observation()
     webhooks = (
         ingest.landed_webhooks(spark, cfg.landed_path)
         if landed
-        else readers.read_webhooks(spark, cfg.webhooks_path, cfg.multiline)
+        else readers.readable(readers.read_webhooks(spark, cfg.webhooks_path, cfg.multiline), seen)
     )
     events = silver.silver_events(webhooks, cfg.run_date, cfg.zone)
     rows = {"events": writers.write_days(events, cfg.silver_events_path, fmt=cfg.fmt)}
+    if not landed:
+        log.info("webhooks read: %s", seen.get)
     written = _events(spark, cfg)
     for row in silver.channel_distribution(written).limit(100).collect():
         log.info("channel %s: %s", row["channel"], row["count"])
 
-    spend = silver.silver_spend(readers.read_spend(spark, cfg.spend_path, cfg.multiline))
+    seen = Observation()
+    raw = readers.readable(readers.read_spend(spark, cfg.spend_path, cfg.multiline), seen)
     rows["spend"] = writers.upsert_days(
-        spend, cfg.silver_spend_path, schemas.SILVER_SPEND, ["date", "channel"], fmt=cfg.fmt
+        silver.silver_spend(raw),
+        cfg.silver_spend_path,
+        schemas.SILVER_SPEND,
+        ["date", "channel"],
+        fmt=cfg.fmt,
     )
-    log.info("silver rows written: %s", rows)
+    log.info("spend read: %s; silver rows written: %s", seen.get, rows)
     return rows
 
 
@@ -129,8 +136,8 @@ def run_backfill(spark: SparkSession, cfg: RunConfig, target: str) -> int:
 def run_flat_silver(spark: SparkSession, cfg: RunConfig) -> None:
     """Flat events -> unpartitioned silver table with the duration added."""
     raw = readers.read_flat_events(spark, cfg.flat_events_path, cfg.multiline)
-    table = silver.add_event_duration(raw).where(F.col(schemas.CORRUPT).isNull())
-    writers.write_table(table.drop(schemas.CORRUPT), cfg.flat_silver_path, cfg.fmt)
+    table = silver.add_event_duration(readers.readable(raw))
+    writers.write_table(table, cfg.flat_silver_path, cfg.fmt)
 
 
 def run_flat_gold(spark: SparkSession, cfg: RunConfig, by_day: bool = True) -> None:

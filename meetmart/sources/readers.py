@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,16 @@ def read_flat_events(
     return read_json(spark, path, schema, multiline)
 
 
+def readable(documents: DataFrame, seen: Observation | None = None) -> DataFrame:
+    """Documents that could be parsed; `seen` counts them and the others during the same pass."""
+    broken = F.col(schemas.CORRUPT).isNotNull()
+    if seen is not None:
+        documents = documents.observe(
+            seen, F.count(F.lit(1)).alias("documents"), F.count_if(broken).alias("unreadable")
+        )
+    return documents.where(~broken).drop(schemas.CORRUPT)
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet"
 ) -> DataFrame:

@@ -1,0 +1,94 @@
+import json
+import os
+
+import pytest
+from webhooks import webhook
+
+from meetmart.operators import silver
+from meetmart.streaming import ingest
+
+DAY = 1_750_000_000  # 2025-06-15 15:06:40 UTC
+
+
+class Landing:
+    def __init__(self, spark, root):
+        self.spark, self.root = spark, root
+        self.zone = root / "landing"
+        self.zone.mkdir()
+        self.table = str(root / "landed")
+
+    def put(self, name, body, at=DAY):
+        path = self.zone / name
+        path.write_text(body if isinstance(body, str) else json.dumps(body, indent=2))
+        os.utime(path, (at, at))
+
+    def run(self):
+        checkpoint = str(self.root / "checkpoint")
+        query = ingest.start_ingest(self.spark, str(self.zone), self.table, checkpoint)
+        query.awaitTermination()
+
+    def rows(self):
+        table = ingest.read_landed(self.spark, self.table)
+        return sorted((r.route, r.dt, r.body_md5) for r in table.collect())
+
+
+@pytest.fixture
+def landing(spark, tmp_path):
+    return Landing(spark, tmp_path)
+
+
+def test_ingest_once_per_day_across_restarts(spark, landing):
+    one, two = webhook(), webhook(payload__uri="I2")
+    landing.put("a", one)
+    landing.put("b", json.dumps(dict(reversed(one.items()))), DAY + 5)
+    landing.put("c", one, DAY + 86400)
+    landing.put("d", two)
+    landing.put("x", '{"event": "invi')
+    landing.put("y", '{"event": "invit')
+    landing.put("z", webhook(event="invitee.moved"))
+    landing.run()
+    first = landing.rows()
+    assert [(r[0], r[1]) for r in first] == [
+        ("bronze", "2025-06-15"), ("bronze", "2025-06-15"), ("bronze", "2025-06-16"),
+        ("dead_letter", "2025-06-15"), ("dead_letter", "2025-06-15"), ("dead_letter", "2025-06-15"),
+    ]
+
+    landing.put("again", one, DAY + 60)
+    landing.put("late", one, DAY - 20 * 86400)
+    landing.run()
+    added = set(landing.rows()) - set(first)
+    assert len(landing.rows()) == 7 and {r[1] for r in added} == {"2025-05-26"}
+
+    letters = ingest.dead_letters(spark, landing.table).collect()
+    assert sorted(tuple(r.reasons) for r in letters) == [
+        ("malformed",), ("malformed",), ("value:event",),
+    ]
+    assert all(r.body for r in letters)
+    metrics = ingest.landing_metrics(spark, landing.table).collect()
+    assert {(r.route, r.dt): r.rows for r in metrics} == {
+        ("bronze", "2025-05-26"): 1, ("bronze", "2025-06-15"): 2, ("bronze", "2025-06-16"): 1,
+        ("dead_letter", "2025-06-15"): 3,
+    }
+    events = silver.silver_events(ingest.landed_webhooks(spark, landing.table), "2025-06-17")
+    assert events.count() == 2
+
+
+def test_replayed_batch_replaces_its_rows(spark, landing):
+    landing.put("a", webhook())
+    landing.put("b", "broken")
+    landing.run()
+    before = landing.rows()
+    commits = landing.root / "checkpoint" / "commits"
+    for path in [*commits.glob("0"), *commits.glob(".0.crc")]:
+        path.unlink()
+    landing.run()
+    assert landing.rows() == before and len(before) == 2
+
+
+def test_json_lines_landing(spark, landing):
+    bodies = [webhook(payload__uri=f"I{i % 3}") for i in range(30)]
+    landing.put("lines", "\n".join(json.dumps(b) for b in bodies))
+    ingest.start_ingest(
+        spark, str(landing.zone), landing.table, str(landing.root / "c"), whole_text=False
+    ).awaitTermination()
+    assert len(landing.rows()) == 3
