@@ -5,7 +5,7 @@ import sys
 
 from meetmart.config import RunConfig
 from meetmart.plans.jobs import JOBS
-from meetmart.session import build_session
+from meetmart.session import build_session, sized_for
 
 
 def main(argv: list[str]) -> None:
@@ -13,7 +13,7 @@ def main(argv: list[str]) -> None:
         raise SystemExit(f"usage: python -m meetmart {{{','.join(JOBS)}}} key=value ...")
     logging.basicConfig(level=logging.INFO)
     cfg = RunConfig.from_args(argv[1:])
-    spark = build_session(f"meetmart-{argv[0]}")
+    spark = build_session(f"meetmart-{argv[0]}", **(sized_for(cfg.input_gb) if cfg.input_gb else {}))
     try:
         JOBS[argv[0]](spark, cfg)
     finally:

@@ -18,6 +18,9 @@ class RunConfig:
     spend_path: str = "bronze/marketing_spend"
     flat_events_path: str = "bronze/events"
     landed_path: str = "bronze/landed"
+    vendor_spend_path: str = "bronze/vendor_spend"
+    vendor_landed_path: str = "bronze/vendor_landed"
+    silver_vendor_path: str = "silver/vendor_spend"
     silver_events_path: str = "silver/events"
     silver_spend_path: str = "silver/marketing_spend"
     flat_silver_path: str = "silver/flat_events"
@@ -32,6 +35,7 @@ class RunConfig:
     spend_from: str = ""
     spend_to: str = ""
     active_only: bool = False
+    input_gb: int = 0
 
     def __post_init__(self):
         dt.date.fromisoformat(self.run_date)
@@ -45,7 +49,7 @@ class RunConfig:
             key = key.lstrip("-")
             if not eq or key not in known:
                 raise ValueError(f"unknown setting: {arg!r}")
-            values[key] = _as_bool(text) if known[key].type == "bool" else text
+            values[key] = _PARSERS[known[key].type](text)
         values.setdefault("run_date", _yesterday())
         return cls(**values)
 
@@ -58,3 +62,6 @@ def _as_bool(text: str) -> bool:
     if text.lower() not in ("true", "false"):
         raise ValueError(f"expected true or false, got {text!r}")
     return text.lower() == "true"
+
+
+_PARSERS = {"str": str, "int": int, "bool": _as_bool}

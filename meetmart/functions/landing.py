@@ -7,8 +7,17 @@ from pyspark.sql import functions as F
 
 
 def parsed_body(body: Column) -> Column:
-    """Variant of the body; a missing body counts as an empty object, malformed text as null."""
-    return F.try_parse_json(F.coalesce(body, F.lit("{}")))
+    """Variant of the body; a missing body counts as an empty object, malformed text as null.
+
+    The parser stops after the first value and ignores what follows. Text with anything behind
+    its value cannot be valid both as the element of an array and as the member of an object,
+    so both are tried.
+    """
+    text = F.coalesce(body, F.lit("{}"))
+    as_element = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    as_member = F.try_parse_json(F.concat(F.lit('{"_":'), text, F.lit("}")))
+    whole = as_element.isNotNull() & as_member.isNotNull()
+    return F.when(whole, F.try_parse_json(text))
 
 
 def body_md5(body: Column) -> Column:

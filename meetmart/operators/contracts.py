@@ -17,6 +17,7 @@ from meetmart.functions.measures import money_total
 from meetmart.functions.timeparts import instant
 
 REASONS = "reasons"
+BRONZE, DEAD_LETTER = "bronze", "dead_letter"
 SKEW_DAYS = 7  # fixed value: allowed distance of a record's times from its webhook
 TOTALS_TOLERANCE = 0.02  # fixed value: allowed relative difference of spend totals
 
@@ -207,6 +208,11 @@ def spend_reasons(df: DataFrame, body: str = "body") -> DataFrame:
     return _with_reasons(df, body, [*checks, (_spend_readings, _spend_quality)])
 
 
+def route_of(reasons: str) -> Column:
+    """Where a judged row belongs."""
+    return F.when(F.size(reasons) == 0, F.lit(BRONZE)).otherwise(F.lit(DEAD_LETTER))
+
+
 def reason_counts(judged: DataFrame) -> DataFrame:
     """Rows per reason. The outer explode keeps Spark from judging twice, once more to filter."""
     return (

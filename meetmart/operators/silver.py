@@ -130,18 +130,20 @@ def flatten_vendor_spend(raw: DataFrame) -> DataFrame:
         F.col("attribution.window").alias("attribution_window"),
         F.col("attribution.model").alias("attribution_model"),
         "provenance.*",
-        "extra",
+        F.to_json("extra").alias("extra"),
     )
     metrics = raw.schema["metrics"].dataType.names
     return parts.withColumns({m: F.coalesce(m, F.lit(0.0)) for m in metrics})
 
 
+VENDOR_KEYS = ("source", "date", "campaign_id", "currency", "granularity", "load_id")
+
+
 def latest_vendor_spend(flat: DataFrame) -> DataFrame:
     """Last extracted row per source, day, campaign, currency, grain and load."""
-    keys = ["source", "date", "campaign_id", "currency", "granularity", "load_id"]
-    rest = [c for c in flat.columns if c not in (*keys, "extracted_at", "extra")]
-    order = [instant(F.col("extracted_at")).desc_nulls_last(), F.col("extracted_at").desc_nulls_last()]
-    return keep_latest(flat, keys, [*order, *[F.col(c).desc_nulls_last() for c in rest]])
+    rest = [c for c in flat.columns if c not in (*VENDOR_KEYS, "extracted_at")]
+    order = [instant(F.col("extracted_at")), *[F.col(c) for c in ("extracted_at", *rest)]]
+    return keep_latest(flat, VENDOR_KEYS, [c.desc_nulls_last() for c in order])
 
 
 def add_event_duration(events: DataFrame) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meetmart import schemas
 from meetmart.config import RunConfig
-from meetmart.operators import marts, quality, silver
-from meetmart.operators.contracts import active_bookings
+from meetmart.operators import contracts, marts, quality, silver
 from meetmart.sources import catalog, readers, scratch, writers
 from meetmart.streaming import ingest
 
@@ -40,9 +41,14 @@ def run_silver(spark: SparkSession, cfg: RunConfig, landed: bool = False) -> dic
         else readers.readable(readers.read_webhooks(spark, cfg.webhooks_path, cfg.multiline), seen)
     )
     events = silver.silver_events(webhooks, cfg.run_date, cfg.zone)
-    rows = {"events": writers.write_days(events, cfg.silver_events_path, fmt=cfg.fmt)}
+    # One day, straight from the shuffle of the duplicate removal: no second shuffle to size files.
+    rows = {
+        "events": writers.write_days(
+            events, cfg.silver_events_path, fmt=cfg.fmt, rebalance=False
+        )
+    }
     if not landed:
-        log.info("webhooks read: %s", seen.get)
+        log.info("webhooks read: %s", readers.observed(seen))
     written = _events(spark, cfg)
     for row in silver.channel_distribution(written).limit(100).collect():
         log.info("channel %s: %s", row["channel"], row["count"])
@@ -56,10 +62,50 @@ def run_silver(spark: SparkSession, cfg: RunConfig, landed: bool = False) -> dic
         ["date", "channel"],
         fmt=cfg.fmt,
     )
-    log.info("spend read: %s; silver rows written: %s", seen.get, rows)
+    log.info("spend read: %s; silver rows written: %s", readers.observed(seen), rows)
     return rows
 
 
+def run_vendor_spend(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    """Vendor spend -> bronze or dead letters -> one silver contract; returns the totals check.
+
+    Bronze is kept by run date and route. Silver takes the accepted rows of this run.
+    """
+    bodies = readers.read_bodies(spark, cfg.vendor_spend_path, cfg.multiline)
+    judged = contracts.spend_reasons(bodies).withColumns(
+        {"route": contracts.route_of(contracts.REASONS), "dt": F.lit(cfg.run_date)}
+    )
+    writers.write_days(judged, cfg.vendor_landed_path, by=("route", "dt"))
+    landed = readers.read_days(
+        spark, cfg.vendor_landed_path, _VENDOR_LANDED, cfg.run_date, cfg.run_date
+    )
+    accepted = landed.where(F.col("route") == contracts.BRONZE)
+    flat = silver.flatten_vendor_spend(
+        accepted.select(F.from_json("body", schemas.VENDOR_SPEND).alias("r")).select("r.*")
+    )
+    latest = silver.latest_vendor_spend(flat)
+    writers.upsert_days(
+        latest.withColumn("dt", F.date_format("date", "yyyy-MM-dd")),
+        cfg.silver_vendor_path,
+        schemas.SILVER_VENDOR_SPEND,
+        silver.VENDOR_KEYS,
+        fmt=cfg.fmt,
+    )
+    totals = contracts.spend_totals_check(flat, latest)
+    log.info("spend totals off: %s", totals.where("NOT within").count())
+    return totals
+
+
+_VENDOR_LANDED = T.StructType(
+    [
+        T.StructField("body", T.StringType()),
+        T.StructField(contracts.REASONS, T.ArrayType(T.StringType())),
+        T.StructField("route", T.StringType()),
+        T.StructField("dt", T.StringType()),
+    ]
+)
+
+
 def _events(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     day = cfg.run_date
     return readers.read_days(
@@ -75,7 +121,7 @@ def gold_frames(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
     """
     events = _events(spark, cfg)
     if cfg.active_only:
-        events = active_bookings(events)
+        events = contracts.active_bookings(events)
     first, last = cfg.spend_from or cfg.run_date, cfg.spend_to or cfg.run_date
     spend = readers.read_days_or_empty(
         spark, cfg.silver_spend_path, schemas.SILVER_SPEND, first, last, cfg.fmt
@@ -150,6 +196,7 @@ def run_flat_gold(spark: SparkSession, cfg: RunConfig, by_day: bool = True) -> N
 JOBS = {
     "ingest": run_ingest,
     "silver": run_silver,
+    "vendor-spend": run_vendor_spend,
     "gold": run_gold,
     "validate": run_validate,
     "compact": run_compact,

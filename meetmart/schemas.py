@@ -186,6 +186,24 @@ SILVER_EVENTS = _fields(
 
 SILVER_SPEND = T.StructType(SPEND.fields + _fields(("dt", STR, "day the money was spent")).fields)
 
+SILVER_VENDOR_SPEND = _fields(
+    ("source", STR, "ad platform"),
+    ("granularity", STR, "grain of the record"),
+    ("date", DATE, "day of the activity"),
+    ("timezone", STR, "zone of the report"),
+    *[(f"{n}_id", STR, f"{n} id at the platform") for n in _ID_NAMES],
+    *[(f"{n}_name", STR, f"{n} label at the platform") for n in _ID_NAMES],
+    *[(m, DBL, f"{m} of the day, 0 if unknown") for m in _METRICS],
+    ("currency", STR, "three-letter currency code"),
+    ("attribution_window", STR, "attribution window"),
+    ("attribution_model", STR, "attribution model"),
+    ("load_id", STR, "id of the load"),
+    ("source_file", STR, "file the record came from"),
+    ("extracted_at", STR, "time of extraction, ISO-8601"),
+    ("extra", STR, "vendor fields passed through, as JSON"),
+    ("dt", STR, "day of the activity"),
+)
+
 _DT = ("dt", STR, "run date")
 _BOOKINGS_BY_DAY = _fields(
     ("booking_date", DATE, "local day the meeting starts"),
@@ -235,6 +253,7 @@ TABLES = {
     "vendor_spend": VENDOR_SPEND,
     "silver_events": SILVER_EVENTS,
     "silver_spend": SILVER_SPEND,
+    "silver_vendor_spend": SILVER_VENDOR_SPEND,
     **MARTS,
 }
 

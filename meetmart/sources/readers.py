@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meetmart import schemas
+from meetmart.functions.landing import parsed_body
 
 
 def read_json(
@@ -39,6 +41,20 @@ def read_spend(spark: SparkSession, path: str | list[str], multiline: bool = Tru
     return read_json(spark, path, schemas.SPEND, multiline)
 
 
+def read_bodies(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
+    """JSON documents as text, one row each; an array of documents gives a row per element.
+
+    Text that is no JSON stays as it is, for the contract checks to judge.
+    """
+    text = spark.read.text(path, wholetext=multiline).select(F.col("value").alias("raw"))
+    parsed = text.withColumn("_parsed", parsed_body(F.col("raw")))
+    parts = F.coalesce(
+        F.try_variant_get("_parsed", "$", "array<variant>"), F.array(F.col("_parsed"))
+    )
+    each = parsed.select("raw", F.explode(parts).alias("_part"))
+    return each.select(F.coalesce(F.to_json("_part"), F.col("raw")).alias("body"))
+
+
 def read_flat_events(
     spark: SparkSession,
     path: str | list[str],
@@ -59,6 +75,14 @@ def readable(documents: DataFrame, seen: Observation | None = None) -> DataFrame
     return documents.where(~broken).drop(schemas.CORRUPT)
 
 
+def observed(seen: Observation) -> dict[str, int]:
+    """Metrics of a finished action; none if Spark found the input empty and dropped them."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet"
 ) -> DataFrame:

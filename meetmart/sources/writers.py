@@ -9,22 +9,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meetmart.operators.dedupe import keep_latest
-from meetmart.sources.readers import day_in, read_days_or_empty, read_table, require_columns
+from meetmart.sources.readers import (
+    day_in,
+    observed,
+    read_days_or_empty,
+    read_table,
+    require_columns,
+)
 from meetmart.sources.scratch import materialized
 
 
 def write_days(
-    df: DataFrame, path: str, by: Sequence[str] = ("dt",), fmt: str = "parquet", mb: int = 128
+    df: DataFrame,
+    path: str,
+    by: Sequence[str] = ("dt",),
+    fmt: str = "parquet",
+    mb: int = 128,
+    rebalance: bool = True,
 ) -> int:
     """Replace the partitions present in `df`, leave the others, return the rows written.
 
     The rebalance hint lets adaptive execution size the output: small partitions come out as
     one file, large ones are split into tasks of about `mb` megabytes, so a hot day is never
-    one task. The overwrite mode is set on the write itself: in static mode the same call
-    would delete the whole table.
+    one task. It costs a shuffle: switch it off for one large day that comes out of a shuffle
+    anyway, whose tasks already have that size. The overwrite mode is set on the write itself:
+    in static mode the same call would delete the whole table.
     """
     seen = Observation()
-    sized = df.observe(seen, F.count(F.lit(1)).alias("rows")).hint("rebalance", *by)
+    sized = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if rebalance:
+        sized = sized.hint("rebalance", *by)
     with _file_size(df.sparkSession, mb):
         (
             sized.write.format(fmt)
@@ -33,7 +47,7 @@ def write_days(
             .partitionBy(*by)
             .save(path)
         )
-    return seen.get["rows"]
+    return observed(seen).get("rows", 0)
 
 
 def upsert_days(

@@ -15,10 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 from meetmart import schemas
 from meetmart.functions.landing import body_md5
 from meetmart.functions.timeparts import day_text
-from meetmart.operators.contracts import REASONS, webhook_reasons
+from meetmart.operators.contracts import BRONZE, DEAD_LETTER, REASONS, route_of, webhook_reasons
+from meetmart.sources.readers import between_days
 from meetmart.sources.writers import write_days
 
-BRONZE, DEAD_LETTER = "bronze", "dead_letter"
 _BY = ("route", "dt", "batch_id")
 
 _TEXT = T.StringType()
@@ -85,10 +85,8 @@ def first_copies(landed: DataFrame, memory: str = "7 days", salts: int = 32) ->
 
 def routed(landed: DataFrame) -> DataFrame:
     """Adds contract reasons, the route they decide, and the parsed webhook."""
-    judged = webhook_reasons(landed)
-    route = F.when(F.size(REASONS) == 0, F.lit(BRONZE)).otherwise(F.lit(DEAD_LETTER))
-    webhook = F.from_json("body", schemas.WEBHOOK)
-    return judged.withColumns({"route": route, "webhook": webhook})
+    parsed = F.from_json("body", schemas.WEBHOOK)
+    return webhook_reasons(landed).withColumns({"route": route_of(REASONS), "webhook": parsed})
 
 
 def start_ingest(
@@ -116,9 +114,12 @@ def read_landed(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.schema(LANDED).parquet(table)
 
 
-def landed_webhooks(spark: SparkSession, table: str) -> DataFrame:
-    """Accepted webhooks in the shape of `schemas.WEBHOOK`, for the silver job."""
-    return read_landed(spark, table).where(F.col("route") == BRONZE).select("webhook.*")
+def landed_webhooks(
+    spark: SparkSession, table: str, first: str | None = None, last: str | None = None
+) -> DataFrame:
+    """Accepted webhooks that arrived on these days, in the shape of `schemas.WEBHOOK`."""
+    accepted = read_landed(spark, table).where(F.col("route") == BRONZE)
+    return between_days(accepted, first, last).select("webhook.*")
 
 
 def dead_letters(spark: SparkSession, table: str) -> DataFrame:

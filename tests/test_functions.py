@@ -115,6 +115,14 @@ def test_display(spark):
     ]
 
 
+def test_text_behind_the_value_is_malformed(spark):
+    good = ['{"a":1}', ' {"a":1}\n', "[1]", '"x"', "{}"]
+    bad = ['{"a":1} x', '{"a":1}]', '{"a":1}}', '{"a":1},{"b":2}', '1,"x":2', '{"a":1}{"b":2}', "", "{"]
+    rows = [(t,) for t in good + bad]
+    got = values(spark, rows, "b string", landing.parsed_body(F.col("b")).isNotNull())
+    assert [g[0] for g in got] == [True] * len(good) + [False] * len(bad)
+
+
 def test_body_md5(spark):
     bodies = ['{"a":1,"b":[2]}', '{ "b" : [2], "a" : 1 }', '{"a":2}', "broken", "broken!", None, "{}"]
     got = [v[0] for v in values(spark, [(b,) for b in bodies], "b string", landing.body_md5(F.col("b")))]

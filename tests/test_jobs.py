@@ -114,6 +114,32 @@ def test_ingest_feeds_silver(spark, cfg):
     assert rows["events"] == 7
 
 
+def test_vendor_spend(spark, cfg, tmp_path):
+    def record(load, extracted, spend, **more):
+        return {
+            "source": "google_ads", "date": "2025-05-31", "ids": {"account_id": "1", "campaign_id": "2"},
+            "metrics": {"spend": spend}, "currency": "USD", "extra": {"network": "x"},
+            "provenance": {"load_id": load, "extracted_at": extracted}, **more,
+        }
+
+    records = [
+        record("L1", "2025-06-01T01:00:00Z", 10.0), record("L1", "2025-06-01T02:00:00Z", 12.0),
+        record("L2", "2025-06-01T01:00:00Z", 5.0, currency="usd"),
+    ]
+    (tmp_path / "a.json").write_text(json.dumps(records, indent=1))
+    (tmp_path / "b.json").write_text("[{")
+    cfg = replace(cfg, vendor_spend_path=str(tmp_path))
+    for _ in range(2):
+        totals = jobs.run_vendor_spend(spark, cfg).collect()
+    stored = spark.read.schema(schemas.SILVER_VENDOR_SPEND).parquet(cfg.silver_vendor_path).collect()
+    assert [(r.spend, r.load_id, r.dt, r.extra) for r in stored] == [
+        (12.0, "L1", "2025-05-31", '{"network":"x"}')
+    ]
+    assert [(r.bronze_spend, r.silver_spend, r.within) for r in totals] == [(22.0, 12.0, False)]
+    letters = spark.read.parquet(cfg.vendor_landed_path).where("route = 'dead_letter'").collect()
+    assert sorted(tuple(r.reasons) for r in letters) == [("format:currency",), ("malformed",)]
+
+
 def test_flat_tables(spark, cfg):
     jobs.run_flat_silver(spark, cfg)
     jobs.run_flat_gold(spark, cfg)

@@ -83,6 +83,24 @@ def test_write_replaces_only_its_days(spark, tmp_path):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
 
 
+def test_empty_writes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert writers.write_days(daily(spark, [("a", 1, "d1")]).where("booking_id > 5"), path) == 0
+    writers.write_days(daily(spark, [("a", 1, "d1")]), path)
+    assert writers.write_days(spark.createDataFrame([], DAILY), path) == 0
+    assert stored(spark, path) == [("a", 1, "d1")]
+
+
+def test_bodies_of_arrays_and_lines(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a": 1},\n {"a": 2}]')
+    (tmp_path / "b.json").write_text("[{")
+    whole = readers.read_bodies(spark, str(tmp_path))
+    assert sorted(r.body for r in whole.collect()) == ["[{", '{"a":1}', '{"a":2}']
+    (tmp_path / "lines").write_text('{"a":1}\n{"a":2}')
+    lines = readers.read_bodies(spark, str(tmp_path / "lines"), multiline=False)
+    assert lines.count() == 2
+
+
 def test_upsert_is_idempotent_and_newest_wins(spark, tmp_path):
     path = str(tmp_path / "spend")
     schema = schemas.SILVER_SPEND
