@@ -725,7 +725,47 @@ def quality_uniqueness(spark, sf_dir):
     return dedupe.repeated_keys(inputs.table(spark, sf_dir, "events"), ["event_type", "user_id"])
 
 
-@query()
+def _gold_checks_sql() -> str:
+    """The checks of every mart spelled out from the rules."""
+    keys = {
+        "bookings_by_source_day": "booking_date, source",
+        "bookings_trend_over_time": "booking_date, source",
+        "bookings_by_timeslot": "hour(local) AS hour_of_day, strftime(local, '%a') AS day_of_week, source",
+        "meetings_per_employee_week": "host_user_name, year(local) AS year, week(local) AS week_of_year",
+    }
+    tables = {m: f"SELECT {k}, {_MEETINGS} AS booking_id, {_MEETINGS} AS meetings, {_MEETINGS} AS "
+                 f"avg_meetings_per_week, '{RUN}' AS dt FROM s GROUP BY ALL" for m, k in keys.items()}
+    for mart, by in (("cost_per_booking_by_channel", "source"),
+                     ("channel_attribution_leaderboard", "source, campaign")):
+        tables[mart] = (f"SELECT *, source AS channel, total_spend AS spend FROM "
+                        f"({_cost(by, f"'{RUN}'")})")
+    parts = []
+    for mart, rules in quality.GOLD_RULES.items():
+        def check(name, column, value, passed, source=mart):
+            parts.append(f"SELECT '{source}' AS table_name, '{name}' AS check_name, '{column}' AS "
+                         f"column_name, CAST({value} AS DOUBLE) AS value, {passed} AS passed, "
+                         f"'{RUN}' AS dt FROM {source}")
+
+        check("not_empty", "", "count(*)", "count(*) > 0")
+        for c in rules.not_null:
+            check("complete", c, f"count({c}) / count(*)", f"count({c}) / count(*) >= 0.999")
+        for c in quality.NON_NEGATIVE:
+            if c in rules.required:
+                bad = f"count(*) FILTER (WHERE {c} < 0)"
+                check("non_negative", c, bad, f"{bad} = 0")
+        if {"spend", "cpb"} <= set(rules.required):
+            bad = "count(*) FILTER (WHERE abs(cpb - spend / total_bookings) > 0.01)"
+            check("cpb_matches", "cpb", bad, f"{bad} = 0")
+        if rules.unique:
+            columns = ",".join(rules.unique)
+            again = f"(SELECT 1 FROM {mart} GROUP BY {columns} HAVING count(*) > 1)"
+            check("unique", columns, "count(*)", "count(*) = 0", source=mart)
+            parts[-1] = parts[-1].removesuffix(f"FROM {mart}") + f"FROM {again}"
+    views = ", ".join(f"{m} AS ({sql})" for m, sql in tables.items())
+    return f"WITH {EVENTS}, {SPEND}, {views} " + " UNION ALL ".join(parts)
+
+
+@query(_gold_checks_sql())
 def quality_gold_tables(spark, sf_dir):
     """All checks of all six marts, computed from shared counts."""
     counts = scratch.materialized(marts.count_meetings_all(_bookings(spark, sf_dir), RUN), "counts")
