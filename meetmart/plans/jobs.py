@@ -116,8 +116,8 @@ def _events(spark: SparkSession, cfg: RunConfig) -> DataFrame:
 def gold_frames(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
     """The six marts of the run date.
 
-    Events are scanned and shuffled once for all marts. Full-row duplicates in silver events
-    cannot change a distinct count, so they are not removed first; in spend they would.
+    Events are counted for all marts in one job. Full-row duplicates in silver events cannot
+    change a distinct count, so they are not removed first; in spend they would.
     """
     events = _events(spark, cfg)
     if cfg.active_only:

@@ -211,7 +211,7 @@ SELECT 'meetings_per_employee_week', dt, NULL, NULL, NULL, NULL, NULL, host_user
 
 @query(_ALL_COUNTS)
 def all_mart_counts(spark, sf_dir):
-    """Every mart's counts for every day, from one scan and one shuffle."""
+    """Every mart's counts for every day, in one job."""
     return as_text(marts.count_meetings_all(_bookings(spark, sf_dir)))
 
 
