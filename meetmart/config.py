@@ -11,7 +11,12 @@ REPORT_ZONE = "America/New_York"  # fixed value: zone of all local times
 
 @dataclasses.dataclass(frozen=True)
 class RunConfig:
-    """Paths and dates of one run. `run_date` has no default but yesterday's UTC day at parse time."""
+    """Paths, dates and switches of one run; from arguments, `run_date` defaults to yesterday (UTC).
+
+    `landed` builds silver from the table the ingest wrote instead of the raw files;
+    `active_only` leaves canceled bookings out of gold; `spend_from` and `spend_to` widen the
+    spend beyond the run date; `by_day` picks the older summary; `input_gb` sizes shuffles.
+    """
 
     run_date: str
     webhooks_path: str = "bronze/webhooks"
@@ -34,7 +39,11 @@ class RunConfig:
     multiline: bool = True
     spend_from: str = ""
     spend_to: str = ""
+    backfill_path: str = "silver/events_copy"
+    backfill_fmt: str = "orc"
+    landed: bool = False
     active_only: bool = False
+    by_day: bool = True
     input_gb: int = 0
 
     def __post_init__(self):

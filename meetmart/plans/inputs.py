@@ -169,14 +169,19 @@ def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vendor_spend_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vendor spend JSON text with contract breaches spread over the customers."""
     key, breach = F.col("o_orderkey"), F.col("o_custkey") % 10
+    amount = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    taken = F.date_format(
+        F.expr("o_orderdate + make_dt_interval(1, cast(o_orderkey % 24 as int))"),
+        "yyyy-MM-dd'T'HH:mm:ss'Z'",
+    )
 
-    def part(text: str, *when) -> Column:
-        return F.when(*when).otherwise(F.lit(text)) if when else F.lit(text)
+    def either(condition: Column, yes: str, no: str) -> Column:
+        return F.when(condition, F.lit(yes)).otherwise(F.lit(no))
 
     text = F.concat(
-        part('{"source":"google_ads",', key % 6 == 1, F.lit('{"source":"meta_ads",')),
-        F.when(key % 4 != 0, F.lit('"granularity":"campaign",')).otherwise(F.lit("")),
-        F.when(breach == 2, F.lit('"surprise":1,')).otherwise(F.lit("")),
+        either(key % 6 == 1, '{"source":"meta_ads",', '{"source":"google_ads",'),
+        either(key % 4 != 0, '"granularity":"campaign",', ""),
+        either(breach == 2, '"surprise":1,', ""),
         F.lit('"date":"'),
         F.date_format("o_orderdate", "yyyy-MM-dd"),
         F.lit('","ids":{"account_id":"'),
@@ -186,21 +191,25 @@ def vendor_spend_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('"},"metrics":{'),
         F.when(breach == 3, F.lit(""))
         .when(breach == 4, F.lit('"spend":"much",'))
-        .otherwise(F.concat(F.lit('"spend":'), F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit(","))),
-        part('"clicks":null', breach == 1, F.lit('"clicks":-4')),
-        part('},"currency":"USD",', breach == 0, F.lit('},"currency":"usd",')),
+        .otherwise(F.concat(F.lit('"spend":'), amount, F.lit(","))),
+        either(breach == 1, '"clicks":-4', '"clicks":null'),
+        either(breach == 0, '},"currency":"usd",', '},"currency":"USD",'),
         F.lit('"provenance":{"load_id":"load-'),
         (key % 5).cast("string"),
         F.lit('","extracted_at":"'),
-        F.date_format(F.expr("o_orderdate + make_dt_interval(1, cast(o_orderkey % 24 as int))"), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        taken,
         F.lit('"}}'),
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", text.alias("body"))
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", breach.alias("breach"), text.alias("body")
+    )
 
 
 def vendor_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = F.from_json("body", schemas.VENDOR_SPEND)
-    return vendor_spend_bodies(spark, sf_dir).select("o_orderkey", parsed.alias("r")).select("r.*")
+    return vendor_spend_bodies(spark, sf_dir).select("breach", parsed.alias("r")).select(
+        "breach", "r.*"
+    )
 
 
 def contract_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,15 +29,12 @@ def run_ingest(spark: SparkSession, cfg: RunConfig) -> None:
     query.awaitTermination()
 
 
-def run_silver(spark: SparkSession, cfg: RunConfig, landed: bool = False) -> dict[str, int]:
-    """Bronze -> silver events of this run date and silver spend of the days in the files.
-
-    Events come from the raw files, or with `landed` from the table the ingest wrote.
-    """
+def run_silver(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
+    """Bronze -> silver events of this run date and silver spend of the days in the files."""
     seen = Observation()
     webhooks = (
         ingest.landed_webhooks(spark, cfg.landed_path)
-        if landed
+        if cfg.landed
         else readers.readable(readers.read_webhooks(spark, cfg.webhooks_path, cfg.multiline), seen)
     )
     events = silver.silver_events(webhooks, cfg.run_date, cfg.zone)
@@ -47,9 +44,10 @@ def run_silver(spark: SparkSession, cfg: RunConfig, landed: bool = False) -> dic
             events, cfg.silver_events_path, fmt=cfg.fmt, rebalance=False
         )
     }
-    if not landed:
+    if not cfg.landed:
         log.info("webhooks read: %s", readers.observed(seen))
     written = _events(spark, cfg)
+    # The log shows the largest channels; free-text tags may make the whole list long.
     for row in silver.channel_distribution(written).limit(100).collect():
         log.info("channel %s: %s", row["channel"], row["count"])
 
@@ -174,9 +172,11 @@ def run_repair(spark: SparkSession, cfg: RunConfig) -> None:
     catalog.repair_partitions(spark, cfg.database, [f"gold_{mart}" for mart in schemas.MARTS])
 
 
-def run_backfill(spark: SparkSession, cfg: RunConfig, target: str) -> int:
+def run_backfill(spark: SparkSession, cfg: RunConfig) -> int:
     """Copy silver events into another format, partitioned by `dt`."""
-    return writers.backfill_days(spark, cfg.silver_events_path, target, fmt=cfg.fmt)
+    return writers.backfill_days(
+        spark, cfg.silver_events_path, cfg.backfill_path, cfg.fmt, cfg.backfill_fmt
+    )
 
 
 def run_flat_silver(spark: SparkSession, cfg: RunConfig) -> None:
@@ -186,10 +186,10 @@ def run_flat_silver(spark: SparkSession, cfg: RunConfig) -> None:
     writers.write_table(table, cfg.flat_silver_path, cfg.fmt)
 
 
-def run_flat_gold(spark: SparkSession, cfg: RunConfig, by_day: bool = True) -> None:
+def run_flat_gold(spark: SparkSession, cfg: RunConfig) -> None:
     events = readers.read_table(spark, cfg.flat_silver_path, fmt=cfg.fmt)
     log.info("silver schema: %s", events.schema.simpleString())
-    summary = marts.events_by_type_day if by_day else marts.events_by_type
+    summary = marts.events_by_type_day if cfg.by_day else marts.events_by_type
     writers.write_table(summary(events), cfg.flat_gold_path, cfg.fmt)
 
 
@@ -202,6 +202,7 @@ JOBS = {
     "compact": run_compact,
     "register": run_register,
     "repair": run_repair,
+    "backfill": run_backfill,
     "flat-silver": run_flat_silver,
     "flat-gold": run_flat_gold,
 }

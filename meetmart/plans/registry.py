@@ -24,11 +24,10 @@ RUN = "2024-01-31"
 FIRST, LAST = "2024-01-01", "2024-01-31"
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(sql: str, name: str = "") -> Callable[[Query], Query]:
     def add(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        if sql is not None:
-            SQL[function.__name__] = sql
+        QUERIES[name or function.__name__] = function
+        SQL[name or function.__name__] = sql
         return function
 
     return add
@@ -354,7 +353,7 @@ def channel_distribution(spark, sf_dir):
     return silver.channel_distribution(silver.silver_events(inputs.webhooks(spark, sf_dir), RUN))
 
 
-@query(f"WITH {EVENTS} SELECT event_id, campaign AS tail FROM s")
+@query(f"WITH {EVENTS} SELECT event_id, campaign AS tail FROM s", name="uri_tail")
 def uri_tail_of_links(spark, sf_dir):
     return _bookings(spark, sf_dir).select(
         "event_id", uri_tail(F.col("event_type_uri")).alias("tail")
@@ -873,21 +872,12 @@ j AS (
   FROM b FULL JOIN z USING (source, date, account_id))
 SELECT *, abs(silver_spend - bronze_spend) <= abs(bronze_spend) * 0.02 AS within FROM j""")
 def spend_reconcile(spark, sf_dir):
-    rows = inputs.vendor_spend_bodies(spark, sf_dir).select(
-        "body", F.from_json("body", schemas.VENDOR_SPEND).alias("r"), "o_orderkey"
-    )
-    breach = inputs.table(spark, sf_dir, "orders").select(
-        "o_orderkey", (F.col("o_custkey") % 10).alias("breach")
-    )
-    flat = silver.flatten_vendor_spend(
-        rows.join(breach, "o_orderkey").select("r.*", "breach").withColumn(
-            "timezone", F.col("breach").cast("string")
-        )
-    ).select("source", "date", "account_id", "spend", F.col("timezone").cast("int").alias("breach"))
-    changed = flat.where("breach <> 9").withColumn(
-        "spend", F.when(F.col("breach") == 7, F.col("spend") + 2500).otherwise(F.col("spend"))
-    )
-    return as_text(contracts.spend_totals_check(flat.where("breach <> 8"), changed))
+    rows = inputs.vendor_spend(spark, sf_dir)
+    raised = F.col("metrics").withField("spend", F.col("metrics.spend") + 2500)
+    changed = rows.withColumn("metrics", F.when(F.col("breach") == 7, raised).otherwise(F.col("metrics")))
+    bronze = silver.flatten_vendor_spend(rows.where("breach <> 8"))
+    stored = silver.flatten_vendor_spend(changed.where("breach <> 9"))
+    return as_text(contracts.spend_totals_check(bronze, stored))
 
 
 # ---- sources, sinks and streams: written below the shared folder and read back

@@ -110,7 +110,7 @@ def test_compact_register_validate(spark, cfg):
 
 def test_ingest_feeds_silver(spark, cfg):
     jobs.run_ingest(spark, cfg)
-    rows = jobs.run_silver(spark, cfg, landed=True)
+    rows = jobs.run_silver(spark, replace(cfg, landed=True))
     assert rows["events"] == 7
 
 
@@ -147,15 +147,15 @@ def test_flat_tables(spark, cfg):
     assert [(r.event_type, str(r.event_date), r.total_events, r.avg_duration_seconds) for r in by_day] == [
         ("booked", "2025-10-13", 1, 1800.0)
     ]
-    jobs.run_flat_gold(spark, cfg, by_day=False)
+    jobs.run_flat_gold(spark, replace(cfg, by_day=False))
     assert spark.read.parquet(cfg.flat_gold_path).columns == [
         "event_type", "total_events", "avg_duration_seconds",
     ]
 
 
 def test_backfill(spark, cfg):
-    target = cfg.silver_events_path + "_orc"
-    assert jobs.run_backfill(spark, cfg, target) == 7
+    assert jobs.run_backfill(spark, cfg) == 7
+    assert spark.read.orc(cfg.backfill_path).where(f"dt = '{RUN}'").count() == 7
 
 
 def test_unknown_job():

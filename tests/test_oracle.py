@@ -20,6 +20,9 @@ def test_every_sql_belongs_to_a_query():
 def test_agrees_with_sql(spark, con, name):
     frame = entry.queries()[name](spark, SF)
     assert differences(frame, con, entry.oracle_sql()[name]) == ""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "collect_list"):
+        assert slow not in plan
 
 
 def test_gold_checks_pass_on_computed_marts(spark):
