@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meetmart.llm import licenses, lexicon, packing, warc
+from meetmart.llm import ann, hmm, langid, lexicon, licenses, packing, pii, simhash, warc
 from meetmart.llm.texts import read_table
 
 
@@ -22,6 +22,30 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_digest(read_table(spark, sf_dir, "pages"))
 
 
+def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op6_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours_of_every_20th(read_table(spark, sf_dir, "embeddings"))
+
+
+#: Stands in for a secret from the run's own key store.
+PII_KEY = "example key, replace in production"
+
+
+def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(read_table(spark, sf_dir, "documents"), PII_KEY)
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return lexicon.encode_digest(read_table(spark, sf_dir, "documents"), tokenizer)
@@ -29,7 +53,7 @@ def op10_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_license_scan, op2_packing, op3_warc_revisits, op10_bpe_lexicon)
+    for f in (op1_license_scan, op2_packing, op3_warc_revisits, op5_language_mixture, op6_hidden_markov, op7_nearest_neighbours, op8_pii_pseudonyms, op9_simhash, op10_bpe_lexicon)
 }
 
 SQL: dict[str, str] = {}
