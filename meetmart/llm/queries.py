@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meetmart.llm import ann, hmm, langid, lexicon, licenses, packing, pii, simhash, warc
+from meetmart.llm import ann, hmm, jaccard, langid, lexicon, licenses, packing, pii, simhash, warc
 from meetmart.llm.texts import read_table
 
 
@@ -22,6 +22,10 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_digest(read_table(spark, sf_dir, "pages"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_digest(read_table(spark, sf_dir, "documents"))
 
@@ -53,7 +57,7 @@ def op10_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_license_scan, op2_packing, op3_warc_revisits, op5_language_mixture, op6_hidden_markov, op7_nearest_neighbours, op8_pii_pseudonyms, op9_simhash, op10_bpe_lexicon)
+    for f in (op1_license_scan, op2_packing, op3_warc_revisits, op4_ngram_jaccard, op5_language_mixture, op6_hidden_markov, op7_nearest_neighbours, op8_pii_pseudonyms, op9_simhash, op10_bpe_lexicon)
 }
 
 SQL: dict[str, str] = {}
