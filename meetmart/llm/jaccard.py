@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -284,9 +285,41 @@ def near_duplicates(
     is at least `threshold`, copies included, and `n_link_classes` that of other copy classes. Rows without words
     (null, empty) have no links and are classes of their own. Repeated rows are copies of each other.
     """
-    spark = docs.sparkSession
-    ship(spark)
     docs = id_and_text(docs, id_col, text_col)
+    return _classified(docs, threshold, words, recall).drop("text_hash", "stays")
+
+
+def one_of_each_class(
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    words: int = WORDS,
+    recall: float = RECALL,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Rows of `docs`, with all their columns: of each class of near duplicates the one with the smallest id.
+
+    Rows without words stay. Of repeated rows (the same id and text) one stays.
+    """
+    found = materialized(_classified(id_and_text(docs, id_col, text_col), threshold, words, recall), "classified")
+    other = uuid.uuid4().hex  # names that no column of `docs` has
+    key, hashed = f"_id_{other}", f"_hash_{other}"
+    staying = found.where("stays").select(F.col("doc_id").alias(key), F.col("text_hash").alias(hashed))
+    repeated = staying.groupBy(key, hashed).count().where("count > 1").limit(1).count() > 0
+    text_hash = F.xxhash64(F.col(text_col).cast("string"))
+    kept = docs.join(
+        staying.distinct() if repeated else staying,
+        docs[id_col].eqNullSafe(F.col(key)) & (text_hash == F.col(hashed)),
+        "leftsemi",
+    )
+    if repeated or found.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count():
+        kept = kept.withColumn(hashed, text_hash).dropDuplicates([id_col, hashed]).drop(hashed)
+    return kept
+
+
+def _classified(docs: DataFrame, threshold: float, words: int, recall: float) -> DataFrame:
+    """`near_duplicates` with the hash of the text and whether the row is the one of its class that stays."""
+    ship(docs.sparkSession)
     bands, rows = choose_bands(threshold, recall)
     sketch = materialized(sketches(docs, words, bands, rows), "sketches")
     copies = materialized(
@@ -295,20 +328,27 @@ def near_duplicates(
         .agg(
             F.min("doc_id").alias("copy_id"),
             F.count(F.lit(1)).alias("copies"),
-            F.min(F.struct("doc_id", "text_hash", "grams", "bands")).alias("first"),
+            # null ids come last
+            F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "text_hash", "grams", "bands")).alias("first"),
         )
         .select("set_key", "copy_id", "copies", "first.*", F.monotonically_increasing_id().alias("node")),
         "copies",
     )
-    links = materialized(_links(docs, copies, threshold, words, bands), "links")
-    groups = connected_components(links.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")))
-    totals = links.groupBy("node").agg(F.sum("documents").alias("documents"), F.sum("classes").alias("classes"))
+    links = materialized(_links(docs, copies.drop("no_id"), threshold, words, bands), "links")
+    groups = connected_components(
+        links.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    )
     groups = materialized(groups, "groups")
-    ids = copies.join(groups, "node").groupBy("component").agg(F.min("copy_id").alias("class_id"))
-    named = groups.join(ids, "component").select("node", "class_id")
+    totals = links.groupBy("node").agg(F.sum("documents").alias("documents"), F.sum("classes").alias("classes"))
+    order = F.struct("no_id", "doc_id", "text_hash")
+    ids = (
+        copies.join(groups, "node")
+        .groupBy("component")
+        .agg(F.min("copy_id").alias("class_id"), F.min(order).alias("best"))
+    )
+    named = groups.join(ids, "component").select("node", "class_id", "best")
     classes = materialized(
-        copies.select("node", "set_key", "copy_id", "copies")
-        .join(named, "node", "left")
+        copies.join(named, "node", "left")
         .join(totals, "node", "left")
         .select(
             F.col("set_key").alias("_key"),
@@ -317,15 +357,22 @@ def near_duplicates(
             F.col("copies").alias("n_copies"),
             (F.col("copies") - 1 + F.coalesce("documents", F.lit(0))).alias("n_links"),
             F.coalesce("classes", F.lit(0)).cast("long").alias("n_link_classes"),
+            F.coalesce(F.col("best"), order).alias("_best"),
         ),
         "classes",
     )
-    with_words = sketch.where(F.col("set_key").isNotNull()).select("doc_id", "set_key")
-    found = with_words.join(classes, F.col("set_key") == F.col("_key")).drop("set_key", "_key")
+    with_words = sketch.where(F.col("set_key").isNotNull()).select("doc_id", "text_hash", "set_key")
+    best = F.col("_best.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_best.text_hash") == F.col("text_hash"))
+    found = (
+        with_words.join(classes, F.col("set_key") == F.col("_key"))
+        .withColumn("stays", best)
+        .drop("set_key", "_key", "_best")
+    )
     zero = F.lit(0).cast("long")
     alone = sketch.where(F.col("set_key").isNull()).select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"),
+        "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"),
         F.lit(1).cast("long").alias("n_copies"), zero.alias("n_links"), zero.alias("n_link_classes"),
+        F.lit(True).alias("stays"),
     )
     return found.unionByName(alone)
 

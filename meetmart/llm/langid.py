@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meetmart.llm.texts import id_and_text, in_share, in_tasks
+from meetmart.llm.texts import id_and_text, in_share, in_tasks, map_batches
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
@@ -147,6 +147,22 @@ def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
+def _found(texts: list[str | None], model: Model) -> list[list[tuple[str, float]]]:
+    """Mixtures of a batch, some texts at a time; none for texts without a letter."""
+    limit = _BLOCK_NUMBERS // max(1, len(model.languages))
+    found: list[list] = [[] for _ in texts]
+    block, size = [], 0
+    for k, text in enumerate(texts):
+        if has_letter(text):
+            block.append(k)
+            size += len(text)
+        if block and (size > limit or k == len(texts) - 1):
+            for at, mixture in zip(block, mixtures([texts[i] for i in block], model)):
+                found[at] = mixture
+            block, size = [], 0
+    return found
+
+
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score, mixture) per row of (doc_id, text): the largest language and its share.
 
@@ -155,32 +171,30 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """
     kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        limit = _BLOCK_NUMBERS // max(1, len(model.languages))
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found: list[list] = [[] for _ in texts]
-            block, size = [], 0
-            for k, text in enumerate(texts):
-                if has_letter(text):
-                    block.append(k)
-                    size += len(text)
-                if block and (size > limit or k == len(texts) - 1):
-                    for at, mixture in zip(block, mixtures([texts[i] for i in block], model)):
-                        found[at] = mixture
-                    block, size = [], 0
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([m[0][0] if m else UNDETERMINED for m in found], pa.string()),
-                    pa.array([m[0][1] if m else 0.0 for m in found], pa.float64()),
-                    pa.array([[{"lang": a, "share": s} for a, s in m] for m in found], kind),
-                ],
-                names=["doc_id", "lang_pred", "score", "mixture"],
-            )
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = _found(batch.column("text").to_pylist(), model)
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"),
+                pa.array([m[0][0] if m else UNDETERMINED for m in found], pa.string()),
+                pa.array([m[0][1] if m else 0.0 for m in found], pa.float64()),
+                pa.array([[{"lang": a, "share": s} for a, s in m] for m in found], kind),
+            ],
+            names=["doc_id", "lang_pred", "score", "mixture"],
+        )
 
     schema = "doc_id bigint, lang_pred string, score double, mixture array<struct<lang: string, share: double>>"
-    return in_tasks(docs, run, schema)
+    return map_batches(docs, rows, schema)
+
+
+def determined(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """Rows of `docs`, with all their columns, whose language is determined."""
+
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = _found(batch.column(text_col).to_pylist(), model)
+        return batch.filter(pa.array([bool(m) for m in found]))
+
+    return map_batches(docs, rows, docs.schema)
 
 
 def language_digest(docs: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _SEPARATORS = bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 _FOLD = bytes.maketrans(
@@ -22,7 +23,7 @@ UNICODE_SPACE = "\t-\r \x85\xa0  -     　"
 _shipped: set[str] = set()
 
 
-def in_tasks(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+def in_tasks(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """`run` over the Arrow batches of each partition; the package is sent to the executors first."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
@@ -65,7 +66,7 @@ def folded_words(raw: bytes) -> list[bytes]:
 
 
 def map_batches(
-    docs: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
+    docs: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType
 ) -> DataFrame:
     """`rows` applied to each Arrow batch of `docs`."""
 
