@@ -35,7 +35,7 @@ LEAST_COUNT = 8
 #: Distinct words that a task counts before it hands on what it has.
 _FLUSH = 200_000
 #: Documents that a task encodes side by side, by bytes of text.
-_BLOCK_BYTES = 12_000_000
+_BLOCK_BYTES = 3_000_000
 _END = "</w>"
 
 
@@ -343,8 +343,8 @@ def build_lexicon(
     return os.path.basename(path)
 
 
-def encode(docs: DataFrame, tokenizer: str, lexicon: str) -> DataFrame:
-    """(doc_id, ids) per row, ids as little-endian unsigned 32-bit integers."""
+def encode(docs: DataFrame, tokenizer: str, lexicon: str, with_text: bool = False) -> DataFrame:
+    """(doc_id, ids) per row, ids as little-endian unsigned 32-bit integers; `with_text` adds them decoded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _open(Vocabulary, tokenizer)
@@ -352,13 +352,13 @@ def encode(docs: DataFrame, tokenizer: str, lexicon: str) -> DataFrame:
         for batch in batches:
             texts = [x or "" for x in batch.column("text").to_pylist()]
             for first, last in _blocks(texts):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[first:last],
-                     pa.array(encode_block(texts[first:last], vocabulary, words), pa.binary())],
-                    names=["doc_id", "ids"],
-                )
+                ids = encode_block(texts[first:last], vocabulary, words)
+                columns = [batch.column("doc_id")[first:last], pa.array(ids, pa.binary())]
+                if with_text:
+                    columns.append(pa.array([decode(x, vocabulary) for x in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
 
-    return in_tasks(docs, run, "doc_id bigint, ids binary")
+    return in_tasks(docs, run, "doc_id bigint, ids binary" + ", decoded binary" * with_text)
 
 
 def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -420,19 +420,16 @@ def decode(ids: bytes, vocabulary: Vocabulary) -> bytes:
     return b" ".join([vocabulary.shown[k] for k in np.frombuffer(ids, "<u4").tolist()])
 
 
-def decoded(encoded: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, ids, decoded) from `encode`."""
+def decode_ids(encoded: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, decoded) of rows of `encode`; null ids are an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _open(Vocabulary, tokenizer)
         for batch in batches:
-            texts = [decode(x, vocabulary) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.binary())],
-                names=["doc_id", "ids", "decoded"],
-            )
+            texts = [decode(x or b"", vocabulary) for x in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary())], names=["doc_id", "decoded"])
 
-    return in_tasks(encoded, run, "doc_id bigint, ids binary, decoded binary")
+    return in_tasks(encoded.select("doc_id", "ids"), run, "doc_id bigint, decoded binary")
 
 
 def encode_digest(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS) -> DataFrame:
@@ -441,7 +438,7 @@ def encode_digest(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS) ->
     Null texts count as empty: no ids, and the digests of nothing. Repeated rows give repeated results.
     """
     docs = id_and_text(docs, "doc_id", "text")
-    ids = decoded(encode(docs, tokenizer, build_lexicon(docs, tokenizer, size)), tokenizer)
+    ids = encode(docs, tokenizer, build_lexicon(docs, tokenizer, size), with_text=True)
     return ids.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
