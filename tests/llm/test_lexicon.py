@@ -1,0 +1,100 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from llm_cases import documents, odd_texts, words
+from tokenizers import Tokenizer
+
+from meetmart.llm import lexicon
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return lexicon.Vocabulary(PATH)
+
+
+def ids_of(tokenizer, text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+TEXTS = [
+    *odd_texts(), (20, "a<|endoftext|>B <|startoftext|><|endoftext|>"), (21, "don't WE'LL 's 'Sx 12ab½² aaaaaaa aaaa hahahaha"),
+    (22, "é é ΣΑΣ ß ǅ İi ﬁ Ⅷ ① ७"), (23, "x\x1cy\x1dz\x85w　v​u"), (24, "<|endoftext|" ), (25, "zzzzqqqqxxxx " * 50),
+]
+
+
+@pytest.mark.parametrize("size, extra", [(lexicon.LEXICON_WORDS, False), (0, True), (20, False)])
+def test_agrees_with_the_tokenizers_library(spark, monkeypatch, tokenizer, size, extra):
+    """With a lexicon of all frequent words, of none, and of few."""
+    monkeypatch.setattr(lexicon.build_lexicon, "__defaults__", (size, 2))
+    rows = TEXTS + [(100 + k, " ".join(words(k, 300))) for k in range(20)]
+    got = lexicon.encode_digest(documents(spark, rows, extra), PATH, size).collect()
+    want = []
+    for i, t in rows:
+        ids = ids_of(tokenizer, t)
+        shown = tokenizer.decode(ids, skip_special_tokens=False)
+        want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(shown.encode()).hexdigest()))
+    assert sorted((tuple(r) for r in got), key=repr) == sorted(want, key=repr)
+
+
+def test_letters_of_many_blocks(tokenizer, vocabulary, tmp_path):
+    path = tmp_path / "empty.bin"
+    path.write_bytes(lexicon.compile_lexicon([], vocabulary))
+    empty = lexicon.Lexicon(str(path))
+    texts = [f"a{c}b {c} {c}{c}1" for c in map(chr, [*range(1, 0x600), *range(0x1E00, 0x2100), *range(0x3040, 0x3100)])]
+    for text, got in zip(texts, lexicon.encode_block(texts, vocabulary, empty)):
+        assert np.frombuffer(got, "<u4").tolist() == ids_of(tokenizer, text), repr(text)
+
+
+def test_merging_agrees_with_the_library_on_random_words(tokenizer, vocabulary):
+    pick = random.Random(2)
+    found = ["".join(pick.choice("aeinrstlo") for _ in range(pick.randrange(1, 30))) for _ in range(2000)]
+    ids, cuts = vocabulary.merged([w.encode() for w in found])
+    for k, word in enumerate(found):
+        assert ids[cuts[k] : cuts[k + 1]].tolist() == ids_of(tokenizer, word)
+
+
+def test_transducer_is_minimal_and_exact(vocabulary, tmp_path):
+    pick = random.Random(3)
+    kept = sorted({"".join(pick.choice("abc") for _ in range(pick.randrange(1, 7))).encode() for _ in range(300)})
+    path = tmp_path / "lexicon.bin"
+    path.write_bytes(lexicon.compile_lexicon(kept, vocabulary))
+    compiled = lexicon.Lexicon(str(path))
+    assert isinstance(compiled.key.base, np.memmap) or isinstance(compiled.key, np.memmap)
+    assert compiled.index(kept).tolist() == list(range(len(kept)))
+    others = [w + b"x" for w in kept] + [b"", b"zz", kept[0] + kept[0] * 3]
+    assert (compiled.index([w for w in others if w and w not in kept]) == -1).all()
+    # states of a minimal automaton are the different sets of suffixes
+    suffixes = {}
+    for w in kept:
+        for k in range(len(w) + 1):
+            suffixes.setdefault(w[:k], set()).add(w[k:])
+    assert len(compiled.final) == len({frozenset(s) for s in suffixes.values()})
+
+
+def test_word_counts_cover_all_texts(spark, vocabulary):
+    docs = documents(spark, TEXTS)
+    got = {r.word: r.n for r in lexicon.word_counts(docs.select("text"), vocabulary.special).collect()}
+    want = Counter(w for _, t in TEXTS for c in lexicon.chunks(t or "") for w in lexicon.words_and_specials(c, vocabulary.special) if isinstance(w, str))
+    assert got == want
+
+
+def test_decoding_alone(spark, tokenizer):
+    docs = documents(spark, [(1, "hello world"), (2, None)])
+    ids = lexicon.encode(docs.select("doc_id", "text"), PATH, lexicon.build_lexicon(docs, PATH))
+    got = {r.doc_id: bytes(r.decoded).decode() for r in lexicon.decode_ids(ids, PATH).collect()}
+    assert got == {1: tokenizer.decode(ids_of(tokenizer, "hello world"), skip_special_tokens=False), 2: ""}
+
+
+def test_empty_table(spark):
+    assert lexicon.encode_digest(documents(spark, []), PATH).collect() == []
