@@ -13,7 +13,9 @@ REPORT_ZONE = "America/New_York"  # fixed value: zone of all local times
 class RunConfig:
     """Paths, dates and switches of one run; from arguments, `run_date` defaults to yesterday (UTC).
 
-    `landed` builds silver from the table the ingest wrote instead of the raw files;
+    `landed` builds silver from the table the ingest wrote instead of the raw files: from the
+    arrivals of the run date and the newest silver day before it, or with `rebuild` from all
+    arrivals; `dedupe_memory`, `max_file_age` and `max_batch_bytes` are settings of the ingest;
     `active_only` leaves canceled bookings out of gold; `spend_from` and `spend_to` widen the
     spend beyond the run date; `by_day` picks the older summary; `input_gb` sizes shuffles.
     """
@@ -25,6 +27,8 @@ class RunConfig:
     landed_path: str = "bronze/landed"
     vendor_spend_path: str = "bronze/vendor_spend"
     vendor_landed_path: str = "bronze/vendor_landed"
+    vendor_totals_path: str = "quality_vendor_totals"
+    judged_path: str = "bronze/judged"
     silver_vendor_path: str = "silver/vendor_spend"
     silver_events_path: str = "silver/events"
     silver_spend_path: str = "silver/marketing_spend"
@@ -43,6 +47,10 @@ class RunConfig:
     backfill_fmt: str = "orc"
     landed: bool = False
     active_only: bool = False
+    rebuild: bool = False
+    dedupe_memory: str = "7 days"
+    max_file_age: str = "36500d"
+    max_batch_bytes: int = 1 << 36
     by_day: bool = True
     input_gb: int = 0
 

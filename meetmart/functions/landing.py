@@ -11,13 +11,12 @@ def parsed_body(body: Column) -> Column:
 
     The parser stops after the first value and ignores what follows. Text with anything behind
     its value cannot be valid both as the element of an array and as the member of an object,
-    so both are tried.
+    so both are tried, and the value is taken out of the second.
     """
     text = F.coalesce(body, F.lit("{}"))
     as_element = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     as_member = F.try_parse_json(F.concat(F.lit('{"_":'), text, F.lit("}")))
-    whole = as_element.isNotNull() & as_member.isNotNull()
-    return F.when(whole, F.try_parse_json(text))
+    return F.when(as_element.isNotNull(), F.try_variant_get(as_member, "$._", "variant"))
 
 
 def body_md5(body: Column) -> Column:

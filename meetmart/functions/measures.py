@@ -6,12 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Six decimals hold micro-currency amounts exactly, so totals do not depend on the
-# order in which tasks deliver their partial sums.
+# order in which tasks deliver their partial sums. Amounts that do not fit (NaN, infinity,
+# 1e22 and more) count as unknown and are left out, a total that does not fit is unknown.
 MONEY = "decimal(28,6)"
 
 
 def money_total(amount: Column) -> Column:
-    return F.sum(amount.cast(MONEY)).cast("double")
+    return F.try_sum(amount.try_cast(MONEY)).cast("double")
 
 
 def per_unit(total: Column, units: Column) -> Column:

@@ -13,8 +13,24 @@ from pyspark.sql import functions as F
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
 
+_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt ][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,9})?)?"
+_OFFSET = r"(?:[Zz]|[+-][0-9]{2}:?[0-9]{2})"
+
+
 def instant(text: Column) -> Column:
-    return F.try_to_timestamp(text)
+    """Instant of a full date and time. Text without an offset is UTC; a year or a time alone is null."""
+    zoned = F.when(text.rlike(f"{_OFFSET}$"), text).otherwise(F.concat(text, F.lit("Z")))
+    return F.when(text.rlike(f"{_TIME}{_OFFSET}?$"), F.try_to_timestamp(zoned))
+
+
+def is_date_time(text: Column) -> Column:
+    """Whether text is a date, time and offset that exist."""
+    return F.coalesce(text.rlike(f"{_TIME}{_OFFSET}$") & instant(text).isNotNull(), F.lit(False))
+
+
+def day(text: Column) -> Column:
+    """Date of yyyy-MM-dd text, null for anything else."""
+    return F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(text))
 
 
 def utc_wall(at: Column) -> Column:

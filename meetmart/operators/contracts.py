@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from meetmart.functions.landing import parsed_body
 from meetmart.functions.measures import money_total
-from meetmart.functions.timeparts import instant
+from meetmart.functions.timeparts import day, instant, is_date_time
+from meetmart.operators.dedupe import keep_latest
 
 REASONS = "reasons"
 BRONZE, DEAD_LETTER = "bronze", "dead_letter"
@@ -71,8 +72,8 @@ class Field:
         if self.one_of:
             rules.append(("value", (kind == "STRING") & ~text.isin(list(self.one_of))))
         if self.form:
-            parsed = instant(text) if self.form == "time" else F.try_to_date(text)
-            rules.append(("format", (kind == "STRING") & parsed.isNull()))
+            right = is_date_time(text) if self.form == "time" else day(text).isNotNull()
+            rules.append(("format", (kind == "STRING") & ~right))
         if self.length:
             rules.append(("length", (kind == "STRING") & (F.char_length(text) != self.length)))
         if self.only:
@@ -159,6 +160,19 @@ SPEND_CONTRACT = (
 )
 
 
+# Flat spend and flat events.
+FLAT_SPEND_CONTRACT = (
+    Field("", "object"),
+    Field("date", required=True, form="day"),
+    Field("channel", nullable=True),
+    Field("spend", "number", nullable=True),
+)
+FLAT_EVENT_CONTRACT = (
+    Field("", "object"),
+    *_texts("", ("event_type", "event_start_time", "event_end_time", "created_at", "organizer_email", "invitee_email")),
+)
+
+
 # Rules on spend beyond the contract: upper-case currency code, no negative measure.
 def _spend_readings(body: Column) -> dict[str, Column]:
     found = {"currency": F.try_variant_get(body, "$.currency", "string")}
@@ -210,6 +224,16 @@ def spend_reasons(df: DataFrame, body: str = "body") -> DataFrame:
     return _with_reasons(df, body, [*checks, (_spend_readings, _spend_quality)])
 
 
+def flat_spend_reasons(df: DataFrame, body: str = "body") -> DataFrame:
+    """Adds `reasons` to flat spend records."""
+    return _with_reasons(df, body, [(f.readings, f.reasons) for f in FLAT_SPEND_CONTRACT])
+
+
+def flat_event_reasons(df: DataFrame, body: str = "body") -> DataFrame:
+    """Adds `reasons` to flat events."""
+    return _with_reasons(df, body, [(f.readings, f.reasons) for f in FLAT_EVENT_CONTRACT])
+
+
 def route_of(reasons: str) -> Column:
     """Where a judged row belongs."""
     return F.when(F.size(reasons) == 0, F.lit(BRONZE)).otherwise(F.lit(DEAD_LETTER))
@@ -229,9 +253,14 @@ def reason_counts(judged: DataFrame) -> DataFrame:
 
 
 def unique_webhooks(webhooks: DataFrame) -> DataFrame:
-    """One webhook per invitee uri and kind; later copies are no-ops."""
-    keyed = webhooks.withColumn("_uri", F.col("payload.uri"))
-    return keyed.dropDuplicates(["_uri", "event"]).drop("_uri")
+    """One webhook per invitee uri and kind, the first sent; later copies are no-ops.
+
+    Copies sent at one instant are told apart by their JSON text, so the survivor does not depend
+    on the order of the input.
+    """
+    whole = F.to_json(F.struct(*webhooks.columns))
+    order = [instant(F.col("created_at")).asc_nulls_last(), whole]
+    return keep_latest(webhooks, [F.col("payload.uri"), F.col("event")], order)
 
 
 def webhook_flags(webhooks: DataFrame) -> DataFrame:
@@ -256,26 +285,41 @@ def webhook_flags(webhooks: DataFrame) -> DataFrame:
 def reschedule_pairs(webhooks: DataFrame) -> DataFrame:
     """Canceled invitee -> the invitee that replaces it, if the replacement has landed.
 
-    Links are read from both sides. Each side is reduced to distinct uris before the join, so
-    repeated webhooks cannot multiply its rows.
+    Links are read from both sides in one pass over the webhooks. It is aggregated per invitee and
+    link, so repeated webhooks cannot multiply rows, and joined with what became of both invitees.
     """
-    flat = webhooks.select(
-        "event", "payload.uri", "payload.old_invitee", "payload.new_invitee"
-    )
-    created = flat.where("event = 'invitee.created'")
-    canceled = flat.where("event = 'invitee.canceled'")
-    forward = canceled.where("new_invitee IS NOT NULL").select(
-        F.col("uri").alias("canceled_uri"), F.col("new_invitee").alias("created_uri")
+    created, canceled = F.col("event") == "invitee.created", F.col("event") == "invitee.canceled"
+    flat = webhooks.select("event", "payload.uri", "payload.old_invitee", "payload.new_invitee")
+    facts = flat.select(
+        F.explode(
+            F.array(
+                # about the invitee itself, with the link a cancellation holds
+                F.struct(
+                    F.col("uri").alias("uri"), created.alias("created"), canceled.alias("canceled"),
+                    F.when(canceled, F.col("new_invitee")).alias("link"),
+                ),
+                # the link a creation holds, seen from the canceled side
+                F.struct(
+                    F.when(created, F.col("old_invitee")).alias("uri"),
+                    F.lit(False).alias("created"), F.lit(False).alias("canceled"),
+                    F.when(created & F.col("old_invitee").isNotNull(), F.col("uri")).alias("link"),
+                ),
+            )
+        ).alias("f")
+    ).select("f.*").where("uri IS NOT NULL")
+    by_invitee = facts.groupBy("uri", "link").agg(
+        F.max("created").alias("created"), F.max("canceled").alias("canceled")
     )
-    backward = created.where("old_invitee IS NOT NULL").select(
-        F.col("old_invitee").alias("canceled_uri"), F.col("uri").alias("created_uri")
+    status = by_invitee.groupBy("uri").agg(
+        F.max("created").alias("created"), F.max("canceled").alias("canceled")
     )
-    links = forward.unionByName(backward).distinct()
-    known = created.select(F.col("uri").alias("created_uri")).distinct()
-    gone = canceled.select(F.col("uri").alias("canceled_uri")).distinct()
+    gone = status.where("canceled").select(F.col("uri").alias("canceled_uri"))
+    there = status.where("created").select(F.col("uri").alias("created_uri"), F.lit(True).alias("paired"))
     return (
-        links.join(gone, "canceled_uri", "left_semi")
-        .join(known.withColumn("paired", F.lit(True)), "created_uri", "left")
+        by_invitee.where("link IS NOT NULL")
+        .select(F.col("uri").alias("canceled_uri"), F.col("link").alias("created_uri"))
+        .join(gone, "canceled_uri", "left_semi")
+        .join(there, "created_uri", "left")
         .select("canceled_uri", "created_uri", F.coalesce("paired", F.lit(False)).alias("paired"))
     )
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from meetmart.functions.channels import known_channel, spend_channel
 from meetmart.functions.measures import money_total, or_zero, per_unit
-from meetmart.functions.timeparts import weekday_short
+from meetmart.functions.timeparts import day, weekday_short
 
 # mart -> keys its meetings are counted by
 MART_KEYS = {
@@ -90,7 +90,7 @@ def counts_of(all_counts: DataFrame, mart: str) -> DataFrame:
 
 def spend_by_day_channel(spend: DataFrame) -> DataFrame:
     return spend.groupBy(
-        F.try_to_date("date").alias("spend_date"),
+        day(F.col("date")).alias("spend_date"),
         spend_channel(F.col("channel")).alias("spend_channel"),
     ).agg(money_total(F.col("spend")).alias("spend_total"))
 
@@ -232,9 +232,9 @@ def events_by_type_day(events: DataFrame) -> DataFrame:
 
     Tables without a type are grouped by the organizer instead.
     """
-    day = "created_at" if "created_at" in events.columns else "event_start_time"
+    when = "created_at" if "created_at" in events.columns else "event_start_time"
     kind = "event_type" if "event_type" in events.columns else "organizer_email"
-    return events.groupBy(F.col(kind).alias("event_type"), F.to_date(day).alias("event_date")).agg(
+    return events.groupBy(F.col(kind).alias("event_type"), F.to_date(when).alias("event_date")).agg(
         F.count(F.lit(1)).alias("total_events"),
         F.avg("event_duration").alias("avg_duration_seconds"),
     )

@@ -142,11 +142,15 @@ def gold_checks(
     return reduce(DataFrame.unionByName, parts)
 
 
+def failed(checks: DataFrame) -> DataFrame:
+    return checks.where(~F.col("passed"))
+
+
 def raise_on_failure(checks: DataFrame) -> None:
     """The rows are one per check, so the failed ones may come to the driver."""
-    failed = checks.where(~F.col("passed")).collect()
-    if failed:
-        lines = [f"{r.table_name}: {r.check_name}({r.column_name}) = {r.value}" for r in failed]
+    rows = failed(checks).collect()
+    if rows:
+        lines = [f"{r.table_name}: {r.check_name}({r.column_name}) = {r.value}" for r in rows]
         raise QualityError("quality checks failed: " + "; ".join(sorted(lines)))
 
 

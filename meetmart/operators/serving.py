@@ -22,9 +22,13 @@ def date_bounds(mart: DataFrame) -> DataFrame:
 
 def for_days(mart: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
     """Mart cut to a range of days; without a range to its latest day, as marts of several
-    days each hold the whole history of their load and must not be added up blindly."""
+    days each hold the whole history of their load and must not be added up blindly.
+
+    The latest day is found inside the plan: nothing runs before the result is asked for.
+    """
     if first is None and last is None:
-        first = last = mart.agg(F.max("dt")).first()[0]
+        newest = mart.agg(F.max("dt").alias("dt"))  # one row
+        return mart.join(newest, "dt", "left_semi").select(*mart.columns)
     return between_days(mart, first, last)
 
 
@@ -129,12 +133,14 @@ def source_campaigns(mart: DataFrame) -> DataFrame:
     )
 
 
-def cost_pivot(campaigns: DataFrame, values: Sequence[str]) -> DataFrame:
+def cost_pivot(campaigns: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
     """Mean cost by source (rows) and campaign (columns); sources without any cost are left out.
 
-    The campaigns to show are named by the caller, which bounds the number of columns.
+    Without `values` every campaign that has a cost is a column. Spark refuses more than
+    `spark.sql.pivotMaxValues` of them instead of dropping any.
     """
-    table = campaigns.where("cpb IS NOT NULL").groupBy("source").pivot("campaign", list(values))
+    priced = campaigns.where("cpb IS NOT NULL").groupBy("source")
+    table = priced.pivot("campaign") if values is None else priced.pivot("campaign", list(values))
     return table.agg(F.avg("cpb")).orderBy("source")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meetmart.config import REPORT_ZONE
 from meetmart.functions.channels import booking_channel, uri_tail
-from meetmart.functions.timeparts import instant, local_wall, seconds_between, weekday_name
+from meetmart.functions.timeparts import day, instant, local_wall, seconds_between, weekday_name
 from meetmart.operators.dedupe import keep_latest
 
 # Silver column -> place in the webhook.
@@ -103,16 +103,28 @@ def silver_events(webhooks: DataFrame, run_date: str, zone: str = REPORT_ZONE) -
     return add_booking_columns(latest, zone).withColumn("dt", F.lit(run_date))
 
 
+def merged_silver_events(
+    before: DataFrame, webhooks: DataFrame, run_date: str, zone: str = REPORT_ZONE
+) -> DataFrame:
+    """Silver events of the day before and newly arrived webhooks -> silver events of one load.
+
+    The same as one load of all webhooks so far: keeping the newest of what was kept and what
+    is new loses nothing, and a webhook that comes twice changes nothing.
+    """
+    known = before.select(*WEBHOOK_COLUMNS)
+    latest = latest_invitees(known.unionByName(flatten_webhooks(webhooks)))
+    return add_booking_columns(latest, zone).withColumn("dt", F.lit(run_date))
+
+
 def silver_spend(raw: DataFrame) -> DataFrame:
     """One row per day and channel, dated by the day; of several amounts the largest is kept.
 
     Keeping the maximum is an aggregate: it combines on the map side and needs no sort.
     """
-    day = F.try_to_date("date")
     return (
         raw.groupBy("date", "channel")
         .agg(F.max("spend").alias("spend"))
-        .withColumn("dt", F.date_format(day, "yyyy-MM-dd"))
+        .withColumn("dt", F.date_format(day(F.col("date")), "yyyy-MM-dd"))
     )
 
 
@@ -121,7 +133,7 @@ def flatten_vendor_spend(raw: DataFrame) -> DataFrame:
     parts = raw.select(
         "source",
         F.coalesce("granularity", F.lit("day")).alias("granularity"),
-        F.try_to_date("date").alias("date"),
+        day(F.col("date")).alias("date"),
         "timezone",
         "ids.*",
         "names.*",
@@ -149,7 +161,8 @@ def latest_vendor_spend(flat: DataFrame) -> DataFrame:
 def add_event_duration(events: DataFrame) -> DataFrame:
     """Flat events: parse the time columns there are and add the duration in seconds if both ends exist."""
     times = [c for c in ("event_start_time", "event_end_time", "created_at") if c in events.columns]
-    typed = events.withColumns({c: F.col(c).try_cast("timestamp") for c in times})
+    texts = [c for c in times if dict(events.dtypes)[c] == "string"]
+    typed = events.withColumns({c: instant(F.col(c)) for c in texts})
     if not {"event_start_time", "event_end_time"} <= set(times):
         return typed
     seconds = seconds_between(F.col("event_start_time"), F.col("event_end_time"))

@@ -155,9 +155,10 @@ def reschedules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flat_events(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     return numbered_events(spark, sf_dir).select(
+        *more,
         "event_type",
         F.when(F.col("k") == 9, F.lit("soon")).otherwise(F.date_format("ts", iso)).alias("event_start_time"),
         F.date_format(F.expr("ts + make_dt_interval(0, 0, k)"), iso).alias("event_end_time"),
@@ -213,13 +214,16 @@ def vendor_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contract_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Webhook JSON text with contract breaches spread over k."""
-    breach = F.col("k") % 10
+    """Webhook JSON text with contract breaches spread over k, among them parts of a time."""
+    breach, odd = F.col("k") % 10, F.col("k") % 50
     kind = F.when(F.col("event_type") == "error", "invitee.unknown").otherwise("invitee.created")
     text = F.concat(
         F.lit('{"event":"'),
         kind,
         F.when(breach == 1, F.lit('","created_at":"noon",'))
+        .when(odd == 25, F.lit('","created_at":"2024",'))
+        .when(odd == 26, F.lit('","created_at":"12:30:00",'))
+        .when(odd == 27, F.lit('","created_at":"2024-01-05T10:00:00",'))
         .otherwise(F.concat(F.lit('","created_at":"'), F.date_format("ts", _ISO), F.lit('",'))),
         F.lit('"payload":{'),
         F.when(breach == 0, F.lit(""))
@@ -231,12 +235,27 @@ def contract_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered_events(spark, sf_dir).select("event_id", text.alias("body"))
 
 
-def message_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def json_arrays(rows: DataFrame, key: str, body: str) -> DataFrame:
+    """JSON texts `body` as arrays of neighbouring rows, a thousand `key`s each."""
+    file = F.expr(f"{key} div 1000")
+    texts = F.array_join(F.collect_list(body), ",\n")
+    return rows.groupBy(file.alias("file")).agg(F.concat(F.lit("["), texts, F.lit("]")).alias("value"))
+
+
+def write_documents(documents: DataFrame, path: str) -> None:
+    """One file per JSON document."""
+    documents.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
+def message_bodies(spark: SparkSession, sf_dir: str, empty_every: int = 0) -> DataFrame:
     """Small messages that repeat, with spacing and key order varying; `dt` is the UTC day."""
     kind, user = F.col("event_type"), F.col("user_id").cast("string")
     one = F.concat(F.lit('{"kind":"'), kind, F.lit('","user":'), user, F.lit("}"))
     other = F.concat(F.lit('{ "user" : '), user, F.lit(', "kind" : "'), kind, F.lit('" }'))
+    body = F.when(F.col("event_id") % 2 == 0, one).otherwise(other)
+    if empty_every:
+        body = F.when(F.col("event_id") % empty_every != 0, body)
     return table(spark, sf_dir, "events").select(
-        F.when(F.col("event_id") % 2 == 0, one).otherwise(other).alias("body"),
+        body.alias("body"),
         F.date_format("ts", "yyyy-MM-dd").alias("dt"),
     )

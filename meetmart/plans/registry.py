@@ -21,7 +21,6 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 RUN = "2024-01-31"
-FIRST, LAST = "2024-01-01", "2024-01-31"
 
 
 def query(sql: str, name: str = "") -> Callable[[Query], Query]:
@@ -114,31 +113,27 @@ def _bookings(spark, sf_dir):
 
 
 def _daily_mart(spark, sf_dir):
-    return serving.for_days(marts.bookings_by_source_day(_bookings(spark, sf_dir)), FIRST, LAST)
+    return marts.bookings_by_source_day(_bookings(spark, sf_dir))
 
 
 def _trend_mart(spark, sf_dir):
-    return serving.for_days(marts.bookings_trend_over_time(_bookings(spark, sf_dir)), FIRST, LAST)
+    return marts.bookings_trend_over_time(_bookings(spark, sf_dir))
 
 
 def _cost_mart(spark, sf_dir):
-    frame = marts.cost_per_booking_by_channel(_bookings(spark, sf_dir), inputs.spend(spark, sf_dir))
-    return serving.for_days(frame, FIRST, LAST)
+    return marts.cost_per_booking_by_channel(_bookings(spark, sf_dir), inputs.spend(spark, sf_dir))
 
 
 def _attribution_mart(spark, sf_dir):
-    frame = marts.channel_attribution_leaderboard(
-        _bookings(spark, sf_dir), inputs.spend(spark, sf_dir)
-    )
-    return serving.for_days(frame, FIRST, LAST)
+    return marts.channel_attribution_leaderboard(_bookings(spark, sf_dir), inputs.spend(spark, sf_dir))
 
 
 def _slot_mart(spark, sf_dir):
-    return serving.for_days(marts.bookings_by_timeslot(_bookings(spark, sf_dir)), FIRST, LAST)
+    return marts.bookings_by_timeslot(_bookings(spark, sf_dir))
 
 
 def _week_mart(spark, sf_dir):
-    return serving.for_days(marts.meetings_per_employee_week(_bookings(spark, sf_dir)), FIRST, LAST)
+    return marts.meetings_per_employee_week(_bookings(spark, sf_dir))
 
 
 # ---- gold marts
@@ -306,23 +301,34 @@ WITH {EVENTS}, w AS (
   FROM s)"""
 
 
-@query(f"""{_WEBHOOK}
-SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS webhook_created_at, invitee_uri, scheduled_event_uri,
-  'event_types/' || campaign AS event_type_uri,
-  CASE WHEN k % 25 <> 24 THEN host_user_name END AS host_user_name,
-  CASE WHEN k <> 5 THEN upper(event_type) END AS utm_source,
-  '[{{"question":"How many?","answer":"' || CAST(k AS VARCHAR) || '"}}]' AS questions_and_answers_json
-FROM w""")
+_SENT = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')"
+_WEBHOOK_VALUES = {
+    "webhook_created_at": _SENT,
+    "webhook_event": "'invitee.created'",
+    "invitee_name": "'person_' || CAST(user_id AS VARCHAR)",
+    "invitee_uri": "invitee_uri",
+    "invitee_created_at": _SENT,
+    "invitee_updated_at": _SENT,
+    "questions_and_answers_json": """'[{"question":"How many?","answer":"' || CAST(k AS VARCHAR) || '"}]'""",
+    "scheduled_event_uri": "scheduled_event_uri",
+    "event_type_uri": "'event_types/' || campaign",
+    "event_start_time_utc": _SENT,
+    "event_end_time_utc": "strftime(ts + to_minutes(k), '%Y-%m-%dT%H:%M:%S.%fZ')",
+    "host_user_uri": "CASE WHEN k % 25 <> 24 THEN 'users/' || CAST(user_id % 20 AS VARCHAR) END",
+    "host_user_name": "CASE WHEN k % 25 <> 24 THEN host_user_name END",
+    "utm_source": "CASE WHEN k <> 5 THEN upper(event_type) END",
+}
+_WEBHOOK_SELECT = ", ".join(
+    f"{_WEBHOOK_VALUES.get(c, 'CAST(NULL AS VARCHAR)')} AS {c}"
+    if c != "is_rescheduled"
+    else "CAST(NULL AS BOOLEAN) AS is_rescheduled"
+    for c in silver.WEBHOOK_COLUMNS
+)
+
+
+@query(f"{_WEBHOOK} SELECT {_WEBHOOK_SELECT} FROM w")
 def flatten_webhook(spark, sf_dir):
-    return silver.flatten_webhooks(inputs.webhooks(spark, sf_dir)).select(
-        "webhook_created_at",
-        "invitee_uri",
-        "scheduled_event_uri",
-        "event_type_uri",
-        "host_user_name",
-        "utm_source",
-        "questions_and_answers_json",
-    )
+    return silver.flatten_webhooks(inputs.webhooks(spark, sf_dir))
 
 
 _SILVER = f"""{_WEBHOOK}
@@ -345,6 +351,31 @@ def silver_from_webhooks(spark, sf_dir):
     return as_text(frame.select(*_SILVER_COLUMNS))
 
 
+@query(_SILVER)
+def silver_in_two_loads(spark, sf_dir):
+    """What arrives later is merged into the silver events of the load before."""
+    hooks = inputs.webhooks(spark, sf_dir)
+    later = F.crc32("payload.created_at") % 3 == 0
+    before = silver.silver_events(hooks.where(~later), "2024-01-30")
+    both = silver.merged_silver_events(before, hooks.where(later), RUN)
+    return as_text(both.select(*_SILVER_COLUMNS))
+
+
+@query(f"""{_WEBHOOK}
+SELECT CASE WHEN user_id % 3 <> 0 THEN invitee_uri END AS invitee_uri, scheduled_event_uri, {_SENT} AS start
+FROM (SELECT *, row_number() OVER (
+    PARTITION BY CASE WHEN user_id % 3 <> 0 THEN invitee_uri ELSE {_SENT} END, scheduled_event_uri
+    ORDER BY ts DESC, event_id DESC) AS n FROM w) WHERE n = 1""")
+def latest_without_uri(spark, sf_dir):
+    """Invitees without a uri are told apart by mail address and start."""
+    flat = silver.flatten_webhooks(inputs.webhooks(spark, sf_dir))
+    user = F.substring_index("invitee_uri", "/", -1).cast("long")
+    some = flat.withColumn("invitee_uri", F.when(user % 3 != 0, F.col("invitee_uri")))
+    return silver.latest_invitees(some).select(
+        "invitee_uri", "scheduled_event_uri", F.col("event_start_time_utc").alias("start")
+    )
+
+
 @query(f"""{_WEBHOOK}
 SELECT source AS channel, count(*) AS count FROM (SELECT *, row_number() OVER (
   PARTITION BY invitee_uri, scheduled_event_uri ORDER BY ts DESC, event_id DESC) AS n FROM w)
@@ -601,8 +632,6 @@ WITH {EVENTS}, {SPEND}, {ATTR_DAYS}, t AS (
   SELECT source, campaign, CAST(sum(total_bookings) AS BIGINT) AS total_bookings,
          {money('total_spend')} AS total_spend FROM m GROUP BY source, campaign),
 c AS (SELECT *, {_ratio('total_spend', 'total_bookings')} AS cpb FROM t)"""
-_LINK_IDS = {1: _L1, 2: _L2, 3: _L3, 7: ""}
-CAMPAIGNS = [_LINK_IDS.get(k, str(k)) for k in range(100)]
 
 
 @query(f"{_CAMPAIGNS} SELECT * FROM c")
@@ -610,16 +639,13 @@ def serve_source_campaign(spark, sf_dir):
     return serving.source_campaigns(_attribution_mart(spark, sf_dir))
 
 
-_CELLS = ", ".join(
-    f"""avg(CASE WHEN campaign = '{c}' THEN cpb END) AS "cpb_{c}\"""" for c in CAMPAIGNS
-)
-
-
-@query(f"{_CAMPAIGNS} SELECT source, {_CELLS} FROM c GROUP BY source HAVING count(cpb) > 0")
+@query(f"""{_CAMPAIGNS}, r AS (
+  SELECT source, 'cpb_' || campaign AS campaign, cpb FROM c WHERE cpb IS NOT NULL)
+SELECT * FROM (PIVOT r ON campaign USING avg(cpb) GROUP BY source)""")
 def serve_cpb_pivot(spark, sf_dir):
+    """One column per campaign there is."""
     campaigns = serving.source_campaigns(_attribution_mart(spark, sf_dir))
-    table = serving.cost_pivot(campaigns, CAMPAIGNS)
-    return table.toDF("source", *[f"cpb_{c}" for c in CAMPAIGNS])
+    return serving.cost_pivot(campaigns.withColumn("campaign", F.concat(F.lit("cpb_"), "campaign")))
 
 
 _SLOTS = f"WITH {EVENTS}, {SLOT_DAYS}"
@@ -772,15 +798,78 @@ def quality_gold_tables(spark, sf_dir):
     return quality.gold_checks(tables, RUN)
 
 
+def _daily_checks(day: str, source: str, name: str = "bookings_by_source_day", missing: str = "") -> str:
+    """Checks of the daily mart in SQL; `source` is a relation of one day."""
+    head = f"SELECT '{name}' AS table_name"
+    parts = [f"{head}, 'not_empty' AS check_name, '' AS column_name, CAST(count(*) AS DOUBLE) AS value, "
+             f"count(*) > 0 AS passed, '{day}' AS dt FROM {source}"]
+    for column in ("booking_date", "source", "booking_id", "dt"):
+        if column == missing:
+            parts.append(f"{head}, 'present', '{column}', 0.0, false, '{day}'")
+        else:
+            share = f"coalesce(count({column}) / nullif(count(*), 0), 1.0)"
+            parts.append(f"{head}, 'complete', '{column}', {share}, {share} >= 0.999, '{day}' FROM {source}")
+    bad = "count(*) FILTER (WHERE booking_id < 0)"
+    parts.append(f"{head}, 'non_negative', 'booking_id', CAST({bad} AS DOUBLE), {bad} = 0, '{day}' FROM {source}")
+    return " UNION ALL ".join(parts)
+
+
+_ONE_DAY = f"WITH {EVENTS}, d AS (SELECT booking_date, source, {_MEETINGS} AS booking_id, '{RUN}' AS dt FROM s GROUP BY ALL)"
+_DAILY_RULES = quality.GOLD_RULES["bookings_trend_over_time"]
+
+
+@query(f"{_ONE_DAY} {_daily_checks(RUN, 'd', missing='source')}")
+def quality_missing_column(spark, sf_dir):
+    """A stored mart that lacks a column fails `present`."""
+    path = scratch.shared_dir(spark, "narrow")
+    writers.write_days(marts.bookings_by_source_day(_bookings(spark, sf_dir), RUN).drop("source"), path)
+    stored = readers.read_stored(spark, path)
+    return quality.table_checks(stored, "bookings_by_source_day", _DAILY_RULES, RUN)
+
+
+@query(f"{_ONE_DAY}, x AS (SELECT * FROM d LIMIT 0), bad AS (SELECT * REPLACE (-1 AS booking_id) FROM d) "
+       f"{_daily_checks('2024-01-30', 'x')} UNION ALL {_daily_checks(RUN, 'bad')}")
+def quality_history(spark, sf_dir):
+    """Check results are kept by day; a second check of a day replaces its results."""
+    path = scratch.shared_dir(spark, "history")
+    mart = marts.bookings_by_source_day(_bookings(spark, sf_dir), RUN)
+    for frame, day in ((mart, "2024-01-30"), (mart, RUN), (mart.withColumn("booking_id", F.lit(-1)), RUN)):
+        checks = quality.table_checks(frame, "bookings_by_source_day", _DAILY_RULES, day)
+        writers.write_days(checks, path)
+    return readers.read_stored(spark, path)
+
+
+@query(f"WITH {EVENTS}, {DAILY_DAYS}, x AS (SELECT max(dt) AS dt FROM m) "
+       "SELECT x.dt, count(*) AS rows, sum(m.booking_id)::BIGINT AS bookings FROM m JOIN x ON m.dt = x.dt GROUP BY x.dt")
+def quality_latest_day(spark, sf_dir):
+    """The day that a validation without a day checks."""
+    mart = marts.bookings_by_source_day(_bookings(spark, sf_dir))
+    day = quality.latest_day({"bookings_by_source_day": mart})
+    return mart.where(F.col("dt") == day).groupBy("dt").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("booking_id").alias("bookings")
+    )
+
+
+@query(f"{_ONE_DAY}, bad AS (SELECT * REPLACE (-1 AS booking_id, CAST(NULL AS VARCHAR) AS source) FROM d) "
+       f"SELECT check_name, column_name FROM ({_daily_checks(RUN, 'bad')}) WHERE NOT passed")
+def quality_failures(spark, sf_dir):
+    """What the error of a failed validation names."""
+    mart = marts.bookings_by_source_day(_bookings(spark, sf_dir), RUN)
+    bad = mart.withColumns({"booking_id": F.lit(-1), "source": F.lit(None).cast("string")})
+    checks = quality.table_checks(bad, "bookings_by_source_day", _DAILY_RULES, RUN)
+    return quality.failed(checks).select("check_name", "column_name")
+
+
 # ---- contracts
 
 _KIND = "CASE WHEN event_type = 'error' THEN 'value:event' END"
+_BREACH = """CASE WHEN k % 10 = 1 OR k % 50 IN (25, 26, 27) THEN 'format:created_at'
+    WHEN k % 10 = 0 THEN 'missing:payload.uri' WHEN k % 10 = 2 THEN 'value:payload.status'
+    WHEN k % 10 = 3 THEN 'type:payload.canceled' END"""
 
 
 @query(f"""WITH {EVENTS}
-SELECT event_id, CASE WHEN k % 10 = 4 THEN 'malformed' ELSE concat_ws(',', {_KIND},
-  CASE k % 10 WHEN 1 THEN 'format:created_at' WHEN 0 THEN 'missing:payload.uri'
-    WHEN 2 THEN 'value:payload.status' WHEN 3 THEN 'type:payload.canceled' END) END AS reasons
+SELECT event_id, CASE WHEN k % 10 = 4 THEN 'malformed' ELSE concat_ws(',', {_KIND}, {_BREACH}) END AS reasons
 FROM s""")
 def contract_webhook_reasons(spark, sf_dir):
     judged = contracts.webhook_reasons(inputs.contract_bodies(spark, sf_dir))
@@ -788,9 +877,7 @@ def contract_webhook_reasons(spark, sf_dir):
 
 
 @query(f"""WITH {EVENTS}, r AS (
-  SELECT CASE k % 10 WHEN 4 THEN 'malformed' WHEN 1 THEN 'format:created_at'
-    WHEN 0 THEN 'missing:payload.uri' WHEN 2 THEN 'value:payload.status'
-    WHEN 3 THEN 'type:payload.canceled' END AS reason FROM s
+  SELECT CASE WHEN k % 10 = 4 THEN 'malformed' ELSE {_BREACH} END AS reason FROM s
   UNION ALL SELECT 'value:event' FROM s WHERE event_type = 'error' AND k % 10 <> 4)
 SELECT reason, count(*) AS rows FROM r WHERE reason IS NOT NULL GROUP BY reason""")
 def contract_reason_counts(spark, sf_dir):
@@ -840,11 +927,16 @@ def webhook_flags(spark, sf_dir):
     return flagged.select(F.col("payload.uri").alias("uri"), F.concat_ws(",", "flags").alias("flags"))
 
 
-@query("SELECT DISTINCT 'invitees/' || CAST(user_id AS VARCHAR) AS uri, "
-       "'invitee.created' AS event FROM events")
+@query(f"""{_WEBHOOK}
+SELECT invitee_uri AS uri, 'invitee.created' AS event, {_SENT} AS created_at,
+  scheduled_event_uri AS meeting, 'event_types/' || campaign AS link
+FROM (SELECT *, row_number() OVER (PARTITION BY invitee_uri ORDER BY ts, event_id) AS n FROM w) WHERE n = 1""")
 def unique_webhooks(spark, sf_dir):
     unique = contracts.unique_webhooks(inputs.webhooks(spark, sf_dir))
-    return unique.select("payload.uri", "event")
+    meeting = F.col("payload.scheduled_event")
+    return unique.select(
+        "payload.uri", "event", "created_at", meeting["uri"].alias("meeting"), meeting["event_type"].alias("link")
+    )
 
 
 @query("""
@@ -915,40 +1007,130 @@ def scan_flat_json(spark, sf_dir):
     return marts.events_by_type(silver.add_event_duration(rows))
 
 
+def _routed(bodies: DataFrame, reasons: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    judged = reasons(bodies).withColumn("route", contracts.route_of(contracts.REASONS))
+    return scratch.materialized(judged, "judged")
+
+
+@query(f"""WITH {SPEND} SELECT CASE WHEN o_orderkey % 11 = 0 THEN 'dead_letter' ELSE 'bronze' END AS route,
+  CASE WHEN o_orderkey % 11 <> 0 THEN date END AS date, CASE WHEN o_orderkey % 11 <> 0 THEN source END AS channel,
+  CASE WHEN o_orderkey % 11 <> 0 THEN spend END AS spend FROM p""")
+def scan_spend_array(spark, sf_dir):
+    """Arrays of spend, one per file, with broken elements: the others of an array are kept."""
+    path = scratch.shared_dir(spark, "spend-arrays")
+    broken = F.col("o_orderkey") % 11 == 0
+    text = F.when(broken, F.lit('{"date":"2024-01-01","spend":"much"}')).otherwise(
+        F.to_json(F.struct("date", "channel", "spend"))
+    )
+    rows = inputs.spend(spark, sf_dir).withColumn("body", text)
+    inputs.write_documents(inputs.json_arrays(rows, "o_orderkey", "body"), path)
+    judged = _routed(readers.read_bodies(spark, path), contracts.flat_spend_reasons)
+    good = F.col("route") == contracts.BRONZE
+    record = judged.select("route", F.when(good, F.from_json("body", schemas.SPEND)).alias("r"))
+    return record.select("route", "r.date", spend_channel(F.col("r.channel")).alias("channel"), "r.spend")
+
+
+@query(f"""WITH {EVENTS}, r AS (
+  SELECT concat_ws(',', {_KIND}, {_BREACH}) AS reasons FROM s WHERE k % 10 <> 4)
+SELECT CASE WHEN reasons = '' THEN 'bronze' ELSE 'dead_letter' END AS route, reasons, count(*) AS rows
+FROM r GROUP BY reasons""")
+def scan_webhook_documents(spark, sf_dir):
+    """Multi-line webhook documents; each element of a document is judged on its own."""
+    path = scratch.shared_dir(spark, "webhook-documents")
+    bodies = inputs.contract_bodies(spark, sf_dir).where(F.col("body").endswith("}}"))
+    inputs.write_documents(inputs.json_arrays(bodies, "event_id", "body"), path)
+    judged = _routed(readers.read_bodies(spark, path), contracts.webhook_reasons)
+    reasons = F.concat_ws(",", contracts.REASONS).alias("reasons")
+    return judged.groupBy("route", reasons).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(f"""{_FLAT}, r AS (SELECT event_id % 13 = 0 AS broken, event_type, seconds FROM (
+  SELECT event_id, event_type, k, CASE WHEN k <> 9 THEN k * 60 END AS seconds FROM (
+    SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)))
+SELECT CASE WHEN broken THEN 'dead_letter' ELSE 'bronze' END AS route,
+  CASE WHEN NOT broken THEN event_type END AS event_type, count(*) AS total_events,
+  avg(CASE WHEN NOT broken THEN seconds END) AS avg_duration_seconds FROM r GROUP BY ALL""")
+def scan_flat_document(spark, sf_dir):
+    """Multi-line flat events with broken elements."""
+    path = scratch.shared_dir(spark, "flat-documents")
+    flat = inputs.flat_events(spark, sf_dir, "event_id")
+    text = F.when(F.col("event_id") % 13 == 0, F.lit('{"event_type":5}')).otherwise(
+        F.to_json(F.struct(*[c for c in flat.columns if c != "event_id"]))
+    )
+    inputs.write_documents(inputs.json_arrays(flat.withColumn("body", text), "event_id", "body"), path)
+    judged = _routed(readers.read_bodies(spark, path), contracts.flat_event_reasons)
+    good = F.col("route") == contracts.BRONZE
+    rows = judged.select("route", F.when(good, F.from_json("body", schemas.FLAT_EVENT)).alias("r")).select("route", "r.*")
+    return silver.add_event_duration(rows).groupBy("route", "event_type").agg(
+        F.count(F.lit(1)).alias("total_events"), F.avg("event_duration").alias("avg_duration_seconds")
+    )
+
+
+@query("SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS dt, "
+       """md5(CASE WHEN event_id % 17 = 0 THEN '{}' ELSE '{"kind":"' || event_type || '","user":' || """
+       "CAST(user_id AS VARCHAR) || '}' END) AS body_md5 FROM events")
+def ingest_empty_bodies(spark, sf_dir):
+    """A message without a body counts as an empty object."""
+    bodies = inputs.message_bodies(spark, sf_dir, empty_every=17)
+    return dedupe.distinct_bodies(bodies).select("dt", "body_md5")
+
+
+@query(f"WITH {EVENTS}, {DAILY_DAYS} SELECT * FROM m WHERE dt >= '2024-01-20'")
+def read_day_range(spark, sf_dir):
+    """Stored days from one on, pruned by partition."""
+    path = scratch.shared_dir(spark, "daily")
+    writers.write_days(marts.bookings_by_source_day(_bookings(spark, sf_dir)), path)
+    schema = schemas.MARTS["bookings_by_source_day"]
+    return as_text(readers.read_days(spark, path, schema, first="2024-01-20"))
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def unpartitioned_table(spark, sf_dir):
+    """A table without partitions is replaced as a whole."""
+    path = scratch.shared_dir(spark, "whole")
+    rows = inputs.table(spark, sf_dir, "events").select("user_id", "event_type")
+    for frame in (rows, dedupe.distinct_rows(rows)):
+        writers.write_table(frame, path)
+    return readers.read_table(spark, path)
+
+
 @query(f"WITH {EVENTS}, {DAILY_DAYS} SELECT booking_date, source, booking_id + "
-       "CASE WHEN dt = '2024-01-10' THEN 100 ELSE 0 END AS booking_id, dt FROM m")
+       "CASE WHEN dt = '2024-01-10' THEN 100 ELSE 0 END AS booking_id, dt FROM m WHERE dt <> '2024-01-11'")
 def write_days_again(spark, sf_dir):
-    """A second write of one day replaces that day and leaves the others."""
+    """A second write of one day replaces that day and leaves the others; one without rows empties it."""
     schema = schemas.MARTS["bookings_by_source_day"]
     path = scratch.shared_dir(spark, "daily")
     mart = marts.bookings_by_source_day(_bookings(spark, sf_dir))
     writers.write_days(mart, path)
     one_day = mart.where("dt = '2024-01-10'").withColumn("booking_id", F.col("booking_id") + 100)
     writers.write_days(one_day, path)
+    writers.write_days(mart.where("false"), path, replaces=[{"dt": "2024-01-11"}])
     return as_text(readers.read_table(spark, path, schema))
 
 
-@query(SQL["silver_spend"])
+@query("SELECT *, CASE WHEN day(CAST(date AS DATE)) % 2 = 0 THEN 'old' END AS note "
+       f"FROM ({SQL['silver_spend']})")
 def upsert_spend(spark, sf_dir):
-    """Stale amounts of every other day are replaced by the load; loading twice changes nothing."""
+    """Stale amounts of every other day are replaced by the load; loading twice, or nothing, changes
+    nothing; a column that only the table has stays."""
     path = scratch.shared_dir(spark, "silver-spend")
     rows = silver.silver_spend(inputs.spend(spark, sf_dir))
     stale = rows.where("day(date(date)) % 2 = 0").withColumn("spend", F.col("spend") + 1)
-    for load in (stale, rows, rows):
+    kept = rows.withColumn("note", F.when(F.expr("day(date(date)) % 2 = 0"), "old"))
+    for load in (stale, kept, rows.where("false"), kept):
         by_year = load.withColumn("dt", F.substring("date", 1, 4))
         writers.upsert_days(by_year, path, schemas.SILVER_SPEND, ["date", "channel"])
-    stored = readers.read_table(spark, path, schemas.SILVER_SPEND)
-    return stored.withColumn("dt", F.col("date"))
+    return readers.read_stored(spark, path).withColumn("dt", F.col("date"))
 
 
-@query(f"WITH {EVENTS}, {SLOT_DAYS} SELECT * FROM m")
+@query(f"WITH {EVENTS}, {SLOT_DAYS} SELECT *, source AS note FROM m")
 def compact_days(spark, sf_dir):
-    schema = schemas.MARTS["bookings_by_timeslot"]
+    """Compaction keeps a column that no schema names."""
     path = scratch.shared_dir(spark, "slots")
-    mart = marts.bookings_by_timeslot(_bookings(spark, sf_dir))
+    mart = marts.bookings_by_timeslot(_bookings(spark, sf_dir)).withColumn("note", F.col("source"))
     mart.repartition(8).write.partitionBy("dt").parquet(path)
-    writers.compact_day(spark, path, schema, "2024-01-10")
-    return readers.read_table(spark, path, schema)
+    writers.compact_day(spark, path, "2024-01-10")
+    return readers.read_stored(spark, path)
 
 
 @query(f"WITH {EVENTS}, {SLOT_DAYS} SELECT * FROM m")
@@ -972,8 +1154,6 @@ def registered_table(spark, sf_dir):
     return readers.clean_names(spark.table(f"default.{name}"))
 
 
-
-
 @query(f"""{_WEBHOOK} SELECT invitee_uri, scheduled_event_uri, source AS channel FROM (
   SELECT *, row_number() OVER (PARTITION BY invitee_uri, scheduled_event_uri
     ORDER BY ts DESC, event_id DESC) AS n FROM w) WHERE n = 1""")
@@ -990,9 +1170,9 @@ def stream_ingest_to_silver(spark, sf_dir):
 
 
 @query(f"""WITH {EVENTS}, r AS (
-  SELECT DISTINCT event_type = 'error' AS bad, k % 10 AS breach,
-    CASE WHEN k % 10 <> 1 THEN ts END AS sent, CASE WHEN k % 10 <> 0 THEN user_id END AS who FROM s)
-SELECT CASE WHEN bad OR breach < 5 THEN 'dead_letter' ELSE 'bronze' END AS route,
+  SELECT DISTINCT event_type = 'error' AS bad, k % 10 AS breach, CASE WHEN k % 50 IN (25, 26, 27) THEN k % 50 END AS odd,
+    CASE WHEN k % 10 <> 1 AND k % 50 NOT IN (25, 26, 27) THEN ts END AS sent, CASE WHEN k % 10 <> 0 THEN user_id END AS who FROM s)
+SELECT CASE WHEN bad OR breach < 5 OR odd IS NOT NULL THEN 'dead_letter' ELSE 'bronze' END AS route,
   count(*) AS rows FROM r GROUP BY ALL""")
 def stream_ingest_routes(spark, sf_dir):
     """Bodies that break the contract are kept in the dead-letter route."""

@@ -15,20 +15,16 @@ SETTINGS = {
 }
 
 
-_MAX_SHUFFLE_PARTITIONS = 40_000
-
-
 def sized_for(input_gb: int) -> dict[str, str]:
     """Settings for a run over `input_gb` gigabytes.
 
     Adaptive execution merges shuffle partitions that are too small but cannot split those of
-    an aggregate, so a large run has to start with many: one per half gigabyte read, with a
-    ceiling, as the blocks to keep track of grow with readers times writers.
+    an aggregate, so a large run has to start with many: one per half gigabyte read.
     """
-    partitions = min(max(200, input_gb * 2), _MAX_SHUFFLE_PARTITIONS)
+    partitions = max(200, input_gb * 2)
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.files.maxPartitionBytes": "256m" if input_gb > 1000 else "128m",
+        "spark.sql.files.maxPartitionBytes": "128m",
     }
 
 

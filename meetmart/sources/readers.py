@@ -92,6 +92,26 @@ def read_table(
     return reader.load(path)
 
 
+def read_stored(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A table by `dt` with every column that any of its files has; `dt` is text.
+
+    Fixed schemas hide columns that a table lacks and columns it has beyond them. Checks and
+    rewrites must see both.
+    """
+    stored = spark.read.format(fmt).option("mergeSchema", True).load(path)
+    return stored.withColumn("dt", F.col("dt").cast("string")) if "dt" in stored.columns else stored
+
+
+def read_stored_or_none(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """As `read_stored`; None for a table not written yet. Other errors are raised."""
+    try:
+        return read_stored(spark, path, fmt)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 def read_days(
     spark: SparkSession,
     path: str,

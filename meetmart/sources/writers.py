@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,8 @@ from meetmart.operators.dedupe import keep_latest
 from meetmart.sources.readers import (
     day_in,
     observed,
-    read_days_or_empty,
+    read_stored,
+    read_stored_or_none,
     read_table,
     require_columns,
 )
@@ -26,9 +27,13 @@ def write_days(
     fmt: str = "parquet",
     mb: int = 128,
     rebalance: bool = True,
+    replaces: Sequence[Mapping[str, str]] = (),
 ) -> int:
     """Replace the partitions present in `df`, leave the others, return the rows written.
 
+    `replaces` names partitions that `df` is the whole content of (a value for each column of
+    `by`): those it has no rows for are emptied, so a rerun leaves nothing of the run before.
+
     The rebalance hint lets adaptive execution size the output: small partitions come out as
     one file, large ones are split into tasks of about `mb` megabytes, so a hot day is never
     one task. It costs a shuffle: switch it off for one large day that comes out of a shuffle
@@ -39,6 +44,7 @@ def write_days(
     sized = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if rebalance:
         sized = sized.hint("rebalance", *by)
+    folders = [_Folder(df.sparkSession, path, by, values) for values in replaces]
     with _file_size(df.sparkSession, mb):
         (
             sized.write.format(fmt)
@@ -47,9 +53,33 @@ def write_days(
             .partitionBy(*by)
             .save(path)
         )
+    for folder in folders:
+        folder.drop_if_unchanged()
     return observed(seen).get("rows", 0)
 
 
+class _Folder:
+    """Folder of one partition, and the files that are in it before a write."""
+
+    def __init__(self, spark: SparkSession, path: str, by: Sequence[str], values: Mapping[str, str]):
+        context = spark.sparkContext
+        hadoop = context._jvm.org.apache.hadoop.fs
+        place = "/".join([path.rstrip("/"), *[f"{name}={values[name]}" for name in by]])
+        self.place = hadoop.Path(place)
+        self.files = self.place.getFileSystem(context._jsc.hadoopConfiguration())
+        self.before = self.names()
+
+    def names(self) -> set[str]:
+        if not self.files.exists(self.place):
+            return set()
+        return {status.getPath().getName() for status in self.files.listStatus(self.place)}
+
+    def drop_if_unchanged(self) -> None:
+        """A partition that was written holds new files only; an old one in it is left over."""
+        if self.before and self.names() == self.before:
+            self.files.delete(self.place, True)
+
+
 def upsert_days(
     incoming: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], fmt: str = "parquet"
 ) -> int:
@@ -58,22 +88,36 @@ def upsert_days(
     Running the same load again changes nothing. The load is written aside first, so that its
     days and its rows come from one and the same reading of the source. Only the touched days
     of the table are read: their list is bounded by the calendar, so it may pass through the
-    driver.
+    driver. Columns beyond `schema` that the table or the load has are kept, null where a row
+    lacks them.
     """
     spark = incoming.sparkSession
     incoming = materialized(incoming, "upsert")
     days = [row["dt"] for row in incoming.select("dt").distinct().collect()]
-    stored = read_days_or_empty(spark, path, schema, fmt=fmt).where(day_in(days))
-    columns = [F.col(f.name).cast(f.dataType) for f in schema.fields]
-    merged = (
-        incoming.select(*columns, F.lit(1).alias("_load"))
-        .unionByName(stored.select(*columns, F.lit(0).alias("_load")))
-    )
-    rest = [c for c in schema.names if c not in (*keys, "dt")]
-    newest = [F.col("_load").desc(), *[F.col(c).desc_nulls_last() for c in rest]]
+    merged = _typed(incoming, schema).withColumn("_load", F.lit(1))
+    stored = read_stored_or_none(spark, path, fmt)
+    if stored is not None:
+        old = _typed(stored.where(day_in(days)), schema).withColumn("_load", F.lit(0))
+        merged = merged.unionByName(old, allowMissingColumns=True)
+    rest = [c for c in merged.columns if c not in (*keys, "dt", "_load")]
+    comparable = [F.to_json(c) if _is_nested(merged, c) else F.col(c) for c in rest]
+    newest = [F.col("_load").desc(), *[c.desc_nulls_last() for c in comparable]]
     return write_days(keep_latest(merged, ["dt", *keys], newest).drop("_load"), path, fmt=fmt)
 
 
+def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of `schema` with their types, null where absent, then all others as they are."""
+    known = [
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ]
+    return df.select(*known, *[c for c in df.columns if c not in schema.names])
+
+
+def _is_nested(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, (T.StructType, T.MapType, T.ArrayType))
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace an unpartitioned table."""
     df.write.format(fmt).mode("overwrite").save(path)
@@ -87,18 +131,24 @@ def backfill_days(
     return write_days(table.withColumn("dt", F.col("dt").cast("string")), target, fmt=fmt)
 
 
-def compact_day(
-    spark: SparkSession, path: str, schema: T.StructType, day: str, mb: int = 128
-) -> int:
-    """Rewrite one day as few files of about `mb` megabytes; returns the rows kept, 0 if none."""
-    one_day = read_table(spark, path, schema).where(F.col("dt") == day)
-    if one_day.isEmpty():
+def compact_day(spark: SparkSession, path: str, day: str, mb: int = 128, fmt: str = "parquet") -> int:
+    """Rewrite one day as few files of about `mb` megabytes; returns the rows kept, 0 if none.
+
+    All columns that the files have are kept. The small files are written aside and counted
+    before they replace the day, so a failed copy never costs a row.
+    """
+    one_day = read_stored(spark, path, fmt).where(F.col("dt") == day)
+    seen = Observation()
+    aside = materialized(one_day.observe(seen, F.count(F.lit(1)).alias("rows")), "compact")
+    before, copied = observed(seen).get("rows", 0), aside.count()
+    if before != copied:
+        raise RuntimeError(f"{path}: {before} rows of {day}, {copied} in its copy")
+    if not before:
         return 0
-    before = write_days(one_day, path, mb=mb)
-    after = read_table(spark, path, schema).where(F.col("dt") == day).count()
-    if before != after:
-        raise RuntimeError(f"{path}: {before} rows before compaction of {day}, {after} after")
-    return after
+    written = write_days(aside, path, mb=mb, fmt=fmt)
+    if written != before:
+        raise RuntimeError(f"{path}: {before} rows before compaction of {day}, {written} after")
+    return written
 
 
 class _file_size:

@@ -38,48 +38,59 @@ LANDED = T.StructType(
 
 
 def read_landing(
-    spark: SparkSession, path: str, whole_text: bool = True, max_file_age: str = "3650d"
+    spark: SparkSession,
+    path: str,
+    whole_text: bool = True,
+    max_file_age: str = "36500d",
+    max_bytes: int = 0,
+    max_files: int = 0,
 ) -> DataFrame:
     """Stream of bodies: one per file (`whole_text`), or one per line for busy landing zones.
 
-    The file source skips files older than `max_file_age` against the newest one; the wide
-    default keeps back-dated files. It also bounds the list of seen files on the driver, so
-    lower it where very many files land and none is back-dated.
+    The file source skips files older than `max_file_age` against the newest one; the default
+    of a century keeps back-dated files. The setting also bounds the list of seen files on the
+    driver: lower it where very many files land and none is back-dated. `max_bytes` and
+    `max_files` bound what one batch takes of a backlog.
     """
-    return (
+    reader = (
         spark.readStream.format("text")
         .option("wholetext", whole_text)
         .option("maxFileAge", max_file_age)
-        .load(path)
-        .select(
-            F.col("value").alias("body"),
-            F.col("_metadata.file_modification_time").alias("arrived_at"),
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("_block"),
-        )
+    )
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.load(path).select(
+        F.col("value").alias("body"),
+        F.col("_metadata.file_modification_time").alias("arrived_at"),
+        F.col("_metadata.file_path").alias("file_path"),
     )
 
 
-def first_copies(landed: DataFrame, memory: str = "7 days", salts: int = 32) -> DataFrame:
+def first_copies(landed: DataFrame, memory: str = "7 days", salts: int = 0) -> DataFrame:
     """First copy of each body per day of arrival, remembered for `memory` after it was seen.
 
     State expires by the time a body was seen, not by its arrival, so back-dated bodies are
-    never dropped as late. The first step is salted: many copies of one body in one batch are
-    thinned out in several tasks before the exact step sees one copy per salt.
+    never dropped as late. A copy that is seen after `memory` is stored again. The first step is
+    salted by row: many copies of one body in one batch, also those of one file, are thinned out
+    in several tasks before the exact step sees one copy per salt. There are as many salts as
+    shuffle partitions, unless given.
     """
+    salts = salts or int(landed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = landed.withColumns(
         {
             "dt": day_text(F.col("arrived_at")),
             "body_md5": body_md5(F.col("body")),
             "_seen_at": F.current_timestamp(),
-            "_salt": F.pmod(F.xxhash64("file_path", "_block"), F.lit(salts)),
+            "_salt": F.floor(F.rand() * salts),
         }
     )
     return (
         keyed.withWatermark("_seen_at", memory)
         .dropDuplicatesWithinWatermark(["dt", "body_md5", "_salt"])
         .dropDuplicatesWithinWatermark(["dt", "body_md5"])
-        .drop("_seen_at", "_salt", "_block")
+        .drop("_seen_at", "_salt")
     )
 
 
@@ -90,20 +101,31 @@ def routed(landed: DataFrame) -> DataFrame:
 
 
 def start_ingest(
-    spark: SparkSession, landing: str, table: str, checkpoint: str, whole_text: bool = True, **trigger
+    spark: SparkSession,
+    landing: str,
+    table: str,
+    checkpoint: str,
+    whole_text: bool = True,
+    memory: str = "7 days",
+    max_file_age: str = "36500d",
+    max_bytes: int = 0,
+    max_files: int = 0,
+    **trigger,
 ) -> StreamingQuery:
     """Start the ingest; by default it takes all there is and stops.
 
     A batch owns its `batch_id` partitions and overwrites them, so a batch that is replayed
-    after a failure replaces its rows instead of adding them again.
+    after a failure replaces its rows instead of adding them again. The settings are those of
+    `read_landing` and `first_copies`.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         write_days(routed(batch).withColumn("batch_id", F.lit(batch_id)), table, by=_BY)
 
-    stream = first_copies(read_landing(spark, landing, whole_text))
+    bodies = read_landing(spark, landing, whole_text, max_file_age, max_bytes, max_files)
     return (
-        stream.writeStream.foreachBatch(store)
+        first_copies(bodies, memory)
+        .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -23,7 +23,7 @@ def test_large_runs_start_with_many_shuffle_partitions():
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert RunConfig.from_args(["input_gb=100000"]).input_gb == 100_000
     assert sized_for(1)[key] == "200" and sized_for(5_000)[key] == "10000"
-    assert sized_for(100_000)[key] == "40000"
+    assert sized_for(100_000)[key] == "200000"
 
 
 @pytest.mark.parametrize("bad", ["bronze=x", "gold_path", "run_date=10.07.2025", "multiline=si"])

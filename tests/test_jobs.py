@@ -1,4 +1,5 @@
 import json
+import os
 from dataclasses import replace
 
 import pytest
@@ -31,6 +32,8 @@ def cfg(spark, tmp_path_factory):
     )
     (zone / "gone.json").write_text(json.dumps(gone))
     (zone / "broken.json").write_text("{")
+    for file in zone.iterdir():
+        os.utime(file, (1_752_140_000, 1_752_140_000))  # the run date
     money = root / "bronze" / "marketing_spend"
     money.mkdir()
     (money / "s.json").write_text(
@@ -40,8 +43,8 @@ def cfg(spark, tmp_path_factory):
     flat = root / "bronze" / "events"
     flat.mkdir()
     (flat / "e.json").write_text(
-        json.dumps({"event_type": "booked", "event_start_time": "2025-10-13T14:00:00Z",
-                    "event_end_time": "2025-10-13T14:30:00Z", "created_at": "2025-10-13T13:55:00Z"})
+        json.dumps({"event_type": "booked", "event_start_time": "2031-05-06T08:15:00Z",
+                    "event_end_time": "2031-05-06T08:45:00Z", "created_at": "2031-05-06T08:01:00Z"})
     )
     paths = {
         name: str(root / getattr(RunConfig(RUN), name))
@@ -117,14 +120,14 @@ def test_ingest_feeds_silver(spark, cfg):
 def test_vendor_spend(spark, cfg, tmp_path):
     def record(load, extracted, spend, **more):
         return {
-            "source": "google_ads", "date": "2025-05-31", "ids": {"account_id": "1", "campaign_id": "2"},
-            "metrics": {"spend": spend}, "currency": "USD", "extra": {"network": "x"},
+            "source": "bing_ads", "date": "2031-02-03", "ids": {"account_id": "1", "campaign_id": "2"},
+            "metrics": {"spend": spend}, "currency": "USD", "extra": {"zone": "q"},
             "provenance": {"load_id": load, "extracted_at": extracted}, **more,
         }
 
     records = [
-        record("L1", "2025-06-01T01:00:00Z", 10.0), record("L1", "2025-06-01T02:00:00Z", 12.0),
-        record("L2", "2025-06-01T01:00:00Z", 5.0, currency="usd"),
+        record("L1", "2031-02-04T01:00:00Z", 10.0), record("L1", "2031-02-04T02:00:00Z", 12.0),
+        record("L2", "2031-02-04T01:00:00Z", 5.0, currency="usd"),
     ]
     (tmp_path / "a.json").write_text(json.dumps(records, indent=1))
     (tmp_path / "b.json").write_text("[{")
@@ -133,19 +136,107 @@ def test_vendor_spend(spark, cfg, tmp_path):
         totals = jobs.run_vendor_spend(spark, cfg).collect()
     stored = spark.read.schema(schemas.SILVER_VENDOR_SPEND).parquet(cfg.silver_vendor_path).collect()
     assert [(r.spend, r.load_id, r.dt, r.extra) for r in stored] == [
-        (12.0, "L1", "2025-05-31", '{"network":"x"}')
+        (12.0, "L1", "2031-02-03", '{"zone":"q"}')
     ]
-    assert [(r.bronze_spend, r.silver_spend, r.within) for r in totals] == [(22.0, 12.0, False)]
+    assert [(r.bronze_spend, r.silver_spend, r.within) for r in totals] == [(12.0, 12.0, True)]
     letters = spark.read.parquet(cfg.vendor_landed_path).where("route = 'dead_letter'").collect()
     assert sorted(tuple(r.reasons) for r in letters) == [("format:currency",), ("malformed",)]
 
 
+def test_vendor_rerun_leaves_no_stale_letters_and_lost_rows_fail(spark, cfg, tmp_path, monkeypatch):
+    def land(**changes):
+        row = {"source": "bing_ads", "date": "2031-02-03", "ids": {"campaign_id": "2"}, "metrics": {"spend": 4.0},
+               "currency": "USD", "provenance": {"load_id": "L1"}, **changes}
+        (tmp_path / "a.json").write_text(json.dumps(row))
+
+    cfg = replace(cfg, vendor_spend_path=str(tmp_path / "a.json"), vendor_landed_path=str(tmp_path / "landed"),
+                  silver_vendor_path=str(tmp_path / "silver"), vendor_totals_path=str(tmp_path / "totals"))
+    land(currency="usd")
+    jobs.run_vendor_spend(spark, cfg)
+    land()
+    jobs.run_vendor_spend(spark, cfg)
+    landed = spark.read.parquet(cfg.vendor_landed_path).collect()
+    assert [(r.route, list(r.reasons)) for r in landed] == [("bronze", [])]
+    land(metrics={"spend": 8.0})
+    monkeypatch.setattr(jobs.writers, "upsert_days", lambda *a, **k: 0)  # a write that loses its rows
+    with pytest.raises(QualityError):
+        jobs.run_vendor_spend(spark, cfg)
+    kept = spark.read.parquet(cfg.vendor_totals_path).collect()
+    assert [(r.bronze_spend, r.silver_spend, r.within) for r in kept] == [(8.0, 4.0, False)]
+
+
+def test_one_bad_element_costs_no_other(spark, cfg, tmp_path):
+    (tmp_path / "w.json").write_text(json.dumps([webhook(), webhook(payload__canceled="yes")]))
+    (tmp_path / "s.json").write_text(
+        json.dumps([{"date": RUN, "channel": "a", "spend": 1.5}, {"date": RUN, "channel": "b", "spend": "12.5"},
+                    {"date": "2031", "channel": "c", "spend": 2}])
+    )
+    (tmp_path / "e.json").write_text(json.dumps([{"event_type": "x"}, {"event_type": 5}, 7]))
+    mine = replace(cfg, webhooks_path=str(tmp_path / "w.json"), spend_path=str(tmp_path / "s.json"),
+                   flat_events_path=str(tmp_path / "e.json"), judged_path=str(tmp_path / "judged"),
+                   silver_events_path=str(tmp_path / "events"), silver_spend_path=str(tmp_path / "spend"),
+                   flat_silver_path=str(tmp_path / "flat"))
+    assert jobs.run_silver(spark, mine) == {"events": 1, "spend": 1}
+    jobs.run_flat_silver(spark, mine)
+    letters = {k: sorted(r.reasons[0] for r in jobs.batch_dead_letters(spark, mine, k).collect())
+               for k in ("webhooks", "spend", "flat_events")}
+    assert letters == {
+        "webhooks": ["type:payload.canceled"], "spend": ["format:date", "type:spend"],
+        "flat_events": ["type:body", "type:event_type"],
+    }
+    assert spark.read.parquet(mine.flat_silver_path).count() == 1
+
+
+def test_a_mart_without_a_column_fails_its_check(spark, cfg):
+    gold = replace(cfg, gold_path=cfg.gold_path + "_narrow", metrics_path=cfg.metrics_path + "_narrow", active_only=True)
+    jobs.run_gold(spark, gold)
+    mart = "cost_per_booking_by_channel"
+    narrow = jobs.read_marts(spark, gold)[mart].drop("total_spend", "cpb")
+    narrow = spark.createDataFrame(narrow.collect(), narrow.schema)
+    narrow.write.mode("overwrite").partitionBy("dt").parquet(jobs.mart_path(gold, mart))
+    with pytest.raises(QualityError) as error:
+        jobs.run_validate(spark, gold)
+    assert f"{mart}: present(cpb)" in str(error.value) and f"{mart}: present(total_spend)" in str(error.value)
+
+
+def test_new_arrivals_merge_into_the_day_before(spark, tmp_path):
+    zone = tmp_path / "zone"
+    zone.mkdir()
+    cfg = RunConfig(
+        "2025-06-16", webhooks_path=str(zone), landed_path=str(tmp_path / "landed"),
+        checkpoint_path=str(tmp_path / "checkpoint"), silver_events_path=str(tmp_path / "events"),
+        silver_spend_path=str(tmp_path / "spend"), spend_path=str(tmp_path / "none.json"),
+        judged_path=str(tmp_path / "judged"), landed=True,
+    )
+    (tmp_path / "none.json").write_text("[]")
+    day = 1_750_000_000  # 2025-06-15 15:06:40 UTC
+
+    def land(name, at, **changes):
+        path = zone / name
+        path.write_text(json.dumps(webhook(**changes)))
+        os.utime(path, (at, at))
+
+    land("a", day, payload__name="first")
+    land("b", day, payload__uri="I2")
+    jobs.run_ingest(spark, cfg)
+    jobs.run_silver(spark, replace(cfg, run_date="2025-06-15"))
+    land("c", day + 86400, payload__name="second", payload__created_at="2025-07-09T00:00:00Z")
+    land("d", day + 86400, payload__uri="I3")
+    jobs.run_ingest(spark, cfg)
+    states = []
+    for rebuild in (False, True, False):
+        assert jobs.run_silver(spark, replace(cfg, rebuild=rebuild))["events"] == 3
+        table = spark.read.parquet(cfg.silver_events_path).where("dt = '2025-06-16'")
+        states.append(sorted(map(repr, table.collect())))
+    assert states[0] == states[1] == states[2] and "second" in "".join(states[0])
+
+
 def test_flat_tables(spark, cfg):
     jobs.run_flat_silver(spark, cfg)
     jobs.run_flat_gold(spark, cfg)
     by_day = spark.read.parquet(cfg.flat_gold_path).collect()
     assert [(r.event_type, str(r.event_date), r.total_events, r.avg_duration_seconds) for r in by_day] == [
-        ("booked", "2025-10-13", 1, 1800.0)
+        ("booked", "2031-05-06", 1, 1800.0)
     ]
     jobs.run_flat_gold(spark, replace(cfg, by_day=False))
     assert spark.read.parquet(cfg.flat_gold_path).columns == [

@@ -50,9 +50,9 @@ def test_malformed_times_become_null(spark):
 
 @pytest.mark.parametrize("flip", [False, True])
 def test_latest_invitee_by_time_then_update(spark, flip):
-    late = "2025-07-09T06:04:33.500000Z"
+    late = "2025-07-08T17:41:00.500000Z"
     bodies = [
-        webhook(payload__name="old", payload__created_at="2025-07-09T06:04:33Z"),
+        webhook(payload__name="old", payload__created_at="2025-07-08T17:41:00Z"),
         webhook(payload__name="new", payload__created_at=late),
         webhook(payload__name="null", payload__created_at=None),
         webhook(payload__uri="I2", payload__name="created"),
@@ -85,41 +85,41 @@ def test_keep_latest_thins_a_hot_key_before_the_shuffle(spark):
 
 def test_silver_spend(spark):
     rows = [
-        ("2025-06-24", "a", 1.0), ("2025-06-24", "a", 3.0), ("2025-06-24", "a", None),
-        ("2025-06-24", "b", None), ("bad", "a", 2.0), ("2025-06-25", None, 4.0),
+        ("2031-04-17", "a", 1.0), ("2031-04-17", "a", 3.0), ("2031-04-17", "a", None),
+        ("2031-04-17", "b", None), ("bad", "a", 2.0), ("2031-04-18", None, 4.0),
     ]
     raw = spark.createDataFrame(rows, schemas.SPEND)
     got = {(r.date, r.channel): (r.spend, r.dt) for r in silver.silver_spend(raw).collect()}
     assert got == {
-        ("2025-06-24", "a"): (3.0, "2025-06-24"),
-        ("2025-06-24", "b"): (None, "2025-06-24"),
+        ("2031-04-17", "a"): (3.0, "2031-04-17"),
+        ("2031-04-17", "b"): (None, "2031-04-17"),
         ("bad", "a"): (2.0, None),
-        ("2025-06-25", None): (4.0, "2025-06-25"),
+        ("2031-04-18", None): (4.0, "2031-04-18"),
     }
 
 
 def _vendor(spark, **changes):
     row = {
-        "source": "google_ads", "granularity": None, "date": "2025-05-31", "timezone": None,
-        "ids": {"account_id": "1", "campaign_id": "2"}, "names": {"account_name": "Acme"},
+        "source": "bing_ads", "granularity": None, "date": "2031-02-03", "timezone": None,
+        "ids": {"account_id": "1", "campaign_id": "2"}, "names": {"account_name": "Nimbus"},
         "metrics": {"spend": 10.0, "clicks": None}, "currency": "USD",
-        "attribution": {"window": "7d", "model": "last"},
-        "provenance": {"load_id": "L", "source_file": "f", "extracted_at": "2025-06-01T01:00:00Z"},
-        "extra": {"k": "v"},
+        "attribution": {"window": "30d", "model": "last"},
+        "provenance": {"load_id": "L", "source_file": "f", "extracted_at": "2031-02-04T01:00:00Z"},
+        "extra": {"zone": "q"},
     }
     return {**row, **changes}
 
 
 def test_vendor_spend(spark):
-    later = {"load_id": "L", "source_file": "g", "extracted_at": "2025-06-01T01:00:00.5Z"}
+    later = {"load_id": "L", "source_file": "g", "extracted_at": "2031-02-04T01:00:00.5Z"}
     raw = spark.createDataFrame(
         [_vendor(spark), _vendor(spark, provenance=later, metrics={"spend": 11.0})],
         schemas.VENDOR_SPEND,
     )
     flat = silver.flatten_vendor_spend(raw)
     first = flat.first()
-    assert (first.granularity, first.date, first.clicks) == ("day", dt.date(2025, 5, 31), 0.0)
-    assert (first.account_id, first.account_name, first.attribution_model) == ("1", "Acme", "last")
+    assert (first.granularity, first.date, first.clicks) == ("day", dt.date(2031, 2, 3), 0.0)
+    assert (first.account_id, first.account_name, first.attribution_model) == ("1", "Nimbus", "last")
     latest = silver.latest_vendor_spend(flat).collect()
     assert [(r.spend, r.source_file) for r in latest] == [(11.0, "g")]
 

@@ -35,10 +35,10 @@ def test_multi_line_json(spark, tmp_path):
 
 
 def test_spend_array_and_json_lines(spark, tmp_path):
-    rows = [{"date": "2025-06-24", "channel": "a", "spend": 1.5}, {"date": "2025-06-24", "channel": "b"}]
+    rows = [{"date": "2031-04-17", "channel": "a", "spend": 1.5}, {"date": "2031-04-17", "channel": "b"}]
     (tmp_path / "array.json").write_text(json.dumps(rows, indent=2))
     got = readers.read_spend(spark, str(tmp_path / "array.json"))
-    assert [tuple(r)[:3] for r in got.collect()] == [("2025-06-24", "a", 1.5), ("2025-06-24", "b", None)]
+    assert [tuple(r)[:3] for r in got.collect()] == [("2031-04-17", "a", 1.5), ("2031-04-17", "b", None)]
     (tmp_path / "lines.json").write_text("\n".join(map(json.dumps, rows)))
     lines = readers.read_spend(spark, str(tmp_path / "lines.json"), multiline=False)
     assert lines.count() == 2
@@ -46,8 +46,8 @@ def test_spend_array_and_json_lines(spark, tmp_path):
 
 def test_flat_events_both_layouts(spark, tmp_path):
     event = {
-        "event_type": "booked", "event_start_time": "2025-10-13T14:00:00Z",
-        "event_end_time": "2025-10-13T14:30:00Z", "organizer_email": "h@test",
+        "event_type": "booked", "event_start_time": "2031-05-06T08:15:00Z",
+        "event_end_time": "2031-05-06T08:45:00Z", "organizer_email": "h@test",
     }
     (tmp_path / "one.json").write_text(json.dumps(event, indent=1))
     (tmp_path / "lines.json").write_text(json.dumps(event))
@@ -113,12 +113,12 @@ def test_upsert_is_idempotent_and_newest_wins(spark, tmp_path):
             for r in readers.read_table(spark, path, schema).collect()
         )
 
-    a, b = ("2025-06-24", "a", 1.0), ("2025-06-25", "a", 2.0)
+    a, b = ("2031-04-17", "a", 1.0), ("2031-04-18", "a", 2.0)
     assert load(a, b) == [a, b]
     assert load(a, b) == [a, b]
-    assert load(("2025-06-24", "a", 0.5)) == [("2025-06-24", "a", 0.5), b]
-    none, bad = ("2025-06-24", None, 4.0), ("bad", "a", 5.0)
-    everything = [("2025-06-24", "None", 4.0), ("2025-06-24", "a", 0.5), b, bad]
+    assert load(("2031-04-17", "a", 0.5)) == [("2031-04-17", "a", 0.5), b]
+    none, bad = ("2031-04-17", None, 4.0), ("bad", "a", 5.0)
+    everything = [("2031-04-17", "None", 4.0), ("2031-04-17", "a", 0.5), b, bad]
     assert load(none, bad) == everything
     assert load(none) == everything and load(bad) == everything
 
@@ -128,11 +128,11 @@ def test_compaction_keeps_rows_and_other_days(spark, tmp_path):
     rows = [("s%d" % i, i, "d1" if i % 2 else "d2") for i in range(40)]
     daily(spark, rows).repartition(8).write.partitionBy("dt").parquet(path)
     files = {d: len(glob.glob(f"{path}/dt={d}/*.parquet")) for d in ("d1", "d2")}
-    assert writers.compact_day(spark, path, DAILY, "d1") == 20
+    assert writers.compact_day(spark, path, "d1") == 20
     assert len(glob.glob(f"{path}/dt=d1/*.parquet")) <= 2 < files["d1"]
     assert len(glob.glob(f"{path}/dt=d2/*.parquet")) == files["d2"]
     assert stored(spark, path) == sorted(rows)
-    assert writers.compact_day(spark, path, DAILY, "d9") == 0
+    assert writers.compact_day(spark, path, "d9") == 0
 
 
 def test_backfill_needs_dt(spark, tmp_path):
@@ -173,3 +173,22 @@ def test_scratch_lies_below_the_shared_folder(spark):
     assert scratch.shared_dir(spark, "x").startswith(shared + "/x-")
     kept = scratch.materialized(spark.range(5).withColumn("t", F.lit("a")), "kept")
     assert kept.count() == 5 and shared in kept.inputFiles()[0]
+
+
+def test_compaction_and_upsert_keep_columns_beyond_the_schema(spark, tmp_path):
+    path = str(tmp_path / "t")
+    daily(spark, [("a", 1, "d1"), ("b", 2, "d1")]).withColumn("note", F.col("source")).write.partitionBy("dt").parquet(path)
+    assert writers.compact_day(spark, path, "d1") == 2
+    assert {(r.source, r.note) for r in readers.read_stored(spark, path).collect()} == {("a", "a"), ("b", "b")}
+    writers.upsert_days(daily(spark, [("a", 9, "d1")]).withColumn("more", F.lit(1)), path, DAILY, ["source"])
+    got = {r.source: (r.booking_id, r.note, r.more) for r in readers.read_stored(spark, path).collect()}
+    assert got == {"a": (9, None, 1), "b": (2, "b", None)}
+
+
+def test_a_rerun_without_rows_empties_its_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.write_days(daily(spark, [("a", 1, "d1"), ("b", 2, "d2")]), path)
+    for kept in ([("c", 3, "d1")], []):
+        frame = daily(spark, kept) if kept else spark.createDataFrame([], DAILY)
+        writers.write_days(frame, path, replaces=[{"dt": "d1"}, {"dt": "d9"}])
+        assert stored(spark, path) == sorted([*kept, ("b", 2, "d2")])
