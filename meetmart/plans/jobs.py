@@ -269,6 +269,11 @@ def run_compact(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
     }
 
 
+def run_compact_landed(spark: SparkSession, cfg: RunConfig) -> int:
+    """The landed batches of the run date become one partition per route."""
+    return ingest.compact_landed(spark, cfg.landed_path, cfg.run_date)
+
+
 def run_register(spark: SparkSession, cfg: RunConfig) -> None:
     for mart, schema in schemas.MARTS.items():
         path = mart_path(cfg, mart)
@@ -307,6 +312,7 @@ JOBS = {
     "gold": run_gold,
     "validate": run_validate,
     "compact": run_compact,
+    "compact-landed": run_compact_landed,
     "register": run_register,
     "repair": run_repair,
     "backfill": run_backfill,

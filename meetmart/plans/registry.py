@@ -1151,7 +1151,9 @@ def registered_table(spark, sf_dir):
     writers.write_days(marts.bookings_by_timeslot(_bookings(spark, sf_dir)), path)
     name = "slots_" + path.rsplit("-", 1)[1]
     catalog.register_table(spark, "default", name, path, schema)
-    return readers.clean_names(spark.table(f"default.{name}"))
+    rows = scratch.materialized(readers.clean_names(spark.table(f"default.{name}")), "by-name")
+    spark.sql(f"DROP TABLE default.{name}")  # the external files stay
+    return rows
 
 
 @query(f"""{_WEBHOOK} SELECT invitee_uri, scheduled_event_uri, source AS channel FROM (

@@ -16,10 +16,13 @@ from meetmart import schemas
 from meetmart.functions.landing import body_md5
 from meetmart.functions.timeparts import day_text
 from meetmart.operators.contracts import BRONZE, DEAD_LETTER, REASONS, route_of, webhook_reasons
+from meetmart.operators.dedupe import keep_latest
 from meetmart.sources.readers import between_days
+from meetmart.sources.scratch import materialized
 from meetmart.sources.writers import write_days
 
 _BY = ("route", "dt", "batch_id")
+_COMPACTED = -1  # stands for all batches of a day that was compacted
 
 _TEXT = T.StringType()
 LANDED = T.StructType(
@@ -132,6 +135,23 @@ def start_ingest(
     )
 
 
+def compact_landed(spark: SparkSession, table: str, day: str) -> int:
+    """Puts the batches of a day that is over into one partition per route; returns the rows kept.
+
+    A body is stored once per day, so a compaction that broke off between writing and removing,
+    and left rows twice, is mended by running it again. Only batches that have ended may be
+    compacted: a batch that is replayed would store its rows again.
+    """
+    rows = read_landed(spark, table).where(F.col("dt") == day)
+    batches = [r.asDict() for r in rows.select(*_BY).distinct().collect()]  # partition names
+    if not batches:
+        return 0
+    order = [F.col("batch_id"), F.col("arrived_at"), F.col("file_path")]
+    single = keep_latest(rows, ["dt", "body_md5"], order).withColumn("batch_id", F.lit(_COMPACTED))
+    aside = materialized(single, "compact-landed")
+    return write_days(aside, table, by=_BY, replaces=[b for b in batches if b["batch_id"] != _COMPACTED])
+
+
 def read_landed(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.schema(LANDED).parquet(table)
 

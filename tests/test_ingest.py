@@ -92,3 +92,40 @@ def test_json_lines_landing(spark, landing):
         spark, str(landing.zone), landing.table, str(landing.root / "c"), whole_text=False
     ).awaitTermination()
     assert len(landing.rows()) == 3
+
+
+def test_compaction_of_a_day_keeps_each_body_once(spark, landing):
+    landing.put("a", webhook())
+    landing.put("x", "broken")
+    landing.run()
+    landing.put("b", webhook(payload__uri="I2"))
+    landing.put("other", webhook(), DAY + 86400)
+    landing.run()
+    before = landing.rows()
+    assert len(before) == 4
+    for _ in range(2):
+        assert ingest.compact_landed(spark, landing.table, "2025-06-15") == 3
+        assert landing.rows() == before
+    rows = ingest.read_landed(spark, landing.table).where("dt = '2025-06-15'")
+    assert {r.batch_id for r in rows.collect()} == {-1}
+    assert ingest.compact_landed(spark, landing.table, "2025-01-01") == 0
+
+
+def test_a_backlog_is_taken_in_bounded_batches(spark, landing):
+    for i in range(6):
+        landing.put(f"f{i}", webhook(payload__uri=f"I{i % 3}"))
+    ingest.start_ingest(
+        spark, str(landing.zone), landing.table, str(landing.root / "c"), max_files=2
+    ).awaitTermination()
+    rows = ingest.read_landed(spark, landing.table)
+    assert rows.count() == 3 and rows.select("batch_id").distinct().count() > 1
+
+
+def test_a_body_is_parsed_twice_per_stage(spark):
+    from pyspark.sql import functions as F
+
+    from meetmart.functions.landing import parsed_body
+
+    frame = spark.createDataFrame([("{}",)], "body string").select(parsed_body(F.col("body")))
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 2

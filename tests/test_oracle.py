@@ -25,6 +25,32 @@ def test_agrees_with_sql(spark, con, name):
         assert slow not in plan
 
 
+_PLACE = "CASE day_of_week WHEN 'Mon' THEN 1 WHEN 'Tue' THEN 2 WHEN 'Wed' THEN 3 WHEN 'Thu' THEN 4 " \
+    "WHEN 'Fri' THEN 5 WHEN 'Sat' THEN 6 ELSE 7 END"
+ORDERS = {
+    "channel_distribution": "count DESC, channel NULLS FIRST",
+    "serve_daily_calls": "booking_date, source NULLS FIRST",
+    "serve_trend_cumulative": "booking_date, source NULLS FIRST",
+    "serve_cpb": "cpb NULLS LAST, total_bookings DESC, channel NULLS FIRST",
+    "serve_leaderboard": "total_bookings DESC, cpb NULLS LAST, source NULLS FIRST",
+    "serve_cpb_pivot": "source NULLS FIRST",
+    "serve_heatmap": f"{_PLACE}, hour_of_day",
+    "serve_by_hour": "hour_of_day",
+    "serve_weekday_share": _PLACE,
+    "serve_meetings": "avg_meetings DESC, host_user_name NULLS FIRST",
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERS))
+def test_rows_come_in_order(spark, con, name):
+    """The position of each row is compared as one of its columns."""
+    frame = entry.queries()[name](spark, SF)
+    numbered = f"SELECT *, row_number() OVER (ORDER BY {ORDERS[name]}) - 1 AS place FROM ({entry.oracle_sql()[name]})"
+    got = [(*r, i) for i, r in enumerate(frame.collect())]
+    listed = spark.createDataFrame(got, frame.schema.add("place", "long"))
+    assert differences(listed, con, numbered) == ""
+
+
 def test_gold_checks_pass_on_computed_marts(spark):
     rows = entry.queries()["quality_gold_tables"](spark, SF).collect()
     failed = {(r.table_name, r.check_name, r.column_name) for r in rows if not r.passed}
