@@ -188,10 +188,14 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def determined(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Rows of `docs`, with all their columns, whose language is determined."""
+    """Rows of `docs`, with all their columns, whose language is determined.
+
+    Where nothing was learned, none can be told from another: all texts with a letter stay.
+    """
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = _found(batch.column(text_col).to_pylist(), model)
+        texts = batch.column(text_col).to_pylist()
+        found = _found(texts, model) if model.languages else map(has_letter, texts)
         return batch.filter(pa.array([bool(m) for m in found]))
 
     return map_batches(docs, rows, docs.schema)

@@ -96,3 +96,5 @@ def test_nothing_learned(spark):
     docs = documents(spark, [(1, "some text")]).withColumn("lang", F.lit(None).cast("string"))
     assert [(r.lang_pred, r.score) for r in langid.language_digest(docs).collect()] == [("und", 0.0)]
     assert langid.language_digest(documents(spark, [])).collect() == []
+    nothing = langid.train(docs, F.lit(True))
+    assert langid.determined(docs, nothing).count() == 1

@@ -169,6 +169,12 @@ def test_texts_around_values_stay(spark, extra):
     assert whole.columns == docs.columns and whole.count() == len(rows)
 
 
+def test_very_long_runs(spark):
+    rows = [(1, "a@" + "b." * 20_000 + "com"), (2, "1" * 20_000), (3, "1-" * 20_000), (4, "x@" * 20_000), (5, "1.2." * 20_000)]
+    got = {r.doc_id: r.text for r in pii.pii_digest(documents(spark, rows), KEY).collect()}
+    assert all(len(got[i]) == len(t) for i, t in rows) and got[2] == rows[1][1]
+
+
 def test_another_key_gives_other_pseudonyms(spark):
     frame = documents(spark, [(1, "4111111111111111")])
     assert len({pii.pii_digest(frame, k).first().text for k in ("a", "b", "c")}) == 3
