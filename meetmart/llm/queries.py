@@ -60,4 +60,65 @@ QUERIES = {
     for f in (op1_license_scan, op2_packing, op3_warc_revisits, op4_ngram_jaccard, op5_language_mixture, op6_hidden_markov, op7_nearest_neighbours, op8_pii_pseudonyms, op9_simhash, op10_bpe_lexicon)
 }
 
-SQL: dict[str, str] = {}
+# SQL for the operators whose whole result it can express
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+def _base32_sql(digest: str) -> str:
+    """Four letters from every five hex digits."""
+
+    def digit(at: int) -> str:
+        return f"(strpos('0123456789abcdef', substr({digest}, {at}, 1)) - 1)"
+
+    letters = []
+    for k in range(0, 40, 5):
+        bits = "0"
+        for at in range(k + 1, k + 6):
+            bits = f"({bits} * 16 + {digit(at)})"
+        letters += [f"substr('{_BASE32}', (({bits} >> {s}) & 31) + 1, 1)" for s in (15, 10, 5, 0)]
+    return " || ".join(letters)
+
+
+SQL: dict[str, str] = {
+    "op3_warc_revisits": f"""
+WITH r AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (
+  SELECT page_id, strlen(payload) AS payload_bytes, {_base32_sql("h")} AS payload_digest,
+    max(page_id) OVER (PARTITION BY payload) AS last
+  FROM r)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to
+FROM d""",
+    "op4_ngram_jaccard": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+  FROM documents),
+g AS (
+  SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(words) - 4, 1) + 1),
+    lambda i: array_to_string(words[i:i + 4], ' '))) AS grams
+  FROM w WHERE len(words) > 0),
+s AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM g),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS shared
+  FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+near AS (
+  SELECT x, y, shared = nx AND shared = ny AS same FROM p
+  WHERE shared >= 0.8 * (nx + ny - shared) - 1e-9),
+copies AS (
+  SELECT d.doc_id, least(d.doc_id, coalesce(min(near.y), d.doc_id)) AS copy_id, count(near.y) + 1 AS n_copies
+  FROM documents d LEFT JOIN near ON near.x = d.doc_id AND near.same GROUP BY d.doc_id),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT reach.x, near.y FROM reach JOIN near ON near.x = reach.y),
+classes AS (SELECT x, min(y) AS class_id FROM reach GROUP BY x),
+links AS (
+  SELECT near.x, count(*) AS n_links, count(DISTINCT c.copy_id) FILTER (WHERE NOT near.same) AS n_link_classes
+  FROM near JOIN copies c ON c.doc_id = near.y GROUP BY near.x)
+SELECT copies.doc_id, class_id, copy_id, n_copies, coalesce(n_links, 0) AS n_links,
+  coalesce(n_link_classes, 0) AS n_link_classes
+FROM copies JOIN classes ON classes.x = copies.doc_id LEFT JOIN links ON links.x = copies.doc_id""",
+}

@@ -57,7 +57,7 @@ def test_scores_do_not_depend_on_what_tasks_know(spark, monkeypatch):
     pick = random.Random(8)
     rows = [(k, " ".join(f"w{min(pick.randrange(9000), pick.randrange(9000))}" for _ in range(400))) for k in range(60)]
     scores = []
-    for known in (hmm.KNOWN_WORDS, hmm.OWN_SYMBOLS):
+    for known in (hmm.KNOWN_WORDS, 7000):
         monkeypatch.setattr(hmm, "KNOWN_WORDS", known)
         scores.append({r.doc_id: r.score for r in hmm.score_digest(documents(spark, rows)).collect()})
     assert scores[0] == pytest.approx(scores[1], rel=1e-9)
