@@ -6,6 +6,7 @@ import sys
 from meetmart.config import RunConfig
 from meetmart.plans.jobs import JOBS
 from meetmart.session import build_session, sized_for
+from meetmart.sources import scratch
 
 
 def main(argv: list[str]) -> None:
@@ -17,6 +18,7 @@ def main(argv: list[str]) -> None:
     try:
         JOBS[argv[0]](spark, cfg)
     finally:
+        scratch.clear(spark)
         spark.stop()
 
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -17,7 +18,17 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="meetmart-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes the intermediate tables this process made; frames read from them end with it."""
+    context = spark.sparkContext
+    while _made:
+        place = context._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialized(df: DataFrame, name: str) -> DataFrame:

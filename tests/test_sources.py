@@ -192,3 +192,13 @@ def test_a_rerun_without_rows_empties_its_partition(spark, tmp_path):
         frame = daily(spark, kept) if kept else spark.createDataFrame([], DAILY)
         writers.write_days(frame, path, replaces=[{"dt": "d1"}, {"dt": "d9"}])
         assert stored(spark, path) == sorted([*kept, ("b", 2, "d2")])
+
+
+def test_scratch_is_removed_at_the_end_of_a_job(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "_made", [])
+    kept = scratch.materialized(spark.range(3), "gone").inputFiles()[0].removeprefix("file://")
+    other = tmp_path / "other"
+    other.mkdir()
+    assert glob.glob(kept)
+    scratch.clear(spark)
+    assert not glob.glob(kept) and other.exists() and scratch._made == []
