@@ -14,7 +14,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +57,11 @@ class ByteLevel:
             bytes(byte[c] for c in token): k for token, k in spec["model"]["vocab"].items() if token not in special
         }
         self.fast = tiktoken.Encoding("byte level", pat_str=self._PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        self.full = Tokenizer.from_file(path)
+        self.path = path
+
+    @cached_property
+    def full(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
 
     def _plain(self, text: str) -> bool:
         if not text.isascii() or not text.isprintable():

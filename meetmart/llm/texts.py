@@ -20,12 +20,21 @@ _FOLD = bytes.maketrans(
 UNICODE_SPACE = "\t-\r \x85\xa0  -     　"
 
 
+#: Rows that Spark hands to a task's Python at a time; its default of 10,000 is meant for rows of numbers.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
 def in_tasks(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
-    """`run` over the Arrow batches of each partition; the package is sent to the executors first."""
-    ship(df.sparkSession)
+    """`run` over the Arrow batches of each partition; the package is sent to the executors first.
+
+    Texts are long, so batches are made short, unless the session has a size of its own.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
     return df.mapInArrow(run, schema)
 
 
@@ -78,6 +87,27 @@ def map_batches(
     return in_tasks(docs, run, schema)
 
 
+def most_frequent(counts: DataFrame, size: int, least: int = 1) -> list[tuple]:
+    """(word, n) of the most frequent words, `size` at most, by falling n, then by word.
+
+    The border is a count, so nothing is ranked: counts fall into steps of about 2 %, whose number is
+    bounded, and as many of the highest steps are taken as hold no more than `size` words together.
+    """
+    step = F.floor(F.log2("n") * 32).cast("int")
+    steps = counts.where(F.col("n") >= least).groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"))
+    total, border = 0, None
+    for row in sorted(steps.collect(), reverse=True):
+        total += row.words
+        if total > size:
+            break
+        border = row.step
+    if border is None:
+        return []
+    table = counts.where((F.col("n") >= least) & (step >= border)).select("word", "n").toArrow()
+    rows = zip(table.column("word").to_pylist(), table.column("n").to_pylist())
+    return sorted(rows, key=lambda r: (-r[1], r[0]))
+
+
 def in_share(doc_id: Column, modulus: int, remainder: int) -> Column:
     """Whether the checksum of the id as text falls on `remainder`; a null id never does."""
     return F.coalesce(
