@@ -2,8 +2,10 @@
 
 The tree is fitted on a bounded sample of the vectors; every vector is then put into a leaf. A query walks the
 tree with a priority queue by the inner product with the centroids and visits so many leaves that the share of
-true neighbours found, measured on some queries against all vectors, reaches the target. Queries and the leaves'
-vectors meet in tiles of bounded size, so a leaf that holds a large part of all rows is split over many tasks.
+true neighbours found, measured on some queries against all vectors, reaches the target. The visits come in
+rounds, each wider than the one before: from the second on a leaf returns only what is no worse than the k-th
+best so far. Queries and the leaves' vectors meet in tiles of bounded size, so a leaf that holds a large part
+of all rows is split over many tasks.
 """
 
 from __future__ import annotations
@@ -24,9 +26,11 @@ from meetmart.sources.scratch import materialized
 SAMPLE_ROWS, SAMPLE_BYTES = 1 << 16, 1 << 26
 #: Queries that the number of visits is calibrated on.
 CALIBRATION_QUERIES = 256
-TARGET_RECALL = 0.98
+TARGET_RECALL = 0.95
 BRANCHES = 16
 LEAF_ROWS = 256
+#: By how much a round of visits is wider than all before it.
+WIDENING = 4
 MOST_LEAVES = 8192
 #: Vectors and queries of a tile.
 TILE_ROWS, TILE_QUERIES = 2048, 2048
@@ -131,8 +135,11 @@ def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def top_pairs(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int):
-    """(query index, row index, score) of each query's k best rows but its own; ties to the smaller id."""
+def top_pairs(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int, least=None):
+    """(query index, row index, score) of each query's k best rows but its own; ties to the smaller id.
+
+    `least`, if given, is the score below which a query wants no row.
+    """
     if not len(rows) or not len(queries):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     rough = queries @ rows.T
@@ -141,8 +148,13 @@ def top_pairs(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_
     floor = np.partition(rough, len(rows) - keep, axis=1)[:, len(rows) - keep]
     # what rounding of the fast product could have put below the k-th stays a candidate
     slack = 1e-12 * np.sqrt((queries**2).sum(1) * (rows**2).sum(1).max()) * queries.shape[1]
+    if least is not None:
+        floor = np.maximum(floor, least)
     q, r = np.nonzero((rough >= (floor - slack)[:, None]) & np.isfinite(rough))
     score = inner_products(queries[q], rows[r])
+    if least is not None:
+        good = score >= least[q]
+        q, r, score = q[good], r[good], score[good]
     order = np.lexsort((row_ids[r], -score, q))
     q, r, score = q[order], r[order], score[order]
     place = np.arange(len(q)) - np.searchsorted(q, q)
@@ -261,38 +273,67 @@ def nearest(
 
     kind = rows.schema["vector"].dataType.simpleString()
     placed = materialized(in_tasks(rows, place, f"vec_id bigint, vector {kind}, leaf bigint"), "leaves")
+    # one row per leaf, so a bounded number
+    sizes = {r.leaf: r.n for r in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
     kind = queries.schema["vector"].dataType.simpleString()
     walked = materialized(in_tasks(queries, walk, f"vec_id bigint, vector {kind}, leaves array<bigint>"), "walks")
-    visiting = walked.select("vec_id", "vector", F.explode("leaves").alias("leaf"))
-    # one row per leaf each, so a bounded number
-    blocks = {r.leaf: -(-r.n // TILE_ROWS) for r in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
-    slices = {r.leaf: -(-r.n // TILE_QUERIES) for r in visiting.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best, done = None, 0
+    while done < visits:
+        wide = min(visits - done, max(1, done * (WIDENING - 1)))
+        asking = walked.select("vec_id", "vector", F.explode(F.slice("leaves", done + 1, wide)).alias("leaf"))
+        if best is not None:
+            worst = best.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
+            asking = asking.join(worst, "vec_id", "left")
+        else:
+            asking = asking.withColumn("least", F.lit(None).cast("double"))
+        found = _visit(placed, asking, sizes, width, k)
+        if best is not None:
+            found = found.unionByName(best.drop("rank"))
+        ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        best = materialized(ranked, "best")
+        done += wide
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _visit(placed: DataFrame, asking: DataFrame, sizes: dict[int, int], width: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score) of what queries find in the leaves they ask (vec_id, vector, leaf, least)."""
+    spark = placed.sparkSession
+    askers = asking.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per leaf
     tiles = spark.createDataFrame(
-        [(leaf, n, slices[leaf]) for leaf, n in blocks.items() if leaf in slices], "leaf bigint, blocks bigint, slices bigint"
+        [(r.leaf, -(-sizes[r.leaf] // TILE_ROWS), -(-r.n // TILE_QUERIES)) for r in askers if r.leaf in sizes],
+        "leaf bigint, blocks bigint, slices bigint",
     )
     tiles = F.broadcast(tiles)  # at most MOST_LEAVES rows
 
-    def spread(own: Column, other: str, hashed: str) -> Column:
-        return F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1), lambda o: F.struct(F.pmod(F.xxhash64("vec_id"), own).alias(hashed), o.alias("other"))))
+    def spread(own: str, others: str, own_name: str, other_name: str) -> Column:
+        """This row's own part, paired with every part of the other side."""
+        mine = F.pmod(F.xxhash64("vec_id"), F.col(own)).alias(own_name)
+        parts = F.sequence(F.lit(0).cast("bigint"), F.col(others) - 1)
+        return F.explode(F.transform(parts, lambda part: F.struct(mine, part.alias(other_name)))).alias("t")
 
-    left = placed.join(tiles, "leaf").select("leaf", "vec_id", "vector", spread(F.col("blocks"), "slices", "mine").alias("t")).select("vec_id", "vector", "leaf", F.col("t.mine").alias("block"), F.col("t.other").alias("slice"))
-    right = visiting.join(tiles, "leaf").select("leaf", "vec_id", "vector", spread(F.col("slices"), "blocks", "mine").alias("t")).select("vec_id", "vector", "leaf", F.col("t.other").alias("block"), F.col("t.mine").alias("slice"))
+    left = placed.join(tiles, "leaf").select(
+        "leaf", "vec_id", "vector", spread("blocks", "slices", "block", "slice")
+    ).select("vec_id", "vector", "leaf", "t.block", "t.slice")
+    right = asking.join(tiles, "leaf").select(
+        "leaf", "vec_id", "vector", "least", spread("slices", "blocks", "slice", "block")
+    ).select("vec_id", "vector", "least", "leaf", "t.block", "t.slice")
 
-    def tile(mine: pa.Table, asking: pa.Table) -> pa.Table:
+    def tile(mine: pa.Table, wanted: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]
-        if not mine.num_rows or not asking.num_rows:
+        if not mine.num_rows or not wanted.num_rows:
             empty = pa.array([], pa.int64())
             return pa.table([empty, empty, pa.array([], pa.float64())], names=names)
-        row_ids, query_ids = mine.column("vec_id").to_numpy(), asking.column("vec_id").to_numpy()
-        points, wanted = (_matrix(t.column("vector").combine_chunks(), width) for t in (mine, asking))
-        q, r, score = top_pairs(wanted, query_ids, points, row_ids, k)
+        row_ids, query_ids = mine.column("vec_id").to_numpy(), wanted.column("vec_id").to_numpy()
+        points, vectors = (_matrix(t.column("vector").combine_chunks(), width) for t in (mine, wanted))
+        least = np.nan_to_num(wanted.column("least").to_numpy(), nan=-np.inf, neginf=-np.inf)
+        q, r, score = top_pairs(vectors, query_ids, points, row_ids, k, least)
         return pa.table([pa.array(query_ids[q]), pa.array(row_ids[r]), pa.array(score)], names=names)
 
     keys = ["leaf", "block", "slice"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(tile, "query_id bigint, vec_id bigint, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+        tile, "query_id bigint, vec_id bigint, score double"
+    )
 
 
 def neighbours_of_every_20th(table: DataFrame, k: int = 20, target: float = TARGET_RECALL) -> DataFrame:
