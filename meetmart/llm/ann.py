@@ -127,6 +127,19 @@ def best_bins(tree: Tree, query: np.ndarray, visits: int) -> list[int]:
     return found
 
 
+def _enough_bins(tree: Tree, query: np.ndarray, visits: int, sizes: dict[int, int], need: int) -> list[int]:
+    """The first `visits` leaves, and as many more as it takes to hold `need` rows."""
+    bins = best_bins(tree, query, visits)
+    if sum(sizes.get(leaf, 0) for leaf in bins) >= need:
+        return bins
+    bins, held = best_bins(tree, query, tree.leaves), 0
+    for place, leaf in enumerate(bins, 1):
+        held += sizes.get(leaf, 0)
+        if place >= visits and held >= need:
+            return bins[:place]
+    return bins
+
+
 def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row by row, in one order of summation, so that equal vectors have equal scores everywhere."""
     total = np.zeros(len(a))
@@ -243,13 +256,16 @@ def nearest(
     """(query_id, rank, vec_id, score) of each query's k nearest rows found.
 
     `rows` and `queries` are (vec_id, vector) with `width` components each. Rows with a query's id are its own
-    and are no candidates. Of rows with equal vectors only the k + 1 smallest ids are searched: the others
-    cannot be among the k nearest of any query.
+    and are no candidates. Of rows with equal vectors only as many of the smallest ids are searched as k and
+    the rows of one id together: the others cannot be among the k nearest of any query. A query whose leaves
+    hold too few rows visits further ones, so it has k results wherever there are k candidates.
     """
     spark = rows.sparkSession
     ship(spark)
+    repeated = rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    need = k + repeated  # rows among which a query finds k that are not its own
     same = Window.partitionBy("vector").orderBy("vec_id")
-    rows = rows.withColumn("_same", F.row_number().over(same)).where(F.col("_same") <= k + 1).drop("_same")
+    rows = rows.withColumn("_same", F.row_number().over(same)).where(F.col("_same") <= need).drop("_same")
     rows = materialized(rows, "vectors")
     total = rows.count()
     most = min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * width))
@@ -266,21 +282,22 @@ def nearest(
 
     visits = calibrate(rows, queries, width, tree, k, target)
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bins = [best_bins(tree, q, visits) for q in _matrix(batch.column("vector"), width)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bins, pa.list_(pa.int64()))], names=["vec_id", "vector", "leaves"])
-
     kind = rows.schema["vector"].dataType.simpleString()
     placed = materialized(in_tasks(rows, place, f"vec_id bigint, vector {kind}, leaf bigint"), "leaves")
     # one row per leaf, so a bounded number
     sizes = {r.leaf: r.n for r in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins = [_enough_bins(tree, q, visits, sizes, need) for q in _matrix(batch.column("vector"), width)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bins, pa.list_(pa.int64()))], names=["vec_id", "vector", "leaves"])
+
     kind = queries.schema["vector"].dataType.simpleString()
     walked = materialized(in_tasks(queries, walk, f"vec_id bigint, vector {kind}, leaves array<bigint>"), "walks")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best, done = None, 0
-    while done < visits:
-        wide = min(visits - done, max(1, done * (WIDENING - 1)))
+    longest = walked.agg(F.max(F.size("leaves"))).first()[0] or 1
+    while done < longest:
+        wide = min(longest - done, max(1, done * (WIDENING - 1)))
         asking = walked.select("vec_id", "vector", F.explode(F.slice("leaves", done + 1, wide)).alias("leaf"))
         if best is not None:
             worst = best.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))

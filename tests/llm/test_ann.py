@@ -83,6 +83,17 @@ def test_tiles_do_not_change_the_result(spark, monkeypatch):
     assert found(ann.neighbours_of_every_20th(table, target=1.0)) == one == brute(rows)
 
 
+def test_every_query_has_all_its_results(spark, monkeypatch):
+    """Also where one leaf is enough for the recall but holds too few rows, and where ids repeat."""
+    monkeypatch.setattr(ann, "LEAF_ROWS", 4)
+    monkeypatch.setattr(ann, "calibrate", lambda *a: 1)
+    rows = [(k, v.tolist(), 0) for k, v in enumerate(clustered(120, clusters=20))]
+    rows += [(20, [float(j == i) for j in range(16)], 0) for i in range(16)] + [(40, rows[40][1], 0)] * 30
+    got = found(ann.neighbours_of_every_20th(spark.createDataFrame(rows, SCHEMA)))
+    assert {q: len(v) for q, v in got.items()} == {q: 20 for q in range(0, 120, 20)}
+    assert all(q not in {i for _, i, _ in v} for q, v in got.items())
+
+
 def test_fewer_candidates_than_wanted_and_empty(spark):
     rows = [(0, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (2, [-1.0, 0.0], 0)]
     assert found(ann.neighbours_of_every_20th(spark.createDataFrame(rows, SCHEMA))) == {0: [(1, 1, 0.5), (2, 2, -1.0)]}
