@@ -99,6 +99,20 @@ def test_both_ways_to_intersect_agree():
     assert many.tolist() == want and few[0] == want[0]
 
 
+def test_agreement_estimates_the_similarity():
+    import numpy as np
+
+    pick = random.Random(4)
+    texts = [" ".join(words(500, 400)).encode()]
+    texts += [" ".join(w if pick.random() > 0.02 else "new%d" % pick.randrange(10**6) for w in words(500, 400)).encode() for _ in range(20)]
+    hashed, sizes = jaccard.gram_hashes(texts)
+    _, minima = jaccard.signatures(hashed, sizes, 20, 5)
+    shown = jaccard._agreement(minima, minima) / 100
+    sets = [grams(t.decode()) for t in texts]
+    real = np.array([[len(a & b) / len(a | b) for b in sets] for a in sets])
+    assert np.abs(shown - real).max() < 0.25 and (jaccard._agreement(minima[:3], minima) / 100 == shown[:3]).all()
+
+
 def test_components_of_random_graphs(spark):
     pick = random.Random(9)
     for n, m in ((60, 40), (200, 150), (40, 0)):
