@@ -26,7 +26,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meetmart.llm.texts import UNICODE_SPACE, id_and_text, in_tasks
+from meetmart.llm.texts import UNICODE_SPACE, id_and_text, in_tasks, most_frequent
+from meetmart.sources.scratch import materialized
 
 #: Words that the lexicon holds at most; the file is then a few megabytes.
 LEXICON_WORDS = 1 << 17
@@ -322,19 +323,15 @@ def word_counts(docs: DataFrame, special: dict[str, int]) -> DataFrame:
 def build_lexicon(
     docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS, least: int = LEAST_COUNT
 ) -> str:
-    """Compiles the most frequent words of all texts (ties by the word) and hands the file to all executors.
+    """Compiles the most frequent words of all texts and hands the file to all executors.
 
     The driver gets `size` words at most. Returns the name under which tasks find the file.
     """
     spark = docs.sparkSession
     vocabulary = Vocabulary(tokenizer)
-    frequent = (
-        word_counts(docs.select("text"), vocabulary.special)
-        .where(F.col("n") >= least)
-        .orderBy(F.desc("n"), "word")
-        .limit(size)
-    )
-    packed = compile_lexicon([r.word.encode() for r in frequent.toLocalIterator()], vocabulary)
+    counts = materialized(word_counts(docs.select("text"), vocabulary.special), "words")
+    frequent = most_frequent(counts, size, least)
+    packed = compile_lexicon([word.encode() for word, _ in frequent], vocabulary)
     folder = tempfile.mkdtemp(prefix="lexicon-")  # only the driver reads it; addFile carries it on
     path = os.path.join(folder, f"{hashlib.sha256(packed).hexdigest()[:24]}-{os.path.basename(folder)}.bin")
     with open(path, "wb") as file:
