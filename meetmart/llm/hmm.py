@@ -8,6 +8,7 @@ and only their sum, bounded by symbols times states, goes to the driver.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -19,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meetmart.llm.texts import id_and_text, in_share, in_tasks, ship, utf8
+from meetmart.llm.texts import id_and_text, in_share, in_tasks, most_frequent, ship, utf8
 from meetmart.sources.scratch import materialized
 
 STATES = 8
@@ -31,8 +32,9 @@ KNOWN_WORDS = 1 << 18
 #: Added to each count.
 ADDED = 0.1
 _FLUSH = 200_000
-#: Symbols that a task works on at a time, padding included.
+#: Symbols that a task works on at a time, padding included, and bytes of symbols it puts side by side.
 _BLOCK_SYMBOLS = 400_000
+_GATHERED_BYTES = 16_000_000
 _END_SYMBOL = OWN_SYMBOLS + CLASSES
 SYMBOLS = _END_SYMBOL + 1
 
@@ -58,7 +60,9 @@ class Counts(NamedTuple):
     total: int  # tokens, ends included
     distinct: int  # different tokens, the end included
     ends: int  # training texts
-    known: dict[bytes, tuple[int, int]]  # symbol and count of the most frequent words
+    known: dict[bytes, int]  # places of the most frequent words in the next two
+    symbol: np.ndarray
+    count: np.ndarray
     class_total: np.ndarray  # tokens and different words of a class, without words that have a symbol
     class_distinct: np.ndarray
 
@@ -96,21 +100,21 @@ def count_tokens(docs: DataFrame, learn: Column) -> Counts:
     table = materialized(table.withColumn("class", _class_column("word")), "words")
     ends = rows.count()
     sums = table.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).first()
-    top = table.orderBy(F.desc("n"), "word").limit(KNOWN_WORDS).toArrow()
-    words, counts = top.column("word").to_pylist(), top.column("n").to_pylist()
-    known, own = {}, Counter()
-    for k, (word, n) in enumerate(zip(words, counts)):
-        kind = word_class(word)
-        known[word] = (k if k < OWN_SYMBOLS else OWN_SYMBOLS + kind, n)
-        if k < OWN_SYMBOLS:
-            own[kind, "n"] += n
-            own[kind, "words"] += 1
+    top = most_frequent(table, KNOWN_WORDS)
+    known = {word: k for k, (word, _) in enumerate(top)}
+    kinds = np.array([word_class(word) for word, _ in top], np.int64)
+    count = np.array([n for _, n in top], np.int64)
+    symbol = np.where(np.arange(len(top)) < OWN_SYMBOLS, np.arange(len(top)), OWN_SYMBOLS + kinds)
+    own = Counter()
+    for kind, n in zip(kinds[:OWN_SYMBOLS].tolist(), count[:OWN_SYMBOLS].tolist()):
+        own[kind, "n"] += n
+        own[kind, "words"] += 1
     class_total, class_distinct = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in table.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
         class_total[r["class"]] = r.n - own[r["class"], "n"]
         class_distinct[r["class"]] = r.words - own[r["class"], "words"]
     total, distinct = (sums.n or 0) + ends, sums.words + (ends > 0)
-    return Counts(table, total, distinct, ends, known, class_total, class_distinct)
+    return Counts(table, total, distinct, ends, known, symbol, count, class_total, class_distinct)
 
 
 def encode(docs: DataFrame, counts: Counts, held_out: Column) -> DataFrame:
@@ -124,25 +128,23 @@ def encode(docs: DataFrame, counts: Counts, held_out: Column) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value.known
         value = shared.value
-        end = float(value.base(value.ends))
+        end, absent = float(value.base(value.ends)), itertools.repeat(-1)
         for batch in batches:
             rows = []
             for raw in utf8(batch.column("text")):
                 words = tokens(raw)
-                symbols = np.empty(len(words) + 1, np.uint16)
-                symbols[-1] = _END_SYMBOL
+                place = np.fromiter(map(known.get, words, absent), np.int64, len(words))
+                symbols = np.full(len(words) + 1, _END_SYMBOL, np.int64)
                 n = np.zeros(len(words), np.int64)
+                found = place >= 0
+                symbols[:-1][found], n[found] = value.symbol[place[found]], value.count[place[found]]
                 others: Counter = Counter()
-                found = [known.get(w) for w in words]
-                for k, hit in enumerate(found):
-                    if hit is None:
-                        others[words[k]] += 1
-                        symbols[k] = OWN_SYMBOLS + word_class(words[k])
-                    else:
-                        symbols[k], n[k] = hit
+                for k in np.flatnonzero(~found).tolist():
+                    others[words[k]] += 1
+                    symbols[k] = OWN_SYMBOLS + word_class(words[k])
                 there = n > 0
                 inside = there & (symbols[:-1] >= OWN_SYMBOLS)
-                kinds = symbols[:-1][inside].astype(np.int64) - OWN_SYMBOLS
+                kinds = symbols[:-1][inside] - OWN_SYMBOLS
                 rows.append((
                     symbols.astype("<u2").tobytes(), len(words) + 1, int(there.sum()) + (value.ends > 0),
                     float(value.base(n[there]).sum()) + end, float(value.inner(kinds, n[inside]).sum()),
@@ -175,9 +177,7 @@ class Hmm(NamedTuple):
 def first_model(counts: Counts, seed: int = 11) -> Hmm:
     """States that tend to stay, each with its own random slant on the words' shares."""
     share = np.full(SYMBOLS, 0.01)
-    for symbol, n in counts.known.values():
-        if symbol < OWN_SYMBOLS:
-            share[symbol] += n
+    share[: min(OWN_SYMBOLS, len(counts.count))] += counts.count[:OWN_SYMBOLS]
     share[OWN_SYMBOLS:_END_SYMBOL] += counts.class_total
     share[_END_SYMBOL] += counts.ends
     slant = np.random.default_rng(seed).lognormal(0.0, 0.7, (SYMBOLS, STATES))
@@ -188,6 +188,19 @@ def first_model(counts: Counts, seed: int = 11) -> Hmm:
     return Hmm(np.full(STATES, 1 / STATES), move, emit / emit.sum(axis=0))
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together: the more texts lie side by side, the fewer steps they take."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.nbytes for b in held) >= _GATHERED_BYTES:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _lanes(coded: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Texts side by side, the longest first: their numbers, symbols by step and lane, lanes alive by step."""
     sizes = np.fromiter((len(c) // 2 for c in coded), np.int64, len(coded))
@@ -272,10 +285,9 @@ def _next_model(rows: DataFrame, model: Hmm) -> Hmm:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
-        for batch in batches:
-            if batch.num_rows:
-                part = expected_counts(batch.column("symbols").to_pylist(), shared.value)
-                total = part if total is None else tuple(a + b for a, b in zip(total, part))
+        for texts in _gathered(batches):
+            part = expected_counts(texts.column("symbols").to_pylist(), shared.value)
+            total = part if total is None else tuple(a + b for a, b in zip(total, part))
         if total is not None:
             for kind, values in enumerate((total[0][None, :], *total[1:])):
                 i, j = np.nonzero(values)
@@ -297,10 +309,10 @@ def score(coded: DataFrame, model: Hmm, counts: Counts) -> DataFrame:
     shared = coded.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                found = likelihoods(batch.column("symbols").to_pylist(), shared.value)
-                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found)], names=["row", "_path"])
+        for texts in _gathered(batches):
+            found = likelihoods(texts.column("symbols").to_pylist(), shared.value)
+            rows = texts.column("row").combine_chunks()
+            yield pa.RecordBatch.from_arrays([rows, pa.array(found)], names=["row", "_path"])
 
     paths = in_tasks(coded.select("row", "symbols"), run, "row bigint, _path double")
     below = counts.total + ADDED * (counts.distinct + 1)
