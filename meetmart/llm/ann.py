@@ -289,7 +289,9 @@ def nearest(
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bins = [_enough_bins(tree, q, visits, sizes, need) for q in _matrix(batch.column("vector"), width)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bins, pa.list_(pa.int64()))], names=["vec_id", "vector", "leaves"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(bins, pa.list_(pa.int64()))], names=["vec_id", "vector", "leaves"]
+            )
 
     kind = queries.schema["vector"].dataType.simpleString()
     walked = materialized(in_tasks(queries, walk, f"vec_id bigint, vector {kind}, leaves array<bigint>"), "walks")

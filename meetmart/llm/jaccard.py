@@ -281,7 +281,8 @@ def _with_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
                 grams, sizes = gram_hashes(texts[a:b], words)
                 ends = np.cumsum(sizes)
                 sets += [np.unique(grams[e - s : e]).tobytes() for s, e in zip(sizes, ends)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(sets, pa.binary())], names=[*rest, "set"])
+            columns = [*[batch.column(c) for c in rest], pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*rest, "set"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema if f.name != "text")
     return in_tasks(joined, run, f"{schema}, set binary")
@@ -407,7 +408,8 @@ def _links(docs: DataFrame, copies: DataFrame, threshold: float, words: int, ban
         buckets.groupBy("band", "hash").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"),
         "buckets",
     )
-    edges = buckets.join(shared, ["band", "hash"]).where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    met = buckets.join(shared, ["band", "hash"]).where("node != first")
+    edges = met.select(F.col("node").alias("a"), F.col("first").alias("b"))
     near = materialized(connected_components(edges), "candidates")
     members = near.join(copies.drop("set_key", "copy_id", "bands"), "node")
     sizes = near.join(copies.select("node", "grams"), "node").groupBy("component").agg(

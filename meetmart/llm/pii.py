@@ -246,7 +246,10 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", found_col: s
         F.split(text, _ANY, -1),
         F.zip_with(raw, made, lambda m, p: F.struct(m.alias("old"), p["kind"].alias("kind"), p["pseudonym"].alias("new"))),
         lambda gap, p: F.struct(
-            gap.alias("gap"), p["kind"].alias("kind"), p["new"].alias("new"), F.coalesce(p["new"], p["old"], F.lit("")).alias("shown")
+            gap.alias("gap"),
+            p["kind"].alias("kind"),
+            p["new"].alias("new"),
+            F.coalesce(p["new"], p["old"], F.lit("")).alias("shown"),
         ),
     )
     hit = F.exists(F.col(made), lambda p: p["pseudonym"].isNotNull())
@@ -265,7 +268,13 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", found_col: s
                 .otherwise(
                     F.concat(
                         s["found"],
-                        F.array(F.struct(p["kind"].alias("kind"), (s["at"] + F.char_length(p["gap"])).alias("start"), p["new"].alias("pseudonym"))),
+                        F.array(
+                            F.struct(
+                                p["kind"].alias("kind"),
+                                (s["at"] + F.char_length(p["gap"])).alias("start"),
+                                p["new"].alias("pseudonym"),
+                            )
+                        ),
                     )
                 )
                 .alias("found"),

@@ -110,10 +110,10 @@ def in_blocks(docs: DataFrame, block_rows: int = _BLOCK_ROWS) -> DataFrame:
         borders = ids.agg(F.percentile_approx("doc_id", shares, 10 * blocks)).first()[0] or []
     block = _position(F.col("doc_id"), sorted(set(borders)))
     docs = docs.withColumn("_block", block)
-    firsts = sorted(
-        docs.groupBy("_block").agg(F.count("doc_id").alias("n"), F.min("doc_id").alias("first"), F.count_if(F.isnull("doc_id")).alias("nulls")).collect(),
-        key=lambda r: r._block,
-    )
+    by_block = docs.groupBy("_block").agg(
+        F.min("doc_id").alias("first"), F.count_if(F.isnull("doc_id")).alias("nulls")
+    )
+    firsts = sorted(by_block.collect(), key=lambda r: r._block)
     ghosts = [
         (r.first if not r.nulls else None, firsts[k - 1]._block) for k, r in enumerate(firsts)
     ]  # the first block's first row stands behind the last block
@@ -169,7 +169,8 @@ def near_fingerprints(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     masks = block_masks(distinct.count(), radius)
     signed = [m - 2**64 if m >= 2**63 else m for m in masks]
-    keys = F.array(*[F.struct(F.lit(k).alias("t"), F.col("simhash").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(signed)])
+    kept = [F.col("simhash").bitwiseAND(F.lit(m)).alias("key") for m in signed]
+    keys = F.array(*[F.struct(F.lit(k).alias("t"), key) for k, key in enumerate(kept)])
     tables = distinct.select("simhash", F.explode(keys).alias("_k")).select("simhash", "_k.t", "_k.key")
     a, b = tables.alias("a"), tables.alias("b")
     apart = F.col("a.simhash").bitwiseXOR(F.col("b.simhash"))
@@ -184,7 +185,10 @@ def near_fingerprints(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
         & (F.bit_count(apart) <= radius)
         & (first == F.col("a.t")),
     ).select(F.col("a.simhash").alias("x"), F.col("b.simhash").alias("y"))
-    both = F.array(F.struct(F.col("x").alias("simhash"), F.col("y").alias("other")), F.struct(F.col("y").alias("simhash"), F.col("x").alias("other")))
+    both = F.array(
+        F.struct(F.col("x").alias("simhash"), F.col("y").alias("other")),
+        F.struct(F.col("y").alias("simhash"), F.col("x").alias("other")),
+    )
     return pairs.select(F.explode(both).alias("p")).select("p.*")
 
 
