@@ -35,11 +35,19 @@ LEXICON_WORDS = 1 << 17
 LEAST_COUNT = 8
 #: Distinct words that a task counts before it hands on what it has.
 _FLUSH = 200_000
-#: Documents that a task encodes side by side, by bytes of text.
-_BLOCK_BYTES = 3_000_000
+#: Length of the texts that a task encodes side by side; each of their distinct words is looked up once.
+_BLOCK_BYTES = 6_000_000
 _END = "</w>"
 
 
+class Specials(dict):
+    """Ids of special tokens by their text, and what all the texts begin with."""
+
+    def __init__(self, ids: dict[str, int]):
+        super().__init__(ids)
+        self.mark = os.path.commonprefix(list(ids))
+
+
 class Vocabulary:
     """Ids, merges and special tokens of a vocabulary file of BPE with word ends."""
 
@@ -48,7 +56,7 @@ class Vocabulary:
             spec = json.load(file)
         model = spec["model"]
         ids = model["vocab"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special = Specials({t["content"]: t["id"] for t in spec["added_tokens"]})
         shown = {v: k for k, v in ids.items()} | {v: k for k, v in self.special.items()}
         self.shown = [shown.get(k, "").encode() for k in range(max(shown) + 1)]
         letters = _byte_letters()
@@ -170,9 +178,9 @@ def _special_pattern(names: tuple[str, ...]) -> re.Pattern:
     return re.compile("(" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + ")")
 
 
-def words_and_specials(chunk: str, special: dict[str, int]) -> list[str | int]:
+def words_and_specials(chunk: str, special: Specials) -> list[str | int]:
     """Words, and ids of special tokens that stand in the text."""
-    if not any(name in chunk for name in special):
+    if not special or special.mark not in chunk:
         return split_words(chunk)
     out: list[str | int] = []
     for part in _special_pattern(tuple(special)).split(chunk):
@@ -292,7 +300,7 @@ def _open(kind, path: str):
 # On Spark
 
 
-def word_counts(docs: DataFrame, special: dict[str, int]) -> DataFrame:
+def word_counts(docs: DataFrame, special: Specials) -> DataFrame:
     """How often each word occurs in all texts; tasks add up their own before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,25 +354,27 @@ def encode(docs: DataFrame, tokenizer: str, lexicon: str, with_text: bool = Fals
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _open(Vocabulary, tokenizer)
         words = _open(Lexicon, SparkFiles.get(lexicon))
-        for batch in batches:
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            for first, last in _blocks(texts):
-                ids = encode_block(texts[first:last], vocabulary, words)
-                columns = [batch.column("doc_id")[first:last], pa.array(ids, pa.binary())]
-                if with_text:
-                    columns.append(pa.array([decode(x, vocabulary) for x in ids], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
 
-    return in_tasks(docs, run, "doc_id bigint, ids binary" + ", decoded binary" * with_text)
+        def encoded(docs: list[int | None], texts: list[str]) -> pa.RecordBatch:
+            ids = encode_block(texts, vocabulary, words)
+            columns = [pa.array(docs, pa.int64()), pa.array(ids, pa.binary())]
+            if with_text:
+                columns.append(pa.array([decode(x, vocabulary) for x in ids], pa.binary()))
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
 
+        docs, texts, size = [], [], 0
+        for batch in batches:
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                docs.append(doc)
+                texts.append(text or "")
+                size += len(texts[-1])
+                if size >= _BLOCK_BYTES:
+                    yield encoded(docs, texts)
+                    docs, texts, size = [], [], 0
+        if docs:
+            yield encoded(docs, texts)
 
-def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    first = size = 0
-    for k, text in enumerate(texts):
-        size += len(text)
-        if size >= _BLOCK_BYTES or k == len(texts) - 1:
-            yield first, k + 1
-            first, size = k + 1, 0
+    return in_tasks(docs, run, "doc_id bigint, ids binary" + ", decoded binary" * with_text)
 
 
 def encode_block(texts: list[str], vocabulary: Vocabulary, lexicon: Lexicon) -> list[bytes]:
