@@ -19,17 +19,40 @@ _CYCLE, _CYCLE_A, _CYCLE_B, _CYCLE_START = 146_097, 189, 773, "1600-01-01"
 #: Letters and digits of a mail name that are permuted together; halves fit 64 bits in base 36.
 _MAIL_CHUNK = 22
 
+#: Country codes of one, two and three digits.
+_COUNTRY = r"\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+_ISO_DAY_ENDS = r"(?:(?![0-9A-Za-z/-])|(?=[Tt][0-9]{2})|(?=Z(?![0-9A-Za-z])))"
+#: Country code and ten digits, the last ten of which are the number.
+_TEN_DIGITS = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+_TRUNK = r"(?:\(0[0-9]{1,4}\) ?|0[1-9][0-9]{1,3}[ /-])[0-9]{3,4}[ -]?[0-9]{3,4}"
+_DATE = (
+    r"(?<![0-9A-Za-z/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}" + _ISO_DAY_ENDS
+    + r"|(?:[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z/-]))"
+)
+
 #: Kind, pattern of its candidates (Java). Where several fit at a place, the first does.
 PATTERNS = (
     ("mail", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,8}\.[A-Za-z]{2,}"),
-    ("date", r"(?<![0-9A-Za-z/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z/-])"),
+    ("date", _DATE),
     ("ip", r"(?<![0-9A-Za-z])(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z])(?!\.[0-9])"),
-    ("phone", r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9A-Za-z])"),
+    ("phone", r"(?<![0-9A-Za-z])" + _TEN_DIGITS + r"(?![0-9A-Za-z])"),
+    ("phone", r"(?<![0-9A-Za-z])(?=" + _COUNTRY + r")\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,5}\))?(?:(?:[.-]| (?!" + _DATE + r"))?[0-9]){5,13}(?![0-9A-Za-z])"),
     ("phone", r"(?<![0-9A-Za-z+])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z])"),
+    ("phone", r"(?<![0-9A-Za-z+,.-])(?<![0-9] )" + _TRUNK + r"(?![0-9A-Za-z-])(?! [0-9])"),
     ("ssn", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"),
-    ("card", r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"),
 )
+#: A card candidate is a whole run of 13 digits or more with single separators, up to where another kind begins;
+#: `_cards` finds the cards in it.
+_NEXT = r"(?:-| (?!" + "|".join(pattern for _, pattern in PATTERNS) + "))"
+_RUN = (
+    rf"(?<![0-9A-Za-z])(?=(?:[0-9](?![A-Za-z]){_NEXT}?){{12}}[0-9]++(?![A-Za-z]))"
+    rf"[0-9]++(?:{_NEXT}[0-9]++(?![A-Za-z]))*+"
+)
+PATTERNS += (("card", _RUN),)
 _ANY = "|".join(pattern for _, pattern in PATTERNS)
+#: Shortest and longest card, and the groups that cards are printed in.
+_CARD_DIGITS = range(13, 20)
+_PRINTED = r"^(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -](?:[0-9]{1,4}|[0-9]{4}[ -][0-9]{1,3}|[0-9]{5})|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{5}|[0-9]{4}(?:[ -][0-9]{3}){3}|[0-9]{6}[ -][0-9]{13})$"
 
 
 def _keyed(key: str, tweak: str, turn: Column, value: Column, modulus: Column) -> Column:
@@ -117,22 +140,72 @@ def _only_digits(text: Column) -> Column:
 
 
 def _card(m: Column, key: str) -> Column:
+    """The pseudonym of a card number that passes its check."""
+
     def made(digits: Column) -> Column:
         n = F.char_length(digits)
         middle = _permuted_digits(F.substr(digits, F.lit(2), n - 2), 10, key, "card")
         body = F.concat(F.substr(digits, F.lit(1), F.lit(1)), middle)
         with_check = _then(body, lambda b: F.concat(b, ((10 - _luhn_sum(b, 0) % 10) % 10).cast("string")))
-        return F.when(_luhn_sum(digits, 1) % 10 == 0, _laid_out(m, "[0-9]", with_check))
+        return _laid_out(m, "[0-9]", with_check)
 
     return _then(_only_digits(m), made)
 
 
+_SPANS = "array<struct<start: int, text: string>>"
+
+
+def _cards(run: Column) -> Column:
+    """Spans of a run between separators that pass the check, in order and without overlap.
+
+    Where spans overlap, those in groups that cards are printed in go first, then the longest, then the first.
+    """
+    at = F.filter(
+        F.sequence(F.lit(1), F.char_length(run)),
+        lambda p: (p == 1) | F.substr(run, p - 1, F.lit(1)).isin(" ", "-"),
+    )
+
+    def begun(p: Column) -> Column:
+        rest = F.substr(run, p, F.lit(2 * _CARD_DIGITS[-1]))
+        texts = _then(
+            rest,
+            lambda r: F.array(
+                *[F.regexp_extract(r, rf"^(?:[0-9][ -]?){{{n - 1}}}[0-9](?![0-9])", 0) for n in _CARD_DIGITS]
+            ),
+        )
+        valid = F.filter(texts, lambda t: (t != "") & (_luhn_sum(_only_digits(t), 1) % 10 == 0))
+        return F.transform(
+            valid,
+            lambda t: F.struct(
+                (~t.rlike(_PRINTED)).alias("odd"),
+                (-F.char_length(_only_digits(t))).alias("less"),
+                p.alias("start"),
+                t.alias("text"),
+            ),
+        )
+
+    def clash(a: Column, b: Column) -> Column:
+        return (a["start"] < b["start"] + F.char_length(b["text"])) & (b["start"] < a["start"] + F.char_length(a["text"]))
+
+    taken = F.aggregate(
+        F.array_sort(F.flatten(F.transform(at, begun))),
+        F.array().cast(_SPANS),
+        lambda s, c: F.when(F.exists(s, lambda o: clash(o, c)), s).otherwise(
+            F.concat(s, F.array(F.struct(c["start"].alias("start"), c["text"].alias("text"))).cast(_SPANS))
+        ),
+    )
+    return F.array_sort(taken)
+
+
 def _phone(m: Column, key: str) -> Column:
     national = F.regexp_extract(m, r"^(\+[0-9]{1,3}[ .-]?)?(.*)$", 2)
     # without a separator behind the country code, the last ten digits are the number
-    rest = F.when(_only_digits(national) == F.right(_only_digits(m), F.lit(10)), national).otherwise(
+    ten = F.when(_only_digits(national) == F.right(_only_digits(m), F.lit(10)), national).otherwise(
         F.regexp_extract(m, r"((?:[^0-9]*[0-9]){10})$", 1)
     )
+    # other lengths: what follows the country code and the bracketed zero that is not dialled behind it
+    other = F.regexp_extract(m, rf"^(?:{_COUNTRY}(?:[ .-]?\(0\))?)?(.*)$", 1)
+    rest = F.when(m.rlike(rf"^(?:{_TEN_DIGITS}|(?:\([0-9]{{3}}\) ?|[0-9]{{3}}[.-])[0-9]{{3}}[.-][0-9]{{4}})$"), ten).otherwise(other)
     return _then(
         rest,
         lambda r: F.concat(
@@ -214,19 +287,45 @@ def _kind(m: Column) -> Column:
         .when(m.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), "ip")
         .when(m.rlike(r"^\+|^\(|^[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}$"), "phone")
         .when(m.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
+        .when(m.rlike(rf"^{_TRUNK}$"), "phone")
         .otherwise("card")
     )
 
 
-def _pseudonym(match: Column, key: str) -> Column:
-    """struct(kind, pseudonym); the pseudonym is null where the value fails its check."""
+_PIECES = "array<struct<kind: string, new: string, shown: string>>"
+
+
+def _piece(kind: Column, new: Column, old: Column) -> Column:
+    return F.array(F.struct(kind.alias("kind"), new.alias("new"), F.coalesce(new, old).alias("shown"))).cast(_PIECES)
+
+
+def _kept(text: Column) -> Column:
+    none = F.lit(None).cast("string")
+    return _piece(none, none, text)
+
+
+def _pieces(match: Column, key: str) -> Column:
+    """A match as array of struct(kind, new, shown); `new` is null for what fails its check or lies between cards."""
 
     def made(kind: Column) -> Column:
         value = F.when(kind == "mail", _mail(match, key))
         for name, make in (("date", _date), ("ip", _ip), ("phone", _phone), ("ssn", _ssn)):
             value = value.when(kind == name, make(match, key))
-        return F.struct(kind.alias("kind"), value.otherwise(_card(match, key)).alias("pseudonym"))
+        return F.when(kind == "card", cards).otherwise(_then(value, lambda v: _piece(kind, v, match)))
 
+    cards = F.aggregate(
+        _cards(match),
+        F.struct(F.lit(1).alias("at"), F.array().cast(_PIECES).alias("out")),
+        lambda s, c: F.struct(
+            (c["start"] + F.char_length(c["text"])).alias("at"),
+            F.concat(
+                s["out"],
+                _kept(F.substr(match, s["at"], c["start"] - s["at"])),
+                _then(_card(c["text"], key), lambda v: _piece(F.lit("card"), v, c["text"])),
+            ).alias("out"),
+        ),
+        lambda s: F.concat(s["out"], _kept(F.substr(match, s["at"]))),
+    )
     return _then(_kind(match), made)
 
 
@@ -241,40 +340,28 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", found_col: s
     text = F.col(text_col)
     matches = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))).otherwise(F.array())
     with_matches = docs.withColumn(raw, F.coalesce(matches, F.array().cast("array<string>")))
-    values = with_matches.withColumn(made, F.transform(raw, lambda m: _pseudonym(m, key)))
-    parts = F.zip_with(
-        F.split(text, _ANY, -1),
-        F.zip_with(raw, made, lambda m, p: F.struct(m.alias("old"), p["kind"].alias("kind"), p["pseudonym"].alias("new"))),
-        lambda gap, p: F.struct(
-            gap.alias("gap"),
-            p["kind"].alias("kind"),
-            p["new"].alias("new"),
-            F.coalesce(p["new"], p["old"], F.lit("")).alias("shown"),
-        ),
+    values = with_matches.withColumn(made, F.transform(raw, lambda m: _pieces(m, key)))
+    parts = F.flatten(
+        F.zip_with(
+            F.split(text, _ANY, -1), made, lambda gap, p: F.concat(_kept(gap), F.coalesce(p, F.array().cast(_PIECES)))
+        )
     )
-    hit = F.exists(F.col(made), lambda p: p["pseudonym"].isNotNull())
-    pieces = values.withColumn(raw, F.when(hit, parts))
-    out = pieces
+    hit = F.exists(F.flatten(made), lambda p: p["new"].isNotNull())
+    out = values.withColumn(raw, F.when(hit, parts))
     if found_col:
         places = F.aggregate(
-            F.coalesce(F.col(raw), F.array().cast("array<struct<gap:string,kind:string,new:string,shown:string>>")),
+            F.coalesce(F.col(raw), F.array().cast(_PIECES)),
             F.struct(
                 F.lit(0).cast("bigint").alias("at"),
                 F.array().cast("array<struct<kind:string,start:bigint,pseudonym:string>>").alias("found"),
             ),
             lambda s, p: F.struct(
-                (s["at"] + F.char_length(p["gap"]) + F.char_length(p["shown"])).alias("at"),
+                (s["at"] + F.char_length(p["shown"])).alias("at"),
                 F.when(p["new"].isNull(), s["found"])
                 .otherwise(
                     F.concat(
                         s["found"],
-                        F.array(
-                            F.struct(
-                                p["kind"].alias("kind"),
-                                (s["at"] + F.char_length(p["gap"])).alias("start"),
-                                p["new"].alias("pseudonym"),
-                            )
-                        ),
+                        F.array(F.struct(p["kind"].alias("kind"), s["at"].alias("start"), p["new"].alias("pseudonym"))),
                     )
                 )
                 .alias("found"),
@@ -282,7 +369,7 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", found_col: s
             lambda s: s["found"],
         )
         out = out.withColumn(found_col, places)
-    joined = F.concat_ws("", F.transform(raw, lambda p: F.concat(p["gap"], p["shown"])))
+    joined = F.concat_ws("", F.transform(raw, lambda p: p["shown"]))
     return out.withColumn(text_col, F.when(F.col(raw).isNull(), text).otherwise(joined)).drop(raw, made)
 
 

@@ -187,3 +187,40 @@ def test_no_python_in_the_plan(spark):
 
 def test_empty_table(spark):
     assert pii.pii_digest(documents(spark, []), KEY).collect() == []
+
+
+def test_cards_among_other_digits(spark):
+    made = {c: card(c) for c in ("4111 1111 1111 1111", "4111-1111-1111-1111", "5555 5555 5555 4444", "3782 822463 10005")}
+    a, b, c, d = made
+    day, address = "2024-02-29", "10.0.0.1"
+    texts = {
+        f"{a} 123": f"{made[a]} 123",
+        f"{a} 12/27": f"{made[a]} 12/27",
+        f"item 7 {b}": f"item 7 {made[b]}",
+        f"{a} {c} 7 {d}": f"{made[a]} {made[c]} 7 {made[d]}",
+        f"{a} {day}": f"{made[a]} {date(day)}",
+        f"{a} {address} {a}": f"{made[a]} {ip(address)} {made[a]}",
+        f"{a} 2nd": f"{made[a]} 2nd",
+        "1234 4111 1111 1111 1112": "1234 4111 1111 1111 1112",
+    }
+    frame = documents(spark, list(enumerate(texts)))
+    rows = {r.doc_id: r for r in pii.pii_digest(frame, KEY).collect()}
+    assert [rows[k].text for k in range(len(texts))] == list(texts.values())
+    for r in rows.values():
+        assert all(r.text[f.start :].startswith(f.pseudonym) for f in r.found)
+
+
+def test_the_day_of_a_time_is_replaced(spark):
+    day = date("1980-02-03")
+    got = pseudonyms(spark, ["1980-02-03T00:00:00Z", "1980-02-03 00:00", "at 1980-02-03Z", "1980-02-03x"])
+    assert got == [f"{day}T00:00:00Z", f"{day} 00:00", f"at {day}Z", "1980-02-03x"]
+
+
+def test_phones_of_other_shapes(spark):
+    values = ["+44 20 7946 0958", "+442079460958", "+44 (0)20 7946 0958", "+49 30 123456", "+4930123456", "020 7946 0958", "(0171) 1234567", "030/123456"]
+    got = pseudonyms(spark, values)
+    london, berlin = digits("2079460958", 10, "phone"), digits("30123456", 10, "phone")
+    assert got[0] == laid_out(values[0], r"\d", "44" + london)
+    assert got[1] == "+44" + london and got[2] == laid_out(values[2], r"\d", "440" + london)
+    assert [re.sub(r"\D", "", g) for g in got[3:5]] == ["49" + berlin] * 2
+    assert all(g != v and re.sub(r"\d", "0", g) == re.sub(r"\d", "0", v) for g, v in zip(got, values))
