@@ -1,7 +1,7 @@
 """License scan: ordered signature rules behind a keyword gate, overlaps resolved by containment.
 
 A rule is a regular expression over the folded words of a text, joined by single spaces. It runs only on
-texts that hold all of its key words. A detection is dropped if a kept one of a higher tier, or a longer one
+texts that hold its key words; those are derived from all spellings of the pattern, so no match is lost. A detection is dropped if a kept one of a higher tier, or a longer one
 of its own tier, spans all of its words. Base phrases are reported always.
 """
 
@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections import defaultdict
+from collections import Counter, defaultdict
 from functools import cache
+from re import _constants as sre, _parser as parser
 from typing import NamedTuple
 
 import numpy as np
@@ -26,11 +27,11 @@ class Rule(NamedTuple):
     label: str
     tier: int
     confidence: float
-    need: frozenset[bytes]
+    need: tuple[frozenset[bytes], ...]  # of each set, every match holds a word
     pattern: str
 
 
-#: label, name as folded words (regular expression), words that must be there.
+#: label, name as folded words (regular expression), word that marks a name that ordinary texts hold too.
 FAMILIES = (
     ("apache-2.0", r"apache(?: software)?(?: license| licence)?(?: version| v)? ?2(?: 0)?", "apache"),
     ("apache-1.1", r"apache(?: software)? license(?: version)? 1 1", "apache"),
@@ -150,50 +151,91 @@ _SCHEMA = (
 def rules() -> tuple[Rule, ...]:
     """All rules, the strongest tier first: families in each of their contexts, sentences, vague mentions."""
 
-    def rule(kind: str, label: str, pattern: str, *words: str) -> Rule:
+    def rule(kind: str, label: str, pattern: str, *need: frozenset[bytes]) -> Rule:
         tier, confidence = TIERS[kind]
-        return Rule(
-            f"{kind}:{label}", label, tier, confidence,
-            frozenset(x.encode() for x in words if x), pattern,
-        )
+        return Rule(f"{kind}:{label}", label, tier, confidence, need, pattern)
 
     made = []
     for label, name, word in FAMILIES:
         ident = label.replace("-", " ").replace(".", " ")
-        made.append(rule("spdx", label, rf"spdx license identifier {ident}(?: only| or later)?", "spdx"))
-        made.append(rule("url", label, rf"(?:org|com|net)(?: [^ ]+)?(?: legal)? licen[cs]es? {ident}", "org"))
+        idents, names = [_one_of(w) for w in ident.split()], _key_words(name)
+        made.append(rule("spdx", label, rf"spdx license identifier {ident}(?: only| or later)?", *idents, _one_of("spdx")))
+        made.append(rule("url", label, rf"(?:org|com|net)(?: [^ ]+)?(?: legal)? licen[cs]es? {ident}", _one_of("org", "com", "net"), *idents, _LICENSES))
         for verb in GRANTS:
-            made.append(rule("grant", label, rf"{verb} under(?: the)?(?: terms of)?(?: the| an?)? {name}(?: licen[cs]e)?", "under", verb, word))
-        made.append(rule("named", label, rf"{name} licen[cs]e", word))
+            made.append(rule("grant", label, rf"{verb} under(?: the)?(?: terms of)?(?: the| an?)? {name}(?: licen[cs]e)?", _one_of("under"), _one_of(verb), names))
+        made.append(rule("named", label, rf"{name} licen[cs]e", names))
         if not word or "licen" in name:  # names that no ordinary text holds
-            made.append(rule("named", label, name, word))
-    made += [rule("sentence", label, pattern, word) for label, pattern, word in SENTENCES]
+            made.append(rule("named", label, name, names))
+    made += [rule("sentence", label, pattern, _one_of(word) if word else _key_words(pattern)) for label, pattern, word in SENTENCES]
     for verb in GRANTS:
-        made.append(rule("vague", "unknown", rf"{verb} under(?: the)?(?: [^ ]+){{1,4}}? licen[cs]e", verb, "under"))
-    made.append(rule("vague", "unknown", r"see(?: the)? licen[cs]e(?: file)?(?: for details)?", "see"))
+        made.append(rule("vague", "unknown", rf"{verb} under(?: the)?(?: [^ ]+){{1,4}}? licen[cs]e", _one_of("under"), _one_of(verb)))
+    made.append(rule("vague", "unknown", r"see(?: the)? licen[cs]e(?: file)?(?: for details)?", _one_of("see")))
     return tuple(sorted(made, key=lambda r: -r.tier))
 
 
+def _one_of(*words: str) -> frozenset[bytes]:
+    return frozenset(w.encode() for w in words)
+
+
+_LICENSES = _one_of("license", "licence", "licenses", "licences")
+#: Words that open a rule only where no other does.
+_FREQUENT = _LICENSES | _one_of("version", "public", "software", "for", "use", "purposes")
+_ANY = "\0"  # stands for a character that is not known
+
+
+def spellings(pattern: str) -> set[str]:
+    """All spellings of a pattern. Of what repeats without bound, the fewest and one more; unknown characters as NUL."""
+    return _spelled(parser.parse(pattern))
+
+
+def _spelled(parsed) -> set[str]:
+    out = {""}
+    for op, arg in parsed:
+        if op is sre.LITERAL:
+            part = {chr(arg)}
+        elif op is sre.IN and all(kind is sre.LITERAL for kind, _ in arg):
+            part = {chr(c) for _, c in arg}
+        elif op in (sre.IN, sre.ANY, sre.NOT_LITERAL):
+            part = {_ANY}
+        elif op is sre.SUBPATTERN:
+            part = _spelled(arg[-1])
+        elif op is sre.BRANCH:
+            part = set().union(*map(_spelled, arg[1]))
+        elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT):
+            low, high, body = arg
+            once, part = _spelled(body), set()
+            for n in range(low, min(high, low + 1) + 1):
+                times = {""}
+                for _ in range(n):
+                    times = {a + b for a in times for b in once}
+                part |= times
+        else:
+            raise ValueError(f"no spellings of {op} in a rule")
+        out = {a + b for a in out for b in part}
+    return out
+
+
+def _key_words(pattern: str) -> frozenset[bytes]:
+    """Words of which every spelling of the pattern holds one: the rarer ones first, each for as many as it can."""
+    left = [{w.encode() for w in text.split() if _ANY not in w} for text in spellings(pattern)]
+    chosen = set()
+    while left:
+        counts = Counter(w for words in left for w in words)
+        best = min(counts, key=lambda w: (w in _FREQUENT or len(w) < 3, -counts[w], -len(w), w))
+        chosen.add(best)
+        left = [words for words in left if best not in words]
+    return frozenset(chosen)
+
+
 @cache
 def _compiled():
-    """Rules by one key word each, and the word set that opens the gate.
-
-    Rules without a key word of their own are opened by the first literal words of their alternatives.
-    """
-    gate, by_word = set(), defaultdict(list)
+    """The word set of the gate, rules by the words of one set that open them, patterns."""
+    by_word = defaultdict(list)
     for k, r in enumerate(rules()):
-        need = r.need or frozenset()
-        opens = [min(need, key=lambda w: (-len(w), w))] if need else sorted(_first_words(r.pattern))
-        for w in opens:
+        for w in max(r.need, key=lambda words: (not words & _FREQUENT, min(map(len, words)), -len(words))):
             by_word[w].append(k)
-            gate.add(w)
     patterns = [re.compile(rf"(?<= )(?:{r.pattern})(?= )".encode()) for r in rules()]
-    return frozenset(gate), dict(by_word), patterns
-
-
-def _first_words(pattern: str) -> set[bytes]:
-    """Words one of which any match holds: the licence names are rare words, so any literal will do."""
-    return {w.encode() for w in re.findall(r"[a-z0-9]{2,}", re.sub(r"\(\?: ?[^()]*\)\?", " ", pattern))}
+    return frozenset(by_word), dict(by_word), patterns
 
 
 def detections(words: list[bytes]) -> list[tuple]:
@@ -220,7 +262,7 @@ def detections(words: list[bytes]) -> list[tuple]:
     there = set(words) if seen else set()
     for k in sorted({k for w in seen for k in by_word[w]}):
         r = rules()[k]
-        if r.need <= there:
+        if all(not words.isdisjoint(there) for words in r.need):
             for m in patterns[k].finditer(joined):
                 add(r.name, r.label, r.tier, r.confidence, m, False)
     return _resolve(found)

@@ -1,4 +1,5 @@
 import re
+from random import Random
 
 import pytest
 from llm_cases import documents, odd_texts
@@ -74,3 +75,49 @@ def test_every_rule_opens_the_gate_for_its_own_text():
 
 def test_empty_table(spark):
     assert licenses.license_digest(documents(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("This is GPLv2 software", "gpl-2.0"),
+        ("under the Beerware license", "beerware"),
+        ("Beerware", "beerware"),
+        ("agplv3", "agpl-3.0"),
+        ("lgplv3", "lgpl-3.0"),
+        ("apache2 licence", "apache-2.0"),
+        ("github.com/licenses/mit", "mit"),
+        ("example.net/license/isc", "isc"),
+    ],
+)
+def test_joined_names_and_addresses_are_found(text, label):
+    assert label in {d[1] for d in licenses.detections(folded_words(text.encode()))}
+
+
+def test_the_gate_loses_no_spelling_of_any_rule():
+    random = Random(7)
+    _, by_word, patterns = licenses._compiled()
+    gated = [{w for w, ks in by_word.items() if k in ks} for k in range(len(patterns))]
+    for k, rule in enumerate(licenses.rules()):
+        parts = sorted(licenses.spellings(rule.pattern))
+        for text in random.sample(parts, min(len(parts), 200)):
+            words = text.replace("\0", "1").encode().split()
+            if not patterns[k].search(b" " + b" ".join(words) + b" "):
+                continue  # a class that holds no 1
+            assert gated[k].intersection(words), (rule.name, text)
+            assert all(need.intersection(words) for need in rule.need), (rule.name, text)
+
+
+def test_gated_and_ungated_scans_agree(monkeypatch):
+    random = Random(11)
+    rules, (_, _, patterns) = licenses.rules(), licenses._compiled()
+    texts = []
+    for rule in rules:
+        spelled = random.choice(sorted(licenses.spellings(rule.pattern))).replace("\0", "1")
+        texts.append(f"one {spelled} two".encode().split())
+    got = [licenses.detections(words) for words in texts]
+    # every text opens every rule, whatever words it holds
+    free = tuple(r._replace(need=()) for r in rules)
+    monkeypatch.setattr(licenses, "rules", lambda: free)
+    monkeypatch.setattr(licenses, "_compiled", lambda: (frozenset([b"one"]), {b"one": list(range(len(free)))}, patterns))
+    assert got == [licenses.detections(words) for words in texts]
