@@ -14,8 +14,8 @@ class RunConfig:
     """Paths, dates and switches of one run; from arguments, `run_date` defaults to yesterday (UTC).
 
     `landed` builds silver from the table the ingest wrote instead of the raw files: from the
-    arrivals of the run date and the newest silver day before it, or with `rebuild` from all
-    arrivals; `dedupe_memory`, `max_file_age` and `max_batch_bytes` are settings of the ingest;
+    newest silver day before the run date and the arrivals it has not read, or with `rebuild` from
+    all arrivals; `dedupe_memory`, `max_file_age` and `max_batch_bytes` are settings of the ingest;
     `active_only` leaves canceled bookings out of gold; `spend_from` and `spend_to` widen the
     spend beyond the run date; `by_day` picks the older summary; `input_gb` sizes shuffles.
     """

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import logging
 from collections.abc import Callable
 
@@ -77,17 +76,21 @@ def _records(accepted: DataFrame, schema: T.StructType) -> DataFrame:
 def run_silver(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
     """Bronze -> silver events of this run date and silver spend of the days in the files.
 
-    From the landed table, only what arrived on the run date is read and merged into the newest
-    silver day before it; `rebuild` reads all arrivals up to the run date instead.
+    From the landed table, only the files that the newest silver day before has not read are
+    read, whatever their day, and merged into that day; `rebuild` reads all arrivals up to the run
+    date instead. The files that a silver day stands for are kept beside it, and written after it:
+    a load that breaks off leaves files that are read again, which changes nothing.
     """
-    before = None
+    before, files = None, []
     if not cfg.landed:
         accepted = judged(spark, cfg, "webhooks", cfg.webhooks_path, contracts.webhook_reasons)
         webhooks = _records(accepted, schemas.WEBHOOK)
     else:
         before = None if cfg.rebuild else _silver_before(spark, cfg)
-        first = None if before is None else _day_after(before[0])
-        webhooks = ingest.landed_webhooks(spark, cfg.landed_path, first, cfg.run_date)
+        files = ingest.landed_files(spark, cfg.landed_path, cfg.run_date)
+        known = set() if before is None else _files_read(spark, cfg, before[0])
+        unread = [f for f in files if f not in known]
+        webhooks = ingest.webhooks_of(spark, cfg.landed_path, unread)
     _log_rules(webhooks)
     events = (
         silver.silver_events(webhooks, cfg.run_date, cfg.zone)
@@ -95,12 +98,16 @@ def run_silver(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
         else silver.merged_silver_events(before[1], webhooks, cfg.run_date, cfg.zone)
     )
     day = [{"dt": cfg.run_date}]
+    if not cfg.landed:
+        _keep_files_read(spark, cfg, [])  # what an earlier load of the day read says nothing now
     # One day, straight from the shuffle of the duplicate removal: no second shuffle to size files.
     rows = {
         "events": writers.write_days(
             events, cfg.silver_events_path, fmt=cfg.fmt, rebalance=False, replaces=day
         )
     }
+    if cfg.landed:
+        _keep_files_read(spark, cfg, files)
     written = _events(spark, cfg)
     # Free-text tags may make the list long, so it comes partition by partition.
     for row in silver.channel_distribution(written).toLocalIterator():
@@ -140,8 +147,19 @@ def _silver_before(spark: SparkSession, cfg: RunConfig) -> tuple[str, DataFrame]
     return None if day is None else (day, table.where(F.col("dt") == day))
 
 
-def _day_after(day: str) -> str:
-    return (dt.date.fromisoformat(day) + dt.timedelta(days=1)).isoformat()
+def _reads_path(cfg: RunConfig) -> str:
+    return f"{cfg.silver_events_path.rstrip('/')}_reads"
+
+
+def _files_read(spark: SparkSession, cfg: RunConfig, day: str) -> set[str]:
+    """Landed files whose webhooks a silver day holds; none where that is not known."""
+    rows = readers.read_days_or_empty(spark, _reads_path(cfg), _READ, day, day)
+    return {row["file"] for row in rows.collect()}  # no more than the listing of the landed table
+
+
+def _keep_files_read(spark: SparkSession, cfg: RunConfig, files: list[str]) -> None:
+    rows = spark.createDataFrame([(f, cfg.run_date) for f in files], _READ)
+    writers.write_days(rows, _reads_path(cfg), replaces=[{"dt": cfg.run_date}])
 
 
 def run_vendor_spend(spark: SparkSession, cfg: RunConfig) -> DataFrame:
@@ -201,6 +219,9 @@ _JUDGED = T.StructType(
 )
 
 
+_READ = T.StructType([T.StructField("file", T.StringType()), T.StructField("dt", T.StringType())])
+
+
 def _events(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     day = cfg.run_date
     return readers.read_days(

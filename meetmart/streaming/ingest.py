@@ -7,6 +7,8 @@ so nothing that landed is lost.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -164,6 +166,24 @@ def landed_webhooks(
     return between_days(accepted, first, last).select("webhook.*")
 
 
+def landed_files(spark: SparkSession, table: str, last: str) -> list[str]:
+    """Files of accepted webhooks that arrived up to a day, below the table's path.
+
+    A file never changes: batches that are replayed or compacted come out as new files.
+    """
+    place = re.compile(rf"/(route={BRONZE}/dt=([^/]+)/batch_id=[^/]+/[^/]+)$")
+    found = map(place.search, read_landed(spark, table).inputFiles())
+    return sorted(m[1] for m in found if m and m[2] <= last)
+
+
+def webhooks_of(spark: SparkSession, table: str, files: list[str]) -> DataFrame:
+    """Webhooks of some of the `landed_files`, in the shape of `schemas.WEBHOOK`."""
+    if not files:
+        return spark.createDataFrame([], schemas.WEBHOOK)
+    paths = [f"{table.rstrip('/')}/{f}" for f in files]
+    return spark.read.schema(LANDED).option("basePath", table).parquet(*paths).select("webhook.*")
+
+
 def dead_letters(spark: SparkSession, table: str) -> DataFrame:
     return (
         read_landed(spark, table)

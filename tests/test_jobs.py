@@ -231,6 +231,44 @@ def test_new_arrivals_merge_into_the_day_before(spark, tmp_path):
     assert states[0] == states[1] == states[2] and "second" in "".join(states[0])
 
 
+def test_back_dated_and_late_arrivals_reach_silver(spark, tmp_path):
+    zone = tmp_path / "zone"
+    zone.mkdir()
+    cfg = RunConfig(
+        "2025-06-16", webhooks_path=str(zone), landed_path=str(tmp_path / "landed"),
+        checkpoint_path=str(tmp_path / "checkpoint"), silver_events_path=str(tmp_path / "events"),
+        silver_spend_path=str(tmp_path / "spend"), spend_path=str(tmp_path / "none.json"),
+        judged_path=str(tmp_path / "judged"), landed=True,
+    )
+    (tmp_path / "none.json").write_text("[]")
+    day = 1_750_000_000  # 2025-06-15 15:06:40 UTC
+
+    def land(uri, at):
+        path = zone / uri
+        path.write_text(json.dumps(webhook(payload__uri=uri)))
+        os.utime(path, (at, at))
+        jobs.run_ingest(spark, cfg)
+
+    def rows(run_date):
+        jobs.run_silver(spark, replace(cfg, run_date=run_date))
+        table = spark.read.parquet(cfg.silver_events_path).where(f"dt = '{run_date}'")
+        return sorted(map(repr, table.collect()))
+
+    land("I1", day)
+    assert len(rows("2025-06-15")) == 1
+    land("I2", day + 60)  # later on a day that silver has read
+    land("I3", day - 30 * 86400)  # back-dated
+    assert len(rows("2025-06-16")) == 3
+    assert jobs.run_compact_landed(spark, replace(cfg, run_date="2025-06-15")) == 2
+    assert len(rows("2025-06-17")) == 3
+    land("I4", day + 120)  # joins a day that is compacted again
+    assert jobs.run_compact_landed(spark, replace(cfg, run_date="2025-06-15")) == 3
+    merged = rows("2025-06-18")
+    jobs.run_silver(spark, replace(cfg, run_date="2025-06-18", rebuild=True))
+    table = spark.read.parquet(cfg.silver_events_path).where("dt = '2025-06-18'")
+    assert len(merged) == 4 and merged == sorted(map(repr, table.collect()))
+
+
 def test_flat_tables(spark, cfg):
     jobs.run_flat_silver(spark, cfg)
     jobs.run_flat_gold(spark, cfg)
