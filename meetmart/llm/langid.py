@@ -2,7 +2,8 @@
 
 Each language has a distribution over hashed byte trigrams, counted over all training texts. A text is cut into
 short units; expectation-maximisation estimates the share of each language from the units' likelihoods. The set
-of languages grows by share as long as the likelihood gains more than a penalty per language.
+of languages grows by share up to all that were learned; the set with the best likelihood less a penalty per
+language is taken.
 """
 
 from __future__ import annotations
@@ -22,8 +23,7 @@ BUCKETS = 1 << 16
 #: Trigrams of a unit.
 UNIT = 32
 ROUNDS = 12
-#: Languages of one text at most, and what each further one must gain in log likelihood per log of the units.
-MOST_LANGUAGES = 4
+#: What each further language of a text must gain in log likelihood per log of the units.
 PENALTY = 4.0
 _SMOOTH = 0.05
 #: Numbers that a task works on at a time (trigrams times languages).
@@ -130,12 +130,21 @@ def mixtures(texts: list[str], model: Model) -> list[list[tuple[str, float]]]:
     best_share[np.arange(len(texts)), winner] = 1.0
     best = single.max(axis=1)
     penalty = PENALTY * np.log(spans + 1.0)
-    for k in range(2, min(MOST_LANGUAGES, count) + 1):
-        share, value = _mix(units, starts, spans, (rank < k).astype(np.float64))
-        value = value - (k - 1) * penalty
-        better = value > best
-        best = np.where(better, value, best)
-        best_share[better] = share[better]
+    bound = np.add.reduceat(units.max(axis=1), starts)
+    # The best language of each unit bounds what any set can reach: a text is left alone as soon as the penalty
+    # keeps all larger sets behind the best so far.
+    for k in range(2, count + 1):
+        at = np.flatnonzero(bound - (k - 1) * penalty > best)
+        if not len(at):
+            break
+        sizes_k = spans[at]
+        starts_k = np.cumsum(sizes_k) - sizes_k
+        rows = np.repeat(starts[at] - starts_k, sizes_k) + np.arange(sizes_k.sum())
+        share, value = _mix(units[rows], starts_k, sizes_k, (rank[at] < k).astype(np.float64))
+        value = value - (k - 1) * penalty[at]
+        better = value > best[at]
+        best[at[better]] = value[better]
+        best_share[at[better]] = share[better]
     out = []
     for row in best_share:
         at = np.argsort(-row, kind="stable")

@@ -98,3 +98,20 @@ def test_nothing_learned(spark):
     assert langid.language_digest(documents(spark, [])).collect() == []
     nothing = langid.train(docs, F.lit(True))
     assert langid.determined(docs, nothing).count() == 1
+
+
+def test_six_languages_of_one_text():
+    letters = ["abcd", "efgh", "ijkl", "mnop", "qrst", "uvwx", "yz01"]
+
+    def words(k, seed, n):
+        pick = random.Random(f"{k}{seed}")
+        return " ".join("".join(pick.choice(letters[k]) for _ in range(5)) for _ in range(n))
+
+    counts = np.stack([langid._count([words(k, s, 400) for s in range(5)]) for k in range(7)], axis=1) + langid._SMOOTH
+    model = langid.Model(tuple("abcdefg"), np.log(counts / counts.sum(axis=0)).astype(np.float32))
+    sizes = [600, 500, 400, 300, 200, 150]
+    ((*six,),) = langid.mixtures([" ".join(words(k, "new", n) for k, n in enumerate(sizes))], model)
+    assert [lang for lang, _ in six] == list("abcdef")
+    assert [share for _, share in six] == pytest.approx([n / sum(sizes) for n in sizes], abs=0.02)
+    ((*one,),) = langid.mixtures([words(6, "new", 600)], model)
+    assert one == [("g", 1.0)]
