@@ -111,3 +111,9 @@ def test_every_point_is_in_the_leaf_of_its_nearest_children():
             node = int(tree.first[node] + np.argmin(((children - points[k]) ** 2).sum(axis=1))) + 1
         assert tree.leaf[node - 1] == leaf[k]
     assert sorted(ann.best_bins(tree, points[0], tree.leaves)) == list(range(tree.leaves))
+
+
+def test_the_target_recall_is_not_lowered():
+    assert ann.TARGET_RECALL >= 0.98
+    for search in (ann.nearest, ann.neighbours_of_every_20th):
+        assert search.__defaults__[-1] == ann.TARGET_RECALL
