@@ -1,11 +1,12 @@
 """Approximate nearest neighbours by inner product: a hierarchical k-means tree, searched best bin first.
 
 The tree is fitted on a bounded sample of the vectors; every vector is then put into a leaf. A query walks the
-tree with a priority queue by the inner product with the centroids and visits so many leaves that the share of
-true neighbours found, measured on some queries against all vectors, reaches the target. The visits come in
-rounds, each wider than the one before: from the second on a leaf returns only what is no worse than the k-th
-best so far. Queries and the leaves' vectors meet in tiles of bounded size, so a leaf that holds a large part
-of all rows is split over many tasks.
+tree in the order of a priority queue by the inner product with the centroids and visits so many leaves that the
+share of true neighbours found, measured on some queries against all vectors, reaches the target. Leaves that lie
+together form groups; a query goes to a group once, with the list of its leaves there. It goes first to the group of
+its best leaf, then, with the k-th best score found, to all others that can hold anything as good: a leaf whose
+centroid and radius rule that out is not visited. Queries and vectors meet in tiles of bounded size, so a leaf that
+holds a large part of all rows is split over many tasks.
 """
 
 from __future__ import annotations
@@ -29,11 +30,14 @@ CALIBRATION_QUERIES = 256
 TARGET_RECALL = 0.98
 BRANCHES = 16
 LEAF_ROWS = 256
-#: By how much a round of visits is wider than all before it.
-WIDENING = 4
-MOST_LEAVES = 8192
-#: Vectors and queries of a tile.
-TILE_ROWS, TILE_QUERIES = 2048, 2048
+#: Sample points that a leaf is fitted on at least; so the size of the sample bounds the number of leaves.
+LEAF_POINTS = 8
+#: Groups of leaves: so many at least, or as many as it takes for groups of so many rows.
+GROUPS, GROUP_ROWS = 32, 1 << 17
+#: Vectors and queries of a tile, and queries that a leaf is compared with at a time.
+TILE_ROWS, TILE_QUERIES, _QUERY_BLOCK = GROUP_ROWS, 1 << 14, 2048
+#: Numbers that a batch of walks holds at a time.
+_WALK_NUMBERS = 1 << 22
 _LLOYD_ROUNDS = 8
 
 
@@ -127,17 +131,49 @@ def best_bins(tree: Tree, query: np.ndarray, visits: int) -> list[int]:
     return found
 
 
-def _enough_bins(tree: Tree, query: np.ndarray, visits: int, sizes: dict[int, int], need: int) -> list[int]:
-    """The first `visits` leaves, and as many more as it takes to hold `need` rows."""
-    bins = best_bins(tree, query, visits)
-    if sum(sizes.get(leaf, 0) for leaf in bins) >= need:
-        return bins
-    bins, held = best_bins(tree, query, tree.leaves), 0
-    for place, leaf in enumerate(bins, 1):
-        held += sizes.get(leaf, 0)
-        if place >= visits and held >= need:
-            return bins[:place]
-    return bins
+def paths(tree: Tree) -> np.ndarray:
+    """Nodes from below the root to each leaf (leaves x levels); a shorter path repeats its leaf."""
+    found: list[list[int]] = [[] for _ in range(tree.leaves)]
+    stack: list[tuple[int, list[int]]] = [(0, [])]
+    while stack:
+        node, path = stack.pop()
+        start = tree.first[node]
+        if start < 0:
+            if node:
+                found[tree.leaf[node - 1]] = path
+            continue
+        stack += [(int(start) + k + 1, [*path, int(start) + k]) for k in range(tree.count[node])]
+    depth = max(map(len, found))
+    return np.array([path + path[-1:] * (depth - len(path)) for path in found], np.int64).reshape(tree.leaves, depth)
+
+
+def walk_order(tree: Tree, queries: np.ndarray, way: np.ndarray) -> np.ndarray:
+    """All leaves in the order in which `best_bins` reaches them, for many queries side by side.
+
+    The queue takes a leaf when the worst score on its path comes up; among leaves held up by one and the same
+    node, the worst score below that node decides, and so on.
+    """
+    if not way.shape[1]:
+        return np.zeros((len(queries), 1), np.int64)
+    scores = (queries @ tree.centroids.T)[:, way]  # queries x leaves x levels
+    level = np.arange(way.shape[1])
+    held, keys = np.full(scores.shape[:2], -1), []
+    for _ in level:
+        rest = np.where(level > held[:, :, None], scores, np.inf)
+        worst = rest.min(axis=2)
+        keys.append(-worst)
+        last = way.shape[1] - 1 - np.argmin(rest[:, :, ::-1], axis=2)
+        held = np.where(np.isfinite(worst), last, way.shape[1])
+    return np.lexsort(keys[::-1], axis=1)
+
+
+def groups_of(way: np.ndarray, sizes: np.ndarray, groups: int) -> np.ndarray:
+    """The group of each leaf: neighbours in the tree, about equally many rows each."""
+    order = np.lexsort(way.T[::-1]) if way.shape[1] else np.zeros(len(sizes), np.int64)
+    before = np.cumsum(sizes[order]) - sizes[order] / 2
+    out = np.empty(len(sizes), np.int64)
+    out[order] = np.minimum(before * groups / max(sizes.sum(), 1), groups - 1).astype(np.int64)
+    return out
 
 
 def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -233,12 +269,10 @@ def calibrate(rows: DataFrame, queries: DataFrame, width: int, tree: Tree, k: in
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     best = _partial_best(rows, asked, width, k, tree).withColumn("rank", F.row_number().over(order))
     truth = best.where(F.col("rank") <= k).select("query", "leaf").collect()
-    place = []
-    walks = [
-        {leaf: i for i, leaf in enumerate(best_bins(tree, np.array(r.vector, np.float64), tree.leaves))} for r in asked
-    ]
-    for r in truth:
-        place.append(walks[r.query].get(r.leaf, tree.leaves))
+    way = paths(tree)
+    asked_vectors = np.array([r.vector for r in asked], np.float64).reshape(-1, width)
+    places = [np.argsort(walk_order(tree, q[None], way)[0]) for q in asked_vectors]
+    place = [places[r.query][r.leaf] for r in truth]
     place = np.sort(place)
     visits = 1
     while visits < tree.leaves and (place < visits).mean() < target:
@@ -250,6 +284,53 @@ def calibrate(rows: DataFrame, queries: DataFrame, width: int, tree: Tree, k: in
     return max(1, high)
 
 
+def search_tile(
+    rows: np.ndarray, row_ids: np.ndarray, leaves: np.ndarray, queries: np.ndarray, query_ids: np.ndarray,
+    wanted: list, least: np.ndarray, k: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query index, row index, score) of each query's k best rows in the leaves it wants, `least` or better.
+
+    Leaves that queries want early go first; after each, a query wants no less than its k-th best so far.
+    """
+    by_leaf = np.argsort(leaves, kind="stable")
+    here, begin = np.unique(leaves[by_leaf], return_index=True)
+    spans = dict(zip(here.tolist(), zip(begin.tolist(), [*begin[1:].tolist(), len(leaves)])))
+    sizes = np.fromiter(map(len, wanted), np.int64, len(wanted))
+    flat = np.concatenate([np.asarray(w, np.int64) for w in wanted]) if len(wanted) else np.zeros(0, np.int64)
+    asker = np.repeat(np.arange(len(wanted)), sizes)
+    early = 1 / (1 + np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes))
+    order = np.argsort(flat, kind="stable")
+    asked, first = np.unique(flat[order], return_index=True)
+    urgency = np.add.reduceat(early[order], first) if len(first) else early
+    ends = [*first[1:].tolist(), len(flat)]
+    least = np.where(np.isnan(least), -np.inf, least)
+    best = np.full((len(wanted), k), -np.inf)
+    found: list[tuple[np.ndarray, ...]] = []
+    for at in np.argsort(-urgency, kind="stable").tolist():
+        if int(asked[at]) not in spans:
+            continue
+        a, b = spans[int(asked[at])]
+        mine = by_leaf[a:b]
+        askers = asker[order[first[at] : ends[at]]]
+        for block in range(0, len(askers), _QUERY_BLOCK):
+            who = askers[block : block + _QUERY_BLOCK]
+            q, r, score = top_pairs(queries[who], query_ids[who], rows[mine], row_ids[mine], k, least[who])
+            if not len(q):
+                continue
+            found.append((who[q], mine[r], score))
+            new = np.full((len(who), k), -np.inf)
+            new[q, np.arange(len(q)) - np.searchsorted(q, q)] = score
+            best[who] = np.partition(np.hstack([best[who], new]), k, axis=1)[:, k:]
+            least[who] = np.maximum(least[who], best[who].min(axis=1))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    q, r, score = map(np.concatenate, zip(*found))
+    order = np.lexsort((row_ids[r], -score, q))
+    q, r, score = q[order], r[order], score[order]
+    good = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[good], r[good], score[good]
+
+
 def nearest(
     rows: DataFrame, queries: DataFrame, width: int, k: int = 20, target: float = TARGET_RECALL
 ) -> DataFrame:
@@ -272,58 +353,101 @@ def nearest(
     share = min(1.0, most / max(total, 1))
     drawn = rows.where(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(1 << 30)) < int(share * (1 << 30)))
     sample = np.array([r.vector for r in drawn.select("vector").limit(most).collect()], np.float64).reshape(-1, width)
-    leaves = min(MOST_LEAVES, max(1, total // LEAF_ROWS))
-    tree = grow_tree(sample, max(4, len(sample) // leaves)) if len(sample) else grow_tree(np.zeros((0, width)), 1)
+    points = max(min(LEAF_POINTS, LEAF_ROWS), LEAF_ROWS * len(sample) / max(total, 1))
+    tree = grow_tree(sample, max(1, int(points))) if len(sample) else grow_tree(np.zeros((0, width)), 1)
+    centers = np.zeros((tree.leaves, width))
+    if len(tree.leaf):
+        centers[tree.leaf[tree.leaf >= 0]] = tree.centroids[tree.leaf >= 0]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = leaf_of(tree, _matrix(batch.column("vector"), width))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=["vec_id", "vector", "leaf"])
+            vectors = _matrix(batch.column("vector"), width)
+            found = leaf_of(tree, vectors)
+            far = np.sqrt(((vectors - centers[found]) ** 2).sum(axis=1))
+            columns = [*batch.columns, pa.array(found), pa.array(far)]
+            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "vector", "leaf", "far"])
 
     visits = calibrate(rows, queries, width, tree, k, target)
 
     kind = rows.schema["vector"].dataType.simpleString()
-    placed = materialized(in_tasks(rows, place, f"vec_id bigint, vector {kind}, leaf bigint"), "leaves")
+    schema = f"vec_id bigint, vector {kind}, leaf bigint, far double"
+    placed = materialized(in_tasks(rows, place, schema), "leaves")
     # one row per leaf, so a bounded number
-    sizes = {r.leaf: r.n for r in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes, radius = np.zeros(tree.leaves, np.int64), np.zeros(tree.leaves)
+    for r in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect():
+        sizes[r.leaf], radius[r.leaf] = r.n, r.far
+    way = paths(tree)
+    group = groups_of(way, sizes, max(1, min(tree.leaves, max(GROUPS, -(-total // GROUP_ROWS)))))
+
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, _WALK_NUMBERS // max(1, way.size))
         for batch in batches:
-            bins = [_enough_bins(tree, q, visits, sizes, need) for q in _matrix(batch.column("vector"), width)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(bins, pa.list_(pa.int64()))], names=["vec_id", "vector", "leaves"]
-            )
+            vectors, bins = _matrix(batch.column("vector"), width), []
+            for at in range(0, len(vectors), step):
+                order = walk_order(tree, vectors[at : at + step], way)
+                enough = (np.cumsum(sizes[order], axis=1) < need).sum(axis=1) + 1
+                bins += [leaves[: max(visits, n)] for leaves, n in zip(order.astype(np.int32), enough)]
+            columns = [*batch.columns, pa.array(bins, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "vector", "bins"])
+
+    def ask(first: bool):
+        """A row per query and group that it visits, with its leaves there: the first group, or all others."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                vectors = _matrix(batch.column("vector"), width)
+                least = batch.column("least").to_numpy(zero_copy_only=False).astype(float)
+                norms = np.sqrt((vectors**2).sum(axis=1))
+                who, where, leaves = [], [], []
+                for n, bins in enumerate(batch.column("bins").to_pylist()):
+                    bins = np.array(bins, np.int64)
+                    bins = bins[sizes[bins] > 0]
+                    if not len(bins):
+                        continue
+                    mine = group[bins] == group[bins[0]]
+                    bins = bins[mine] if first else bins[~mine]
+                    if not first and not np.isnan(least[n]):
+                        bound = centers[bins] @ vectors[n] + norms[n] * radius[bins]
+                        bins = bins[bound >= least[n] - 1e-9 * (1 + abs(least[n]))]
+                    for g in np.unique(group[bins]).tolist():
+                        who.append(n)
+                        where.append(g)
+                        leaves.append(bins[group[bins] == g].astype(np.int32))
+                take = pa.array(who, pa.int64())
+                columns = [batch.column(c).take(take) for c in ("vec_id", "vector", "least")]
+                columns += [pa.array(where, pa.int64()), pa.array(leaves, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "vector", "least", "grp", "leaves"])
+
+        return run
 
     kind = queries.schema["vector"].dataType.simpleString()
-    walked = materialized(in_tasks(queries, walk, f"vec_id bigint, vector {kind}, leaves array<bigint>"), "walks")
+    walked = materialized(in_tasks(queries, walk, f"vec_id bigint, vector {kind}, bins array<int>"), "walks")
+    asked = f"vec_id bigint, vector {kind}, least double, grp bigint, leaves array<int>"
+    numbers = spark.createDataFrame([(n, int(g)) for n, g in enumerate(group)], "leaf bigint, grp bigint")
+    placed = placed.join(F.broadcast(numbers), "leaf").select("vec_id", "vector", "leaf", "grp")  # a row per leaf
+    rows_of = np.bincount(group, sizes, group.max() + 1).astype(np.int64)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    best, done = None, 0
-    longest = walked.agg(F.max(F.size("leaves"))).first()[0] or 1
-    while done < longest:
-        wide = min(longest - done, max(1, done * (WIDENING - 1)))
-        asking = walked.select("vec_id", "vector", F.explode(F.slice("leaves", done + 1, wide)).alias("leaf"))
-        if best is not None:
-            worst = best.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
-            asking = asking.join(worst, "vec_id", "left")
-        else:
-            asking = asking.withColumn("least", F.lit(None).cast("double"))
-        found = _visit(placed, asking, sizes, width, k)
-        if best is not None:
-            found = found.unionByName(best.drop("rank"))
-        ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        best = materialized(ranked, "best")
-        done += wide
+
+    def ranked(found: DataFrame) -> DataFrame:
+        return materialized(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "best")
+
+    begin = walked.withColumn("least", F.lit(None).cast("double"))
+    best = ranked(_visit(placed, in_tasks(begin, ask(True), asked), rows_of, width, k))
+    worst = best.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
+    rest = in_tasks(walked.join(worst, "vec_id", "left").select("vec_id", "vector", "bins", "least"), ask(False), asked)
+    best = ranked(_visit(placed, materialized(rest, "asking"), rows_of, width, k).unionByName(best.drop("rank")))
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def _visit(placed: DataFrame, asking: DataFrame, sizes: dict[int, int], width: int, k: int) -> DataFrame:
-    """(query_id, vec_id, score) of what queries find in the leaves they ask (vec_id, vector, leaf, least)."""
+def _visit(placed: DataFrame, asking: DataFrame, rows_of: np.ndarray, width: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score) of what queries find in the groups they ask (vec_id, vector, least, grp, leaves)."""
     spark = placed.sparkSession
-    askers = asking.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per leaf
+    askers = {r.grp: r.n for r in asking.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per group
     tiles = spark.createDataFrame(
-        [(r.leaf, -(-sizes[r.leaf] // TILE_ROWS), -(-r.n // TILE_QUERIES)) for r in askers if r.leaf in sizes],
-        "leaf bigint, blocks bigint, slices bigint",
+        [(g, int(-(-rows_of[g] // TILE_ROWS)), -(-n // TILE_QUERIES)) for g, n in askers.items() if rows_of[g]],
+        "grp bigint, blocks bigint, slices bigint",
     )
-    tiles = F.broadcast(tiles)  # at most MOST_LEAVES rows
+    tiles = F.broadcast(tiles)  # at most one row per group
 
     def spread(own: str, others: str, own_name: str, other_name: str) -> Column:
         """This row's own part, paired with every part of the other side."""
@@ -331,12 +455,12 @@ def _visit(placed: DataFrame, asking: DataFrame, sizes: dict[int, int], width: i
         parts = F.sequence(F.lit(0).cast("bigint"), F.col(others) - 1)
         return F.explode(F.transform(parts, lambda part: F.struct(mine, part.alias(other_name)))).alias("t")
 
-    left = placed.join(tiles, "leaf").select(
-        "leaf", "vec_id", "vector", spread("blocks", "slices", "block", "slice")
-    ).select("vec_id", "vector", "leaf", "t.block", "t.slice")
-    right = asking.join(tiles, "leaf").select(
-        "leaf", "vec_id", "vector", "least", spread("slices", "blocks", "slice", "block")
-    ).select("vec_id", "vector", "least", "leaf", "t.block", "t.slice")
+    left = placed.join(tiles, "grp").select(
+        "grp", "vec_id", "vector", "leaf", spread("blocks", "slices", "block", "slice")
+    ).select("vec_id", "vector", "leaf", "grp", "t.block", "t.slice")
+    right = asking.join(tiles, "grp").select(
+        "grp", "vec_id", "vector", "least", "leaves", spread("slices", "blocks", "slice", "block")
+    ).select("vec_id", "vector", "least", "leaves", "grp", "t.block", "t.slice")
 
     def tile(mine: pa.Table, wanted: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]
@@ -345,11 +469,12 @@ def _visit(placed: DataFrame, asking: DataFrame, sizes: dict[int, int], width: i
             return pa.table([empty, empty, pa.array([], pa.float64())], names=names)
         row_ids, query_ids = mine.column("vec_id").to_numpy(), wanted.column("vec_id").to_numpy()
         points, vectors = (_matrix(t.column("vector").combine_chunks(), width) for t in (mine, wanted))
-        least = np.nan_to_num(wanted.column("least").to_numpy(), nan=-np.inf, neginf=-np.inf)
-        q, r, score = top_pairs(vectors, query_ids, points, row_ids, k, least)
+        least = wanted.column("least").to_numpy().astype(float)
+        leaves = wanted.column("leaves").to_pylist()
+        q, r, score = search_tile(points, row_ids, mine.column("leaf").to_numpy(), vectors, query_ids, leaves, least, k)
         return pa.table([pa.array(query_ids[q]), pa.array(row_ids[r]), pa.array(score)], names=names)
 
-    keys = ["leaf", "block", "slice"]
+    keys = ["grp", "block", "slice"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
         tile, "query_id bigint, vec_id bigint, score double"
     )

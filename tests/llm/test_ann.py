@@ -113,6 +113,43 @@ def test_every_point_is_in_the_leaf_of_its_nearest_children():
     assert sorted(ann.best_bins(tree, points[0], tree.leaves)) == list(range(tree.leaves))
 
 
+def test_walks_side_by_side_take_leaves_in_the_order_of_the_queue():
+    points = clustered(3000, clusters=30).astype(np.float64)
+    tree = ann.grow_tree(points, 12, branches=4)
+    way = ann.paths(tree)
+    assert way.shape[1] > 3
+    order = ann.walk_order(tree, points[:60], way)
+    for q, mine in zip(points[:60], order):
+        assert mine.tolist() == ann.best_bins(tree, q, tree.leaves)
+
+
+def test_a_tile_gives_the_best_of_the_leaves_wanted():
+    random_ = np.random.default_rng(5)
+    rows, queries = random_.normal(size=(300, 4)), random_.normal(size=(40, 4))
+    leaves, ids = random_.integers(0, 7, 300), random_.permutation(300)
+    wanted = [random_.permutation(9)[: random_.integers(0, 9)].tolist() for _ in queries]
+    least = np.where(random_.random(40) < 0.5, np.nan, 0.5)
+    q, r, score = ann.search_tile(rows, ids, leaves, queries, np.arange(1000, 1040), wanted, least, 5)
+    for n in range(40):
+        want = [
+            (-ann.inner_products(queries[n : n + 1], rows[m : m + 1])[0], ids[m]) for m in range(300) if leaves[m] in wanted[n]
+        ]
+        want = [w for w in sorted(want) if np.isnan(least[n]) or -w[0] >= least[n]][:5]
+        assert [(-s, ids[m]) for m, s in zip(r[q == n], score[q == n])] == want
+
+
+def test_pairs_grow_with_the_queries_and_not_with_the_leaves(spark, monkeypatch):
+    """A query is sent once to a group, however many of its leaves it visits there."""
+    monkeypatch.setattr(ann, "LEAF_ROWS", 8)
+    monkeypatch.setattr(ann, "GROUPS", 4)
+    sent, real = [], ann._visit
+    monkeypatch.setattr(ann, "_visit", lambda placed, asking, *a: (sent.append(asking.count()), real(placed, asking, *a))[1])
+    rows = [(k, v.tolist(), 0) for k, v in enumerate(clustered(800, clusters=2))]
+    got = found(ann.neighbours_of_every_20th(spark.createDataFrame(rows, SCHEMA), target=1.0))
+    assert got == brute(rows)
+    assert sent[0] == 40 and sent[1] <= 40 * 3
+
+
 def test_the_target_recall_is_not_lowered():
     assert ann.TARGET_RECALL >= 0.98
     for search in (ann.nearest, ann.neighbours_of_every_20th):
