@@ -17,10 +17,31 @@ _TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt ][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9
 _OFFSET = r"(?:[Zz]|[+-][0-9]{2}:?[0-9]{2})"
 
 
+_PLACES = ((5, "-"), (8, "-"), (11, "T"), (14, ":"), (17, ":"))
+
+
+def _usual(text: Column) -> Column:
+    """Whether text looks like yyyy-MM-ddTHH:mm:ss.fZ with 0 to 9 places of a second, told by single characters.
+
+    Marks at fixed places leave each number its right width, and the digit before the Z rules out names of zones;
+    whether the numbers are numbers, the parser says.
+    """
+    length, digit = F.octet_length(text), F.substring(text, -2, 1)
+    fits = (length == 20) | ((length >= 22) & (length <= 30) & (F.substring(text, 20, 1) == "."))
+    for place, mark in _PLACES:
+        fits = fits & (F.substring(text, place, 1) == mark)
+    return fits & text.endswith("Z") & digit.between("0", "9")
+
+
 def instant(text: Column) -> Column:
-    """Instant of a full date and time. Text without an offset is UTC; a year or a time alone is null."""
+    """Instant of a full date and time. Text without an offset is UTC; a year or a time alone is null.
+
+    The usual form is parsed at once; only other texts are matched with patterns, which cost more than the parsing.
+    """
     zoned = F.when(text.rlike(f"{_OFFSET}$"), text).otherwise(F.concat(text, F.lit("Z")))
-    return F.when(text.rlike(f"{_TIME}{_OFFSET}?$"), F.try_to_timestamp(zoned))
+    return F.when(_usual(text), F.try_to_timestamp(text)).when(
+        text.rlike(f"{_TIME}{_OFFSET}?$"), F.try_to_timestamp(zoned)
+    )
 
 
 def is_date_time(text: Column) -> Column:

@@ -136,14 +136,20 @@ def source_campaigns(mart: DataFrame) -> DataFrame:
 def cost_pivot(campaigns: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
     """Mean cost by source (rows) and campaign (columns); sources without any cost are left out.
 
-    Without `values` every campaign that has a cost is a column. Spark refuses more than
-    `spark.sql.pivotMaxValues` of them instead of dropping any.
+    Without `values` every campaign that has a cost is a column; finding them runs a job while the plan is made.
+    Spark refuses more than `spark.sql.pivotMaxValues` of them instead of dropping any.
     """
     priced = campaigns.where("cpb IS NOT NULL").groupBy("source")
     table = priced.pivot("campaign") if values is None else priced.pivot("campaign", list(values))
     return table.agg(F.avg("cpb")).orderBy("source")
 
 
+def pivot_cells(table: DataFrame, key: str, column: str, value: str) -> DataFrame:
+    """A pivot as one row per cell; cells without a value stay, as nulls."""
+    cells = [F.col(f"`{c.replace('`', '``')}`") for c in table.columns if c != key]
+    return table.unpivot([key], cells, column, value)
+
+
 def top_sources(leaderboard: DataFrame, n: int = 10) -> DataFrame:
     return leaderboard.orderBy(
         F.desc("total_bookings"), F.col("cpb").asc_nulls_last(), "source"

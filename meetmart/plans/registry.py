@@ -641,11 +641,15 @@ def serve_source_campaign(spark, sf_dir):
 
 @query(f"""{_CAMPAIGNS}, r AS (
   SELECT source, 'cpb_' || campaign AS campaign, cpb FROM c WHERE cpb IS NOT NULL)
-SELECT * FROM (PIVOT r ON campaign USING avg(cpb) GROUP BY source)""")
+SELECT rows.source, columns.campaign, avg(r.cpb) AS cpb
+FROM (SELECT DISTINCT source FROM r) AS rows CROSS JOIN (SELECT DISTINCT campaign FROM r) AS columns
+LEFT JOIN r ON r.source IS NOT DISTINCT FROM rows.source AND r.campaign = columns.campaign
+GROUP BY rows.source, columns.campaign""")
 def serve_cpb_pivot(spark, sf_dir):
-    """One column per campaign there is."""
+    """One column per campaign there is, compared cell by cell, empty ones included."""
     campaigns = serving.source_campaigns(_attribution_mart(spark, sf_dir))
-    return serving.cost_pivot(campaigns.withColumn("campaign", F.concat(F.lit("cpb_"), "campaign")))
+    table = serving.cost_pivot(campaigns.withColumn("campaign", F.concat(F.lit("cpb_"), "campaign")))
+    return serving.pivot_cells(table, "source", "campaign", "cpb")
 
 
 _SLOTS = f"WITH {EVENTS}, {SLOT_DAYS}"

@@ -128,3 +128,19 @@ def test_body_md5(spark):
     got = [v[0] for v in values(spark, [(b,) for b in bodies], "b string", landing.body_md5(F.col("b")))]
     assert got[0] == got[1] and len({got[0], got[2], got[3], got[4], got[5]}) == 5
     assert got[5] == got[6] == "99914b932bd37a50b983c5e7c90ae93b"
+
+
+def test_usual_times_and_their_near_misses_agree_with_the_patterns(spark):
+    """What the check of single characters lets through is what the patterns let through."""
+    from meetmart.functions import timeparts as tp
+
+    base = "2024-01-05T10:20:30.123456Z"
+    texts = {base[:k] + c + base[k + j :] for k in range(len(base)) for c in ("", "N", "1", "+", " ", ":", "-", "Z", "é") for j in (0, 1)}
+    texts |= {"2024-01-05T10:20:30" + f + z for f in ("", ".", ".1", ".123456789", ".1234567890", ".1N", ".+01:0") for z in ("Z", "NZ", "z", "", "+0100", "UTC1Z")}
+    frame = spark.createDataFrame([(t,) for t in sorted(texts)], "t string")
+    text = F.col("t")
+    zoned = F.when(text.rlike(f"{tp._OFFSET}$"), text).otherwise(F.concat(text, F.lit("Z")))
+    slow = F.when(text.rlike(f"{tp._TIME}{tp._OFFSET}?$"), F.try_to_timestamp(zoned))
+    both = frame.select(text, slow.alias("want"), tp.instant(text).alias("got"))
+    assert both.where("NOT (want <=> got)").collect() == []
+    assert both.where("got IS NOT NULL").count() > 20 and both.where("got IS NULL").count() > 100

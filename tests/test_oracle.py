@@ -33,7 +33,7 @@ ORDERS = {
     "serve_trend_cumulative": "booking_date, source NULLS FIRST",
     "serve_cpb": "cpb NULLS LAST, total_bookings DESC, channel NULLS FIRST",
     "serve_leaderboard": "total_bookings DESC, cpb NULLS LAST, source NULLS FIRST",
-    "serve_cpb_pivot": "source NULLS FIRST",
+    "serve_cpb_pivot": "source NULLS FIRST, campaign",
     "serve_heatmap": f"{_PLACE}, hour_of_day",
     "serve_by_hour": "hour_of_day",
     "serve_weekday_share": _PLACE,
