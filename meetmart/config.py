@@ -14,8 +14,8 @@ class RunConfig:
     """Paths, dates and switches of one run; from arguments, `run_date` defaults to yesterday (UTC).
 
     `landed` builds silver from the table the ingest wrote instead of the raw files: from the
-    newest silver day before the run date and the arrivals it has not read, or with `rebuild` from
-    all arrivals; `dedupe_memory`, `max_file_age` and `max_batch_bytes` are settings of the ingest;
+    state of the load before the run date and the arrivals it has not read, or with `rebuild` from
+    all arrivals; `buckets` is the number of parts that silver is kept in by key, about one per gigabyte; `dedupe_memory`, `max_file_age` and `max_batch_bytes` are settings of the ingest;
     `active_only` leaves canceled bookings out of gold; `spend_from` and `spend_to` widen the
     spend beyond the run date; `by_day` picks the older summary; `input_gb` sizes shuffles.
     """
@@ -48,6 +48,7 @@ class RunConfig:
     landed: bool = False
     active_only: bool = False
     rebuild: bool = False
+    buckets: int = 1
     dedupe_memory: str = "7 days"
     max_file_age: str = "36500d"
     max_batch_bytes: int = 1 << 36
@@ -56,6 +57,8 @@ class RunConfig:
 
     def __post_init__(self):
         dt.date.fromisoformat(self.run_date)
+        if not 1 <= self.buckets <= 99999:
+            raise ValueError(f"buckets: expected 1 to 99999, got {self.buckets}")
 
     @classmethod
     def from_args(cls, args: Iterable[str]) -> RunConfig:

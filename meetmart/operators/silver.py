@@ -58,20 +58,25 @@ def flatten_webhooks(webhooks: DataFrame) -> DataFrame:
     return webhooks.select(*[source(n, p).alias(n) for n, p in WEBHOOK_COLUMNS.items()])
 
 
+def invitee_keys() -> list[Column]:
+    """What tells invitees and their meetings apart."""
+    who = F.coalesce("invitee_uri", F.concat_ws("_", "invitee_email", "event_start_time_utc"))
+    return [who, F.col("scheduled_event_uri")]
+
+
 def latest_invitees(flat: DataFrame) -> DataFrame:
     """Newest record per invitee and meeting, by parsed time (text order misplaces fractions).
 
     Equal creation times are common, as they belong to the invitee and not to the webhook, so
     update and send time decide next and the remaining columns make the order total.
     """
-    who = F.coalesce("invitee_uri", F.concat_ws("_", "invitee_email", "event_start_time_utc"))
     times = ("invitee_created_at", "invitee_updated_at", "webhook_created_at")
     rest = [c for c in flat.columns if c not in ("invitee_uri", "scheduled_event_uri", "webhook_event")]
     order = [
         *[instant(F.col(c)).desc_nulls_last() for c in times],
         *[F.col(c).asc_nulls_last() for c in ("webhook_event", *rest)],
     ]
-    return keep_latest(flat, [who, "scheduled_event_uri"], order)
+    return keep_latest(flat, invitee_keys(), order)
 
 
 def add_booking_columns(flat: DataFrame, zone: str = REPORT_ZONE) -> DataFrame:
@@ -111,8 +116,14 @@ def merged_silver_events(
     The same as one load of all webhooks so far: keeping the newest of what was kept and what
     is new loses nothing, and a webhook that comes twice changes nothing.
     """
-    known = before.select(*WEBHOOK_COLUMNS)
-    latest = latest_invitees(known.unionByName(flatten_webhooks(webhooks)))
+    return merged_invitees(before, flatten_webhooks(webhooks), run_date, zone)
+
+
+def merged_invitees(
+    before: DataFrame, flat: DataFrame, run_date: str, zone: str = REPORT_ZONE
+) -> DataFrame:
+    """`merged_silver_events` for new records that are flat already."""
+    latest = latest_invitees(before.select(*WEBHOOK_COLUMNS).unionByName(flat))
     return add_booking_columns(latest, zone).withColumn("dt", F.lit(run_date))
 
 

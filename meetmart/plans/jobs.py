@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from meetmart import schemas
 from meetmart.config import RunConfig
 from meetmart.operators import contracts, marts, quality, silver
-from meetmart.sources import catalog, readers, scratch, writers
+from meetmart.sources import buckets, catalog, readers, scratch, writers
 from meetmart.streaming import ingest
 
 log = logging.getLogger("meetmart")
@@ -76,38 +76,26 @@ def _records(accepted: DataFrame, schema: T.StructType) -> DataFrame:
 def run_silver(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
     """Bronze -> silver events of this run date and silver spend of the days in the files.
 
-    From the landed table, only the files that the newest silver day before has not read are
-    read, whatever their day, and merged into that day; `rebuild` reads all arrivals up to the run
-    date instead. The files that a silver day stands for are kept beside it, and written after it:
-    a load that breaks off leaves files that are read again, which changes nothing.
+    From the landed table, only the files that the load before has not read are read, whatever their day, and
+    merged into its state: just the buckets that they have keys in are read and written (see
+    `sources.buckets`). `rebuild` reads all arrivals up to the run date instead. Returns the rows written. The files that
+    loads have read are kept in a table, and joined there: none of their names comes to the driver. A load that
+    breaks off leaves files that are read again, which changes nothing.
     """
-    before, files = None, []
+    path, before, base, unread = cfg.silver_events_path, None, None, None
     if not cfg.landed:
         accepted = judged(spark, cfg, "webhooks", cfg.webhooks_path, contracts.webhook_reasons)
         webhooks = _records(accepted, schemas.WEBHOOK)
     else:
-        before = None if cfg.rebuild else _silver_before(spark, cfg)
-        files = ingest.landed_files(spark, cfg.landed_path, cfg.run_date)
-        known = set() if before is None else _files_read(spark, cfg, before[0])
-        unread = [f for f in files if f not in known]
+        before = None if cfg.rebuild else buckets.state_before(spark, path, cfg.run_date)
+        unread = ingest.unread_files(spark, cfg.landed_path, cfg.run_date, _files_read(spark, cfg, before))
         webhooks = ingest.webhooks_of(spark, cfg.landed_path, unread)
+        base = (before and before.base) or cfg.run_date
     _log_rules(webhooks)
-    events = (
-        silver.silver_events(webhooks, cfg.run_date, cfg.zone)
-        if before is None
-        else silver.merged_silver_events(before[1], webhooks, cfg.run_date, cfg.zone)
-    )
-    day = [{"dt": cfg.run_date}]
-    if not cfg.landed:
-        _keep_files_read(spark, cfg, [])  # what an earlier load of the day read says nothing now
-    # One day, straight from the shuffle of the duplicate removal: no second shuffle to size files.
-    rows = {
-        "events": writers.write_days(
-            events, cfg.silver_events_path, fmt=cfg.fmt, rebalance=False, replaces=day
-        )
-    }
-    if cfg.landed:
-        _keep_files_read(spark, cfg, files)
+    events, kept = silver_load(spark, cfg, before, silver.flatten_webhooks(webhooks))
+    _keep_files_read(spark, cfg, unread)
+    # A single bucket comes sized out of the shuffle of the duplicate removal: no second shuffle for its files.
+    rows = {"events": buckets.write_load(events, path, cfg.run_date, kept, base, cfg.fmt, sized=cfg.buckets > 1)}
     written = _events(spark, cfg)
     # Free-text tags may make the list long, so it comes partition by partition.
     for row in silver.channel_distribution(written).toLocalIterator():
@@ -138,28 +126,45 @@ def _log_rules(webhooks: DataFrame) -> None:
         log.info("reschedules, paired %s: %s", row["paired"], row["count"])
 
 
-def _silver_before(spark: SparkSession, cfg: RunConfig) -> tuple[str, DataFrame] | None:
-    """Newest day of silver events before the run date and its rows."""
-    table = readers.read_days_or_empty(
-        spark, cfg.silver_events_path, schemas.SILVER_EVENTS, fmt=cfg.fmt
-    ).where(F.col("dt") < cfg.run_date)
-    day = table.agg(F.max("dt")).first()[0]
-    return None if day is None else (day, table.where(F.col("dt") == day))
+def silver_load(
+    spark: SparkSession, cfg: RunConfig, before: buckets.State | None, flat: DataFrame
+) -> tuple[DataFrame, buckets.State | None]:
+    """Silver events, with their bucket, of the buckets that new records fall into; and the state that stays.
+
+    A state with another number of buckets is rewritten as a whole.
+    """
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(buckets.BUCKET, buckets.bucket_of(silver.invitee_keys(), cfg.buckets))
+
+    if before is None:
+        return placed(silver.add_booking_columns(silver.latest_invitees(flat), cfg.zone)), None
+    new = scratch.materialized(placed(silver.latest_invitees(flat)), "silver-new")
+    touched = [r[0] for r in new.select(buckets.BUCKET).distinct().collect()]  # no more than buckets
+    if not all(name.endswith(f"-of-{cfg.buckets:05d}") for name in before.versions):
+        touched, kept = list(before.versions), None
+    else:
+        kept = before
+    known = buckets.rows_of(spark, cfg.silver_events_path, schemas.SILVER_EVENTS, before, touched, cfg.fmt)
+    return placed(silver.merged_invitees(known, new.drop(buckets.BUCKET), cfg.run_date, cfg.zone)), kept
 
 
 def _reads_path(cfg: RunConfig) -> str:
     return f"{cfg.silver_events_path.rstrip('/')}_reads"
 
 
-def _files_read(spark: SparkSession, cfg: RunConfig, day: str) -> set[str]:
-    """Landed files whose webhooks a silver day holds; none where that is not known."""
-    rows = readers.read_days_or_empty(spark, _reads_path(cfg), _READ, day, day)
-    return {row["file"] for row in rows.collect()}  # no more than the listing of the landed table
+def _files_read(spark: SparkSession, cfg: RunConfig, before: buckets.State | None) -> DataFrame:
+    """Landed files that a state stands for; none where that is not known."""
+    if before is None or before.base is None:
+        return spark.createDataFrame([], _READ).select("file")
+    rows = readers.read_days_or_empty(spark, _reads_path(cfg), _READ, before.base, before.day)
+    return rows.select("file").distinct()
 
 
-def _keep_files_read(spark: SparkSession, cfg: RunConfig, files: list[str]) -> None:
-    rows = spark.createDataFrame([(f, cfg.run_date) for f in files], _READ)
-    writers.write_days(rows, _reads_path(cfg), replaces=[{"dt": cfg.run_date}])
+def _keep_files_read(spark: SparkSession, cfg: RunConfig, files: DataFrame | None) -> None:
+    """The files that this load adds to those of the loads before it."""
+    if files is not None:
+        rows = files.select("file", F.lit(cfg.run_date).alias("dt"))
+        writers.write_days(rows, _reads_path(cfg), replaces=[{"dt": cfg.run_date}])
 
 
 def run_vendor_spend(spark: SparkSession, cfg: RunConfig) -> DataFrame:
@@ -222,11 +227,12 @@ _JUDGED = T.StructType(
 _READ = T.StructType([T.StructField("file", T.StringType()), T.StructField("dt", T.StringType())])
 
 
-def _events(spark: SparkSession, cfg: RunConfig) -> DataFrame:
-    day = cfg.run_date
-    return readers.read_days(
-        spark, cfg.silver_events_path, schemas.SILVER_EVENTS, day, day, cfg.fmt
-    )
+def _events(spark: SparkSession, cfg: RunConfig, day: str = "") -> DataFrame:
+    """Silver events as the load of a day left them, by default of the run date; none without such a load."""
+    state = buckets.state_of(spark, cfg.silver_events_path, day or cfg.run_date)
+    if state is None:
+        return spark.createDataFrame([], schemas.SILVER_EVENTS)
+    return buckets.rows_of(spark, cfg.silver_events_path, schemas.SILVER_EVENTS, state, fmt=cfg.fmt)
 
 
 def _gold_spend(spark: SparkSession, cfg: RunConfig) -> DataFrame:
@@ -306,9 +312,10 @@ def run_repair(spark: SparkSession, cfg: RunConfig) -> None:
 
 
 def run_backfill(spark: SparkSession, cfg: RunConfig) -> int:
-    """Copy silver events into another format, partitioned by `dt`."""
-    return writers.backfill_days(
-        spark, cfg.silver_events_path, cfg.backfill_path, cfg.fmt, cfg.backfill_fmt
+    """Copy silver events into another format, the state of each load as one `dt`."""
+    return sum(
+        writers.write_days(_events(spark, cfg, day), cfg.backfill_path, fmt=cfg.backfill_fmt)
+        for day in buckets.load_days(spark, cfg.silver_events_path)
     )
 
 

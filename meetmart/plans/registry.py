@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meetmart import schemas
+from meetmart.config import RunConfig
 from meetmart.functions import display, timeparts
 from meetmart.functions.channels import LINK_CHANNELS, booking_channel, spend_channel, uri_tail
 from meetmart.operators import contracts, dedupe, marts, quality, serving, silver
-from meetmart.plans import inputs
-from meetmart.sources import catalog, readers, scratch, writers
+from meetmart.plans import inputs, jobs
+from meetmart.sources import buckets, catalog, readers, scratch, writers
 from meetmart.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -361,6 +363,23 @@ def silver_in_two_loads(spark, sf_dir):
     return as_text(both.select(*_SILVER_COLUMNS))
 
 
+@query(_SILVER)
+def silver_in_buckets(spark, sf_dir):
+    """Three loads into silver kept by key, each reading and writing only the buckets it has keys in."""
+    cfg = RunConfig(RUN, silver_events_path=scratch.shared_dir(spark, "silver"), buckets=16)
+    hooks = inputs.webhooks(spark, sf_dir)
+    part = F.crc32("payload.created_at") % 3
+    state = None
+    for number, day in enumerate(("2024-01-29", "2024-01-30", RUN)):
+        load = replace(cfg, run_date=day)
+        flat = silver.flatten_webhooks(hooks.where(part == number))
+        events, kept = jobs.silver_load(spark, load, state, flat)
+        buckets.write_load(events, cfg.silver_events_path, day, kept, base=None)
+        state = buckets.state_of(spark, cfg.silver_events_path, day)
+    rows = buckets.rows_of(spark, cfg.silver_events_path, schemas.SILVER_EVENTS, state)
+    return as_text(rows.select(*_SILVER_COLUMNS))
+
+
 @query(f"""{_WEBHOOK}
 SELECT CASE WHEN user_id % 3 <> 0 THEN invitee_uri END AS invitee_uri, scheduled_event_uri, {_SENT} AS start
 FROM (SELECT *, row_number() OVER (

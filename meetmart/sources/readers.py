@@ -141,6 +141,25 @@ def read_days_or_empty(
         return spark.createDataFrame([], schema)
 
 
+def partition_values(spark: SparkSession, path: str, name: str) -> list[str]:
+    """Values of a table's first partition column, from the listing of its folder; no file is opened.
+
+    Null partitions are left out, and so are folders that hold nothing. A table not written yet has none.
+    """
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    unescape = context._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    found = []
+    for status in files.listStatus(folder):
+        key, _, value = status.getPath().getName().partition("=")
+        if key == name and value and status.isDirectory() and files.listStatus(status.getPath()):
+            found.append(unescape(value))
+    return sorted(v for v in found if v != "__HIVE_DEFAULT_PARTITION__")
+
+
 def between_days(df: DataFrame, first: str | None, last: str | None) -> DataFrame:
     """Inclusive range on `dt`; either end may be open and reversed ends are swapped."""
     if first and last and first > last:

@@ -7,8 +7,6 @@ so nothing that landed is lost.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -166,22 +164,41 @@ def landed_webhooks(
     return between_days(accepted, first, last).select("webhook.*")
 
 
-def landed_files(spark: SparkSession, table: str, last: str) -> list[str]:
-    """Files of accepted webhooks that arrived up to a day, below the table's path.
+_PLACE = rf"/(route={BRONZE}/dt=[^/]+/batch_id=[^/]+/[^/]+)$"
+
 
-    A file never changes: batches that are replayed or compacted come out as new files.
+def landed_files(spark: SparkSession, table: str, last: str) -> DataFrame:
+    """(file, dt, batch_id) of the files of accepted webhooks that arrived up to a day, from the listing.
+
+    A file never changes: batches that are replayed or compacted come out as new files. No file is opened: of the
+    columns that the source offers, only the path is asked for.
     """
-    place = re.compile(rf"/(route={BRONZE}/dt=([^/]+)/batch_id=[^/]+/[^/]+)$")
-    found = map(place.search, read_landed(spark, table).inputFiles())
-    return sorted(m[1] for m in found if m and m[2] <= last)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(table)
+    accepted = files.where((F.col("route") == BRONZE) & (F.col("dt").cast("string") <= last))
+    return accepted.select(
+        F.regexp_extract("path", _PLACE, 1).alias("file"), F.col("dt").cast("string").alias("dt"), "batch_id"
+    )
 
 
-def webhooks_of(spark: SparkSession, table: str, files: list[str]) -> DataFrame:
-    """Webhooks of some of the `landed_files`, in the shape of `schemas.WEBHOOK`."""
-    if not files:
-        return spark.createDataFrame([], schemas.WEBHOOK)
-    paths = [f"{table.rstrip('/')}/{f}" for f in files]
-    return spark.read.schema(LANDED).option("basePath", table).parquet(*paths).select("webhook.*")
+def unread_files(spark: SparkSession, table: str, last: str, known: DataFrame) -> DataFrame:
+    """Those of the `landed_files` that are not among the files of `known` (column `file`), written aside."""
+    return materialized(landed_files(spark, table, last).join(known, "file", "left_anti"), "unread")
+
+
+def webhooks_of(spark: SparkSession, table: str, files: DataFrame) -> DataFrame:
+    """Webhooks of some of the `landed_files`, in the shape of `schemas.WEBHOOK`.
+
+    Only the partitions that hold such files are read. The driver gets their names, one per batch and day.
+    """
+    by_day: dict[str, list[int]] = {}
+    for row in files.select("dt", "batch_id").distinct().collect():
+        by_day.setdefault(row["dt"], []).append(row["batch_id"])
+    wanted = F.lit(False)
+    for day, batches in by_day.items():
+        wanted = wanted | ((F.col("dt") == day) & F.col("batch_id").isin(batches))
+    rows = read_landed(spark, table).where((F.col("route") == BRONZE) & wanted)
+    rows = rows.select("webhook", F.regexp_extract("_metadata.file_path", _PLACE, 1).alias("file"))
+    return rows.join(files.select("file"), "file", "left_semi").select("webhook.*")
 
 
 def dead_letters(spark: SparkSession, table: str) -> DataFrame:
