@@ -16,6 +16,7 @@ class RunConfig:
     `landed` builds silver from the table the ingest wrote instead of the raw files: from the
     state of the load before the run date and the arrivals it has not read, or with `rebuild` from
     all arrivals; `buckets` is the number of parts that silver is kept in by key, about one per gigabyte; `dedupe_memory`, `max_file_age` and `max_batch_bytes` are settings of the ingest;
+    `incremental` moves the counts of gold on by what a load changed, instead of counting all events;
     `active_only` leaves canceled bookings out of gold; `spend_from` and `spend_to` widen the
     spend beyond the run date; `by_day` picks the older summary; `input_gb` sizes shuffles.
     """
@@ -35,6 +36,7 @@ class RunConfig:
     flat_silver_path: str = "silver/flat_events"
     flat_gold_path: str = "gold/flat_events"
     gold_path: str = "gold"
+    gold_state_path: str = "gold_state"
     metrics_path: str = "quality_metrics"
     checkpoint_path: str = "checkpoints/landed"
     database: str = "bookings"
@@ -49,6 +51,7 @@ class RunConfig:
     active_only: bool = False
     rebuild: bool = False
     buckets: int = 1
+    incremental: bool = False
     dedupe_memory: str = "7 days"
     max_file_age: str = "36500d"
     max_batch_bytes: int = 1 << 36

@@ -27,14 +27,14 @@ MART_KEYS = {
     "bookings_by_timeslot": ("hour_of_day", "day_of_week", "source"),
     "meetings_per_employee_week": ("host_user_name", "year", "week_of_year"),
 }
-_ALL_KEYS = tuple(dict.fromkeys(key for keys in MART_KEYS.values() for key in keys))
+ALL_KEYS = tuple(dict.fromkeys(key for keys in MART_KEYS.values() for key in keys))
 
 
 def _stamped(df: DataFrame, run_date: str | None) -> DataFrame:
     return df if run_date is None else df.withColumn("dt", F.lit(run_date))
 
 
-def _key_columns() -> dict[str, Column]:
+def key_columns() -> dict[str, Column]:
     return {
         "booking_date": F.col("booking_date"),
         "source": known_channel(F.col("channel")),
@@ -48,7 +48,7 @@ def _key_columns() -> dict[str, Column]:
 
 
 def _aliased(keys: Sequence[str]) -> list[Column]:
-    columns = _key_columns()
+    columns = key_columns()
     return [columns[k].alias(k) for k in keys]
 
 
@@ -70,11 +70,11 @@ def count_meetings_all(events: DataFrame, run_date: str | None = None) -> DataFr
     every row would carry all the keys five times through the shuffle; with mostly distinct
     meetings that took more than twice as long.
     """
-    types = {f.name: f.dataType for f in events.select(*_aliased(_ALL_KEYS)).schema.fields}
+    types = {f.name: f.dataType for f in events.select(*_aliased(ALL_KEYS)).schema.fields}
 
     def branch(mart: str) -> DataFrame:
         own = MART_KEYS[mart]
-        keys = [F.col(k) if k in own else F.lit(None).cast(types[k]).alias(k) for k in _ALL_KEYS]
+        keys = [F.col(k) if k in own else F.lit(None).cast(types[k]).alias(k) for k in ALL_KEYS]
         counts = count_meetings(events, mart, run_date)
         return counts.select(F.lit(mart).alias("mart"), "dt", *keys, "meetings")
 

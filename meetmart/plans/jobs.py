@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from meetmart import schemas
 from meetmart.config import RunConfig
-from meetmart.operators import contracts, marts, quality, silver
+from meetmart.operators import contracts, deltas, marts, quality, silver
 from meetmart.sources import buckets, catalog, readers, scratch, writers
 from meetmart.streaming import ingest
 
@@ -140,7 +140,7 @@ def silver_load(
         return placed(silver.add_booking_columns(silver.latest_invitees(flat), cfg.zone)), None
     new = scratch.materialized(placed(silver.latest_invitees(flat)), "silver-new")
     touched = [r[0] for r in new.select(buckets.BUCKET).distinct().collect()]  # no more than buckets
-    if not all(name.endswith(f"-of-{cfg.buckets:05d}") for name in before.versions):
+    if not _same_buckets(before, cfg.buckets):
         touched, kept = list(before.versions), None
     else:
         kept = before
@@ -242,20 +242,91 @@ def _gold_spend(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     ).dropDuplicates()
 
 
+_KEY_TYPES = {
+    "booking_date": T.DateType(), "hour_of_day": T.IntegerType(), "year": T.IntegerType(), "week_of_year": T.IntegerType(),
+}
+
+
 def gold_frames(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
     """The six marts of the run date.
 
-    Events are counted for all marts in one job. Full-row duplicates in silver events cannot
+    Events are counted for all marts in one job, or with `incremental` moved on from the counts of an earlier load.
+    Full-row duplicates in silver events cannot
     change a distinct count, so they are not removed first; in spend they would.
     """
     events = _events(spark, cfg)
     if cfg.active_only:
         events = contracts.active_bookings(events)
     spend = _gold_spend(spark, cfg)
-    counts = scratch.materialized(marts.count_meetings_all(events, cfg.run_date), "mart-counts")
+    if cfg.incremental:
+        counts = incremental_counts(spark, cfg).withColumn("dt", F.lit(cfg.run_date))
+    else:
+        counts = scratch.materialized(marts.count_meetings_all(events, cfg.run_date), "mart-counts")
     return marts.marts_from_counts(counts, spend, cfg.run_date)
 
 
+_COUNTS = T.StructType(
+    [
+        *[T.StructField(k, _KEY_TYPES.get(k, T.StringType())) for k in deltas.KEYS],
+        T.StructField("meetings", T.LongType()),
+        T.StructField("facts", T.LongType()),
+        T.StructField("silver", T.StringType()),
+        T.StructField("dt", T.StringType()),
+    ]
+)
+_FACTS = T.StructType(
+    [*_COUNTS.fields[: len(deltas.KEYS)], T.StructField("meeting", T.StringType()),
+     T.StructField("copies", T.LongType()), T.StructField("dt", T.StringType())]
+)
+
+
+def incremental_counts(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    """Counts of all marts after the silver load of the run date, moved on from those of an earlier load.
+
+    Only silver buckets that changed between the two loads are read, before and after, and only buckets of facts
+    that these changes fall into are read and written. Without earlier counts, or where the load that they were made
+    from has been run again since, all is counted anew. `facts` and `counts` lie below `gold_state_path`.
+    """
+    if cfg.active_only:
+        raise ValueError("a canceled record takes away others: active_only needs a full count")
+    path = f"{cfg.gold_state_path.rstrip('/')}/facts"
+    counts_path = f"{cfg.gold_state_path.rstrip('/')}/counts"
+    now = buckets.state_of(spark, cfg.silver_events_path, cfg.run_date)
+    if now is None:
+        return spark.createDataFrame([], _COUNTS)
+    known = buckets.state_before(spark, path, cfg.run_date)
+    then = buckets.state_of(spark, cfg.silver_events_path, known.day) if known else None
+    if then is None or known.base != then.made or not _same_buckets(known, cfg.buckets):
+        known = then = None
+    changed = buckets.changed_buckets(then, now)
+
+    def silver_rows(state: buckets.State | None) -> DataFrame:
+        if state is None:
+            return spark.createDataFrame([], schemas.SILVER_EVENTS)
+        return buckets.rows_of(spark, cfg.silver_events_path, schemas.SILVER_EVENTS, state, changed, cfg.fmt)
+
+    place = buckets.bucket_of(deltas.FACT, cfg.buckets)
+    changes = deltas.fact_changes(silver_rows(then), silver_rows(now)).withColumn(buckets.BUCKET, place)
+    changes = scratch.materialized(changes, "fact-changes")
+    touched = [r[0] for r in changes.select(buckets.BUCKET).distinct().collect()]  # no more than buckets
+    facts = spark.createDataFrame([], _FACTS)
+    counts = spark.createDataFrame([], _COUNTS)
+    if known:
+        facts = buckets.rows_of(spark, path, _FACTS, known, touched, cfg.fmt)
+        counts = readers.read_days(spark, counts_path, _COUNTS, known.day, known.day, cfg.fmt)
+    moved = scratch.materialized(deltas.changed_facts(facts, changes), "changed-facts")
+    after = deltas.moved_counts(counts, deltas.count_changes(moved))
+    stamped = after.withColumns({"silver": F.lit(now.made), "dt": F.lit(cfg.run_date)})
+    writers.write_days(stamped, counts_path, fmt=cfg.fmt, replaces=[{"dt": cfg.run_date}])
+    left = moved.where("copies > 0").select(*deltas.FACT, "copies").withColumn(buckets.BUCKET, place)
+    buckets.write_load(left, path, cfg.run_date, known, now.made, cfg.fmt)
+    return readers.read_days(spark, counts_path, _COUNTS, cfg.run_date, cfg.run_date, cfg.fmt)
+
+
+def _same_buckets(state: buckets.State, number: int) -> bool:
+    return all(name.endswith(f"-of-{number:05d}") for name in state.versions)
+
+
 def run_gold(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
     rows = {}
     for mart, frame in gold_frames(spark, cfg).items():

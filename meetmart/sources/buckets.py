@@ -7,6 +7,7 @@ breaks off names nothing, and the state before it stays what it was.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
@@ -20,15 +21,20 @@ from meetmart.sources.writers import write_days
 
 BUCKET = "bucket"
 _TEXT = T.StringType()
-_VERSIONS = T.StructType([T.StructField(c, _TEXT) for c in (BUCKET, "version", "base", "dt")])
+_VERSIONS = T.StructType([T.StructField(c, _TEXT) for c in (BUCKET, "version", "base", "made", "dt")])
 
 
 class State(NamedTuple):
-    """A load: its day, the day of each bucket's rows, and the load since which all reads are known, if any."""
+    """A load: its day, the day of each bucket's rows, and the load since which all reads are known, if any.
+
+    `made` is another for each run, also of the same day, so that tables derived from a state can tell whether it is
+    still the one they were derived from.
+    """
 
     day: str
     versions: dict[str, str]
     base: str | None
+    made: str
 
 
 def bucket_of(keys: Sequence[str | Column], buckets: int) -> Column:
@@ -51,7 +57,7 @@ def state_of(spark: SparkSession, path: str, day: str) -> State | None:
     rows = read_days_or_empty(spark, _versions_path(path), _VERSIONS, day, day).collect()
     if not rows:
         return None
-    return State(day, {r[BUCKET]: r.version for r in rows if r[BUCKET] is not None}, rows[0].base)
+    return State(day, {r[BUCKET]: r.version for r in rows if r[BUCKET] is not None}, rows[0].base, rows[0].made)
 
 
 def state_before(spark: SparkSession, path: str, day: str) -> State | None:
@@ -59,6 +65,13 @@ def state_before(spark: SparkSession, path: str, day: str) -> State | None:
     return state_of(spark, path, earlier[-1]) if earlier else None
 
 
+def changed_buckets(before: State | None, after: State) -> set[str]:
+    """Buckets whose rows differ between two states."""
+    old = before.versions if before else {}
+    names = old.keys() | after.versions.keys()
+    return {b for b in names if old.get(b) != after.versions.get(b)}
+
+
 def rows_of(
     spark: SparkSession, path: str, schema: T.StructType, state: State, only: Iterable[str] | None = None, fmt: str = "parquet"
 ) -> DataFrame:
@@ -91,7 +104,8 @@ def write_load(
     count = write_days(stamped, path, by=("dt", BUCKET), fmt=fmt, rebalance=sized, replaces=stale)
     versions = dict(before.versions) if before else {}
     versions |= dict.fromkeys(partition_values(spark, own, BUCKET), day)
-    listed = [(b, v, base, day) for b, v in versions.items()] or [(None, None, base, day)]
+    made = uuid.uuid4().hex
+    listed = [(b, v, base, made, day) for b, v in versions.items()] or [(None, None, base, made, day)]
     later = [d for d in load_days(spark, path) if d > day]
     if later:
         table = read_days_or_empty(spark, _versions_path(path), _VERSIONS, later[0], later[-1])
