@@ -285,42 +285,22 @@ def webhook_flags(webhooks: DataFrame) -> DataFrame:
 def reschedule_pairs(webhooks: DataFrame) -> DataFrame:
     """Canceled invitee -> the invitee that replaces it, if the replacement has landed.
 
-    Links are read from both sides in one pass over the webhooks. It is aggregated per invitee and
-    link, so repeated webhooks cannot multiply rows, and joined with what became of both invitees.
+    Links are read from both sides; a cancellation is proof of its own that the invitee is canceled, so only the links
+    that creations hold are looked up among the canceled. Uris are distinct where a join could multiply rows.
     """
-    created, canceled = F.col("event") == "invitee.created", F.col("event") == "invitee.canceled"
-    flat = webhooks.select("event", "payload.uri", "payload.old_invitee", "payload.new_invitee")
-    facts = flat.select(
-        F.explode(
-            F.array(
-                # about the invitee itself, with the link a cancellation holds
-                F.struct(
-                    F.col("uri").alias("uri"), created.alias("created"), canceled.alias("canceled"),
-                    F.when(canceled, F.col("new_invitee")).alias("link"),
-                ),
-                # the link a creation holds, seen from the canceled side
-                F.struct(
-                    F.when(created, F.col("old_invitee")).alias("uri"),
-                    F.lit(False).alias("created"), F.lit(False).alias("canceled"),
-                    F.when(created & F.col("old_invitee").isNotNull(), F.col("uri")).alias("link"),
-                ),
-            )
-        ).alias("f")
-    ).select("f.*").where("uri IS NOT NULL")
-    by_invitee = facts.groupBy("uri", "link").agg(
-        F.max("created").alias("created"), F.max("canceled").alias("canceled")
+    flat = webhooks.select("event", "payload.uri", "payload.old_invitee", "payload.new_invitee").where("uri IS NOT NULL")
+    created, canceled = flat.where("event = 'invitee.created'"), flat.where("event = 'invitee.canceled'")
+    forward = canceled.where("new_invitee IS NOT NULL").select(
+        F.col("uri").alias("canceled_uri"), F.col("new_invitee").alias("created_uri")
     )
-    status = by_invitee.groupBy("uri").agg(
-        F.max("created").alias("created"), F.max("canceled").alias("canceled")
+    backward = created.where("old_invitee IS NOT NULL").select(
+        F.col("old_invitee").alias("canceled_uri"), F.col("uri").alias("created_uri")
     )
-    gone = status.where("canceled").select(F.col("uri").alias("canceled_uri"))
-    there = status.where("created").select(F.col("uri").alias("created_uri"), F.lit(True).alias("paired"))
-    return (
-        by_invitee.where("link IS NOT NULL")
-        .select(F.col("uri").alias("canceled_uri"), F.col("link").alias("created_uri"))
-        .join(gone, "canceled_uri", "left_semi")
-        .join(there, "created_uri", "left")
-        .select("canceled_uri", "created_uri", F.coalesce("paired", F.lit(False)).alias("paired"))
+    gone = canceled.select(F.col("uri").alias("canceled_uri"))
+    links = forward.unionByName(backward.join(gone, "canceled_uri", "left_semi")).distinct()
+    there = created.select(F.col("uri").alias("created_uri")).distinct().withColumn("paired", F.lit(True))
+    return links.join(there, "created_uri", "left").select(
+        "canceled_uri", "created_uri", F.coalesce("paired", F.lit(False)).alias("paired")
     )
 
 

@@ -13,7 +13,7 @@ from meetmart import schemas
 from meetmart.config import RunConfig
 from meetmart.functions import display, timeparts
 from meetmart.functions.channels import LINK_CHANNELS, booking_channel, spend_channel, uri_tail
-from meetmart.operators import contracts, dedupe, marts, quality, serving, silver
+from meetmart.operators import chains, contracts, dedupe, marts, quality, serving, silver
 from meetmart.plans import inputs, jobs
 from meetmart.sources import buckets, catalog, readers, scratch, writers
 from meetmart.streaming import ingest
@@ -959,6 +959,19 @@ def reschedule_pairs(spark, sf_dir):
     return contracts.reschedule_pairs(inputs.reschedules(spark, sf_dir))
 
 
+@query(f"""{_RESCHEDULE.replace("WITH e", "WITH RECURSIVE e")},
+one AS (SELECT a, b FROM links WHERE a IN (SELECT event_id FROM gone)),
+walk AS (
+  SELECT a AS first, b AS last, 2 AS length FROM one WHERE a NOT IN (SELECT b FROM one)
+  UNION ALL SELECT first, one.b, length + 1 FROM walk JOIN one ON one.a = walk.last)
+SELECT 'invitees/' || CAST(first AS VARCHAR) AS first_uri, 'invitees/' || CAST(last AS VARCHAR) AS last_uri,
+  CAST(length AS BIGINT) AS length, last IN (SELECT event_id FROM made) AS active, false AS cycle
+FROM walk WHERE last NOT IN (SELECT a FROM one)""")
+def reschedule_chains(spark, sf_dir):
+    """First and last booking of each chain of reschedules, however long."""
+    return chains.reschedule_chains(inputs.reschedules(spark, sf_dir))
+
+
 @query(f"{_RESCHEDULE} SELECT 'invitees/' || CAST(event_id AS VARCHAR) AS uri FROM made")
 def active_invitees(spark, sf_dir):
     return contracts.active_invitees(inputs.reschedules(spark, sf_dir))

@@ -17,7 +17,7 @@ from meetmart.functions.landing import body_md5
 from meetmart.functions.timeparts import day_text
 from meetmart.operators.contracts import BRONZE, DEAD_LETTER, REASONS, route_of, webhook_reasons
 from meetmart.operators.dedupe import keep_latest
-from meetmart.sources.readers import between_days
+from meetmart.sources.readers import between_days, day_in, read_days_or_empty
 from meetmart.sources.scratch import materialized
 from meetmart.sources.writers import write_days
 
@@ -75,7 +75,8 @@ def first_copies(landed: DataFrame, memory: str = "7 days", salts: int = 0) -> D
     """First copy of each body per day of arrival, remembered for `memory` after it was seen.
 
     State expires by the time a body was seen, not by its arrival, so back-dated bodies are
-    never dropped as late. A copy that is seen after `memory` is stored again. The first step is
+    never dropped as late. A copy that is seen after `memory` passes: `start_ingest` looks all bodies
+    up in the landed table as well, so the memory need only cover copies that come close together. The first step is
     salted by row: many copies of one body in one batch, also those of one file, are thinned out
     in several tasks before the exact step sees one copy per salt. There are as many salts as
     shuffle partitions, unless given.
@@ -83,7 +84,9 @@ def first_copies(landed: DataFrame, memory: str = "7 days", salts: int = 0) -> D
     salts = salts or int(landed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = landed.withColumns(
         {
-            "dt": day_text(F.col("arrived_at")),
+            # never empty; this keeps the column nullable in batches without files too, as the state's schema must
+            # not change between batches
+            "dt": F.nullif(day_text(F.col("arrived_at")), F.lit("")),
             "body_md5": body_md5(F.col("body")),
             "_seen_at": F.current_timestamp(),
             "_salt": F.floor(F.rand() * salts),
@@ -97,6 +100,19 @@ def first_copies(landed: DataFrame, memory: str = "7 days", salts: int = 0) -> D
     )
 
 
+def not_landed(batch: DataFrame, table: str, batch_id: int) -> DataFrame:
+    """Bodies of a batch that the table does not hold for their day yet.
+
+    Only the days in the batch are read, and of them the hashes only. Rows of this very batch do not count: a batch
+    that is replayed must find what it found the first time. Days come to the driver, bounded by the calendar.
+    """
+    days = [row["dt"] for row in batch.select("dt").distinct().collect()]
+    stored = read_days_or_empty(batch.sparkSession, table, LANDED).where(day_in(days))
+    # batches that were started before this one, and what was compacted out of them
+    earlier = stored.where(F.col("batch_id") < batch_id).select("dt", "body_md5")
+    return batch.join(earlier, ["dt", "body_md5"], "left_anti").select(*batch.columns)
+
+
 def routed(landed: DataFrame) -> DataFrame:
     """Adds contract reasons, the route they decide, and the parsed webhook."""
     parsed = F.from_json("body", schemas.WEBHOOK)
@@ -118,12 +134,14 @@ def start_ingest(
     """Start the ingest; by default it takes all there is and stops.
 
     A batch owns its `batch_id` partitions and overwrites them, so a batch that is replayed
-    after a failure replaces its rows instead of adding them again. The settings are those of
-    `read_landing` and `first_copies`.
+    after a failure replaces its rows instead of adding them again. A body that the table holds already for its day is
+    not stored again, however long ago it came. The settings are those of `read_landing` and `first_copies`.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_days(routed(batch).withColumn("batch_id", F.lit(batch_id)), table, by=_BY)
+        batch = materialized(batch, "batch")  # the state behind it is read once
+        new = not_landed(batch, table, batch_id)
+        write_days(routed(new).withColumn("batch_id", F.lit(batch_id)), table, by=_BY)
 
     bodies = read_landing(spark, landing, whole_text, max_file_age, max_bytes, max_files)
     return (

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from webhooks import frame, texts, webhook
 
-from meetmart.operators import contracts
+from meetmart.operators import chains, contracts
 
 SPEND = {
     "source": "bing_ads", "granularity": "day", "date": "2031-02-03", "timezone": None,
@@ -149,3 +149,43 @@ def test_no_python_functions_in_the_package():
     for path in root.rglob("*.py"):
         text = path.read_text()
         assert "udf(" not in text and "localCheckpoint" not in text, path
+
+
+def _steps(spark, links, created=(), lost=()):
+    """Webhooks of reschedules a -> b: each a is canceled and names b; `created` have landed as created too."""
+    bodies = [webhook(event="invitee.canceled", payload__uri=a, payload__new_invitee=b) for a, b in links]
+    bodies += [webhook(payload__uri=u) for u in created]
+    return frame(spark, bodies)
+
+
+def _chains(spark, hooks):
+    return sorted(tuple(r) for r in chains.reschedule_chains(hooks).collect())
+
+
+def test_chains_of_any_length_have_one_active_booking_at_their_end(spark):
+    long = [(f"L{n:03}", f"L{n + 1:03}") for n in range(37)]
+    hooks = _steps(spark, [*long, ("A", "B"), ("X", "Y")], ["L037", "L004", "L005", "A", "B", "single"])
+    assert _chains(spark, hooks.union(hooks)) == [
+        ("A", "B", 2, True, False), ("L000", "L037", 38, True, False), ("X", "Y", 2, False, False),
+    ]
+    assert contracts.active_invitees(hooks).join(chains.followed_links(hooks), "uri").isEmpty()
+
+
+@pytest.mark.parametrize("length", [1, 2, 3, 4, 5, 8, 9])
+def test_rounds_suffice_for_each_length(spark, length):
+    links = [(f"N{n:02}", f"N{n + 1:02}") for n in range(length)]
+    assert _chains(spark, _steps(spark, links)) == [("N00", f"N{length:02}", length + 1, False, False)]
+
+
+def test_cycles_end_and_are_never_active(spark):
+    links = [("C1", "C2"), ("C2", "C3"), ("C3", "C1"), ("S", "S"), ("P", "Q"), ("Q", "P"), ("A", "B"), ("B", "D")]
+    assert _chains(spark, _steps(spark, links, ["C1", "D"])) == [
+        ("A", "D", 3, True, False), ("C1", "C1", 3, False, True), ("P", "P", 2, False, True),
+    ]
+
+
+def test_branches_follow_one_link(spark):
+    """A names two successors, of which one has landed; two name C, of which the smaller one leads to it."""
+    hooks = _steps(spark, [("A", "B0"), ("A", "B1"), ("K", "C"), ("J", "C")], ["B1", "C"])
+    assert _chains(spark, hooks) == [("A", "B1", 2, True, False), ("J", "C", 2, True, False)]
+    assert _chains(spark, frame(spark, [webhook()])) == []

@@ -1,7 +1,9 @@
 import json
 import os
+import time
 
 import pytest
+from pyspark.sql import functions as F
 from webhooks import webhook
 
 from meetmart.operators import silver
@@ -129,3 +131,48 @@ def test_a_body_is_parsed_twice_per_stage(spark):
     frame = spark.createDataFrame([("{}",)], "body string").select(parsed_body(F.col("body")))
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") == 2
+
+
+def test_a_copy_after_the_memory_has_run_out_is_not_stored(spark, landing):
+    """Also across a restart, a compaction and a lost commit."""
+
+    def run():
+        ingest.start_ingest(
+            spark, str(landing.zone), landing.table, str(landing.root / "checkpoint"), memory="1 millisecond"
+        ).awaitTermination()
+
+    landing.put("a", webhook())
+    landing.put("x", "broken")
+    run()
+    before = landing.rows()
+    time.sleep(0.1)
+    landing.put("b", webhook(), DAY + 60)
+    landing.put("y", "broken", DAY + 60)
+    run()
+    landing.put("c", webhook(payload__uri="I2"), DAY + 120)  # moves the watermark on
+    run()
+    landing.put("d", webhook(), DAY + 180)
+    run()
+    assert len(before) == 2 and len(landing.rows()) == 3
+    assert ingest.compact_landed(spark, landing.table, "2025-06-15") == 3
+    landing.put("e", webhook(), DAY + 240)
+    landing.put("next", webhook(), DAY + 86400)
+    run()
+    rows = landing.rows()
+    assert len(rows) == 4 and {r[1] for r in rows} == {"2025-06-15", "2025-06-16"}
+    commits = sorted(int(p.name) for p in (landing.root / "checkpoint" / "commits").glob("[0-9]*"))
+    for path in [*(landing.root / "checkpoint" / "commits").glob(f"*{commits[-1]}*")]:
+        path.unlink()
+    run()  # the last batch again
+    assert landing.rows() == rows
+
+
+def test_bodies_are_looked_up_by_day_and_batch(spark, landing):
+    landing.put("a", webhook())
+    landing.run()
+    stored = ingest.read_landed(spark, landing.table).drop("reasons", "webhook", "route", "batch_id")
+    assert ingest.not_landed(stored, landing.table, 0).count() == 1  # its own batch does not count
+    assert ingest.not_landed(stored, landing.table, 1).count() == 0
+    other = stored.withColumn("dt", F.lit("2025-06-16"))
+    assert ingest.not_landed(other, landing.table, 1).count() == 1
+    assert ingest.not_landed(stored, str(landing.root / "none"), 1).count() == 1
