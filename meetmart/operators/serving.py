@@ -8,23 +8,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meetmart.functions.measures import money_total, per_unit
 from meetmart.functions.timeparts import weekday_index
-from meetmart.sources.readers import between_days
+from meetmart.sources.readers import between_days, day_bounds
 
 
 def date_bounds(mart: DataFrame) -> DataFrame:
+    """First and last day of any frame, by a scan of its days; of a stored mart, `stored_date_bounds` needs none."""
     return mart.agg(F.min("dt").alias("min_dt"), F.max("dt").alias("max_dt"))
 
 
+def stored_date_bounds(spark: SparkSession, path: str) -> DataFrame:
+    """`date_bounds` of a stored mart, from the listing of its partitions."""
+    return spark.createDataFrame([day_bounds(spark, path)], "min_dt string, max_dt string")
+
+
 def for_days(mart: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
     """Mart cut to a range of days; without a range to its latest day, as marts of several
     days each hold the whole history of their load and must not be added up blindly.
 
-    The latest day is found inside the plan: nothing runs before the result is asked for.
+    The latest day is found inside the plan: nothing runs before the result is asked for. For a stored mart
+    `readers.read_shown_days` takes it from the listing instead and reads no other partition.
     """
     if first is None and last is None:
         newest = mart.agg(F.max("dt").alias("dt"))  # one row

@@ -563,6 +563,25 @@ def latest_day(spark, sf_dir):
     return as_text(serving.for_days(marts.bookings_by_source_day(_bookings(spark, sf_dir))))
 
 
+def _stored_daily(spark, sf_dir) -> str:
+    path = scratch.shared_dir(spark, "daily")
+    writers.write_days(marts.bookings_by_source_day(_bookings(spark, sf_dir)), path)
+    return path
+
+
+@query(SQL["date_bounds"])
+def stored_date_bounds(spark, sf_dir):
+    """Bounds of a stored mart, from the listing of its partitions."""
+    return serving.stored_date_bounds(spark, _stored_daily(spark, sf_dir))
+
+
+@query(SQL["latest_day"])
+def stored_latest_day(spark, sf_dir):
+    """The newest day of a stored mart; no other partition is read."""
+    path = _stored_daily(spark, sf_dir)
+    return as_text(readers.read_shown_days(spark, path, schemas.MARTS["bookings_by_source_day"]))
+
+
 @query(f"WITH {EVENTS}, {DAILY_DAYS} SELECT * FROM m "
        "ORDER BY dt DESC, booking_date, source, booking_id LIMIT 5")
 def latest_rows(spark, sf_dir):
@@ -1091,15 +1110,20 @@ def scan_spend_array(spark, sf_dir):
 
 
 @query(f"""WITH {EVENTS}, r AS (
-  SELECT concat_ws(',', {_KIND}, {_BREACH}) AS reasons FROM s WHERE k % 10 <> 4)
+  SELECT CASE WHEN k % 10 = 4 THEN 'malformed' ELSE concat_ws(',', {_KIND}, {_BREACH}) END AS reasons FROM s)
 SELECT CASE WHEN reasons = '' THEN 'bronze' ELSE 'dead_letter' END AS route, reasons, count(*) AS rows
 FROM r GROUP BY reasons""")
 def scan_webhook_documents(spark, sf_dir):
-    """Multi-line webhook documents; each element of a document is judged on its own."""
+    """Multi-line webhook documents, and broken ones landed a line each; each element is judged on its own."""
     path = scratch.shared_dir(spark, "webhook-documents")
-    bodies = inputs.contract_bodies(spark, sf_dir).where(F.col("body").endswith("}}"))
-    inputs.write_documents(inputs.json_arrays(bodies, "event_id", "body"), path)
-    judged = _routed(readers.read_bodies(spark, path), contracts.webhook_reasons)
+    bodies = inputs.contract_bodies(spark, sf_dir)
+    whole = F.col("body").endswith("}}")
+    inputs.write_documents(inputs.json_arrays(bodies.where(whole), "event_id", "body"), f"{path}/documents")
+    bodies.where(~whole).select("body").write.text(f"{path}/lines")
+    landed = readers.read_bodies(spark, f"{path}/documents").unionByName(
+        readers.read_bodies(spark, f"{path}/lines", multiline=False)
+    )
+    judged = _routed(landed, contracts.webhook_reasons)
     reasons = F.concat_ws(",", contracts.REASONS).alias("reasons")
     return judged.groupBy("route", reasons).agg(F.count(F.lit(1)).alias("rows"))
 

@@ -160,6 +160,29 @@ def partition_values(spark: SparkSession, path: str, name: str) -> list[str]:
     return sorted(v for v in found if v != "__HIVE_DEFAULT_PARTITION__")
 
 
+def day_bounds(spark: SparkSession, path: str) -> tuple[str | None, str | None]:
+    """First and last `dt` of a stored table, from the listing of its folder; nulls where there is none."""
+    days = partition_values(spark, path, "dt")
+    return (days[0], days[-1]) if days else (None, None)
+
+
+def read_shown_days(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    first: str | None = None,
+    last: str | None = None,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """A stored mart cut to a range of days, or without a range to its newest one, which the listing tells: other
+    partitions are pruned before anything runs."""
+    if first is None and last is None:
+        first = last = day_bounds(spark, path)[1]
+        if first is None:
+            return spark.createDataFrame([], schema)
+    return read_days(spark, path, schema, first, last, fmt)
+
+
 def between_days(df: DataFrame, first: str | None, last: str | None) -> DataFrame:
     """Inclusive range on `dt`; either end may be open and reversed ends are swapped."""
     if first and last and first > last:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from webhooks import webhook
 
 from meetmart import schemas
-from meetmart.operators import silver
+from meetmart.operators import serving, silver
 from meetmart.sources import catalog, readers, scratch, writers
 
 DAILY = schemas.MARTS["bookings_by_source_day"]
@@ -202,3 +202,30 @@ def test_scratch_is_removed_at_the_end_of_a_job(spark, tmp_path, monkeypatch):
     assert glob.glob(kept)
     scratch.clear(spark)
     assert not glob.glob(kept) and other.exists() and scratch._made == []
+
+
+def test_days_of_a_stored_table_come_from_its_listing(spark, tmp_path):
+    """No file is opened: these are none that could be read."""
+    path = str(tmp_path / "mart")
+    assert readers.day_bounds(spark, path) == (None, None)
+    assert readers.partition_values(spark, path, "dt") == []
+    for day in ("2025-01-03", "2024-12-30", "2025-01-01", "__HIVE_DEFAULT_PARTITION__", "a%2Fb"):
+        (tmp_path / "mart" / f"dt={day}").mkdir(parents=True)
+        (tmp_path / "mart" / f"dt={day}" / "part-0.parquet").write_text("no parquet")
+    (tmp_path / "mart" / "dt=2031-01-01").mkdir()  # emptied
+    (tmp_path / "mart" / "_SUCCESS").write_text("")
+    assert readers.partition_values(spark, path, "dt") == ["2024-12-30", "2025-01-01", "2025-01-03", "a/b"]
+    assert serving.stored_date_bounds(spark, path).first() == ("2024-12-30", "a/b")
+
+
+def test_only_the_newest_day_is_read(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    rows = [(dt.date(2025, 1, 1), "s", n, f"2025-01-0{n}") for n in (1, 2, 3)]
+    schema = schemas.MARTS["bookings_by_source_day"]
+    spark.createDataFrame(rows, schema).write.partitionBy("dt").parquet(path)
+    shown = readers.read_shown_days(spark, path, schema)
+    assert [r.booking_id for r in shown.collect()] == [3]
+    plan = shown._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "Aggregate" not in plan
+    assert readers.read_shown_days(spark, path, schema, "2025-01-02").count() == 2
+    assert readers.read_shown_days(spark, str(tmp_path / "none"), schema).count() == 0
