@@ -27,17 +27,19 @@ _TEN_DIGITS = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[
 _TRUNK = r"(?:\(0[0-9]{1,4}\) ?|0[1-9][0-9]{1,3}[ /-])[0-9]{3,4}[ -]?[0-9]{3,4}"
 _DATE = (
     r"(?<![0-9A-Za-z/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}" + _ISO_DAY_ENDS
-    + r"|(?:[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z/-]))"
+    + r"|(?:[0-9]{1,2}(?:/[0-9]{1,2}/|\.[0-9]{1,2}\.|-[0-9]{1,2}-)[0-9]{4}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2})(?![0-9A-Za-z/-]))"
 )
+_LETTER = r"\p{L}\p{M}0-9"
 
 #: Kind, pattern of its candidates (Java). Where several fit at a place, the first does.
 PATTERNS = (
-    ("mail", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,8}\.[A-Za-z]{2,}"),
+    ("mail", rf"(?<![{_LETTER}._%+-])[{_LETTER}][{_LETTER}._%+'’-]{{0,63}}" + r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,8}\.[A-Za-z]{2,}"),
     ("date", _DATE),
     ("ip", r"(?<![0-9A-Za-z])(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z])(?!\.[0-9])"),
     ("phone", r"(?<![0-9A-Za-z])" + _TEN_DIGITS + r"(?![0-9A-Za-z])"),
     ("phone", r"(?<![0-9A-Za-z])(?=" + _COUNTRY + r")\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,5}\))?(?:(?:[.-]| (?!" + _DATE + r"))?[0-9]){5,13}(?![0-9A-Za-z])"),
     ("phone", r"(?<![0-9A-Za-z+])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z])"),
+    ("phone", r"(?<![0-9A-Za-z+,.-])(?<![0-9] )[0-9]{3} [0-9]{3} [0-9]{4}(?![0-9A-Za-z-])(?![ .,][0-9])"),
     ("phone", r"(?<![0-9A-Za-z+,.-])(?<![0-9] )" + _TRUNK + r"(?![0-9A-Za-z-])(?! [0-9])"),
     ("ssn", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"),
 )
@@ -48,7 +50,8 @@ _RUN = (
     rf"(?<![0-9A-Za-z])(?=(?:[0-9](?![A-Za-z]){_NEXT}?){{12}}[0-9]++(?![A-Za-z]))"
     rf"[0-9]++(?:{_NEXT}[0-9]++(?![A-Za-z]))*+"
 )
-PATTERNS += (("card", _RUN),)
+_DOTTED = r"(?<![0-9A-Za-z.-])[0-9]{4}\.(?:[0-9]{4}\.[0-9]{4}\.[0-9]{4}|[0-9]{6}\.[0-9]{5})(?![0-9A-Za-z-])(?!\.[0-9])"
+PATTERNS += (("card", _DOTTED), ("card", _RUN))
 _ANY = "|".join(pattern for _, pattern in PATTERNS)
 #: Shortest and longest card, and the groups that cards are printed in.
 _CARD_DIGITS = range(13, 20)
@@ -162,7 +165,7 @@ def _cards(run: Column) -> Column:
     """
     at = F.filter(
         F.sequence(F.lit(1), F.char_length(run)),
-        lambda p: (p == 1) | F.substr(run, p - 1, F.lit(1)).isin(" ", "-"),
+        lambda p: (p == 1) | F.substr(run, p - 1, F.lit(1)).isin(" ", "-", "."),
     )
 
     def begun(p: Column) -> Column:
@@ -170,7 +173,7 @@ def _cards(run: Column) -> Column:
         texts = _then(
             rest,
             lambda r: F.array(
-                *[F.regexp_extract(r, rf"^(?:[0-9][ -]?){{{n - 1}}}[0-9](?![0-9])", 0) for n in _CARD_DIGITS]
+                *[F.regexp_extract(r, rf"^(?:[0-9][ .-]?){{{n - 1}}}[0-9](?![0-9])", 0) for n in _CARD_DIGITS]
             ),
         )
         valid = F.filter(texts, lambda t: (t != "") & (_luhn_sum(_only_digits(t), 1) % 10 == 0))
@@ -204,8 +207,9 @@ def _phone(m: Column, key: str) -> Column:
         F.regexp_extract(m, r"((?:[^0-9]*[0-9]){10})$", 1)
     )
     # other lengths: what follows the country code and the bracketed zero that is not dialled behind it
-    other = F.regexp_extract(m, rf"^(?:{_COUNTRY}(?:[ .-]?\(0\))?)?(.*)$", 1)
-    rest = F.when(m.rlike(rf"^(?:{_TEN_DIGITS}|(?:\([0-9]{{3}}\) ?|[0-9]{{3}}[.-])[0-9]{{3}}[.-][0-9]{{4}})$"), ten).otherwise(other)
+    # or what follows the zero that stands for it within a country
+    other = F.regexp_extract(m, rf"^(?:{_COUNTRY}(?:[ .-]?\(0\))?|\(?0)?(.*)$", 1)
+    rest = F.when(m.rlike(rf"^(?:{_TEN_DIGITS}|(?:\([0-9]{{3}}\) ?|[0-9]{{3}}[ .-])[0-9]{{3}}[ .-][0-9]{{4}})$"), ten).otherwise(other)
     return _then(
         rest,
         lambda r: F.concat(
@@ -252,40 +256,57 @@ def _ssn(m: Column, key: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    """Day formats yyyy-MM-dd, dd.MM.yyyy, and MM/dd/yyyy or, where that is no day, dd/MM/yyyy."""
-
-    def made(pattern: str) -> Column:
-        day = F.try_to_timestamp(m, F.lit(pattern)).cast("date")
+    """Days year first, or with dots day first, with slashes month first, with hyphens day first; where that is no
+    day, the other way round. Equal days have equal pseudonyms; without leading zeros in the one, none in the other."""
+    bare = m.rlike(r"(?<![0-9])[0-9](?![0-9])")
+
+    def made(*parts: str) -> Column:
+        """`parts`: the mark between the numbers, then their letters in order."""
+        mark, *letters = parts
+        short = mark.join("yyyy" if c == "y" else c for c in letters)
+        full = mark.join("yyyy" if c == "y" else c * 2 for c in letters)
+        day = F.try_to_timestamp(m, F.lit(short)).cast("date")
         since = F.datediff(day, F.lit(_CYCLE_START).cast("date")).cast("bigint")
         left = F.pmod(since, F.lit(_CYCLE))
         sizes = F.lit(_CYCLE_A).cast("bigint"), F.lit(_CYCLE_B).cast("bigint")
         mixed = feistel(F.floor(left / _CYCLE_B), left % _CYCLE_B, *sizes, key, "date")
         moved = _then(mixed, lambda v: (since - left + v["x"] * _CYCLE_B + v["y"]).cast("int"))
-        return F.when(since >= 0, F.date_format(F.date_add(F.lit(_CYCLE_START).cast("date"), moved), pattern))
+        new = F.date_add(F.lit(_CYCLE_START).cast("date"), moved)
+        return F.when(since >= 0, F.when(bare, F.date_format(new, short)).otherwise(F.date_format(new, full)))
 
     return (
-        F.when(m.contains("-"), made("yyyy-MM-dd"))
-        .when(m.contains("."), made("dd.MM.yyyy"))
-        .otherwise(F.coalesce(made("MM/dd/yyyy"), made("dd/MM/yyyy")))
+        F.when(m.rlike("^[0-9]{4}-"), made("-", "y", "M", "d"))
+        .when(m.rlike("^[0-9]{4}/"), made("/", "y", "M", "d"))
+        .when(m.contains("-"), F.coalesce(made("-", "d", "M", "y"), made("-", "M", "d", "y")))
+        .when(m.contains("."), made(".", "d", "M", "y"))
+        .otherwise(F.coalesce(made("/", "M", "d", "y"), made("/", "d", "M", "y")))
     )
 
 
 def _mail(m: Column, key: str) -> Column:
+    """A name in ASCII is permuted. One with other letters gets ASCII ones from a keyed hash, as many as it has."""
     name = F.lower(F.substring_index(m, "@", 1))
     letters = F.regexp_replace(name, "[^a-z0-9]", "")
     chunks = [
         _permuted_digits(F.substr(letters, F.lit(k * _MAIL_CHUNK + 1), F.lit(_MAIL_CHUNK)), 36, key, f"mail{k}")
         for k in range(3)
     ]
-    return F.concat(_laid_out(name, "[a-z0-9]", F.concat(*chunks)), F.lit("@"), F.substring_index(m, "@", -1))
+    hashed = [
+        F.right(F.lpad(F.lower(F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit(f"name{k}"), name), 256), 1, 14), 16, 36)), 11, "0"), F.lit(10))
+        for k in range(7)
+    ]
+    plain = F.concat(_laid_out(name, "[a-z0-9]", F.concat(*chunks)))
+    other = _laid_out(name, rf"[{_LETTER}]", F.concat(*hashed))
+    new = F.when(name.rlike(r"[^\x00-\x7F’]"), other).otherwise(plain)
+    return F.concat(new, F.lit("@"), F.substring_index(m, "@", -1))
 
 
 def _kind(m: Column) -> Column:
     return (
         F.when(m.contains("@"), "mail")
-        .when(m.rlike(r"^(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\1[0-9]{4})$"), "date")
+        .when(m.rlike(r"^(?:[0-9]{4}([/-])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([/.-])[0-9]{1,2}\2[0-9]{4})$"), "date")
         .when(m.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), "ip")
-        .when(m.rlike(r"^\+|^\(|^[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}$"), "phone")
+        .when(m.rlike(r"^\+|^\(|^[0-9]{3}([ .-])[0-9]{3}[.-][0-9]{4}$|^[0-9]{3} [0-9]{3} [0-9]{4}$"), "phone")
         .when(m.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
         .when(m.rlike(rf"^{_TRUNK}$"), "phone")
         .otherwise("card")

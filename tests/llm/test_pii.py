@@ -224,3 +224,41 @@ def test_phones_of_other_shapes(spark):
     assert got[1] == "+44" + london and got[2] == laid_out(values[2], r"\d", "440" + london)
     assert [re.sub(r"\D", "", g) for g in got[3:5]] == ["49" + berlin] * 2
     assert all(g != v and re.sub(r"\d", "0", g) == re.sub(r"\d", "0", v) for g, v in zip(got, values))
+
+
+def test_further_spellings_of_a_day_share_its_pseudonym(spark):
+    y, m, d = map(int, date("1985-03-14").split("-"))
+    spellings = {
+        "3/14/1985": f"{m}/{d}/{y}", "14.3.1985": f"{d}.{m}.{y}", "14-03-1985": f"{d:02}-{m:02}-{y}", "1985/03/14": f"{y}/{m:02}/{d:02}",
+        "14/3/1985": f"{d}/{m}/{y}", "1985/3/14": f"{y}/{m}/{d}", "14.03.1985": f"{d:02}.{m:02}.{y}", "03-14-1985": f"{m:02}-{d:02}-{y}",
+    }
+    assert pseudonyms(spark, list(spellings)) == list(spellings.values())
+    others = ["32.1.1985", "1.2.3", "3/14/85", "1985/13/14", "14-03/1985", "1-2-3-1985", "v1.14.3.1985"]
+    assert pseudonyms(spark, others) == others
+
+
+def test_phones_with_spaces_and_the_zero_before_an_area(spark):
+    ten, london = digits("5551234567", 10, "phone"), digits("2079460958", 10, "phone")
+    got = pseudonyms(spark, ["555 123 4567", "555-123-4567", "+1 555 123 4567", "020 7946 0958", "+44 20 7946 0958", "(0171) 1234567"])
+    assert got[0] == f"{ten[:3]} {ten[3:6]} {ten[6:]}" and got[1] == got[0].replace(" ", "-")
+    assert got[2] == "+1 " + got[0]
+    assert got[3] == laid_out("020 7946 0958", r"\d", "0" + london) and got[4].endswith(got[3][1:])
+    assert got[5].startswith("(0") and re.sub(r"\D", "", got[5])[1:] == digits("1711234567", 10, "phone")
+    lists = ["12 555 123 4567", "555 123 4567 89", "1555 123 4567", "555 123 45678"]
+    assert pseudonyms(spark, lists) == lists
+
+
+def test_cards_with_dots(spark):
+    made = card("4111111111111111")
+    dotted = ".".join(made[k : k + 4] for k in range(0, 16, 4))
+    got = pseudonyms(spark, ["4111.1111.1111.1111", "see 4111.1111.1111.1111.", "4111.1111.1111.1112", "4111.1111.1111.1111.5"])
+    assert got == [dotted, f"see {dotted}.", "4111.1111.1111.1112", "4111.1111.1111.1111.5"]
+
+
+def test_mail_names_with_other_letters_and_apostrophes(spark):
+    names = ["josé@example.com", "JOSÉ@example.com", "jose@example.com", "иван.петров@example.org", "o'brien@x.org", "'bob@x.org'", "é@x.org"]
+    got = pseudonyms(spark, names)
+    assert got[0] == got[1] != got[2] and re.fullmatch(r"[a-z0-9]{4}@example\.com", got[0])
+    assert re.fullmatch(r"[a-z0-9]{4}\.[a-z0-9]{6}@example\.org", got[3])
+    assert got[4] == mail("o'brien@x.org") and got[5] == f"'{mail('bob@x.org')}'"
+    assert re.fullmatch(r"[a-z0-9]@x\.org", got[6])
