@@ -1,10 +1,12 @@
 """Near-duplicate join by Jaccard similarity of word n-grams: MinHash banding, then verification on full sets.
 
 Documents with equal n-gram sets are one copy class. Its MinHash signature is cut into bands, whose number and
-width follow from the threshold and the recall wanted. Classes that meet on a band hash are candidates. Connected
-candidates are laid out in tiles of bounded size; a tile compares the full n-gram sets of those pairs that agree
-in at least half of the threshold's share of all hashes, whether or not they share a band, and returns a number
-of links per class and edges of a spanning forest, never the pairs themselves.
+width follow from the threshold and the recall wanted. Classes that meet on a band hash are candidates, and so are
+all that these connect: a few texts of a template meet by chance and chain many together. Such groups are first laid
+out in tiles with their hashes alone, which cut them into groups of classes that agree about as much as near
+copies do; only their n-gram sets are fetched. Then tiles of bounded size compare the full sets of those pairs
+that agree in at least half of the threshold's share of all hashes, whether or not they share a band. A tile returns
+a number of links per class and edges of a spanning forest, never the pairs themselves.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from meetmart.llm.components import connected_components
@@ -29,6 +31,10 @@ RECALL = 0.9995
 MOST_HASHES = 128
 #: Classes and n-grams of one side of a tile.
 TILE_CLASSES, TILE_GRAMS = 1024, 1 << 21
+#: Classes of one side of a tile that holds hashes alone.
+HASH_TILE_CLASSES = 2048
+#: Deviations of the estimated similarity by which a pair at the threshold may fall below it and stay a candidate.
+_DEVIATIONS = 5
 #: Classes of small groups of candidates that are compared in one call.
 _CALL_CLASSES = 512
 #: Bytes of text that a task hashes at a time.
@@ -234,16 +240,51 @@ def _roots(count: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _tile(table: pa.Table, threshold: float) -> pa.Table:
-    """Links and forest edges of the classes in one call; each group of candidates stands for itself."""
+def _groups_in(table: pa.Table) -> list[list[dict]]:
+    """Rows of one call by group, in order of their nodes."""
     rows = {}
     for row in table.to_pylist():  # a row may come twice if the table repeats it
         rows.setdefault((row["component"], row["node"]), row)
     groups: dict[int, list[dict]] = {}
     for row in sorted(rows.values(), key=lambda r: (r["component"], r["node"])):
         groups.setdefault(row["component"], []).append(row)
+    return list(groups.values())
+
+
+def least_agreement(threshold: float, hashes: int) -> float:
+    """Share of equal minima below which a pair is no candidate.
+
+    A pair at the threshold falls below it by five deviations: with a hundred hashes and 0.8, where the border is 0.6,
+    about once in a million times, while unrelated texts of one template stay far below.
+    """
+    return max(threshold / 2, threshold - _DEVIATIONS * math.sqrt(threshold * (1 - threshold) / hashes))
+
+
+def _agreeing_tile(table: pa.Table, threshold: float) -> pa.Table:
+    """Forest edges between classes whose hashes agree like those of near copies."""
+    nodes, roots = [], []
+    for members in _groups_in(table):
+        low, high = members[0]["low"], members[0]["high"]
+        minima = np.array([np.frombuffer(m["minima"], np.uint16) for m in members])
+        border = least_agreement(threshold, minima.shape[1]) * minima.shape[1] - 1e-9
+        if low == high:
+            x, y = np.nonzero(np.triu(_agreement(minima, minima) >= border, 1))
+        else:
+            block = np.array([m["block"] for m in members])
+            left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+            x, y = np.nonzero(_agreement(minima[left], minima[right]) >= border)
+            x, y = left[x], right[y]
+        root = _roots(len(members), x, y)
+        for k in np.flatnonzero(root != np.arange(len(members))):
+            nodes.append(members[k]["node"])
+            roots.append(members[root[k]]["node"])
+    return pa.table({"node": pa.array(nodes, pa.int64()), "root": pa.array(roots, pa.int64())})
+
+
+def _tile(table: pa.Table, threshold: float) -> pa.Table:
+    """Links and forest edges of the classes in one call; each group of candidates stands for itself."""
     out: list[tuple[int, int, int, int]] = []
-    for members in groups.values():
+    for members in _groups_in(table):
         low, high = members[0]["low"], members[0]["high"]
         minima = np.array([np.frombuffer(m["minima"], np.uint16) for m in members])
         sets = [np.frombuffer(m["set"], np.uint64) for m in members]
@@ -410,29 +451,43 @@ def _links(docs: DataFrame, copies: DataFrame, threshold: float, words: int, ban
     )
     met = buckets.join(shared, ["band", "hash"]).where("node != first")
     edges = met.select(F.col("node").alias("a"), F.col("first").alias("b"))
-    near = materialized(connected_components(edges), "candidates")
-    members = near.join(copies.drop("set_key", "copy_id", "bands"), "node")
-    sizes = near.join(copies.select("node", "grams"), "node").groupBy("component").agg(
-        F.greatest(
-            F.ceil(F.count(F.lit(1)) / TILE_CLASSES), F.ceil(F.sum("grams") / TILE_GRAMS), F.lit(1)
-        ).cast("int").alias("blocks")
-    )
-    members = members.join(materialized(sizes, "sizes"), "component")
-    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).drop("grams")
-    calls = max(1, near.count() // _CALL_CLASSES)
-    tiles = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda other: F.struct(F.least("block", other).alias("low"), F.greatest("block", other).alias("high")),
+    met = materialized(connected_components(edges), "candidates")
+    ship(spark)
+    hashed = _blocks_of(met.join(copies.select("node", "minima", F.lit(0).alias("grams")), "node"), HASH_TILE_CLASSES)
+    agreeing = _tiled(hashed, ["node", "minima"]).applyInArrow(
+        lambda table: _agreeing_tile(table, threshold), "node bigint, root bigint"
     )
+    agreeing = agreeing.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    near = materialized(connected_components(agreeing), "agreeing")
+    members = _blocks_of(near.join(copies.drop("set_key", "copy_id", "bands"), "node"), TILE_CLASSES)
+    return _tiled(_with_sets(docs, members, words), ["node", "copies", "minima", "set"]).applyInArrow(
+        lambda table: _tile(table, threshold), "node bigint, root bigint, documents bigint, classes bigint"
+    )
+
+
+def _blocks_of(members: DataFrame, most: int) -> DataFrame:
+    """Members of groups with the number of blocks of their group, their own block, and the call they belong to.
+
+    A block has about `most` classes, or TILE_GRAMS n-grams, at most. Groups of one block share calls, of which there
+    are enough for both bounds.
+    """
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("grams").alias("grams"))
+    sizes = materialized(sizes, "sizes")
+    blocks = F.greatest(F.ceil(F.col("n") / most), F.ceil(F.col("grams") / TILE_GRAMS), F.lit(1)).cast("int")
+    total = sizes.agg(F.sum("n").alias("n"), F.sum("grams").alias("grams")).first()
+    calls = max(1, (total.n or 0) // _CALL_CLASSES, 4 * (total.grams or 0) // TILE_GRAMS)
     # groups that fit one tile share a call with others
     call = F.when(F.col("blocks") == 1, -1 - F.pmod(F.xxhash64("component"), F.lit(calls))).otherwise(F.col("component"))
-    laid = (
-        _with_sets(docs, members, words)
-        .withColumn("call", call)
-        .select("call", "component", "node", "block", "copies", "minima", "set", F.explode(tiles).alias("t"))
-        .select("call", "component", "node", "block", "copies", "minima", "set", "t.low", "t.high")
-    )
-    ship(spark)
-    return laid.groupBy("call", "low", "high").applyInArrow(
-        lambda table: _tile(table, threshold), "node bigint, root bigint, documents bigint, classes bigint"
+    placed = members.drop("grams").join(sizes.select("component", blocks.alias("blocks")), "component")
+    return placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("call", call)
+
+
+def _tiled(members: DataFrame, columns: list[str]) -> GroupedData:
+    """Members by tile: each is sent to the tiles that pair its block with all blocks of its group."""
+    tiles = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda other: F.struct(F.least("block", other).alias("low"), F.greatest("block", other).alias("high")),
     )
+    names = ["call", "component", "block", *columns]
+    laid = members.select(*names, F.explode(tiles).alias("t")).select(*names, "t.low", "t.high")
+    return laid.groupBy("call", "low", "high")

@@ -135,3 +135,41 @@ def test_components_of_random_graphs(spark):
 def test_empty_table(spark):
     assert jaccard.near_duplicates(documents(spark, [])).collect() == []
     assert jaccard.one_of_each_class(documents(spark, [])).collect() == []
+
+
+def test_texts_of_one_template_ship_no_sets(spark, monkeypatch):
+    """A third of their words in common: some meet in a band, none is a near copy, and no n-gram set is fetched."""
+    head = words(700, 130)
+    rows = [(k, " ".join(head + words(1000 + k, 160))) for k in range(1200)]
+    rows += [(5000 + k, " ".join(words(4, 200)) + f" end{k}") for k in range(3)]
+    fetched, met, real, components = [], [], jaccard._with_sets, jaccard.connected_components
+    monkeypatch.setattr(jaccard, "_with_sets", lambda d, m, w: (fetched.append(m.count()), real(d, m, w))[1])
+    monkeypatch.setattr(jaccard, "connected_components", lambda e: (met.append(components(e)), met[-1])[1])
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_duplicates(documents(spark, rows)).collect()}
+    assert fetched == [3] and met[0].count() > 3
+    assert all(got[i] == ((5000, 2) if i >= 5000 else (i, 0)) for i, _ in rows)
+
+
+def test_recall_by_similarity(spark):
+    """Pairs at 0.8 and a little above, each on its own: nearly all are found, and none below."""
+    pick, rows, want = random.Random(12), [], set()
+    for k in range(400):
+        text = words(10_000 + k, 220)
+        other = list(text)
+        for at in pick.sample(range(220), 4):
+            other[at] = f"changed{k}x{at}"
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(other))]
+        a, b = grams(rows[-2][1]), grams(rows[-1][1])
+        if len(a & b) >= 0.8 * len(a | b):
+            want.add(2 * k + 1)
+    found = {r.doc_id for r in jaccard.near_duplicates(documents(spark, rows)).collect() if r.class_id != r.doc_id}
+    assert len(want) > 100 and found <= want and len(found) >= 0.99 * len(want)
+
+
+def test_the_border_of_hashes_alone():
+    from math import comb
+
+    assert jaccard.least_agreement(0.8, 100) == pytest.approx(0.6)
+    below = sum(comb(100, k) * 0.8**k * 0.2 ** (100 - k) for k in range(60))
+    assert below < 3e-6
+    assert jaccard.least_agreement(0.5, 10) == 0.25
