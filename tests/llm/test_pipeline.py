@@ -62,4 +62,4 @@ def test_empty_table_passes_all_stages(spark):
 def test_every_operator_is_registered():
     names = entry.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
