@@ -22,6 +22,8 @@ from meetmart.sources.scratch import materialized
 from meetmart.sources.writers import write_days
 
 _BY = ("route", "dt", "batch_id")
+#: Route under which metrics count bodies that the table held already.
+COPY = "copy"
 _COMPACTED = -1  # stands for all batches of a day that was compacted
 
 _TEXT = T.StringType()
@@ -142,6 +144,7 @@ def start_ingest(
         batch = materialized(batch, "batch")  # the state behind it is read once
         new = not_landed(batch, table, batch_id)
         write_days(routed(new).withColumn("batch_id", F.lit(batch_id)), table, by=_BY)
+        _keep_metrics(batch, table, batch_id)
 
     bodies = read_landing(spark, landing, whole_text, max_file_age, max_bytes, max_files)
     return (
@@ -153,6 +156,42 @@ def start_ingest(
     )
 
 
+_METRICS = T.StructType(
+    [
+        T.StructField("route", _TEXT),
+        T.StructField("dt", _TEXT),
+        T.StructField("rows", T.LongType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+
+def _metrics_path(table: str) -> str:
+    return f"{table.rstrip('/')}_metrics"
+
+
+def _keep_metrics(batch: DataFrame, table: str, batch_id: int) -> None:
+    """Rows of one batch by route and day, and the copies it left out, beside the table; a replay replaces them.
+
+    Only the batch's own partitions are counted, which their footers tell.
+    """
+    spark = batch.sparkSession
+    own = read_days_or_empty(spark, table, LANDED).where(F.col("batch_id") == batch_id)
+    stored = own.groupBy("route", "dt").agg(F.count(F.lit(1)).alias("rows"))
+    seen = batch.groupBy("dt").agg(F.count(F.lit(1)).alias("seen"))
+    kept = stored.groupBy("dt").agg(F.sum("rows").alias("kept"))
+    left = (F.col("seen") - F.coalesce("kept", F.lit(0))).alias("rows")
+    copies = seen.join(kept, "dt", "left").select(F.lit(COPY).alias("route"), "dt", left).where("rows > 0")
+    counts = stored.unionByName(copies).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    write_days(counts, _metrics_path(table), by=("batch_id",), replaces=[{"batch_id": str(batch_id)}])
+
+
+def batch_metrics(spark: SparkSession, table: str) -> DataFrame:
+    """(route, dt, rows, batch_id) as kept with each batch: accepted, dead letters, and copies that came too late for
+    the stream's memory. Added up over batches they are the `landing_metrics`, without a look at the table."""
+    return read_days_or_empty(spark, _metrics_path(table), _METRICS)
+
+
 def compact_landed(spark: SparkSession, table: str, day: str) -> int:
     """Puts the batches of a day that is over into one partition per route; returns the rows kept.
 

@@ -176,3 +176,33 @@ def test_bodies_are_looked_up_by_day_and_batch(spark, landing):
     other = stored.withColumn("dt", F.lit("2025-06-16"))
     assert ingest.not_landed(other, landing.table, 1).count() == 1
     assert ingest.not_landed(stored, str(landing.root / "none"), 1).count() == 1
+
+
+def test_batches_keep_their_counts(spark, landing):
+    """Added up they are the counts of the table; copies that the memory has forgotten are counted apart."""
+
+    def run():
+        ingest.start_ingest(
+            spark, str(landing.zone), landing.table, str(landing.root / "checkpoint"), memory="1 millisecond"
+        ).awaitTermination()
+        kept = ingest.batch_metrics(spark, landing.table).groupBy("route", "dt").agg(F.sum("rows").alias("rows"))
+        kept = {(r.route, r.dt): r.rows for r in kept.collect()}
+        scanned = {(r.route, r.dt): r.rows for r in ingest.landing_metrics(spark, landing.table).collect()}
+        assert {k: n for k, n in kept.items() if k[0] != ingest.COPY} == scanned
+        return {k[1]: n for k, n in kept.items() if k[0] == ingest.COPY}
+
+    assert ingest.batch_metrics(spark, landing.table).count() == 0
+    landing.put("a", webhook())
+    landing.put("b", webhook(payload__uri="I2"), DAY + 86400)
+    landing.put("x", "broken")
+    assert run() == {}
+    time.sleep(0.1)
+    landing.put("c", webhook(payload__uri="I3"))  # moves the watermark on
+    run()
+    landing.put("d", webhook(), DAY + 60)
+    landing.put("y", "broken", DAY + 60)
+    assert run() == {"2025-06-15": 2}
+    commits = sorted(int(p.name) for p in (landing.root / "checkpoint" / "commits").glob("[0-9]*"))
+    for path in [*(landing.root / "checkpoint" / "commits").glob(f"*{commits[-1]}*")]:
+        path.unlink()
+    assert run() == {"2025-06-15": 2}
