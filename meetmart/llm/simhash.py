@@ -13,6 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meetmart.llm.components import connected_components
 from meetmart.sources.scratch import materialized
 
 BITS = 64
@@ -21,8 +22,8 @@ _COUNTER = 0x0001000100010001
 _MOST_WEIGHT = 16
 #: Pairs per span: weight times pairs stays below 2**15, the room of the topmost counter.
 _SPAN = 2**15 // _MOST_WEIGHT - 1
-#: Rows of neighbouring ids that are put in order together, and how many such blocks there are at most.
-_BLOCK_ROWS = 256
+#: Ids and keys (no texts) that are put in order together, and how many such blocks there are at most.
+_BLOCK_ROWS = 65_536
 _MOST_BLOCKS = 20_000
 _NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -94,54 +95,34 @@ def likeness(a: Column, b: Column) -> Column:
 # Neighbours by id
 
 
-def in_blocks(docs: DataFrame, block_rows: int = _BLOCK_ROWS) -> DataFrame:
-    """Rows of (doc_id, text) in blocks of neighbouring ids, each with the first of the next block behind it.
+def row_key(doc_id: Column, text: Column) -> Column:
+    """128 bits that stand for an id and a text; equal for equal rows only, as far as MD5 tells texts apart."""
+    return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), text)))
 
-    Block borders are quantiles of the ids and come to the driver, as do the first ids of the blocks; both are
-    bounded by the number of blocks. Null ids come first; equal ids are ordered by text.
+
+def in_blocks(groups: DataFrame, block_rows: int = _BLOCK_ROWS) -> DataFrame:
+    """(key, doc_id, ...) with the key of the next row, in ascending ids; after the last comes the first.
+
+    Null ids come first, equal ids are ordered by key. Keys are hashes, so rows of one id, or without any, spread
+    over blocks like all others. Only ids and keys are put in order, texts stay where they are. The first rows of
+    the blocks are looked up in a table of at most one row per block, whose number is bounded.
     """
-    spark = docs.sparkSession
-    ids = docs.select("doc_id")
-    rows = ids.count()
-    blocks = max(1, min(_MOST_BLOCKS, rows // block_rows))
-    borders: list[int] = []
-    if blocks > 1:
-        shares = [k / blocks for k in range(1, blocks)]
-        borders = ids.agg(F.percentile_approx("doc_id", shares, 10 * blocks)).first()[0] or []
-    block = _position(F.col("doc_id"), sorted(set(borders)))
-    docs = docs.withColumn("_block", block)
-    by_block = docs.groupBy("_block").agg(
-        F.min("doc_id").alias("first"), F.count_if(F.isnull("doc_id")).alias("nulls")
+    blocks = max(1, min(_MOST_BLOCKS, groups.count() // block_rows))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("key").asc()]
+    placed = groups.repartitionByRange(blocks, *order).withColumn("_block", F.spark_partition_id())
+    placed = materialized(placed, "ids-in-blocks")
+    firsts = placed.groupBy("_block").agg(F.min(F.struct("doc_id", "key"))["key"].alias("_first"))
+    by_block = Window.orderBy("_block")  # one row per block
+    whole = by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    behind = firsts.select(
+        "_block", F.coalesce(F.lead("_first").over(by_block), F.first("_first").over(whole)).alias("_behind")
     )
-    firsts = sorted(by_block.collect(), key=lambda r: r._block)
-    ghosts = [
-        (r.first if not r.nulls else None, firsts[k - 1]._block) for k, r in enumerate(firsts)
-    ]  # the first block's first row stands behind the last block
-    ghost = spark.createDataFrame(ghosts, "_first bigint, _behind int")
-    # at most one row per block, so the size of this side is bounded
-    joined = docs.join(F.broadcast(ghost), docs.doc_id.eqNullSafe(ghost["_first"]), "left")
-    own = F.struct(F.col("_block"), F.lit(False).alias("_ghost"))
-    other = F.struct(F.col("_behind").alias("_block"), F.lit(True).alias("_ghost"))
-    both = F.when(F.col("_behind").isNull(), F.array(own)).otherwise(F.array(own, other))
-    return joined.select("doc_id", "text", F.explode(both).alias("_to")).select("doc_id", "text", "_to.*")
-
-
-def _position(value: Column, borders: list[int]) -> Column:
-    """How many of the sorted borders are at or below the value, by bisection; 0 for null."""
-    if not borders:
-        return F.lit(0)
-    array = F.split(F.lit(",".join(map(str, borders))), ",").cast("array<bigint>")
-    steps = math.ceil(math.log2(len(borders) + 1))
-    middle = lambda s: F.shiftright(s["lo"] + s["hi"], 1)
-    found = F.aggregate(
-        F.sequence(F.lit(1), F.lit(steps)),
-        F.struct(F.lit(0).alias("lo"), F.lit(len(borders)).alias("hi")),
-        lambda s, _: F.when(s["lo"] >= s["hi"], s)
-        .when(F.get(array, middle(s)) <= value, F.struct((middle(s) + 1).alias("lo"), s["hi"].alias("hi")))
-        .otherwise(F.struct(s["lo"].alias("lo"), middle(s).alias("hi"))),
-        lambda s: s["lo"],
+    ahead = placed.withColumn("_ahead", F.lead("key").over(Window.partitionBy("_block").orderBy(*order)))
+    return (
+        ahead.join(F.broadcast(behind), "_block")
+        .withColumn("next_key", F.coalesce("_ahead", "_behind"))
+        .drop("_block", "_ahead", "_behind")
     )
-    return F.coalesce(found, F.lit(0))
 
 
 # Search
@@ -192,62 +173,103 @@ def near_fingerprints(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs.select(F.explode(both).alias("p")).select("p.*")
 
 
+def near_classes(sizes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(simhash, n_near, class_id) from (simhash, n rows, smallest id `first`) of distinct fingerprints.
+
+    Links are pairs of fingerprints within the radius; a class holds all that links connect, and bears the smallest
+    id of its rows (null if none has an id). `n_near` counts the rows, but for one itself, within the radius.
+    """
+    links = materialized(near_fingerprints(sizes.select("simhash"), radius), "near-fingerprints")
+    others = (
+        links.join(sizes.select(F.col("simhash").alias("other"), "n"), "other")
+        .groupBy("simhash")
+        .agg(F.sum("n").alias("n_others"))
+    )
+    edges = links.where("simhash < other").select(F.col("simhash").alias("a"), F.col("other").alias("b"))
+    member = connected_components(edges).withColumnRenamed("node", "simhash")
+    joined = sizes.join(others, "simhash", "left").join(member, "simhash", "left")
+    joined = joined.withColumn("component", F.coalesce("component", "simhash"))
+    # a class is pre-aggregated on the map side, so a large one costs no task more
+    smallest = joined.groupBy("component").agg(F.min("first").alias("class_id"))
+    return joined.join(smallest, "component").select(
+        "simhash", (F.col("n") - 1 + F.coalesce("n_others", F.lit(0))).alias("n_near"), "class_id"
+    )
+
+
+def _quarter(n_chars: Column) -> Column:
+    return F.floor(n_chars / 4).cast("int")
+
+
+def _repeated(rows: DataFrame, times: str) -> DataFrame:
+    """Each row as often as `times` says, in bounded pieces."""
+    piece = 2**16
+    parts = rows.withColumn("_part", F.explode(F.expr(f"sequence(0L, ({times} - 1) div {piece})")))
+    held = F.expr(f"explode(sequence(1L, least({piece}L, {times} - _part * {piece})))")
+    return parts.withColumn("_copy", held).drop("_part", "_copy", times)
+
+
 def edited_digest(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Fingerprints of every text and of its edited text, their likeness, and documents within the radius.
 
     The edited text has the last quarter of the characters replaced by as many first ones of the next document's
     text (by id; after the last, the first). Null texts are empty; texts without words share one fingerprint.
-    Repeated rows give a row each, ordered by text among equal ids. `n_near` counts the other rows whose
-    fingerprint lies within the radius.
+    Rows of one id, or without an id, are ordered by a hash of their texts. Repeated rows give a row each; all but
+    the last of them are followed by their own text. They are counted before texts are shuffled. `n_near` counts
+    the other rows whose fingerprint lies within the radius; `class_id` is the smallest id of all documents
+    connected through such links.
     """
-    texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    )
-    order = Window.partitionBy("_block").orderBy("_ghost", "doc_id", "text")
-    ordered = in_blocks(texts).select(
-        "_block", "_ghost", "doc_id", "text",
-        F.row_number().over(order).alias("_row"), F.lead("text").over(order).alias("_next"),
-    )
-    n_chars = F.char_length("text")
-    moved = F.expr("char_length(text) div 4").cast("int")
-    edited = F.concat(
-        F.expr("left(text, char_length(text) - cast(char_length(text) div 4 as int))"),
-        F.when(moved > 0, F.expr("left(_next, cast(char_length(text) div 4 as int))")).otherwise(F.lit("")),
-    )
-    kinds = F.when(F.col("_ghost"), F.array(F.struct(F.lit(0).alias("kind"), F.col("text")))).otherwise(
-        F.array(
-            F.struct(F.lit(0).alias("kind"), F.col("text")),
-            F.struct(F.lit(1).alias("kind"), edited.alias("text")),
-        )
-    )
-    both = fingerprints(
-        ordered.select("_block", "_row", F.explode(kinds).alias("_k")).select("_block", "_row", "_k.kind", "_k.text"),
-        ["_block", "_row", "kind"],
-    )
-    by_row = both.groupBy("_block", "_row").agg(
-        F.max(F.when(F.col("kind") == 0, F.col("simhash"))).alias("simhash"),
-        F.max(F.when(F.col("kind") == 1, F.col("simhash"))).alias("edited"),
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    doc_id = F.col("doc_id").cast("long")
+    texts = docs.select(row_key(doc_id, text).alias("key"), doc_id.alias("doc_id"), text.alias("text"))
+    groups = texts.select("key", "doc_id", F.char_length("text").cast("long").alias("n_chars"))
+    groups = groups.groupBy("key", "doc_id", "n_chars").agg(F.count(F.lit(1)).alias("n"))
+    ordered = materialized(in_blocks(materialized(groups, "ids")), "ids-in-order")
+    # a row sends the row before it as many of its first characters as that one moves
+    whole = texts.groupBy("key").agg(F.first("text").alias("text"))
+    asked = ordered.select(F.col("next_key").alias("key"), F.col("key").alias("to"), _quarter(F.col("n_chars")).alias("m"))
+    sent = whole.join(asked, "key").select(F.col("to").alias("key"), F.left("text", F.col("m")).alias("_sent"))
+    both = whole.join(sent, "key").join(ordered.select("key", "n_chars", "n"), "key")
+
+    def edit(source: str) -> Column:
+        moved = _quarter(F.col("n_chars"))
+        kept = F.left("text", (F.col("n_chars") - moved).cast("int"))
+        return F.concat(kept, F.left(F.col(source), moved))
+
+    kinds = [
+        F.struct(F.lit(0).alias("kind"), F.col("text")),
+        F.struct(F.lit(1).alias("kind"), edit("_sent").alias("text")),
+    ]
+    again = F.struct(F.lit(2).alias("kind"), edit("text").alias("text"))  # followed by a copy of itself
+    kinds = F.when(F.col("n") > 1, F.array(*kinds, again)).otherwise(F.array(*kinds))
+    votes = fingerprints(both.select("key", F.explode(kinds).alias("_k")).select("key", "_k.*"), ["key", "kind"])
+    by_key = votes.groupBy("key").agg(
+        *[F.max(F.when(F.col("kind") == k, F.col("simhash"))).alias(f"print{k}") for k in range(3)]
     )
-    ahead = by_row.withColumn("next", F.lead("simhash").over(Window.partitionBy("_block").orderBy("_row")))
-    plain = ordered.where(~F.col("_ghost")).select(
-        "_block", "_row", "doc_id", n_chars.cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256")
+    digests = both.select(
+        "key", F.sha2(edit("_sent"), 256).alias("sha1"), F.when(F.col("n") > 1, F.sha2(edit("text"), 256)).alias("sha2")
     )
-    found = materialized(plain.join(ahead, ["_block", "_row"]).drop("_block", "_row"), "fingerprints")
-    sizes = materialized(found.groupBy("simhash").agg(F.count(F.lit(1)).alias("n")), "distinct-fingerprints")
-    others = (
-        near_fingerprints(sizes.select("simhash"), radius)
-        .join(sizes.select(F.col("simhash").alias("other"), "n"), "other")
-        .groupBy("simhash")
-        .agg(F.sum("n").alias("n_others"))
+    found = materialized(digests.join(by_key, "key"), "fingerprints")
+    after = found.select(F.col("key").alias("next_key"), F.col("print0").alias("next"))
+    rows = ordered.join(found, "key").join(after, "next_key").withColumnRenamed("print0", "simhash")
+    last = F.struct(
+        F.lit(1).cast("long").alias("times"), F.col("sha1").alias("sha"), F.col("print1").alias("edited"), F.col("next")
     )
-    near = materialized(sizes.join(others, "simhash", "left"), "near-fingerprints")
-    return found.join(near, "simhash").select(
+    rest = F.struct(
+        (F.col("n") - 1).alias("times"), F.col("sha2").alias("sha"), F.col("print2").alias("edited"),
+        F.col("simhash").alias("next"),
+    )
+    each = F.explode(F.when(F.col("n") > 1, F.array(last, rest)).otherwise(F.array(last))).alias("_e")
+    sizes = rows.groupBy("simhash").agg(F.sum("n").alias("n"), F.min("doc_id").alias("first"))
+    near = materialized(near_classes(materialized(sizes, "distinct-fingerprints"), radius), "near-classes")
+    spread = rows.join(near, "simhash").select("doc_id", "n_chars", "simhash", "n_near", "class_id", each)
+    return _repeated(spread.select("*", "_e.*"), "times").select(
         "doc_id",
         "n_chars",
-        "edited_sha256",
+        F.col("sha").alias("edited_sha256"),
         hex64(F.col("simhash")).alias("fingerprint"),
         hex64(F.col("edited")).alias("edited_fingerprint"),
         likeness(F.col("simhash"), F.col("edited")).alias("near_edited"),
         likeness(F.col("simhash"), F.col("next")).alias("near_next"),
-        (F.col("n") - 1 + F.coalesce("n_others", F.lit(0))).alias("n_near"),
+        "n_near",
+        "class_id",
     )

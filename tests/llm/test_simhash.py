@@ -110,3 +110,63 @@ def test_one_document_and_empty_table(spark):
     (row,) = simhash.edited_digest(documents(spark, [(5, "abcdefgh")])).collect()
     assert row.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest() and row.near_next == 1 and row.n_near == 0
     assert simhash.edited_digest(documents(spark, [])).collect() == []
+
+
+def test_equal_and_missing_ids_are_ordered_by_a_hash_of_the_text(spark, monkeypatch):
+    """A third of the rows without an id and a third of one id spread over blocks; each row is followed by the next."""
+    monkeypatch.setattr(simhash.in_blocks, "__defaults__", (4,))
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else 100 + k, " ".join(words(k, 30))) for k in range(90)]
+    rows += [(7, rows[1][1])] * 3 + [(None, None), (None, "")]
+
+    def key(row):
+        i, t = row
+        digest = hashlib.md5(f"{'' if i is None else i}:{t or ''}".encode()).digest()
+        return (i is not None, i or 0, digest)
+
+    want, ordered = [], sorted(rows, key=key)
+    for k, (i, t) in enumerate(ordered):
+        t, ahead = t or "", ordered[(k + 1) % len(ordered)][1] or ""
+        cut = len(t) // 4
+        want.append((i, len(t), hashlib.sha256((t[: len(t) - cut] + ahead[:cut]).encode()).hexdigest()))
+    got = simhash.edited_digest(documents(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in got), key=repr) == sorted(want, key=repr)
+    frame = spark.createDataFrame([(bytes([k * 37 % 256, k]), None, k) for k in range(200)], "key binary, doc_id long, at int")
+    following = {bytes(r.key): bytes(r.next_key) for r in simhash.in_blocks(frame).collect()}
+    keys = sorted(following)
+    assert len(keys) == 200 and all(following[a] == b for a, b in zip(keys, [*keys[1:], keys[0]]))
+
+
+def test_classes_are_what_links_connect(spark):
+    """Against single linkage over all pairs of fingerprints."""
+    rows = []
+    for family in range(12):
+        base = words(family, 400)
+        for copy in range(6):
+            changed = list(base)
+            for at in range(copy):
+                changed[(at * 61 + 7) % 400] = f"other{copy}"
+            rows.append((100 * family + 50 - copy, " ".join(changed)))
+    rows += [(None, rows[0][1]), (2000, "alone in its class")]
+    got = simhash.edited_digest(documents(spark, rows)).collect()
+    classes = [{r.fingerprint} for r in got]
+    for a, b in itertools.combinations({r.fingerprint for r in got}, 2):
+        if distance(a, b) <= simhash.RADIUS:
+            joined = [c for c in classes if a in c or b in c]
+            classes = [c for c in classes if c not in joined] + [set().union(*joined)]
+    for r in got:
+        members = next(c for c in classes if r.fingerprint in c)
+        assert r.class_id == min(o.doc_id for o in got if o.fingerprint in members and o.doc_id is not None)
+    assert len({r.class_id for r in got}) < 40
+
+
+def test_share_of_near_copies_within_the_radius(spark):
+    """Copies with one word in 200 changed are found in more than half of the cases, unlike texts never."""
+    rows = []
+    for k in range(120):
+        base = words(k, 200)
+        changed = list(base)
+        changed[100] = "changed"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(changed))]
+    got = {r.doc_id: r for r in simhash.edited_digest(documents(spark, rows)).collect()}
+    assert sum(got[2 * k].class_id == got[2 * k + 1].class_id for k in range(120)) > 60
+    assert all(r.class_id // 2 == r.doc_id // 2 for r in got.values())
