@@ -7,7 +7,8 @@ fields, wrong JSON types and unknown keys can be told apart, which a typed read
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Callable, Sequence
+import functools
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ TOTALS_TOLERANCE = 0.02  # fixed value: allowed relative difference of spend tot
 
 def _is_kind(found: Column, kind: str) -> Column:
     """Whether a described variant is of a JSON kind; plain comparisons, no patterns."""
-    if kind == "number":
+    if kind in ("number", "integer"):
         return found.isin("BIGINT", "DOUBLE", "FLOAT") | found.startswith("DECIMAL")
     if kind in ("object", "array"):
         return found.startswith(kind.upper())
@@ -35,28 +36,37 @@ def _is_kind(found: Column, kind: str) -> Column:
 @dataclasses.dataclass(frozen=True)
 class Field:
     path: str
-    kind: str = "string"
+    kind: str | Sequence[str] = "string"  # several kinds are alternatives
     required: bool = False
     nullable: bool = False
     one_of: Sequence[str] = ()
     form: str = ""  # "time" or "day"
-    length: int = 0
-    only: Sequence[str] = ()  # keys an object may have, if it is closed
+    lengths: tuple[int | None, int | None] = (None, None)  # fewest and most characters
+    only: Sequence[str] | None = None  # keys an object may have, if it is closed
     items: str = ""  # kind of the elements of an array
+    limits: tuple[float | None, float | None] = (None, None)  # smallest and largest number
+    pattern: str = ""  # found anywhere in the text
+    at: str = ""  # path within the variant, if not `path` as it is
+
+    @property
+    def kinds(self) -> tuple[str, ...]:
+        return (self.kind,) if isinstance(self.kind, str) else tuple(self.kind)
 
     def readings(self, body: Column) -> dict[str, Column]:
         """What the rules look at: JSON kind (null if absent) and, where needed, text and keys."""
-        at = f"$.{self.path}" if self.path else "$"
+        at = self.at or (f"$.{self.path}" if self.path else "$")
         kind = F.schema_of_variant(F.try_variant_get(body, at, "variant"))
-        if self.kind == "object":
+        if "object" in self.kinds:
             # Casting to a struct of one field is the cheap way to tell an object: describing
             # a whole object costs as much as a dozen other readings.
             probe = F.try_variant_get(body, at, "struct<_:string>")
             kind = F.when(probe.isNotNull(), F.lit("OBJECT")).otherwise(kind)
         found = {"kind": kind}
-        if self.one_of or self.form or self.length:
+        if self.one_of or self.form or self.pattern or self.lengths != (None, None):
             found["text"] = F.try_variant_get(body, at, "string")
-        if self.only:
+        if "integer" in self.kinds or self.limits != (None, None):
+            found["number"] = F.try_variant_get(body, at, "double")
+        if self.only is not None:
             found["keys"] = F.map_keys(F.try_variant_get(body, at, "map<string,variant>"))
         if self.items:
             found["items"] = F.try_variant_get(body, at, "array<variant>")
@@ -64,20 +74,27 @@ class Field:
 
     def reasons(self, found: dict[str, Column]) -> list[Column]:
         kind, text = found["kind"], found.get("text")
-        fits = _is_kind(kind, self.kind)
+        fits = functools.reduce(Column.__or__, [_is_kind(kind, k) for k in self.kinds])
+        if "integer" in self.kinds and "number" not in self.kinds:
+            fits = fits & ~(_is_kind(kind, "number") & (F.floor(found["number"]) != found["number"]))
+        is_text = kind == "STRING"
         rules: list[tuple[str, Column]] = []
         if self.required:
             rules.append(("missing", kind.isNull()))
         rules.append(("type", ~(fits | (kind == "VOID")) if self.nullable else ~fits))
         if self.one_of:
-            rules.append(("value", (kind == "STRING") & ~text.isin(list(self.one_of))))
+            rules.append(("value", is_text & ~text.isin(list(self.one_of))))
         if self.form:
             right = is_date_time(text) if self.form == "time" else day(text).isNotNull()
-            rules.append(("format", (kind == "STRING") & ~right))
-        if self.length:
-            rules.append(("length", (kind == "STRING") & (F.char_length(text) != self.length)))
-        if self.only:
-            allowed = F.array(*[F.lit(n) for n in self.only])
+            rules.append(("format", is_text & ~right))
+        if self.pattern:
+            rules.append(("pattern", is_text & ~text.rlike(self.pattern)))
+        if self.lengths != (None, None):
+            rules.append(("length", is_text & _outside(F.char_length(text), self.lengths)))
+        if self.limits != (None, None):
+            rules.append(("range", _is_kind(kind, "number") & _outside(found["number"], self.limits)))
+        if self.only is not None:
+            allowed = F.array(*[F.lit(n) for n in self.only]).cast("array<string>")
             rules.append(("unknown_key", F.size(F.array_except(found["keys"], allowed)) > 0))
         if self.items:
             odd = F.exists(
@@ -88,8 +105,119 @@ class Field:
         return [F.when(broken, F.lit(f"{name}:{where}")) for name, broken in rules]
 
 
-def _texts(prefix: str, names: Sequence[str]) -> list[Field]:
-    return [Field(f"{prefix}{n}", nullable=True) for n in names]
+def _outside(value: Column, limits: tuple) -> Column:
+    """Below the first limit or above the second, where there is one."""
+    low, high = limits
+    below = F.lit(False) if low is None else value < low
+    return below if high is None else below | (value > high)
+
+
+# ---- contracts written as JSON Schema documents
+
+_ANNOTATIONS = {"$schema", "$id", "title", "description", "default", "examples", "$comment"}
+_KEYWORDS = {
+    "type", "enum", "const", "format", "pattern", "minLength", "maxLength", "minimum", "maximum", "required",
+    "properties", "additionalProperties", "items",
+}
+_KINDS = {"string", "number", "integer", "boolean", "object", "array", "null"}
+_FORMS = {"date-time": "time", "date": "day"}
+
+
+class SchemaError(ValueError):
+    """A document holds what no rule stands for."""
+
+
+def compiled(document: Mapping) -> tuple[Field, ...]:
+    """The rules of a JSON Schema document for an object, outer fields before inner ones.
+
+    Known are types and unions of them, enumerations and constants of texts, `date` and `date-time`, patterns,
+    lengths, limits of numbers, required and closed properties at any depth, and the type of an array's elements.
+    Annotations are passed over. Anything else raises `SchemaError`, since a rule that is silently left out would
+    let broken rows through. Null is allowed by a union with `null` only; a text's rules apply to texts alone.
+    """
+    if document.get("type") != "object":
+        raise SchemaError("a contract describes an object")
+    return tuple(_fields(document, (), False))
+
+
+def _fields(node: Mapping, path: tuple[str, ...], required: bool) -> Iterator[Field]:
+    where = ".".join(path) or "body"
+    unknown = set(node) - _KEYWORDS - _ANNOTATIONS
+    if unknown:
+        raise SchemaError(f"{where}: {', '.join(sorted(unknown))}")
+    kinds = _types(node, where)
+    inner = node.get("properties", {})
+    needed = node.get("required", [])
+    if set(needed) - set(inner):
+        raise SchemaError(f"{where}: required, but not described: {', '.join(sorted(set(needed) - set(inner)))}")
+    if node.get("additionalProperties", True) not in (True, False):
+        raise SchemaError(f"{where}: additionalProperties is true or false")
+    if node.get("format", "date") not in _FORMS:
+        raise SchemaError(f"{where}: format {node['format']}")
+    values = node.get("enum", [node["const"]] if "const" in node else [])
+    if any(v is not None and not isinstance(v, str) for v in values):
+        raise SchemaError(f"{where}: only texts can be listed")
+    yield Field(
+        ".".join(path),
+        tuple(k for k in kinds if k != "null"),
+        required=required,
+        nullable="null" in kinds,
+        one_of=tuple(v for v in values if v is not None),
+        form=_FORMS.get(node.get("format", ""), ""),
+        lengths=(node.get("minLength"), node.get("maxLength")),
+        only=None if node.get("additionalProperties", True) else tuple(inner),
+        items=_element(node["items"], where) if "items" in node else "",
+        limits=(node.get("minimum"), node.get("maximum")),
+        pattern=node.get("pattern", ""),
+        at="$" + "".join(_step(name) for name in path),
+    )
+    for name, child in inner.items():
+        yield from _fields(child, (*path, name), name in needed)
+
+
+def _types(node: Mapping, where: str) -> tuple[str, ...]:
+    kinds = node.get("type", ())
+    kinds = (kinds,) if isinstance(kinds, str) else tuple(kinds)
+    if not set(kinds) - {"null"} or set(kinds) - _KINDS:
+        raise SchemaError(f"{where}: type {', '.join(kinds) or 'is missing'}")
+    return kinds
+
+
+def _element(node: Mapping, where: str) -> str:
+    kinds = _types(node, f"{where}[]")
+    if len(kinds) != 1 or set(node) - {"type"} - _ANNOTATIONS:
+        raise SchemaError(f"{where}[]: elements have one type and no further rule")
+    return kinds[0]
+
+
+def _step(name: str) -> str:
+    """A name within a path; brackets allow any characters but quotes."""
+    if "'" in name or "\\" in name:
+        raise SchemaError(f"name with a quote: {name}")
+    return f"['{name}']"
+
+
+def schema_reasons(df: DataFrame, document: Mapping, body: str = "body") -> DataFrame:
+    """Adds `reasons` to rows judged by a JSON Schema document; see `compiled` for what it may hold."""
+    return _with_reasons(df, body, [(f.readings, f.reasons) for f in compiled(document)])
+
+
+_TEXT = {"type": "string"}
+_TEXT_OR_NULL = {"type": ["string", "null"]}
+_FLAG_OR_NULL = {"type": ["boolean", "null"]}
+_NUMBER_OR_NULL = {"type": ["number", "null"]}
+_TIME = {"type": "string", "format": "date-time"}
+_TIME_OR_NULL = {"type": ["string", "null"], "format": "date-time"}
+
+
+def _object(properties: Mapping, required: Sequence[str] = (), closed: bool = False) -> dict:
+    return {
+        "type": "object", "properties": dict(properties), "required": list(required), "additionalProperties": not closed,
+    }
+
+
+def _each(names: Sequence[str], node: Mapping) -> dict:
+    return dict.fromkeys(names, node)
 
 
 # The webhook contract.
@@ -98,79 +226,71 @@ _PAYLOAD_TEXTS = (
     "event", "email", "name", "first_name", "last_name", "timezone", "text_reminder_number",
     "cancel_url", "reschedule_url", "new_invitee", "old_invitee",
 )
-WEBHOOK_CONTRACT = (
-    Field("", "object"),
-    Field(
-        "event",
-        required=True,
-        one_of=("invitee.created", "invitee.canceled", "routing_form_submission.created"),
-    ),
-    Field("created_at", required=True, form="time"),
-    Field("created_by", nullable=True),
-    Field("payload", "object", required=True),
-    Field("payload.uri", required=True),
-    *_texts("payload.", _PAYLOAD_TEXTS),
-    Field("payload.status", nullable=True, one_of=("active", "canceled")),
-    Field("payload.canceled", "boolean", nullable=True),
-    Field("payload.rescheduled", "boolean", nullable=True),
-    Field("payload.questions_and_answers", "array", items="object"),
-    Field("payload.tracking", "object"),
-    *_texts("payload.tracking.", _TAGS),
-    Field("payload.created_at", nullable=True, form="time"),
-    Field("payload.updated_at", nullable=True, form="time"),
+WEBHOOK_DOCUMENT = _object(
+    {
+        "event": {
+            "type": "string",
+            "enum": ["invitee.created", "invitee.canceled", "routing_form_submission.created"],
+        },
+        "created_at": _TIME,
+        "created_by": _TEXT_OR_NULL,
+        "payload": _object(
+            {
+                "uri": _TEXT,
+                **_each(_PAYLOAD_TEXTS, _TEXT_OR_NULL),
+                "status": {"type": ["string", "null"], "enum": ["active", "canceled", None]},
+                "canceled": _FLAG_OR_NULL,
+                "rescheduled": _FLAG_OR_NULL,
+                "questions_and_answers": {"type": "array", "items": {"type": "object"}},
+                "tracking": _object(_each(_TAGS, _TEXT_OR_NULL)),
+                "created_at": _TIME_OR_NULL,
+                "updated_at": _TIME_OR_NULL,
+            },
+            required=["uri"],
+        ),
+    },
+    required=["event", "created_at", "payload"],
 )
+WEBHOOK_CONTRACT = compiled(WEBHOOK_DOCUMENT)
 
 # The vendor spend contract.
 _LEVELS = ("account", "campaign", "adset", "adgroup", "ad", "creative")
-_IDS = tuple(f"{n}_id" for n in _LEVELS)
-_NAMES = tuple(f"{n}_name" for n in _LEVELS)
 _METRICS = ("impressions", "clicks", "reach", "video_views", "conversions", "revenue", "leads")
-SPEND_CONTRACT = (
-    Field(
-        "",
-        "object",
-        only=(
-            "source", "granularity", "date", "timezone", "ids", "names", "metrics", "currency",
-            "attribution", "provenance", "extra",
+SPEND_DOCUMENT = _object(
+    {
+        "source": {
+            "type": "string",
+            "enum": ["google_ads", "meta_ads", "linkedin_ads", "tiktok_ads", "bing_ads", "other"],
+        },
+        "granularity": {"type": "string", "enum": ["day", "campaign", "adset", "ad", "creative"]},
+        "date": {"type": "string", "format": "date"},
+        "timezone": _TEXT_OR_NULL,
+        "ids": _object(_each([f"{n}_id" for n in _LEVELS], _TEXT_OR_NULL), closed=True),
+        "names": _object(_each([f"{n}_name" for n in _LEVELS], _TEXT_OR_NULL), closed=True),
+        "metrics": _object(
+            {"spend": {"type": "number"}, **_each(_METRICS, _NUMBER_OR_NULL)}, required=["spend"], closed=True
+        ),
+        "currency": {"type": "string", "minLength": 3, "maxLength": 3},
+        "attribution": _object(_each(["window", "model"], _TEXT_OR_NULL)),
+        "provenance": _object(
+            {"load_id": _TEXT, "source_file": _TEXT_OR_NULL, "extracted_at": _TIME_OR_NULL}, closed=True
         ),
-    ),
-    Field(
-        "source",
-        required=True,
-        one_of=("google_ads", "meta_ads", "linkedin_ads", "tiktok_ads", "bing_ads", "other"),
-    ),
-    Field("granularity", one_of=("day", "campaign", "adset", "ad", "creative")),
-    Field("date", required=True, form="day"),
-    Field("timezone", nullable=True),
-    Field("ids", "object", required=True, only=_IDS),
-    *_texts("ids.", _IDS),
-    Field("names", "object", only=_NAMES),
-    *_texts("names.", _NAMES),
-    Field("metrics", "object", required=True, only=("spend", *_METRICS)),
-    Field("metrics.spend", "number", required=True),
-    *[Field(f"metrics.{m}", "number", nullable=True) for m in _METRICS],
-    Field("currency", required=True, length=3),
-    Field("attribution", "object"),
-    *_texts("attribution.", ("window", "model")),
-    Field("provenance", "object", only=("load_id", "source_file", "extracted_at")),
-    Field("provenance.load_id"),
-    Field("provenance.source_file", nullable=True),
-    Field("provenance.extracted_at", nullable=True, form="time"),
-    Field("extra", "object"),
+        "extra": _object({}),
+    },
+    required=["source", "date", "ids", "metrics", "currency"],
+    closed=True,
 )
+SPEND_CONTRACT = compiled(SPEND_DOCUMENT)
 
 
 # Flat spend and flat events.
-FLAT_SPEND_CONTRACT = (
-    Field("", "object"),
-    Field("date", required=True, form="day"),
-    Field("channel", nullable=True),
-    Field("spend", "number", nullable=True),
+FLAT_SPEND_CONTRACT = compiled(
+    _object({"date": {"type": "string", "format": "date"}, "channel": _TEXT_OR_NULL, "spend": _NUMBER_OR_NULL}, ["date"])
 )
-FLAT_EVENT_CONTRACT = (
-    Field("", "object"),
-    *_texts("", ("event_type", "event_start_time", "event_end_time", "created_at", "organizer_email", "invitee_email")),
+_FLAT_EVENT_TEXTS = (
+    "event_type", "event_start_time", "event_end_time", "created_at", "organizer_email", "invitee_email",
 )
+FLAT_EVENT_CONTRACT = compiled(_object(_each(_FLAT_EVENT_TEXTS, _TEXT_OR_NULL)))
 
 
 # Rules on spend beyond the contract: upper-case currency code, no negative measure.

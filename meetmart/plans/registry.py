@@ -951,6 +951,58 @@ def contract_reason_counts(spark, sf_dir):
     return contracts.reason_counts(judged)
 
 
+#: A contract of the orders, as a user would write one.
+_ORDER_DOCUMENT = {
+    "title": "order",
+    "type": "object",
+    "required": ["id", "status", "total", "customer"],
+    "additionalProperties": False,
+    "properties": {
+        "id": {"type": "integer", "minimum": 10},
+        "status": {"type": "string", "enum": ["O", "F"]},
+        "total": {"type": "number", "minimum": 1000, "maximum": 400000},
+        "priority": {"type": ["string", "null"], "pattern": "^[1-3]-", "maxLength": 8},
+        "order day": {"type": "string", "format": "date"},
+        "customer": {
+            "type": "object",
+            "required": ["key", "name"],
+            "additionalProperties": False,
+            "properties": {"key": {"type": "integer", "maximum": 300}, "name": {"type": ["string", "number"]}},
+        },
+    },
+}
+
+
+@query("""
+SELECT o_orderkey, concat_ws(',',
+  CASE WHEN o_orderkey < 10 THEN 'range:id' END,
+  CASE WHEN o_orderstatus NOT IN ('O', 'F') THEN 'value:status' END,
+  CASE WHEN o_totalprice < 1000 OR o_totalprice > 400000 THEN 'range:total' END,
+  CASE WHEN NOT regexp_matches(o_orderpriority, '^[1-3]-') THEN 'pattern:priority' END,
+  CASE WHEN length(o_orderpriority) > 8 THEN 'length:priority' END,
+  CASE WHEN o_orderkey % 7 = 0 THEN 'format:order day' END,
+  CASE WHEN o_orderkey % 13 = 0 THEN 'unknown_key:customer' END,
+  CASE WHEN o_custkey % 2 = 1 THEN 'type:customer.key' END,
+  CASE WHEN o_custkey / 2.0 > 300 THEN 'range:customer.key' END,
+  CASE WHEN o_orderkey % 11 = 0 THEN 'missing:customer.name' WHEN o_orderkey % 11 = 1 THEN 'type:customer.name' END
+) AS reasons FROM orders""")
+def contract_by_document(spark, sf_dir):
+    """Orders as JSON, judged by a schema document."""
+    odd = F.when(F.expr("o_orderkey % 13 = 0"), "?").alias("note")
+    name = F.expr("CASE o_orderkey % 11 WHEN 0 THEN NULL WHEN 1 THEN 'true' WHEN 2 THEN '7' ELSE '\"c\"' END")
+    fields = F.to_json(F.struct((F.col("o_custkey") / 2).alias("key"), odd))
+    customer = F.concat(F.expr("left(f, length(f) - 1)"), F.coalesce(F.concat(F.lit(',"name":'), name), F.lit("")), F.lit("}"))
+    order = F.to_json(F.struct(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("total"),
+        F.col("o_orderpriority").alias("priority"),
+        F.when(F.expr("o_orderkey % 7 = 0"), "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("order day"),
+    ))
+    whole = F.concat(F.expr("left(o, length(o) - 1)"), F.lit(',"customer":'), customer, F.lit("}"))
+    orders = inputs.table(spark, sf_dir, "orders").withColumns({"f": fields, "o": order}).withColumn("body", whole)
+    judged = contracts.schema_reasons(orders, _ORDER_DOCUMENT)
+    return judged.select("o_orderkey", F.concat_ws(",", contracts.REASONS).alias("reasons"))
+
+
 @query("""
 SELECT o_orderkey, coalesce(CASE o_custkey % 10 WHEN 2 THEN 'unknown_key:body'
   WHEN 3 THEN 'missing:metrics.spend' WHEN 4 THEN 'type:metrics.spend'
@@ -1217,6 +1269,19 @@ def compact_days(spark, sf_dir):
     return readers.read_stored(spark, path)
 
 
+@query(f"WITH {EVENTS}, {SLOT_DAYS} SELECT *, hour_of_day % 8 <> 0 AS in_large FROM m WHERE dt = '2024-01-10'")
+def compact_small_files(spark, sf_dir):
+    """Of one day, a file of the target size stays under its name; small ones beside it become one."""
+    path = scratch.shared_dir(spark, "slots")
+    mart = marts.bookings_by_timeslot(_bookings(spark, sf_dir)).where("dt = '2024-01-10'")
+    mart = scratch.materialized(mart, "slots-of-a-day")
+    mart.where("hour_of_day % 8 <> 0").coalesce(1).write.partitionBy("dt").parquet(path)
+    (large,) = readers.read_stored(spark, path).select("_metadata.file_name", "_metadata.file_size").distinct().collect()
+    mart.where("hour_of_day % 8 = 0").repartition(4).write.mode("append").partitionBy("dt").parquet(path)
+    writers.compact_day(spark, path, "2024-01-10", mb=large.file_size / 2**20)
+    return readers.read_stored(spark, path).withColumn("in_large", F.col("_metadata.file_name") == large.file_name)
+
+
 @query(f"WITH {EVENTS}, {SLOT_DAYS} SELECT * FROM m")
 def backfill_days(spark, sf_dir):
     schema = schemas.MARTS["bookings_by_timeslot"]

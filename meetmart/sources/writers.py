@@ -74,6 +74,31 @@ class _Folder:
             return set()
         return {status.getPath().getName() for status in self.files.listStatus(self.place)}
 
+    def sizes(self) -> dict[str, int]:
+        """Bytes of the data files; names that Spark hides are left out."""
+        if not self.files.exists(self.place):
+            return {}
+        found = {s.getPath().getName(): s.getLen() for s in self.files.listStatus(self.place) if s.isFile()}
+        return {name: size for name, size in found.items() if name[0] not in "._"}
+
+    def _child(self, name: str):
+        return self.place.suffix(f"/{name}")
+
+    def has(self, name: str) -> bool:
+        return self.files.exists(self._child(name))
+
+    def delete(self, names: Sequence[str]) -> None:
+        for name in names:
+            self.files.delete(self._child(name), False)
+
+    def move_all(self, child: str, target: _Folder) -> None:
+        """Moves the data files of a folder within this one; those a run before has moved are gone already."""
+        place = self._child(child)
+        found = [s.getPath() for s in self.files.listStatus(place)] if self.files.exists(place) else []
+        for file in found:
+            if file.getName()[0] not in "._" and not self.files.rename(file, target._child(file.getName())):
+                raise RuntimeError(f"{file} could not be moved")
+
     def drop_if_unchanged(self) -> None:
         """A partition that was written holds new files only; an old one in it is left over."""
         if self.before and self.names() == self.before:
@@ -131,12 +156,60 @@ def backfill_days(
     return write_days(table.withColumn("dt", F.col("dt").cast("string")), target, fmt=fmt)
 
 
-def compact_day(spark: SparkSession, path: str, day: str, mb: int = 128, fmt: str = "parquet") -> int:
-    """Rewrite one day as few files of about `mb` megabytes; returns the rows kept, 0 if none.
+_FILE_FORMATS = ("parquet", "orc")  # a table is its files; others keep a log of them
+
+
+def compact_day(spark: SparkSession, path: str, day: str, mb: float = 128, fmt: str = "parquet") -> int:
+    """Merge the small files of one day into files of up to about `mb` megabytes; returns the day's rows, 0 if none.
 
-    All columns that the files have are kept. The small files are written aside and counted
-    before they replace the day, so a failed copy never costs a row.
+    Files are packed by the sizes in the listing of the day's folder. Only those that share a bin with another are
+    rewritten; all others stay as they are, under their names. All columns that the files have are kept. Merged files
+    are written into a hidden folder and counted, then moved into the day before the small ones go. A run that broke
+    off in between is finished by the next one, from the list of small files it left. Tables in formats that keep a
+    log of their files are rewritten by the day.
     """
+    if fmt not in _FILE_FORMATS:
+        return _rewrite_day(spark, path, day, int(mb), fmt)
+    folder = _Folder(spark, path, ("dt",), {"dt": day})
+    hidden = _Folder(spark, f"{path.rstrip('/')}/_compact", ("dt",), {"dt": day})
+    _finish_compaction(spark, folder, hidden)
+    small = _merged(folder.sizes(), int(mb * 2**20))
+    if small:
+        names = [f"{folder.place}/{name}" for name in small]
+        rows = spark.read.format(fmt).option("mergeSchema", True).option("basePath", path).load(names).drop("dt")
+        with _packed_reads(spark, int(mb * 2**20)):
+            rows.write.format(fmt).mode("overwrite").save(f"{hidden.place}/files")
+        before, after = rows.count(), spark.read.format(fmt).load(f"{hidden.place}/files").count()
+        if before != after:
+            raise RuntimeError(f"{path}: {before} rows in small files of {day}, {after} in their copy")
+        spark.createDataFrame([(name,) for name in small], "name string").coalesce(1).write.json(f"{hidden.place}/merged")
+        _finish_compaction(spark, folder, hidden)
+    return read_stored(spark, path, fmt).where(F.col("dt") == day).count() if folder.sizes() else 0
+
+
+def _merged(sizes: Mapping[str, int], target: int) -> list[str]:
+    """Files that share a bin of `target` bytes with another, first fit by falling size."""
+    bins: list[tuple[int, list[str]]] = []
+    for name, size in sorted(sizes.items(), key=lambda f: (-f[1], f[0])):
+        place = next((k for k, (used, _) in enumerate(bins) if used + size <= target), None)
+        if place is None:
+            bins.append((size, [name]))
+        else:
+            bins[place] = (bins[place][0] + size, [*bins[place][1], name])
+    return [name for _, names in bins if len(names) > 1 for name in names]
+
+
+def _finish_compaction(spark: SparkSession, folder: _Folder, hidden: _Folder) -> None:
+    """Puts merged files in the place of small ones, if the list of these is whole; drops what is unfinished."""
+    if hidden.has("merged/_SUCCESS"):
+        small = [row.name for row in spark.read.schema("name string").json(f"{hidden.place}/merged").collect()]
+        hidden.move_all("files", folder)
+        folder.delete(small)
+    hidden.files.delete(hidden.place, True)
+
+
+def _rewrite_day(spark: SparkSession, path: str, day: str, mb: int, fmt: str) -> int:
+    """The whole day anew. Its rows are written aside and counted first, so a failed copy never costs a row."""
     one_day = read_stored(spark, path, fmt).where(F.col("dt") == day)
     seen = Observation()
     aside = materialized(one_day.observe(seen, F.count(F.lit(1)).alias("rows")), "compact")
@@ -151,20 +224,34 @@ def compact_day(spark: SparkSession, path: str, day: str, mb: int = 128, fmt: st
     return written
 
 
-class _file_size:
-    """Sets the task size that adaptive execution aims for while a write runs."""
+class _settings:
+    """Settings of the session while a block runs."""
 
-    _key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-
-    def __init__(self, spark: SparkSession, mb: int):
-        self.conf, self.mb = spark.conf, mb
+    def __init__(self, spark: SparkSession, values: Mapping[str, str]):
+        self.conf, self.values = spark.conf, values
 
     def __enter__(self):
-        self.old = self.conf.get(self._key, None)
-        self.conf.set(self._key, f"{self.mb}m")
+        self.old = {key: self.conf.get(key, None) for key in self.values}
+        for key, value in self.values.items():
+            self.conf.set(key, value)
 
     def __exit__(self, *exc):
-        if self.old is None:
-            self.conf.unset(self._key)
-        else:
-            self.conf.set(self._key, self.old)
+        for key, value in self.old.items():
+            self.conf.unset(key) if value is None else self.conf.set(key, value)
+
+
+def _packed_reads(spark: SparkSession, target: int) -> _settings:
+    """Tasks that read up to `target` bytes of whole files each, and so write one file without a shuffle."""
+    return _settings(
+        spark,
+        {
+            "spark.sql.files.maxPartitionBytes": str(target),
+            "spark.sql.files.openCostInBytes": "0",
+            "spark.sql.files.minPartitionNum": "1",
+        },
+    )
+
+
+def _file_size(spark: SparkSession, mb: int) -> _settings:
+    """The task size that adaptive execution aims for while a write runs."""
+    return _settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{mb}m"})

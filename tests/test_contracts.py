@@ -189,3 +189,48 @@ def test_branches_follow_one_link(spark):
     hooks = _steps(spark, [("A", "B0"), ("A", "B1"), ("K", "C"), ("J", "C")], ["B1", "C"])
     assert _chains(spark, hooks) == [("A", "B1", 2, True, False), ("J", "C", 2, True, False)]
     assert _chains(spark, frame(spark, [webhook()])) == []
+
+
+def test_documents_with_rules_that_are_not_known_are_refused():
+    def made(**node):
+        return {"type": "object", "properties": {"a": node}}
+
+    for broken in (
+        made(type="string", uniqueItems=True), made(type="text"), made(), made(type="null"), made(type="string", format="email"),
+        made(type="number", enum=[1]), made(type="array", items={"type": "object", "properties": {}}),
+        made(type="object", additionalProperties={"type": "string"}), made(type="object", required=["b"]),
+        {"type": "object", "properties": {"it's": {"type": "string"}}}, {"type": "array"}, {"anyOf": []},
+    ):
+        with pytest.raises(contracts.SchemaError):
+            contracts.compiled(broken)
+
+
+def test_rows_are_judged_by_a_document(spark):
+    document = {
+        "type": "object",
+        "required": ["n"],
+        "properties": {
+            "n": {"type": ["integer", "null"], "minimum": 0, "maximum": 9, "description": "passed over"},
+            "a key.b": {"type": ["string", "boolean"], "minLength": 2, "pattern": "x"},
+            "kind": {"type": "string", "const": "k"},
+            "list": {"type": "array", "items": {"type": "integer"}},
+            "in": {"type": "object", "additionalProperties": False, "properties": {"at": {"type": "string", "format": "date"}}},
+        },
+    }
+    cases = [
+        ({"n": 3, "a key.b": "ax", "kind": "k", "list": [1, 2], "in": {"at": "2031-01-02"}, "more": 1}, []),
+        ({"n": None, "a key.b": True, "list": []}, []),
+        ({"n": 4.0}, []),
+        ({}, ["missing:n"]),
+        ({"n": 4.5}, ["type:n"]),
+        ({"n": 10}, ["range:n"]),
+        ({"n": -1}, ["range:n"]),
+        ({"n": "3"}, ["type:n"]),
+        ({"n": 1, "a key.b": "y"}, ["pattern:a key.b", "length:a key.b"]),
+        ({"n": 1, "a key.b": 2}, ["type:a key.b"]),
+        ({"n": 1, "kind": "other"}, ["value:kind"]),
+        ({"n": 1, "list": [1, "2"]}, ["item_type:list"]),
+        ({"n": 1, "in": {"at": "soon", "b": 1}}, ["unknown_key:in", "format:in.at"]),
+    ]
+    got = reasons(contracts.schema_reasons(texts(spark, [c[0] for c in cases]), document))
+    assert got == [c[1] for c in cases]

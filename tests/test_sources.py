@@ -229,3 +229,42 @@ def test_only_the_newest_day_is_read(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dt" in plan and "Aggregate" not in plan
     assert readers.read_shown_days(spark, path, schema, "2025-01-02").count() == 2
     assert readers.read_shown_days(spark, str(tmp_path / "none"), schema).count() == 0
+
+
+def test_compaction_leaves_files_that_fit_with_no_other(spark, tmp_path):
+    path = str(tmp_path / "t")
+    large = [("%064x" % (7**50 * i), i, "d1") for i in range(3000)]
+    small = [("s%d" % i, i, "d1") for i in range(12)]
+    daily(spark, large).coalesce(1).write.partitionBy("dt").parquet(path)
+    (name,) = glob.glob(f"{path}/dt=d1/*.parquet")
+    daily(spark, small).repartition(6).write.mode("append").partitionBy("dt").parquet(path)
+    assert writers.compact_day(spark, path, "d1", mb=0.01) == 3012
+    after = set(glob.glob(f"{path}/dt=d1/*.parquet"))
+    assert name in after and len(after) == 2
+    assert stored(spark, path) == sorted(large + small)
+    assert writers.compact_day(spark, path, "d1", mb=0.01) == 3012
+    assert set(glob.glob(f"{path}/dt=d1/*.parquet")) == after
+
+
+def test_files_are_packed_by_size():
+    assert writers._merged({"a": 90, "b": 60, "c": 30, "d": 20, "e": 200}, 100) == ["b", "c"]
+    assert writers._merged({"a": 50, "b": 51}, 100) == [] == writers._merged({}, 100)
+    assert sorted(writers._merged({"a": 0, "b": 0, "c": 100}, 100)) == ["a", "b", "c"]
+
+
+def test_a_broken_off_compaction_is_finished(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = [("s%d" % i, i, "d1") for i in range(40)]
+    for broken in ("move_all", "delete"):
+        daily(spark, rows).repartition(8).write.mode("overwrite").partitionBy("dt").parquet(path)
+        with monkeypatch.context() as patch:
+
+            def stop(*_):
+                raise InterruptedError
+
+            patch.setattr(writers._Folder, broken, stop)
+            with pytest.raises(InterruptedError):
+                writers.compact_day(spark, path, "d1")
+        assert writers.compact_day(spark, path, "d1") == 40
+        assert stored(spark, path) == rows or stored(spark, path) == sorted(rows)
+        assert len(glob.glob(f"{path}/dt=d1/*.parquet")) == 1
