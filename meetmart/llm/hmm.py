@@ -1,9 +1,10 @@
 """A hidden Markov language model: Baum-Welch over all training texts, exact likelihoods by the forward recursion.
 
-The most frequent words are symbols of their own; all others fall into classes by their ending. A text's
-likelihood is that of its symbols under the model, times that of each word within its class. Tasks encode texts
-once into a table of symbols; each round of training reads that table, adds up expected counts per partition,
-and only their sum, bounded by symbols times states, goes to the driver.
+Each word with enough occurrences to learn its states from is a symbol of its own, so the vocabulary grows with
+the corpus; all others fall into classes by their ending. A text's likelihood is that of its symbols under the
+model, times that of each word within its class. Tasks encode texts once into a table of symbols; each round of
+training reads that table, adds up expected counts per partition, and only their sum, bounded by symbols times
+states, goes to the driver. Rounds end when they gain too little.
 """
 
 from __future__ import annotations
@@ -24,10 +25,14 @@ from meetmart.llm.texts import id_and_text, in_share, in_tasks, most_frequent, s
 from meetmart.sources.scratch import materialized
 
 STATES = 8
-ROUNDS = 4
-#: Words with a symbol of their own, and classes of all other words.
-OWN_SYMBOLS, CLASSES = 4096, 1024
-#: Most frequent words whose counts go to all tasks; the counts of others are joined.
+#: Training ends with the first round that raises the mean log likelihood of a token by less than this.
+LEAST_GAIN = 0.02
+#: Words that occur this often have a symbol of their own, and so have the most frequent ones in any case.
+OWN_TIMES, FEWEST_OWN = 300, 4096
+#: Classes of all other words.
+CLASSES = 1024
+#: Most frequent words whose counts go to all tasks; the counts of others are joined. This also bounds the words
+#: with a symbol, as the model goes to all tasks.
 KNOWN_WORDS = 1 << 18
 #: Added to each count.
 ADDED = 0.1
@@ -35,8 +40,10 @@ _FLUSH = 200_000
 #: Symbols that a task works on at a time, padding included, and bytes of symbols it puts side by side.
 _BLOCK_SYMBOLS = 400_000
 _GATHERED_BYTES = 16_000_000
-_END_SYMBOL = OWN_SYMBOLS + CLASSES
-SYMBOLS = _END_SYMBOL + 1
+#: Symbols are the classes, the end of a text, then words of their own, the most frequent first.
+_END_SYMBOL = CLASSES
+_FIRST_OWN = CLASSES + 1
+_SYMBOL = "<u4"
 
 
 def word_class(word: bytes) -> int:
@@ -61,6 +68,7 @@ class Counts(NamedTuple):
     distinct: int  # different tokens, the end included
     ends: int  # training texts
     known: dict[bytes, int]  # places of the most frequent words in the next two
+    own: int  # how many of them have a symbol
     symbol: np.ndarray
     count: np.ndarray
     class_total: np.ndarray  # tokens and different words of a class, without words that have a symbol
@@ -104,9 +112,11 @@ def count_tokens(docs: DataFrame, learn: Column) -> Counts:
     known = {word: k for k, (word, _) in enumerate(top)}
     kinds = np.array([word_class(word) for word, _ in top], np.int64)
     count = np.array([n for _, n in top], np.int64)
-    symbol = np.where(np.arange(len(top)) < OWN_SYMBOLS, np.arange(len(top)), OWN_SYMBOLS + kinds)
+    owners = min(len(top), max(FEWEST_OWN, int((count >= OWN_TIMES).sum())))
+    places = np.arange(len(top))
+    symbol = np.where(places < owners, _FIRST_OWN + places, kinds)
     own = Counter()
-    for kind, n in zip(kinds[:OWN_SYMBOLS].tolist(), count[:OWN_SYMBOLS].tolist()):
+    for kind, n in zip(kinds[:owners].tolist(), count[:owners].tolist()):
         own[kind, "n"] += n
         own[kind, "words"] += 1
     class_total, class_distinct = np.zeros(CLASSES), np.zeros(CLASSES)
@@ -114,7 +124,7 @@ def count_tokens(docs: DataFrame, learn: Column) -> Counts:
         class_total[r["class"]] = r.n - own[r["class"], "n"]
         class_distinct[r["class"]] = r.words - own[r["class"], "words"]
     total, distinct = (sums.n or 0) + ends, sums.words + (ends > 0)
-    return Counts(table, total, distinct, ends, known, symbol, count, class_total, class_distinct)
+    return Counts(table, total, distinct, ends, known, owners, symbol, count, class_total, class_distinct)
 
 
 def encode(docs: DataFrame, counts: Counts, held_out: Column) -> DataFrame:
@@ -141,12 +151,12 @@ def encode(docs: DataFrame, counts: Counts, held_out: Column) -> DataFrame:
                 others: Counter = Counter()
                 for k in np.flatnonzero(~found).tolist():
                     others[words[k]] += 1
-                    symbols[k] = OWN_SYMBOLS + word_class(words[k])
+                    symbols[k] = word_class(words[k])
                 there = n > 0
-                inside = there & (symbols[:-1] >= OWN_SYMBOLS)
-                kinds = symbols[:-1][inside] - OWN_SYMBOLS
+                inside = there & (symbols[:-1] < CLASSES)
+                kinds = symbols[:-1][inside]
                 rows.append((
-                    symbols.astype("<u2").tobytes(), len(words) + 1, int(there.sum()) + (value.ends > 0),
+                    symbols.astype(_SYMBOL).tobytes(), len(words) + 1, int(there.sum()) + (value.ends > 0),
                     float(value.base(n[there]).sum()) + end, float(value.inner(kinds, n[inside]).sum()),
                     [{"word": w, "times": c} for w, c in others.items()],
                 ))
@@ -176,11 +186,11 @@ class Hmm(NamedTuple):
 
 def first_model(counts: Counts, seed: int = 11) -> Hmm:
     """States that tend to stay, each with its own random slant on the words' shares."""
-    share = np.full(SYMBOLS, 0.01)
-    share[: min(OWN_SYMBOLS, len(counts.count))] += counts.count[:OWN_SYMBOLS]
-    share[OWN_SYMBOLS:_END_SYMBOL] += counts.class_total
+    share = np.full(_FIRST_OWN + counts.own, 0.01)
+    share[:CLASSES] += counts.class_total
     share[_END_SYMBOL] += counts.ends
-    slant = np.random.default_rng(seed).lognormal(0.0, 0.7, (SYMBOLS, STATES))
+    share[_FIRST_OWN:] += counts.count[: counts.own]
+    slant = np.random.default_rng(seed).lognormal(0.0, 0.7, (len(share), STATES))
     slant[_END_SYMBOL] = 1.0
     emit = share[:, None] * slant
     move = np.full((STATES, STATES), 0.1 / max(1, STATES - 1))
@@ -203,7 +213,7 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 def _lanes(coded: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Texts side by side, the longest first: their numbers, symbols by step and lane, lanes alive by step."""
-    sizes = np.fromiter((len(c) // 2 for c in coded), np.int64, len(coded))
+    sizes = np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
     order = np.argsort(-sizes, kind="stable")
     at = 0
     while at < len(order):
@@ -211,7 +221,7 @@ def _lanes(coded: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
         mine = order[at : at + max(1, _BLOCK_SYMBOLS // longest)]
         symbols = np.full((longest, len(mine)), _END_SYMBOL, np.int64)
         for lane, k in enumerate(mine):
-            symbols[: sizes[k], lane] = np.frombuffer(coded[k], "<u2")
+            symbols[: sizes[k], lane] = np.frombuffer(coded[k], _SYMBOL)
         alive = np.searchsorted(-sizes[mine], -np.arange(longest), side="left")
         yield mine, symbols, alive
         at += len(mine)
@@ -244,9 +254,10 @@ def likelihoods(coded: list[bytes], model: Hmm) -> np.ndarray:
     return out
 
 
-def expected_counts(coded: list[bytes], model: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, moves and emissions of some texts."""
-    start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((SYMBOLS, STATES))
+def expected_counts(coded: list[bytes], model: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected starts, moves and emissions of some texts, and their log likelihood."""
+    start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros(model.emit.shape)
+    likelihood = 0.0
     kind = np.float32
     towards = model.move.astype(kind).T.copy()
     for _, symbols, alive in _lanes(coded):
@@ -264,24 +275,33 @@ def expected_counts(coded: list[bytes], model: Hmm) -> tuple[np.ndarray, np.ndar
             weight[t, :n] = ahead[t, :n] * behind
             after = emitted[t, :n] * behind / scale[t, :n, None]
             back[t, :n] = after
+        likelihood += float(np.log(scale, dtype=np.float64).sum())
         start += weight[0].sum(axis=0)
         move += ahead[:-1].reshape(-1, STATES).T.astype(np.float64) @ back[1:].reshape(-1, STATES)
         flat, values = symbols.ravel(), weight.reshape(-1, STATES)
         for s in range(STATES):
-            emit[:, s] += np.bincount(flat, values[:, s], SYMBOLS)
-    return start, move * model.move, emit
+            emit[:, s] += np.bincount(flat, values[:, s], len(emit))
+    return start, move * model.move, emit, likelihood
 
 
-def train(coded: DataFrame, model: Hmm, rounds: int = ROUNDS) -> Hmm:
-    """Baum-Welch over the rows of `encode` that are not held out; no row changes nothing."""
+def train(coded: DataFrame, model: Hmm, tokens: int, least_gain: float = LEAST_GAIN) -> Hmm:
+    """Baum-Welch over the rows of `encode` that are not held out; no token changes nothing.
+
+    A round shows the likelihood of the model it began with. The last one is that whose gain over the round
+    before is below `least_gain` per token. Each other round raises a sum that is never above 0, so rounds end.
+    """
     rows = coded.where(~F.col("held_out")).select("symbols")
-    for _ in range(rounds):
-        model = _next_model(rows, model)
+    before, gain = -np.inf, np.inf
+    while tokens and gain >= least_gain * tokens:
+        model, likelihood = _next_model(rows, model)
+        before, gain = likelihood, likelihood - before
     return model
 
 
-def _next_model(rows: DataFrame, model: Hmm) -> Hmm:
+def _next_model(rows: DataFrame, model: Hmm) -> tuple[Hmm, float]:
+    """The model after a round, and the log likelihood of the rows under the model before it."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
+    states = [f"s{k}" for k in range(STATES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -289,19 +309,21 @@ def _next_model(rows: DataFrame, model: Hmm) -> Hmm:
             part = expected_counts(texts.column("symbols").to_pylist(), shared.value)
             total = part if total is None else tuple(a + b for a, b in zip(total, part))
         if total is not None:
-            for kind, values in enumerate((total[0][None, :], *total[1:])):
-                i, j = np.nonzero(values)
-                columns = [np.full(len(i), kind, np.int32), i.astype(np.int32), j.astype(np.int32), values[i, j]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "i", "j", "value"])
-
-    added = in_tasks(rows, run, "kind int, i int, j int, value double").groupBy("kind", "i", "j").agg(F.sum("value").alias("value"))
-    table = added.toArrow()  # states times symbols at most
-    kind, i, j, value = (table.column(c).to_numpy() for c in ("kind", "i", "j", "value"))
-    start, move, emit = np.full((1, STATES), 0.1), np.full((STATES, STATES), 0.1), model.emit * 10 + 1e-6
-    for k, target in enumerate((start, move, emit)):
-        mine = kind == k
-        np.add.at(target, (i[mine], j[mine]), value[mine])
-    return Hmm(start[0] / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+            first, moves, emit, likelihood = total
+            at = np.flatnonzero(emit.any(axis=1))
+            row = np.r_[-np.arange(1, 3 + STATES), at]  # what is no emission has negative numbers
+            values = np.vstack([np.full(STATES, likelihood / STATES), first, moves, emit[at]])
+            yield pa.RecordBatch.from_arrays([pa.array(row), *map(pa.array, values.T.copy())], names=["i", *states])
+
+    added = in_tasks(rows, run, "i bigint, " + ", ".join(f"{s} double" for s in states)).groupBy("i")
+    table = added.agg(*(F.sum(s).alias(s) for s in states)).toArrow()  # symbols times states at most
+    place = table.column("i").to_numpy()
+    values = np.column_stack([table.column(s).to_numpy() for s in states])
+    total = np.zeros((2 + STATES, STATES))
+    total[-place[place < 0] - 1] = values[place < 0]
+    start, move, emit = total[1] + 0.1, total[2:] + 0.1, model.emit * 10 + 1e-6
+    emit[place[place >= 0]] += values[place >= 0]
+    return Hmm(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0)), total[0].sum()
 
 
 def score(coded: DataFrame, model: Hmm, counts: Counts) -> DataFrame:
@@ -360,4 +382,4 @@ def score_digest(docs: DataFrame) -> DataFrame:
     held_out = in_share(F.col("doc_id"), 10, 0)
     counts = count_tokens(docs, ~held_out)
     coded = encode(docs, counts, held_out)
-    return score(coded, train(coded, first_model(counts)), counts)
+    return score(coded, train(coded, first_model(counts), counts.total), counts)

@@ -53,7 +53,6 @@ def test_base_agrees_with_brute_force(spark, monkeypatch, known):
 
 def test_scores_do_not_depend_on_what_tasks_know(spark, monkeypatch):
     """Words without a symbol score alike whether their counts are broadcast or joined."""
-    monkeypatch.setattr(hmm, "ROUNDS", 1)
     pick = random.Random(8)
     rows = [(k, " ".join(f"w{min(pick.randrange(9000), pick.randrange(9000))}" for _ in range(400))) for k in range(60)]
     scores = []
@@ -63,7 +62,7 @@ def test_scores_do_not_depend_on_what_tasks_know(spark, monkeypatch):
     assert scores[0] == pytest.approx(scores[1], rel=1e-9)
 
 
-def small_model(symbols=hmm.SYMBOLS, seed=4):
+def small_model(symbols=hmm._FIRST_OWN + 40, seed=4):
     random_ = np.random.default_rng(seed)
     start, move = random_.random(hmm.STATES), random_.random((hmm.STATES, hmm.STATES))
     emit = random_.random((symbols, hmm.STATES))
@@ -74,8 +73,8 @@ def coded(seed, count, longest=9):
     pick = random.Random(seed)
     out = []
     for _ in range(count):
-        body = [pick.randrange(40) for _ in range(pick.randrange(longest))]
-        out.append(np.array([*body, hmm._END_SYMBOL], "<u2").tobytes())
+        body = [pick.choice((pick.randrange(9), hmm._FIRST_OWN + pick.randrange(40))) for _ in range(pick.randrange(longest))]
+        out.append(np.array([*body, hmm._END_SYMBOL], hmm._SYMBOL).tobytes())
     return out
 
 
@@ -94,12 +93,13 @@ def test_forward_and_expected_counts_agree_with_plain_recursions():
     model, texts = small_model(), coded(1, 60)
     np.testing.assert_allclose(
         hmm.likelihoods(texts, model),
-        [math.log10(forward_backward(np.frombuffer(c, "<u2"), model)[2]) for c in texts],
+        [math.log10(forward_backward(np.frombuffer(c, hmm._SYMBOL), model)[2]) for c in texts],
     )
-    start, move, emit = hmm.expected_counts(texts, model)
-    want_start, want_move, want_emit = np.zeros(hmm.STATES), np.zeros((hmm.STATES,) * 2), np.zeros((hmm.SYMBOLS, hmm.STATES))
+    start, move, emit, likelihood = hmm.expected_counts(texts, model)
+    assert likelihood == pytest.approx(hmm.likelihoods(texts, model).sum() * math.log(10), rel=1e-5)
+    want_start, want_move, want_emit = np.zeros(hmm.STATES), np.zeros((hmm.STATES,) * 2), np.zeros(model.emit.shape)
     for c in texts:
-        symbols = np.frombuffer(c, "<u2")
+        symbols = np.frombuffer(c, hmm._SYMBOL)
         a, b, p = forward_backward(symbols, model)
         gamma = a * b / p
         want_start += gamma[0]
@@ -125,6 +125,49 @@ def test_training_raises_the_likelihood_of_held_out_texts(spark):
     assert sum(r.score for r in found) > sum(r.base_score for r in found)
 
 
+def test_vocabulary_grows_with_the_corpus(spark, monkeypatch):
+    """Words of a language that few texts are in get states of their own once they are frequent enough."""
+    monkeypatch.setattr(hmm, "FEWEST_OWN", 30)
+    monkeypatch.setattr(hmm, "OWN_TIMES", 40)
+    large, small = words(1, 60), [f"z{w}" for w in words(2, 20)]
+
+    def learned(times):
+        rows = [(k, " ".join(random.Random(k).choices(large, k=200))) for k in range(20 * times)]
+        rows += [(10_000 + k, " ".join(random.Random(k).choices(small, k=50))) for k in range(3 * times)]
+        counts = hmm.count_tokens(documents(spark, rows), hmm.F.lit(True))
+        own = {w.decode() for w, k in counts.known.items() if k < counts.own}
+        coded = hmm.encode(documents(spark, rows), counts, hmm.F.lit(False))
+        return own, counts, hmm.train(coded, hmm.first_model(counts), counts.total)
+
+    few, _, _ = learned(1)
+    assert not few & set(small)
+    many, counts, model = learned(12)
+    assert many == {*large, *small}
+    share = model.emit / model.emit.sum(axis=1, keepdims=True)
+    place = {w.decode(): hmm._FIRST_OWN + k for w, k in counts.known.items()}
+    mine, others = (np.mean([share[place[w]] for w in pool], axis=0) for pool in (small, large))
+    assert np.abs(mine - others).sum() > 1.5  # the states that emit them are others
+
+
+def test_rounds_end_where_little_is_gained(spark, monkeypatch):
+    rows = documents(spark, rows_of_two_kinds(120))
+    counts = hmm.count_tokens(rows, hmm.F.lit(True))
+    coded = hmm.encode(rows, counts, hmm.F.lit(False))
+    seen, plain = [], hmm._next_model
+
+    def noted(table, model):
+        model, likelihood = plain(table, model)
+        seen.append(likelihood / counts.total)
+        return model, likelihood
+
+    monkeypatch.setattr(hmm, "_next_model", noted)
+    hmm.train(coded, hmm.first_model(counts), counts.total)
+    gains = np.diff(seen)
+    assert len(gains) > 1 and (gains[:-1] >= hmm.LEAST_GAIN).all() and gains[-1] < hmm.LEAST_GAIN
+    assert (gains > -1e-3).all()
+    assert hmm.train(coded, "unchanged", 0) == "unchanged"
+
+
 def test_no_training_rows_and_empty_table(spark):
     alone = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 10 == 0)
     (row,) = hmm.score_digest(documents(spark, [(alone, "a b c")])).collect()
