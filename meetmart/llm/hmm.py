@@ -1,7 +1,7 @@
 """A hidden Markov language model: Baum-Welch over all training texts, exact likelihoods by the forward recursion.
 
-Each word with enough occurrences to learn its states from is a symbol of its own, so the vocabulary grows with
-the corpus; all others fall into classes by their ending. A text's likelihood is that of its symbols under the
+The most frequent words are symbols of their own, as many as make up a share of all tokens, so the vocabulary
+grows with that of the corpus; all others fall into classes by their ending. A text's likelihood is that of its symbols under the
 model, times that of each word within its class. Tasks encode texts once into a table of symbols; each round of
 training reads that table, adds up expected counts per partition, and only their sum, bounded by symbols times
 states, goes to the driver. Rounds end when they gain too little.
@@ -27,8 +27,8 @@ from meetmart.sources.scratch import materialized
 STATES = 8
 #: Training ends with the first round that raises the mean log likelihood of a token by less than this.
 LEAST_GAIN = 0.02
-#: Words that occur this often have a symbol of their own, and so have the most frequent ones in any case.
-OWN_TIMES, FEWEST_OWN = 300, 4096
+#: The most frequent words have symbols of their own: as many as make up this share of all words, at least so many.
+OWN_SHARE, FEWEST_OWN = 0.7, 4096
 #: Classes of all other words.
 CLASSES = 1024
 #: Most frequent words whose counts go to all tasks; the counts of others are joined. This also bounds the words
@@ -112,7 +112,7 @@ def count_tokens(docs: DataFrame, learn: Column) -> Counts:
     known = {word: k for k, (word, _) in enumerate(top)}
     kinds = np.array([word_class(word) for word, _ in top], np.int64)
     count = np.array([n for _, n in top], np.int64)
-    owners = min(len(top), max(FEWEST_OWN, int((count >= OWN_TIMES).sum())))
+    owners = min(len(top), max(FEWEST_OWN, int(np.searchsorted(np.cumsum(count), OWN_SHARE * (sums.n or 0))) + 1))
     places = np.arange(len(top))
     symbol = np.where(places < owners, _FIRST_OWN + places, kinds)
     own = Counter()

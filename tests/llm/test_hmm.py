@@ -126,23 +126,26 @@ def test_training_raises_the_likelihood_of_held_out_texts(spark):
 
 
 def test_vocabulary_grows_with_the_corpus(spark, monkeypatch):
-    """Words of a language that few texts are in get states of their own once they are frequent enough."""
-    monkeypatch.setattr(hmm, "FEWEST_OWN", 30)
-    monkeypatch.setattr(hmm, "OWN_TIMES", 40)
+    """More words get symbols where the corpus holds more; those of a minority language get states of their own."""
+    monkeypatch.setattr(hmm, "FEWEST_OWN", 10)
     large, small = words(1, 60), [f"z{w}" for w in words(2, 20)]
+    rows = [(k, " ".join(random.Random(k).choices(large, k=100))) for k in range(200)]
+    more = [(1000 + k, " ".join(random.Random(k).choices(small, k=60))) for k in range(60)]  # 15 % of all tokens
 
-    def learned(times):
-        rows = [(k, " ".join(random.Random(k).choices(large, k=200))) for k in range(20 * times)]
-        rows += [(10_000 + k, " ".join(random.Random(k).choices(small, k=50))) for k in range(3 * times)]
+    def counted(rows, share):
+        monkeypatch.setattr(hmm, "OWN_SHARE", share)
         counts = hmm.count_tokens(documents(spark, rows), hmm.F.lit(True))
-        own = {w.decode() for w, k in counts.known.items() if k < counts.own}
-        coded = hmm.encode(documents(spark, rows), counts, hmm.F.lit(False))
-        return own, counts, hmm.train(coded, hmm.first_model(counts), counts.total)
-
-    few, _, _ = learned(1)
-    assert not few & set(small)
-    many, counts, model = learned(12)
-    assert many == {*large, *small}
+        return counts, {w.decode() for w, k in counts.known.items() if k < counts.own}
+
+    _, few = counted(rows, 0.9)
+    counts, many = counted(rows + more, 0.9)
+    assert len(few) > 10 and len(many) > len(few) and many & set(small)
+    total = sum(counts.count)
+    assert counts.count[: counts.own].sum() >= 0.9 * total > counts.count[: counts.own - 1].sum()
+    counts, every = counted(rows + more, 1.0)
+    assert every == {*large, *small}
+    coded = hmm.encode(documents(spark, rows + more), counts, hmm.F.lit(False))
+    model = hmm.train(coded, hmm.first_model(counts), counts.total)
     share = model.emit / model.emit.sum(axis=1, keepdims=True)
     place = {w.decode(): hmm._FIRST_OWN + k for w, k in counts.known.items()}
     mine, others = (np.mean([share[place[w]] for w in pool], axis=0) for pool in (small, large))
