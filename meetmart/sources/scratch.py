@@ -31,8 +31,8 @@ def clear(spark: SparkSession) -> None:
         place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def materialized(df: DataFrame, name: str) -> DataFrame:
+def materialized(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write `df` once and read it back: later uses neither recompute it nor lose it with an executor."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

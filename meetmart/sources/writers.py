@@ -28,6 +28,7 @@ def write_days(
     mb: int = 128,
     rebalance: bool = True,
     replaces: Sequence[Mapping[str, str]] = (),
+    **options: str,
 ) -> int:
     """Replace the partitions present in `df`, leave the others, return the rows written.
 
@@ -38,7 +39,7 @@ def write_days(
     one file, large ones are split into tasks of about `mb` megabytes, so a hot day is never
     one task. It costs a shuffle: switch it off for one large day that comes out of a shuffle
     anyway, whose tasks already have that size. The overwrite mode is set on the write itself:
-    in static mode the same call would delete the whole table.
+    in static mode the same call would delete the whole table. Other `options` are those of the format.
     """
     seen = Observation()
     sized = df.observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -50,6 +51,7 @@ def write_days(
             sized.write.format(fmt)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .options(**options)
             .partitionBy(*by)
             .save(path)
         )

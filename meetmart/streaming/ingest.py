@@ -17,13 +17,15 @@ from meetmart.functions.landing import body_md5
 from meetmart.functions.timeparts import day_text
 from meetmart.operators.contracts import BRONZE, DEAD_LETTER, REASONS, route_of, webhook_reasons
 from meetmart.operators.dedupe import keep_latest
-from meetmart.sources.readers import between_days, day_in, read_days_or_empty
+from meetmart.sources.readers import between_days, day_in, partition_values, read_days_or_empty
 from meetmart.sources.scratch import materialized
 from meetmart.sources.writers import write_days
 
 _BY = ("route", "dt", "batch_id")
 #: Route under which metrics count bodies that the table held already.
 COPY = "copy"
+#: Bodies and what is parsed out of them are kept side by side; as text they pack well.
+_PACKED = {"compression": "zstd"}
 _COMPACTED = -1  # stands for all batches of a day that was compacted
 
 _TEXT = T.StringType()
@@ -73,46 +75,38 @@ def read_landing(
     )
 
 
-def first_copies(landed: DataFrame, memory: str = "7 days", salts: int = 0) -> DataFrame:
-    """First copy of each body per day of arrival, remembered for `memory` after it was seen.
+def first_copies(landed: DataFrame) -> DataFrame:
+    """First copy of each body per day of arrival within a batch, in an order that a replay repeats.
 
-    State expires by the time a body was seen, not by its arrival, so back-dated bodies are
-    never dropped as late. A copy that is seen after `memory` passes: `start_ingest` looks all bodies
-    up in the landed table as well, so the memory need only cover copies that come close together. The first step is
-    salted by row: many copies of one body in one batch, also those of one file, are thinned out
-    in several tasks before the exact step sees one copy per salt. There are as many salts as
-    shuffle partitions, unless given.
+    Bodies are shuffled once. Many copies of one body, also those of one file, are thinned out to one per task before
+    that. The hash travels as bytes, in half the space of its text.
     """
-    salts = salts or int(landed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = landed.withColumns(
-        {
-            # never empty; this keeps the column nullable in batches without files too, as the state's schema must
-            # not change between batches
-            "dt": F.nullif(day_text(F.col("arrived_at")), F.lit("")),
-            "body_md5": body_md5(F.col("body")),
-            "_seen_at": F.current_timestamp(),
-            "_salt": F.floor(F.rand() * salts),
-        }
-    )
-    return (
-        keyed.withWatermark("_seen_at", memory)
-        .dropDuplicatesWithinWatermark(["dt", "body_md5", "_salt"])
-        .dropDuplicatesWithinWatermark(["dt", "body_md5"])
-        .drop("_seen_at", "_salt")
-    )
+    keyed = landed.withColumns({"dt": day_text(F.col("arrived_at")), "_hash": F.unhex(body_md5(F.col("body")))})
+    first = keep_latest(keyed, ["dt", "_hash"], [F.col("arrived_at"), F.col("file_path"), F.col("body")])
+    return first.withColumn("body_md5", F.lower(F.hex("_hash"))).drop("_hash")
+
+
+def _earlier(batch: DataFrame, table: str, batch_id: int) -> DataFrame | None:
+    """(dt, body_md5, stored_at) that the table holds for the days in a batch, from batches that were started before
+    it and from what was compacted out of them; None for a table not written yet.
+
+    Only those days are read, and of them the hashes only. Days come to the driver, bounded by the calendar.
+    """
+    spark = batch.sparkSession
+    if not partition_values(spark, table, "route"):
+        return None
+    days = [row["dt"] for row in batch.select("dt").distinct().collect()]
+    stored = read_landed(spark, table).where(day_in(days) & (F.col("batch_id") < batch_id))
+    return stored.select("dt", "body_md5", F.col("_metadata.file_modification_time").alias("stored_at"))
 
 
 def not_landed(batch: DataFrame, table: str, batch_id: int) -> DataFrame:
     """Bodies of a batch that the table does not hold for their day yet.
 
-    Only the days in the batch are read, and of them the hashes only. Rows of this very batch do not count: a batch
-    that is replayed must find what it found the first time. Days come to the driver, bounded by the calendar.
+    Rows of this very batch do not count: a batch that is replayed must find what it found the first time.
     """
-    days = [row["dt"] for row in batch.select("dt").distinct().collect()]
-    stored = read_days_or_empty(batch.sparkSession, table, LANDED).where(day_in(days))
-    # batches that were started before this one, and what was compacted out of them
-    earlier = stored.where(F.col("batch_id") < batch_id).select("dt", "body_md5")
-    return batch.join(earlier, ["dt", "body_md5"], "left_anti").select(*batch.columns)
+    earlier = _earlier(batch, table, batch_id)
+    return batch if earlier is None else batch.join(earlier, ["dt", "body_md5"], "left_anti").select(*batch.columns)
 
 
 def routed(landed: DataFrame) -> DataFrame:
@@ -137,18 +131,20 @@ def start_ingest(
 
     A batch owns its `batch_id` partitions and overwrites them, so a batch that is replayed
     after a failure replaces its rows instead of adding them again. A body that the table holds already for its day is
-    not stored again, however long ago it came. The settings are those of `read_landing` and `first_copies`.
+    not stored again, however long ago it came; the table is all that is remembered, the stream keeps no state. Copies of
+    bodies that were stored within `memory` are left out without being counted. The other settings are those of
+    `read_landing`.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch = materialized(batch, "batch")  # the state behind it is read once
-        new = not_landed(batch, table, batch_id)
-        write_days(routed(new).withColumn("batch_id", F.lit(batch_id)), table, by=_BY)
-        _keep_metrics(batch, table, batch_id)
+        first = materialized(first_copies(batch), "batch", **_PACKED)  # bodies are shuffled once
+        rows = routed(not_landed(first, table, batch_id).drop("_seen_at")).withColumn("batch_id", F.lit(batch_id))
+        write_days(rows, table, by=_BY, rebalance=False, **_PACKED)  # its tasks come sized out of the shuffle
+        _keep_metrics(first, table, batch_id, memory)
 
     bodies = read_landing(spark, landing, whole_text, max_file_age, max_bytes, max_files)
     return (
-        first_copies(bodies, memory)
+        bodies.withColumn("_seen_at", F.current_timestamp())  # the same for all rows of a batch, and when it is replayed
         .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
@@ -170,25 +166,29 @@ def _metrics_path(table: str) -> str:
     return f"{table.rstrip('/')}_metrics"
 
 
-def _keep_metrics(batch: DataFrame, table: str, batch_id: int) -> None:
-    """Rows of one batch by route and day, and the copies it left out, beside the table; a replay replaces them.
+def _keep_metrics(batch: DataFrame, table: str, batch_id: int, memory: str) -> None:
+    """Rows of one batch by route and day, and the copies it left out of bodies that were stored more than `memory`
+    before, beside the table; a replay replaces them.
 
     Only the batch's own partitions are counted, which their footers tell.
     """
     spark = batch.sparkSession
     own = read_days_or_empty(spark, table, LANDED).where(F.col("batch_id") == batch_id)
-    stored = own.groupBy("route", "dt").agg(F.count(F.lit(1)).alias("rows"))
-    seen = batch.groupBy("dt").agg(F.count(F.lit(1)).alias("seen"))
-    kept = stored.groupBy("dt").agg(F.sum("rows").alias("kept"))
-    left = (F.col("seen") - F.coalesce("kept", F.lit(0))).alias("rows")
-    copies = seen.join(kept, "dt", "left").select(F.lit(COPY).alias("route"), "dt", left).where("rows > 0")
-    counts = stored.unionByName(copies).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    counts = own.groupBy("route", "dt").agg(F.count(F.lit(1)).alias("rows"))
+    earlier = _earlier(batch, table, batch_id)
+    if earlier is not None:
+        seen = batch.select("dt", "body_md5", (F.col("_seen_at") - F.lit(memory).cast("interval")).alias("since"))
+        same = [seen[c] == earlier[c] for c in ("dt", "body_md5")]
+        forgotten = seen.join(earlier, [*same, F.col("stored_at") < F.col("since")], "left_semi")
+        copies = forgotten.groupBy("dt").agg(F.count(F.lit(1)).alias("rows"))
+        counts = counts.unionByName(copies.withColumn("route", F.lit(COPY)))
+    counts = counts.withColumn("batch_id", F.lit(batch_id).cast("long"))
     write_days(counts, _metrics_path(table), by=("batch_id",), replaces=[{"batch_id": str(batch_id)}])
 
 
 def batch_metrics(spark: SparkSession, table: str) -> DataFrame:
     """(route, dt, rows, batch_id) as kept with each batch: accepted, dead letters, and copies that came too late for
-    the stream's memory. Added up over batches they are the `landing_metrics`, without a look at the table."""
+    the ingest's memory. Added up over batches they are the `landing_metrics`, without a look at the table."""
     return read_days_or_empty(spark, _metrics_path(table), _METRICS)
 
 
@@ -206,7 +206,8 @@ def compact_landed(spark: SparkSession, table: str, day: str) -> int:
     order = [F.col("batch_id"), F.col("arrived_at"), F.col("file_path")]
     single = keep_latest(rows, ["dt", "body_md5"], order).withColumn("batch_id", F.lit(_COMPACTED))
     aside = materialized(single, "compact-landed")
-    return write_days(aside, table, by=_BY, replaces=[b for b in batches if b["batch_id"] != _COMPACTED])
+    gone = [b for b in batches if b["batch_id"] != _COMPACTED]
+    return write_days(aside, table, by=_BY, replaces=gone, **_PACKED)
 
 
 def read_landed(spark: SparkSession, table: str) -> DataFrame:

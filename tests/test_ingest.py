@@ -206,3 +206,37 @@ def test_batches_keep_their_counts(spark, landing):
     for path in [*(landing.root / "checkpoint" / "commits").glob(f"*{commits[-1]}*")]:
         path.unlink()
     assert run() == {"2025-06-15": 2}
+
+
+def test_bodies_are_shuffled_once_and_the_stream_keeps_no_state(spark, landing):
+    body = webhook()
+    lines = [json.dumps(body)] * 40 + [json.dumps(dict(reversed(body.items())))] * 40 + ["broken"] * 20
+    for name in "ab":
+        landing.put(name, "\n".join(lines))
+    query = ingest.start_ingest(
+        spark, str(landing.zone), landing.table, str(landing.root / "c"), whole_text=False
+    )
+    query.awaitTermination()
+    assert [r[0] for r in landing.rows()] == ["bronze", "dead_letter"]
+    assert query.lastProgress["stateOperators"] == []
+
+    rows = spark.read.text(str(landing.zone)).select(
+        F.col("value").alias("body"), F.lit("2025-06-15 15:00:00").cast("timestamp").alias("arrived_at"),
+        F.col("_metadata.file_path").alias("file_path"),
+    )
+    first = ingest.first_copies(rows)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("WindowGroupLimit") == 2
+    kept = {(r.dt, r.body_md5, r.file_path[-1]) for r in first.collect()}
+    table = ingest.read_landed(spark, landing.table).collect()
+    assert {k[1] for k in kept} == {r.body_md5 for r in table} and {(k[0], k[2]) for k in kept} == {("2025-06-15", "a")}
+
+
+def test_copies_within_the_memory_are_left_out_and_not_counted(spark, landing):
+    landing.put("a", webhook())
+    landing.run()
+    landing.put("b", webhook(), DAY + 60)
+    landing.put("c", webhook(payload__uri="I2"), DAY + 60)
+    landing.run()
+    kept = ingest.batch_metrics(spark, landing.table).collect()
+    assert sorted((r.route, r.rows, r.batch_id) for r in kept) == [("bronze", 1, 0), ("bronze", 1, 1)]
