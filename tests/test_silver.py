@@ -6,6 +6,7 @@ from webhooks import frame, webhook
 
 from meetmart import schemas
 from meetmart.operators import dedupe, silver
+from meetmart.plans import registry
 
 RUN = "2025-07-10"
 
@@ -141,3 +142,15 @@ def test_data_dictionary_describes_every_leaf(spark):
         assert ("webhook", leaf) in fields
     for leaf in ("ids.creative_id", "metrics.leads", "provenance.extracted_at", "extra"):
         assert ("vendor_spend", leaf) in fields
+
+
+def test_webhooks_are_parsed_once_per_load(spark, tmp_path):
+    """The filter that tells the loads apart does not build and parse bodies of its own."""
+    spark.range(60).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-05 10:00:00' + make_dt_interval(0, 0, int(id)) AS ts",
+        "id % 7 AS user_id", "'click' AS event_type", "1.0D AS value", "concat('{\"k\": ', id % 9, '}') AS props",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    loads = registry.silver_in_two_loads(spark, str(tmp_path))
+    assert loads._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 2
+    assert sorted(loads.collect()) == sorted(registry.silver_from_webhooks(spark, str(tmp_path)).collect())
+    assert loads.count() == 7
